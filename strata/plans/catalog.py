@@ -279,3 +279,132 @@ ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""")
 def topk_desc(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return A.top_k(o, 10, [F.desc("o_totalprice"), F.asc("o_orderkey")])
+
+
+# --------------------------------------------------------------------------
+# Scalar functions
+# --------------------------------------------------------------------------
+@register("normalize_columns", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment AS c_mkt_segment FROM customer""")
+def normalize_columns(spark, d):
+    raw = table(spark, d, "customer").toDF("C CustKey", "c;name", "(C_NationKey)", "C=AcctBal",
+                                           "c mkt{segment}")
+    return C.normalize_columns(raw)
+
+
+FLAG_LABELS = {"R": "returned", "A": "accepted"}
+
+
+@register("map_codes", """
+SELECT l_orderkey, l_linenumber, l_returnflag,
+       CASE WHEN lower(l_returnflag) = 'r' THEN 'returned' WHEN lower(l_returnflag) = 'a' THEN 'accepted'
+            ELSE lower(l_returnflag) END AS flag_label
+FROM lineitem""")
+def map_codes(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    return li.withColumn("flag_label", C.map_codes("l_returnflag", FLAG_LABELS))
+
+
+@register("name_norm", """
+SELECT c_custkey, regexp_replace(lower(c_name), '[^a-z0-9 ]', '', 'g') AS name_norm,
+       lower(regexp_replace(c_name, '[^a-z0-9 ]', '', 'g')) AS name_norm_compat,
+       array_to_string(list_transform(string_split(lower(c_name), ' '),
+                       lambda w: upper(w[1]) || w[2:]), ' ') AS name_title
+FROM customer""")
+def name_norm(spark, d):
+    c = table(spark, d, "customer")
+    return c.select("c_custkey", C.name_norm("c_name").alias("name_norm"),
+                    C.name_norm("c_name", compat=True).alias("name_norm_compat"),
+                    C.title_case(F.lower("c_name")).alias("name_title"))
+
+
+# Spark's round() on a double is HALF_UP on the value's shortest decimal
+# text (36.855 -> 36.86 even though the binary value is a hair below); the
+# oracle reproduces that by rounding the decimal text.
+@register("round_half_up", """
+SELECT l_orderkey, l_linenumber,
+       round(CAST(CAST(l_extendedprice * l_discount AS VARCHAR) AS DECIMAL(38, 20)), 2)::DOUBLE AS disc_amount,
+       round(CAST(CAST(l_extendedprice * (1 - l_discount) AS VARCHAR) AS DECIMAL(38, 20)), 2)::DOUBLE AS net_price
+FROM lineitem""")
+def round_half_up(spark, d):
+    li = table(spark, d, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     F.round(F.col("l_extendedprice") * F.col("l_discount"), 2).alias("disc_amount"),
+                     F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 2).alias("net_price"))
+
+
+@register("json_parse", """
+SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+FROM events WHERE TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NOT NULL""")
+def json_parse(spark, d):
+    from ..functions.json import parse_json
+    ev = table(spark, d, "events")
+    return (ev.select("event_id", parse_json("props", "k int").alias("data"))
+              .select("event_id", "data.*").filter(F.col("k").isNotNull()))
+
+
+@register("flatten_struct", """
+SELECT o_orderkey, o_custkey AS cust_o_custkey, o_orderstatus AS cust_o_orderstatus,
+       o_totalprice AS cust_detail_o_totalprice, o_orderpriority AS cust_detail_o_orderpriority,
+       to_json([o_orderstatus, o_orderpriority])::VARCHAR AS tags,
+       CASE WHEN microsecond(o_orderdate) % 1000000 = 0 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
+            ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') END AS o_orderdate
+FROM orders""")
+def flatten_struct(spark, d):
+    o = table(spark, d, "orders")
+    nested = o.select("o_orderkey",
+                      F.struct("o_custkey", "o_orderstatus",
+                               F.struct("o_totalprice", "o_orderpriority").alias("detail")).alias("cust"),
+                      F.array("o_orderstatus", "o_orderpriority").alias("tags"), "o_orderdate")
+    return C.flatten(nested, sep="_")
+
+
+@register("double_key_to_string", """
+SELECT c_custkey, CAST(CAST(c_custkey AS DOUBLE) * 1000003 AS DECIMAL(38,0))::VARCHAR AS key_text
+FROM customer""")
+def double_key_to_string(spark, d):
+    c = table(spark, d, "customer").select(
+        "c_custkey", (F.col("c_custkey").cast("double") * 1000003).alias("k"))
+    return c.select("c_custkey", C.integral_double_to_string("k").alias("key_text"))
+
+
+@register("zero_as_missing", """
+SELECT p_partkey, p_size, p_size = 0 AS is_missing_p_size,
+       p_retailprice = 0 AS is_missing_p_retailprice
+FROM part""")
+def zero_as_missing(spark, d):
+    p = table(spark, d, "part").select("p_partkey", "p_size", "p_retailprice")
+    return C.zero_as_missing_flags(p, ["p_size", "p_retailprice"]).drop("p_retailprice")
+
+
+# --------------------------------------------------------------------------
+# Dedup
+# --------------------------------------------------------------------------
+@register("exact_dedup", "SELECT DISTINCT * FROM lineitem")
+def exact_dedup(spark, d):
+    from ..operators.dedup import drop_exact_duplicates
+    return drop_exact_duplicates(table(spark, d, "lineitem"), "file")
+
+
+_LI_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register("dedup_natural_key", f"""
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                           ORDER BY l_shipdate DESC, {', '.join(c + ' DESC' for c in _LI_REST)}) = 1""")
+def dedup_natural_key(spark, d):
+    from ..operators.dedup import dedup_by_key
+    return dedup_by_key(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"],
+                        [F.col("l_shipdate")])
+
+
+@register("describe_layer", """
+SELECT 'customer' AS dataset, count(*) AS n_rows, 5 AS n_cols FROM customer
+UNION ALL SELECT 'orders', count(*), 6 FROM orders
+UNION ALL SELECT 'lineitem', count(*), 11 FROM lineitem
+UNION ALL SELECT 'events', count(*), 6 FROM events""")
+def describe_layer(spark, d):
+    from ..operators.inspect import describe_layer as describe
+    return describe({n: table(spark, d, n) for n in ("customer", "orders", "lineitem", "events")})
