@@ -12,6 +12,9 @@ import math
 import os
 import sys
 import time
+import warnings
+
+warnings.filterwarnings("ignore")
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -50,6 +53,22 @@ def _rows(pdf: pd.DataFrame):
     return cols, sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+_SPARK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE",
+          "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE",
+          "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def _type_mismatch(schema, dtypes):
+    bad = []
+    for f in schema.fields:
+        st = f.dataType.simpleString()
+        want = _SPARK.get(st, st.upper())
+        got = dtypes.get(f.name, "?")
+        if want != got and not (st.startswith("decimal") and got.startswith("DECIMAL")):
+            bad.append(f"{f.name}:{st}/{got}")
+    return ",".join(bad)
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -83,7 +102,8 @@ def main(argv):
             print(f"rows-only {name}: {len(spdf)} rows  ({ts:.1f}s)")
             continue
         try:
-            dpdf = con.execute(sqls[name]).df()
+            dpdf = con.execute(sqls[name]).to_arrow_table().to_pandas()
+            dtypes = {r[0]: r[1] for r in con.execute(f"DESCRIBE ({sqls[name]})").fetchall()}
         except Exception as e:  # noqa: BLE001
             print(f"FAIL {name}: duckdb error {str(e)[:400]}")
             bad += 1
@@ -103,7 +123,8 @@ def main(argv):
             print(f"FAIL {name}: values differ, e.g. {diff}")
             bad += 1
             continue
-        print(f"ok   {name}: {len(sr)} rows  ({ts:.1f}s)")
+        warn = _type_mismatch(sdf.schema, dtypes)
+        print(f"ok   {name}: {len(sr)} rows  ({ts:.1f}s){'  TYPES ' + warn if warn else ''}")
     print("FAILED:", bad)
     return bad
 
