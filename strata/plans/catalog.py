@@ -408,3 +408,57 @@ UNION ALL SELECT 'events', count(*), 6 FROM events""")
 def describe_layer(spark, d):
     from ..operators.inspect import describe_layer as describe
     return describe({n: table(spark, d, n) for n in ("customer", "orders", "lineitem", "events")})
+
+
+@register("predicate_filters", """
+SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders
+WHERE contains(o_orderpriority, 'URGENT') OR (o_orderstatus IN ('P') AND o_totalprice > 300000)""")
+def predicate_filters(spark, d):
+    o = table(spark, d, "orders")
+    return (o.filter(F.col("o_orderpriority").contains("URGENT")
+                     | (F.col("o_orderstatus").isin("P") & (F.col("o_totalprice") > 300000)))
+             .select("o_orderkey", "o_orderpriority", "o_orderstatus"))
+
+
+_CHANNEL_COLS = ["avg_peer_order_price", "avg_supplier_acctbal", "event_error_rate"]
+
+
+@register("rows_with_any_null", _ENRICH_CTES + """
+SELECT c_mktsegment, count(*) AS n_incomplete FROM enriched
+WHERE avg_peer_order_price IS NULL OR avg_supplier_acctbal IS NULL OR event_error_rate IS NULL
+GROUP BY c_mktsegment""")
+def rows_with_any_null(spark, d):
+    from functools import reduce
+    from operator import or_
+    e = enriched_customers(spark, d)
+    any_null = reduce(or_, [F.col(c).isNull() for c in _CHANNEL_COLS])
+    return e.filter(any_null).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n_incomplete"))
+
+
+@register("dq_evidence_report", f"""
+WITH t AS (SELECT *, {_CUSTOMER_CASE} AS dq_failed_rule FROM customer)
+SELECT 'customer' AS dataset, 'quarantine' AS kind, dq_failed_rule AS name, count(*) AS n_rows
+FROM t WHERE dq_failed_rule IS NOT NULL GROUP BY dq_failed_rule
+UNION ALL SELECT 'customer', 'nulls', 'c_acctbal', count(*) FILTER (WHERE c_acctbal IS NULL) FROM t
+UNION ALL SELECT 'customer', 'nulls', 'c_mktsegment', count(*) FILTER (WHERE c_mktsegment IS NULL) FROM t
+UNION ALL SELECT 'customer', 'nulls', 'c_name', count(*) FILTER (WHERE c_name IS NULL) FROM t""")
+def dq_evidence_report(spark, d):
+    from ..operators.inspect import dq_evidence
+    return dq_evidence("customer", Q.tag(table(spark, d, "customer"), CUSTOMER_RULES),
+                       ["c_acctbal", "c_mktsegment", "c_name"])
+
+
+@register("freshness_lag", """
+WITH m AS (SELECT event_type, max(ts) AS last_ts FROM events GROUP BY event_type)
+SELECT event_type, last_ts,
+       round(date_diff('microsecond', last_ts, (SELECT max(ts) FROM events)) / 3600000000.0, 4) AS lag_hours
+FROM m""")
+def freshness_lag(spark, d):
+    from pyspark.sql import Window
+    ev = table(spark, d, "events")
+    last = ev.groupBy("event_type").agg(F.max("ts").alias("last_ts"))
+    # the newest event overall is the max of the per-type maxima; the window
+    # runs over the aggregated frame (one row per event type), not the events
+    newest = F.max("last_ts").over(Window.partitionBy(F.lit(1)))
+    lag_us = F.unix_micros(newest.cast("timestamp")) - F.unix_micros(F.col("last_ts").cast("timestamp"))
+    return last.select("event_type", "last_ts", F.round(lag_us / F.lit(3600000000.0), 4).alias("lag_hours"))

@@ -175,6 +175,25 @@ def full_extract(spark, d):
     return spark.read.parquet(out)
 
 
+@register("partition_pruned_read", """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'P'""")
+def partition_pruned_read(spark, d):
+    """A snapshot laid out by ``o_orderstatus``: the equality filter prunes
+    to one ``o_orderstatus=P`` directory (PartitionFilters in the scan)."""
+    root = scratch_path(spark, "versions")
+    V.publish(table(spark, d, "orders"), root, partition_by=("o_orderstatus",), at=_t(0))
+    return (V.read_as_of(spark, root).where(F.col("o_orderstatus") == "P")
+            .select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"))
+
+
+@register("csv_infer_schema", """
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+def csv_infer_schema(spark, d):
+    root = scratch_path(spark, "csv")
+    _write_csv(table(spark, d, "customer"), root)
+    return FS.read_csv(spark, root, infer_schema=True, source_col=None)
+
+
 # --------------------------------------------------------------------------
 # Stream: events as JSON messages → parse → filter → idempotent sink
 # --------------------------------------------------------------------------

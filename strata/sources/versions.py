@@ -74,15 +74,21 @@ def _commit(spark: SparkSession, root: str, version: int, data_versions: list[in
 
 
 def publish(df: DataFrame, root: str, mode: str = "overwrite", operation: str | None = None,
-            parameters: dict | None = None, at: datetime | None = None) -> int:
+            parameters: dict | None = None, at: datetime | None = None,
+            partition_by: tuple[str, ...] = ()) -> int:
     """Write ``df`` as the next version (``overwrite`` replaces the content,
     ``append`` adds to it).  Returns the new version number.  The row count
-    in the log is observed during the write itself (no extra job)."""
+    in the log is observed during the write itself (no extra job).
+    ``partition_by`` lays the version's files out in ``col=value``
+    directories, so later equality filters on those columns prune files."""
     spark = df.sparkSession
     cur = current_version(spark, root)
     v = 0 if cur is None else cur + 1
     obs = Observation(f"publish_{v}")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(_data_path(root, v))
+    w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(_data_path(root, v))
     n = obs.get["n"]
     if mode == "append" and cur is not None:
         prev = _resolve(spark, root, version=cur)
