@@ -284,3 +284,77 @@ def fix_noshow_names(n: DataFrame) -> DataFrame:
     if "patientid" in n.columns:
         n = n.withColumn("patientid", C.integral_double_to_string("patientid"))
     return n
+
+
+# ---------------------------------------------------------------------------
+# Domain marts (specified-only layer) on the healthcare column names
+# ---------------------------------------------------------------------------
+NOSHOW_AGE_EDGES = [18, 36, 56, 71]
+NOSHOW_AGE_LABELS = ["0-17", "18-35", "36-55", "56-70", "71+"]
+# ours: lead-time buckets without the specification's overlaps at 7 and 30
+LEAD_EDGES, LEAD_LABELS = [0, 1, 4, 8, 31], ["negative", "0", "1-3", "4-7", "8-30", "31+"]
+
+
+def mart_noshow_analytics(noshows: DataFrame) -> DataFrame:
+    """No-show rate and average lead time overall and by month,
+    neighbourhood, age group, SMS received, scholarship, lead bucket and
+    weekday — one GROUPING SETS aggregate over the enriched appointments."""
+    from ..operators.marts import overall_and_by
+    n = enrich_outpatient(noshows).withColumns({
+        "appointment_month": F.date_format("appointmentday", "yyyy-MM"),
+        "age_group": C.bucket("age", NOSHOW_AGE_EDGES, NOSHOW_AGE_LABELS),
+        "lead_bucket": C.bucket("lead_time", LEAD_EDGES, LEAD_LABELS)})
+    dims = ["appointment_month", "neighbourhood", "age_group", "sms_received", "scholarship",
+            "lead_bucket", "day_of_week"]
+    return overall_and_by(n, dims, [
+        F.count(F.lit(1)).alias("appointments"),
+        F.round(C.rate(~F.col("showed_up")), 4).alias("noshow_rate"),
+        F.round(F.avg("lead_time"), 2).alias("avg_lead_time")])
+
+
+def mart_patient_summary(silver: DataFrame) -> DataFrame:
+    """Distinct patients, visits per patient and average cost/stay, overall
+    and by condition, gender and admission type.  A patient is identified by
+    the normalised name (the sources share no patient id)."""
+    from ..operators.marts import overall_and_by
+    p = enrich_inpatient(silver)
+    return overall_and_by(p, ["medical_condition", "gender", "admission_type"], [
+        F.count_distinct("name_norm").alias("patients"),
+        F.count(F.lit(1)).alias("visits"),
+        F.round(F.count(F.lit(1)) / F.count_distinct("name_norm"), 4).alias("visits_per_patient"),
+        F.round(F.avg("billing_amount"), 2).alias("avg_billing"),
+        F.round(F.avg("length_of_stay"), 2).alias("avg_length_of_stay"),
+        F.round(C.rate(F.col("is_chronic")), 4).alias("chronic_share")])
+
+
+def mart_insurance_utilization(insurance: DataFrame, silver: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Average charges by region and smoker status, BMI↔charges correlation
+    per age group, and (with silver) billing by provider / insured share."""
+    age_group = C.bucket("age", INPATIENT_AGE_EDGES, INPATIENT_AGE_LABELS)
+    out = {
+        "by_region_smoker": insurance.groupBy("region", "smoker").agg(
+            F.count(F.lit(1)).alias("members"), F.round(F.avg("charges"), 2).alias("avg_charges")),
+        "bmi_charge_corr": insurance.withColumn("age_group", age_group).groupBy("age_group").agg(
+            F.round(F.corr("bmi", "charges"), 6).alias("corr_bmi_charges"), F.count(F.lit(1)).alias("members")),
+    }
+    if silver is not None:
+        out["by_provider"] = silver.groupBy("insurance_provider").agg(
+            F.count(F.lit(1)).alias("patients"), F.round(F.avg("billing_amount"), 2).alias("avg_billing"))
+        out["insured_rate"] = silver.agg(
+            F.round(C.rate(F.col("insurance_provider").isNotNull()), 4).alias("insured_rate"))
+    return out
+
+
+def mart_diabetes_cohort(diabetes: DataFrame) -> dict[str, DataFrame]:
+    """Status distribution, prevalence, glucose by age group, high-risk
+    count and a BMI histogram (5-unit bins) by outcome."""
+    d = enrich_diabetes(diabetes).withColumn("age_group", C.bucket("age", INPATIENT_AGE_EDGES,
+                                                                    INPATIENT_AGE_LABELS))
+    return {
+        "status_distribution": d.groupBy("glucose_status").agg(F.count(F.lit(1)).alias("patients")),
+        "prevalence": d.agg(F.round(C.rate(F.col("outcome") == 1), 4).alias("prevalence"),
+                            F.count_if(F.col("diabetes_risk_tier") == "High").alias("high_risk")),
+        "glucose_by_age_group": d.groupBy("age_group").agg(F.round(F.avg("glucose"), 2).alias("avg_glucose")),
+        "bmi_histogram": d.groupBy((F.floor(F.col("bmi") / 5) * 5).cast("int").alias("bmi_bin"), "outcome")
+                          .agg(F.count(F.lit(1)).alias("patients")),
+    }

@@ -100,3 +100,32 @@ def test_domain_enrichments(spark):
     d = spark.createDataFrame([(130, 22.0, 1), (90, 22.0, 0), (110, 31.0, 0)], "glucose int, bmi double, outcome int")
     assert [(x.glucose_status, x.bmi_category, x.diabetes_risk_tier) for x in H.enrich_diabetes(d).collect()] == [
         ("Diabetes", "Normal", "High"), ("Normal", "Normal", "Low"), ("Prediabetes", "Obese", "Medium")]
+
+
+def test_marts_on_fixtures(spark, tmp):
+    lake = H.Lake(f"{tmp}/lake")
+    H.run_bronze(spark, _raw(tmp), lake, "2024-02-01")
+    v = H.run_silver(spark, lake, "2024-02-01", "r")
+    silver = V.read_as_of(spark, lake.silver, version=v)
+    nos = H.fix_noshow_names(spark.read.parquet(lake.bronze("noshows")).filter("patientid IS NOT NULL"))
+    assert "hypertension" in nos.columns and "handicap" in nos.columns and "date_diff" in nos.columns
+    assert sorted(r.patientid for r in nos.collect()) == ["1", "29872499824296"]
+    m = H.mart_noshow_analytics(nos)
+    overall = m.filter("appointment_month IS NULL AND neighbourhood IS NULL AND age_group IS NULL "
+                       "AND sms_received IS NULL AND scholarship IS NULL AND lead_bucket IS NULL "
+                       "AND day_of_week IS NULL").first()
+    assert (overall.appointments, overall.noshow_rate) == (2, 0.5)
+    ps = H.mart_patient_summary(silver).filter("gid = 7").first()
+    assert (ps.patients, ps.visits, ps.avg_billing, ps.avg_length_of_stay) == (1, 1, 5000.5, 4.0)
+    ins = H.mart_insurance_utilization(spark.read.parquet(lake.bronze("insurance")), silver)
+    assert ins["insured_rate"].first().insured_rate == 1.0
+    dia = H.mart_diabetes_cohort(spark.read.parquet(lake.bronze("diabetes")))
+    assert dia["prevalence"].first().prevalence == round(2 / 3, 4)
+
+
+def test_schema_drift(spark):
+    from strata.sources.schema_drift import drift, schema_rows
+    a = spark.createDataFrame([(1, "x", 1.0)], "id int, name string, v double")
+    b = spark.createDataFrame([(1, 1, "z")], "id int, name int, extra string")
+    d = {(r.column, r.change) for r in drift(schema_rows(spark, a, "t", "r1"), schema_rows(spark, b, "t", "r2")).collect()}
+    assert d == {("name", "retyped"), ("v", "removed"), ("extra", "added")}
