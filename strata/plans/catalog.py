@@ -460,5 +460,6 @@ def freshness_lag(spark, d):
     # the newest event overall is the max of the per-type maxima; the window
     # runs over the aggregated frame (one row per event type), not the events
     newest = F.max("last_ts").over(Window.partitionBy(F.lit(1)))
-    lag_us = F.unix_micros(newest.cast("timestamp")) - F.unix_micros(F.col("last_ts").cast("timestamp"))
+    # difference taken on timestamp_ntz values: independent of the session time zone
+    lag_us = F.timestamp_diff("MICROSECOND", F.col("last_ts"), newest)
     return last.select("event_type", "last_ts", F.round(lag_us / F.lit(3600000000.0), 4).alias("lag_hours"))

@@ -4,7 +4,7 @@ Layout under ``root``::
 
     data/version=N/part-*.parquet   files written by version N
     _versions/                      commit log, one parquet row per commit:
-        version int, data_versions array<int>, committed_at timestamp,
+        version int, data_versions array<int>, committed_at timestamp_ntz,
         operation string, parameters string, num_rows bigint
 
 A version's content is the union of the data directories listed in its
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .files import _exists
 
-LOG_SCHEMA = ("version int, data_versions array<int>, committed_at timestamp, "
+LOG_SCHEMA = ("version int, data_versions array<int>, committed_at timestamp_ntz, "
               "operation string, parameters string, num_rows bigint")
 
 
@@ -45,25 +45,33 @@ def history(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(_log_path(root)).orderBy(F.desc("version"))
 
 
+def _log_rows(spark: SparkSession, root: str) -> list:
+    """All commit-log rows (one per commit: metadata, bounded by the number
+    of commits), fetched with a single read."""
+    if not _exists(spark, _log_path(root)):
+        return []
+    return (spark.read.schema(LOG_SCHEMA).parquet(_log_path(root))
+            .select("version", "data_versions", "committed_at", "num_rows").collect())
+
+
 def _resolve(spark: SparkSession, root: str, version: int | None = None,
-             timestamp: datetime | str | None = None):
+             timestamp: datetime | str | None = None, rows: list | None = None):
     """The log row for a version / the latest commit at or before a time /
-    the current version.  The log has one row per commit (metadata), so
-    fetching a single row to the driver is bounded."""
-    log = history(spark, root)
+    the current version."""
+    rows = _log_rows(spark, root) if rows is None else rows
     if version is not None:
-        log = log.filter(F.col("version") == version)
+        rows = [r for r in rows if r["version"] == version]
     if timestamp is not None:
-        log = log.filter(F.col("committed_at") <= F.lit(str(timestamp)).cast("timestamp"))
-    row = log.orderBy(F.desc("version")).select("version", "data_versions", "num_rows").first()
-    if row is None:
+        t = datetime.fromisoformat(str(timestamp)) if not isinstance(timestamp, datetime) else timestamp
+        rows = [r for r in rows if r["committed_at"] <= t]
+    if not rows:
         raise ValueError(f"no version of {root} matches version={version} timestamp={timestamp}")
-    return row
+    return max(rows, key=lambda r: r["version"])
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
-    row = history(spark, root).agg(F.max("version").alias("v")).first()
-    return None if row is None else row["v"]
+    rows = _log_rows(spark, root)
+    return max((r["version"] for r in rows), default=None)
 
 
 def _commit(spark: SparkSession, root: str, version: int, data_versions: list[int], operation: str,
@@ -82,7 +90,8 @@ def publish(df: DataFrame, root: str, mode: str = "overwrite", operation: str |
     ``partition_by`` lays the version's files out in ``col=value``
     directories, so later equality filters on those columns prune files."""
     spark = df.sparkSession
-    cur = current_version(spark, root)
+    log = _log_rows(spark, root)
+    cur = max((r["version"] for r in log), default=None)
     v = 0 if cur is None else cur + 1
     obs = Observation(f"publish_{v}")
     w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
@@ -91,7 +100,7 @@ def publish(df: DataFrame, root: str, mode: str = "overwrite", operation: str |
     w.parquet(_data_path(root, v))
     n = obs.get["n"]
     if mode == "append" and cur is not None:
-        prev = _resolve(spark, root, version=cur)
+        prev = _resolve(spark, root, version=cur, rows=log)
         dvs, total = list(prev["data_versions"]) + [v], prev["num_rows"] + n
     elif mode in ("append", "overwrite"):
         dvs, total = [v], n
@@ -120,8 +129,9 @@ def restore(spark: SparkSession, root: str, version: int | None = None,
             timestamp: datetime | str | None = None, at: datetime | None = None) -> int:
     """Make an older version current again by committing a new version that
     points at the old data directories (metadata only, no copy)."""
-    row = _resolve(spark, root, version, timestamp)
-    v = current_version(spark, root) + 1
+    log = _log_rows(spark, root)
+    row = _resolve(spark, root, version, timestamp, rows=log)
+    v = max(r["version"] for r in log) + 1
     _commit(spark, root, v, list(row["data_versions"]), "RESTORE",
             {"version": row["version"]}, row["num_rows"], at)
     return v
