@@ -200,11 +200,9 @@ SELECT count(*) FILTER (WHERE event_error_rate > 0.25) AS high_error_customers,
 FROM e""")
 def risk_counts(spark, d):
     e = enriched_customers(spark, d)
-    no_orders = F.coalesce(F.col("order_channel_size"), F.lit(0)) == 0  # placeholder, replaced below
     per = (table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey"))
            .agg(F.count(F.lit(1)).alias("n_orders")))
     e = e.join(per, "c_custkey", "left").withColumn("n_orders", F.coalesce("n_orders", F.lit(0)))
-    del no_orders
     return e.agg(
         F.count_if(F.col("event_error_rate") > 0.25).alias("high_error_customers"),
         F.count_if((F.col("c_acctbal") < 0) & (F.col("n_orders") == 0)).alias("negative_without_orders"),
@@ -256,10 +254,11 @@ SELECT l_orderkey, l_linenumber,
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def line_enrich(spark, d):
     j = _lines_with_lead(spark, d)
-    tier = C.map_codes("o_orderpriority", {k: v for k, v in PRIORITY_TIERS.items()})
-    tier = (F.when(F.col("o_orderpriority").isNull(), "Unknown")
-             .when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "Priority")
-             .when(F.col("o_orderpriority") == "3-MEDIUM", "Standard").otherwise("Basic"))
+    tier = F.when(F.col("o_orderpriority").isNull(), "Unknown")
+    for label in dict.fromkeys(PRIORITY_TIERS.values()):
+        codes = [k for k, v in PRIORITY_TIERS.items() if v == label]
+        tier = tier.when(F.col("o_orderpriority").isin(*codes), label)
+    tier = tier.otherwise("Basic")
     return j.select("l_orderkey", "l_linenumber", F.col("lead_time").alias("length_of_stay"),
                     F.round(F.try_divide(F.col("l_extendedprice"), F.col("lead_time")), 2).alias("cost_per_day"),
                     F.col("l_returnflag").isin("R", "A").alias("is_flagged"), tier.alias("tier"))
