@@ -197,7 +197,8 @@ def run_silver(spark: SparkSession, lake: Lake, load_date: date | str, run_id: s
     for ds, g in gates.items():
         Q.write_quarantine(g.bad, lake.quarantine, ds, run_id)
     return V.publish(unified, lake.silver, operation="WRITE",
-                     parameters={"run_id": run_id, "load_date": str(load_date)})
+                     parameters={"run_id": run_id, "load_date": str(load_date)},
+                     partition_by=("dataset", "load_date"))
 
 
 # ---------------------------------------------------------------------------
