@@ -52,7 +52,7 @@ def ingest_csv_roundtrip(spark, d):
     cust = table(spark, d, "customer")
     # batch 1 carries within-file duplicates (hash partitioning keeps both
     # copies of a key in one file); batch 2 repeats a subset in other files
-    _write_csv(cust.unionByName(cust.filter("c_nationkey = 1")).repartition(4, "c_custkey"),
+    _write_csv(cust.unionByName(cust.filter("c_nationkey = 1")).repartition("c_custkey"),
                f"{root}/batch1")
     _write_csv(cust.filter("c_mktsegment = 'BUILDING'"), f"{root}/batch2")
     df = FS.read_csv(spark, f"{root}/*", CUSTOMER_SCHEMA)
@@ -223,7 +223,7 @@ def stream_parse_append(spark, d):
 def raw_inventory(spark, d):
     root = scratch_path(spark, "inventory")
     cust = table(spark, d, "customer")
-    _write_csv(cust.repartition(3, "c_custkey"), f"{root}/raw")
+    _write_csv(cust.repartition("c_custkey"), f"{root}/raw")
     ingested = (FS.read_csv(spark, f"{root}/raw", CUSTOMER_SCHEMA, source_col="path")
                 .groupBy("path").agg(F.count(F.lit(1)).alias("n_rows")))
     return FS.inventory(spark, f"{root}/raw", ".csv", ingested).drop("path", "modified_at")
