@@ -359,3 +359,56 @@ def mart_diabetes_cohort(diabetes: DataFrame) -> dict[str, DataFrame]:
         "bmi_histogram": d.groupBy((F.floor(F.col("bmi") / 5) * 5).cast("int").alias("bmi_bin"), "outcome")
                           .agg(F.count(F.lit(1)).alias("patients")),
     }
+
+
+# ---------------------------------------------------------------------------
+# Layer inspection and DQ evidence over the lake
+# ---------------------------------------------------------------------------
+def layer_report(spark: SparkSession, lake: Lake) -> DataFrame:
+    """(dataset, n_rows, n_cols) for every bronze table, the quarantine, the
+    current silver version and every gold table that exists."""
+    from ..operators.inspect import describe_layer
+    frames: dict[str, DataFrame] = {}
+    for ds in DATASETS:
+        df = safe_read(spark, lake.bronze(ds), mergeSchema="true")
+        if df is not None:
+            frames[f"bronze.{ds}"] = df
+    q = safe_read(spark, lake.quarantine, mergeSchema="true")
+    if q is not None:
+        frames["quarantine"] = q
+    if V.current_version(spark, lake.silver) is not None:
+        frames["silver"] = V.read_as_of(spark, lake.silver)
+    for name in ("kpi_cost_by_gender", "kpi_cost_by_condition", "kpi_test_results_by_condition",
+                 "kpi_diabetes_by_age_group"):
+        g = safe_read(spark, lake.gold(name))
+        if g is not None:
+            frames[f"gold.{name}"] = g
+    return describe_layer(frames)
+
+
+def dq_report(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Quarantined rows per (dataset, rule) plus NULL counts of every typed
+    (non-string) column of each bronze dataset, as (dataset, kind, name,
+    n_rows)."""
+    from functools import reduce
+    parts = []
+    q = safe_read(spark, lake.quarantine, mergeSchema="true")
+    if q is not None:
+        parts.append(q.groupBy("dataset", F.col(Q.REASON_COL).alias("name"))
+                      .agg(F.count(F.lit(1)).alias("n_rows"))
+                      .select("dataset", F.lit("quarantine").alias("kind"), "name", "n_rows"))
+    for ds in DATASETS:
+        b = safe_read(spark, lake.bronze(ds), mergeSchema="true")
+        if b is None:
+            continue
+        typed = [f.name for f in b.schema.fields
+                 if not isinstance(f.dataType, T.StringType) and f.name not in METADATA_COLS]
+        if not typed:
+            continue
+        nulls = b.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in typed])
+        parts.append(nulls.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("long").alias("n_rows")) for c in typed]))
+            .alias("s")).select(F.lit(ds).alias("dataset"), F.lit("nulls").alias("kind"), "s.name", "s.n_rows"))
+    if not parts:
+        return spark.createDataFrame([], "dataset string, kind string, name string, n_rows bigint")
+    return reduce(DataFrame.unionByName, parts)

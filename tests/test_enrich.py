@@ -49,3 +49,23 @@ def test_broadcast_join_when_small(spark):
         assert enrich(p, [forced]).count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 9)), max_size=25),
+       st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.floats(0, 100)), max_size=25))
+def test_enrich_preserves_primary_rows(spark, prim, chan):
+    p = spark.createDataFrame(prim, "k int, v int")
+    c = spark.createDataFrame(chan, "k int, x double")
+    out = enrich(p, [Channel("c", c, ["k"], [F.avg("x").alias("ax"), F.count(F.lit(1)).alias("n")])])
+    assert out.count() == len(prim)
+    counts = {}
+    for k, _ in chan:
+        if k is not None:
+            counts[k] = counts.get(k, 0) + 1
+    for r in out.collect():
+        assert r.n == counts.get(r.k)

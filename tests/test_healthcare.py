@@ -129,3 +129,17 @@ def test_schema_drift(spark):
     b = spark.createDataFrame([(1, 1, "z")], "id int, name int, extra string")
     d = {(r.column, r.change) for r in drift(schema_rows(spark, a, "t", "r1"), schema_rows(spark, b, "t", "r2")).collect()}
     assert d == {("name", "retyped"), ("v", "removed"), ("extra", "added")}
+
+
+def test_layer_and_dq_reports(spark, tmp):
+    lake = H.Lake(f"{tmp}/lake")
+    H.run_bronze(spark, _raw(tmp), lake, "2024-02-01")
+    H.run_silver(spark, lake, "2024-02-01", "r")
+    H.run_gold(spark, lake, "2024-02-01")
+    layers = {r.dataset: r.n_rows for r in H.layer_report(spark, lake).collect()}
+    assert layers["bronze.patients"] == 4 and layers["silver"] == 1 and layers["quarantine"] == 6
+    assert layers["gold.kpi_cost_by_gender"] == 1
+    rep = {(r.dataset, r.kind, r.name): r.n_rows for r in H.dq_report(spark, lake).collect()}
+    assert rep[("patients", "quarantine", "invalid_age")] == 1
+    assert rep[("patients", "nulls", "room_number")] == 1
+    assert rep[("noshows", "nulls", "patientid")] == 1
