@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from .join import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
 
@@ -41,7 +42,26 @@ class Channel:
         return self.prepared().groupBy(*self.keys).agg(*self.aggs)
 
 
-def enrich(primary: DataFrame, channels: Sequence[Channel]) -> DataFrame:
+def _materialise_checked(channels: Sequence[Channel], parallel: bool) -> dict[int, DataFrame]:
+    """Aggregate and size-check every channel that needs a measured
+    broadcast decision.  The jobs are independent, so they are submitted
+    concurrently from driver threads (each is an ordinary Spark job; the
+    scheduler interleaves their tasks)."""
+    todo = [(i, ch) for i, ch in enumerate(channels) if ch.broadcast is None]
+
+    def run(item):
+        i, ch = item
+        agg, ch.notes["broadcast"] = checked_broadcast(ch.aggregate(), ch.max_broadcast_rows)
+        return i, agg
+
+    if parallel and len(todo) > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+            return dict(pool.map(run, todo))
+    return dict(map(run, todo))
+
+
+def enrich(primary: DataFrame, channels: Sequence[Channel], parallel: bool = True) -> DataFrame:
     """Chain of left joins of ``primary`` with each available channel's
     per-key aggregate.
 
@@ -52,19 +72,23 @@ def enrich(primary: DataFrame, channels: Sequence[Channel]) -> DataFrame:
     join without materialising; ``broadcast=True`` is only for aggregates
     whose key domain is bounded by construction.
     """
-    out = primary
+    present = []
     for ch in channels:
         if not ch.available():
             ch.notes["skipped"] = True
             continue
-        missing = [k for k in ch.keys if k not in out.columns]
+        missing = [k for k in ch.keys if k not in primary.columns]
         if missing:
             raise ValueError(f"primary lacks join keys {missing} for channel {ch.name}")
-        agg = ch.aggregate()
-        if ch.broadcast is None:
-            agg, ch.notes["broadcast"] = checked_broadcast(agg, ch.max_broadcast_rows)
+        present.append(ch)
+    checked = _materialise_checked(present, parallel)
+    out = primary
+    for i, ch in enumerate(present):
+        if i in checked:
+            agg = checked[i]
         elif ch.broadcast:
-            from pyspark.sql import functions as F
-            agg, ch.notes["broadcast"] = F.broadcast(agg), True
+            agg, ch.notes["broadcast"] = F.broadcast(ch.aggregate()), True
+        else:
+            agg, ch.notes["broadcast"] = ch.aggregate(), False
         out = out.join(agg, list(ch.keys), "left")
     return out
