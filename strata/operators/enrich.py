@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .join import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
+from .join import DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
 
 
 @dataclass
@@ -26,6 +26,7 @@ class Channel:
     aggs: Sequence[Column]                  # each aliased to its output name
     prepare: object = None                  # optional DataFrame -> DataFrame applied first
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
     broadcast: bool | None = None           # None = decide from measured size
     notes: dict = field(default_factory=dict)
 
@@ -51,7 +52,8 @@ def _materialise_checked(channels: Sequence[Channel], parallel: bool) -> dict[in
 
     def run(item):
         i, ch = item
-        agg, ch.notes["broadcast"] = checked_broadcast(ch.aggregate(), ch.max_broadcast_rows)
+        agg, ch.notes["broadcast"] = checked_broadcast(ch.aggregate(), ch.max_broadcast_rows,
+                                                        ch.max_broadcast_bytes)
         return i, agg
 
     if parallel and len(todo) > 1:
@@ -65,10 +67,11 @@ def enrich(primary: DataFrame, channels: Sequence[Channel], parallel: bool = Tru
     """Chain of left joins of ``primary`` with each available channel's
     per-key aggregate.
 
-    Join strategy per channel: the aggregate is materialised and counted
-    (:func:`checked_broadcast`); at most ``max_broadcast_rows`` rows → broadcast
-    hash join (no shuffle of the primary); above → shuffle join, with AQE
-    splitting a skewed primary key.  ``broadcast=False`` forces the shuffle
+    Join strategy per channel: the aggregate is materialised while its rows
+    and bytes are observed (:func:`checked_broadcast`); within
+    ``max_broadcast_rows`` and ``max_broadcast_bytes`` → broadcast hash join
+    (no shuffle of the primary); above → shuffle join, with AQE splitting a
+    skewed primary key.  ``broadcast=False`` forces the shuffle
     join without materialising; ``broadcast=True`` is only for aggregates
     whose key domain is bounded by construction.
     """

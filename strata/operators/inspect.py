@@ -23,19 +23,26 @@ def describe_layer(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 def dq_evidence(dataset: str, tagged: DataFrame, null_cols: Sequence[str],
                 reason_col: str = REASON_COL) -> DataFrame:
-    """Long-format evidence for one dataset in a single pass over ``tagged``:
+    """Long-format evidence for one dataset from a single scan of ``tagged``:
     quarantined rows per rule and NULL counts per typed column.
 
     Rows: (dataset, kind, name, n_rows) with kind ``quarantine`` or ``nulls``.
+
+    One hash aggregate by outcome (partial + final; at most #rules + 1
+    groups) carries both the row counts and the per-column NULL counts.  A
+    second, global aggregate folds those few rows into one (the per-rule
+    list is bounded by the number of rules, not by the data), which is then
+    exploded into the report rows.
     """
-    per_rule = (tagged.filter(F.col(reason_col).isNotNull())
-                      .groupBy(F.col(reason_col).alias("name")).agg(F.count(F.lit(1)).alias("n_rows"))
-                      .select(F.lit(dataset).alias("dataset"), F.lit("quarantine").alias("kind"),
-                              "name", "n_rows"))
-    nulls = tagged.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in null_cols])
-    stacked = nulls.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("long").alias("n_rows"))
-        for c in null_cols])).alias("s"))
-    nulls_long = stacked.select(F.lit(dataset).alias("dataset"), F.lit("nulls").alias("kind"),
-                                "s.name", "s.n_rows")
-    return per_rule.unionByName(nulls_long)
+    by_outcome = tagged.groupBy(F.col(reason_col).alias("name")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"__null_{i}") for i, c in enumerate(null_cols)])
+    entry = lambda kind, name, n: F.struct(F.lit(kind).alias("kind"), name.alias("name"),
+                                           n.cast("long").alias("n_rows"))
+    folded = by_outcome.agg(
+        F.collect_list(F.when(F.col("name").isNotNull(),
+                              entry("quarantine", F.col("name"), F.col("n_rows")))).alias("quarantine"),
+        *[F.coalesce(F.sum(f"__null_{i}"), F.lit(0)).alias(f"__null_{i}") for i in range(len(null_cols))])
+    nulls = F.array(*[entry("nulls", F.lit(c), F.col(f"__null_{i}")) for i, c in enumerate(null_cols)])
+    return (folded.select(F.explode(F.concat("quarantine", nulls)).alias("e"))
+                  .select(F.lit(dataset).alias("dataset"), "e.kind", "e.name", "e.n_rows"))

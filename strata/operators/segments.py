@@ -3,9 +3,10 @@ segments, and per-segment retention.
 
 Skew note: every per-entity quantity is a hash aggregate keyed by the entity
 (partial aggregation absorbs an entity holding a third of all events); the
-only join is events ⋈ per-entity first-visit (one row per entity), where AQE
-splits a hot entity's partition on the events side.  No window is
-partitioned by entity, so no single task has to hold one entity's events.
+only join is distinct (entity, day) ⋈ per-entity first-visit (one row per
+entity), so a hot entity contributes at most one row per calendar day to it.
+No window is partitioned by entity, so no single task has to hold one
+entity's events.
 """
 
 from __future__ import annotations
@@ -22,7 +23,11 @@ def first_visit_flags(events: DataFrame, entity: str, ts: str,
     """Per entity: first visit date, its cohort month and, for each horizon
     ``n``, ``retained_<n>`` = 1 if another visit falls in (first, first+n]
     days, else 0."""
-    ev = events.select(F.col(entity), F.to_date(F.col(ts)).alias("_d"))
+    # Retention only asks *on which days* an entity was seen, so events are
+    # reduced to distinct (entity, day) first (partial aggregation map-side):
+    # an entity holding a third of all events brings at most one row per
+    # calendar day to the shuffle and the join, not all of its events.
+    ev = events.select(F.col(entity), F.to_date(F.col(ts)).alias("_d")).distinct()
     first = ev.groupBy(entity).agg(F.min("_d").alias("first_visit"))
     j = ev.join(first, entity)
     gap = F.datediff("_d", "first_visit")

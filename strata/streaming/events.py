@@ -62,8 +62,12 @@ def parse_messages(raw: DataFrame, schema: T.StructType | str, key: str,
 
 
 def idempotent_batch_writer(sink_path: str, batch_col: str = "batch_id"):
-    """foreachBatch function writing each micro-batch to its own partition."""
+    """foreachBatch function writing each micro-batch to its own partition.
+    An empty micro-batch writes nothing (the emptiness test is a limit-1
+    job that stops at the first row)."""
     def write(batch: DataFrame, epoch_id: int) -> None:
+        if batch.isEmpty():
+            return
         (batch.withColumn(batch_col, F.lit(epoch_id).cast("long"))
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy(batch_col).parquet(sink_path))

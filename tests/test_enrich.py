@@ -36,6 +36,22 @@ def test_checked_broadcast_decision(spark):
     assert b1 and not b2
 
 
+def test_checked_broadcast_byte_bound(spark):
+    # few rows but long strings: the measured byte size, not the row count,
+    # must stop the broadcast
+    wide = spark.range(10).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 10_000).alias("s"))
+    df, b = checked_broadcast(wide, max_rows=1000, max_bytes=50_000)
+    assert not b and df.count() == 10
+    _, b_ok = checked_broadcast(wide, max_rows=1000, max_bytes=200_000)
+    assert b_ok
+
+
+def test_row_bytes_measures_strings(spark):
+    from strata.operators.join import row_bytes
+    df = spark.createDataFrame([(1, "abc"), (2, None)], "k int, s string")
+    assert [r.b for r in df.select(row_bytes(df).alias("b")).orderBy("k").collect()] == [15, 12]
+
+
 def test_broadcast_join_when_small(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only the explicit hint may broadcast
     try:

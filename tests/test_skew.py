@@ -44,3 +44,20 @@ def test_enrich_hot_primary_key_preserves_rows(spark):
     out = enrich(p, [Channel("c", ch, ["k"], [F.count(F.lit(1)).alias("n")], broadcast=False)])
     assert out.count() == p.count()
     assert out.filter("k = 0").select("n").distinct().first().n == 200
+
+
+def test_retention_joins_distinct_entity_days(spark):
+    """The hot entity reaches the join as one row per day, not per event."""
+    df = _hot(spark, n=6000).select(F.col("k").alias("id"), "d")
+    flags = SG.first_visit_flags(df, "id", "d")
+    plan = _plan(flags)
+    # distinct (id, day) is a hash aggregate below the join
+    assert "HashAggregate(keys=[id" in plan and "_d" in plan
+    pdf = df.toPandas()
+    first = pdf.groupby("id")["d"].min()
+    hot = pdf[pdf.id == 0]
+    gaps = [(d - first[0]).days for d in hot.d]
+    expect = int(any(0 < g <= 60 for g in gaps))
+    got = flags.filter("id = 0").first()
+    assert got.retained_60 == expect
+    assert flags.count() == pdf.id.nunique()

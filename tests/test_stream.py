@@ -28,4 +28,9 @@ def test_batch_writer_idempotent(spark, tmp):
     w(df, 7)
     w(df, 7)  # replay of the same epoch replaces its partition
     w(df.limit(1), 8)
-    assert ST.read_sink(spark, f"{tmp}/sink").count() == 3
+    w(df.limit(0), 9)  # an empty micro-batch writes no partition
+    sink = ST.read_sink(spark, f"{tmp}/sink")
+    assert sink.count() == 3
+    import os
+    assert sorted(p for p in os.listdir(f"{tmp}/sink") if p.startswith("batch_id=")) == \
+        ["batch_id=7", "batch_id=8"]
