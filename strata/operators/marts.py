@@ -22,13 +22,18 @@ def daily_trend(events: DataFrame, ts: str, drop_threshold: float = 0.2) -> Data
     """Rows per calendar day, the previous calendar day's rows, the relative
     change and an alert when the drop exceeds ``drop_threshold``.
 
-    The previous day is found by an equi-join of the daily counts with
-    themselves shifted by one day, so there is no global (single-partition)
-    window; both sides hold one row per day.
+    One scan and no join or global window: each daily count is emitted twice
+    — as the count of its own day and as the previous-day count of the next
+    day — and the two roles are regrouped by day (a missing previous day
+    gives NULL).  Days that only appear as "next day" are dropped.
     """
-    daily = events.groupBy(F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
-    prev = daily.select(F.date_add("day", 1).alias("day"), F.col("n_rows").alias("prev_n_rows"))
-    j = daily.join(prev, "day", "left")
+    daily = events.groupBy(F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    roles = daily.select(F.explode(F.array(
+        F.struct(F.col("day").alias("day"), F.col("n").alias("cur"), F.lit(None).cast("long").alias("prev")),
+        F.struct(F.date_add("day", 1).alias("day"), F.lit(None).cast("long").alias("cur"),
+                 F.col("n").alias("prev")))).alias("r")).select("r.*")
+    j = (roles.groupBy("day").agg(F.max("cur").alias("n_rows"), F.max("prev").alias("prev_n_rows"))
+              .filter(F.col("n_rows").isNotNull()))
     change = F.round(F.try_divide((F.col("n_rows") - F.col("prev_n_rows")).cast("double"),
                                   F.col("prev_n_rows")), 4)
     return j.withColumns({"pct_change": change,

@@ -1,12 +1,15 @@
 """Customer/patient segmentation: visit cohorts with N-day retention, RFM
 segments, and per-segment retention.
 
-Skew note: every per-entity quantity is a hash aggregate keyed by the entity
-(partial aggregation absorbs an entity holding a third of all events); the
-only join is distinct (entity, day) ⋈ per-entity first-visit (one row per
-entity), so a hot entity contributes at most one row per calendar day to it.
-No window is partitioned by entity, so no single task has to hold one
-entity's events.
+Skew and scan notes: events are first reduced to one row per (entity, day)
+— a hash aggregate with a partial (map-side) phase — so an entity holding a
+third of all events brings at most one row per calendar day to any later
+step.  The first visit per entity is a window minimum over that reduced
+frame (partitioned by entity; its size per entity is bounded by the number
+of calendar days, not by the number of events), and every per-entity
+quantity — first/last visit, frequency, monetary, retention flags — comes
+out of one aggregate over it.  The input is therefore scanned once, with two
+shuffles, and no self-join.
 """
 
 from __future__ import annotations
@@ -14,26 +17,38 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def entity_days(events: DataFrame, entity: str, ts: str, amount: str | None = None) -> DataFrame:
+    """One row per (entity, visit day): ``_d``, the visit count ``_n`` and,
+    if ``amount`` is given, the day's amount ``_amt``."""
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    if amount is not None:
+        aggs.append(F.sum(amount).alias("_amt"))
+    return events.groupBy(F.col(entity), F.to_date(F.col(ts)).alias("_d")).agg(*aggs)
+
+
+def _with_first_visit(days: DataFrame, entity: str) -> DataFrame:
+    return days.withColumn("first_visit", F.min("_d").over(Window.partitionBy(entity)))
+
+
+def _retention_flags(horizons: Sequence[int]) -> list[Column]:
+    gap = F.datediff("_d", "first_visit")
+    return [F.max(F.when((gap > 0) & (gap <= n), F.lit(1)).otherwise(F.lit(0))).alias(f"retained_{n}")
+            for n in horizons]
+
+
 def first_visit_flags(events: DataFrame, entity: str, ts: str,
                       horizons: Sequence[int] = (30, 60, 90)) -> DataFrame:
     """Per entity: first visit date, its cohort month and, for each horizon
     ``n``, ``retained_<n>`` = 1 if another visit falls in (first, first+n]
     days, else 0."""
-    # Retention only asks *on which days* an entity was seen, so events are
-    # reduced to distinct (entity, day) first (partial aggregation map-side):
-    # an entity holding a third of all events brings at most one row per
-    # calendar day to the shuffle and the join, not all of its events.
-    ev = events.select(F.col(entity), F.to_date(F.col(ts)).alias("_d")).distinct()
-    first = ev.groupBy(entity).agg(F.min("_d").alias("first_visit"))
-    j = ev.join(first, entity)
-    gap = F.datediff("_d", "first_visit")
-    flags = j.groupBy(entity, "first_visit").agg(*[
-        F.max(F.when((gap > 0) & (gap <= n), F.lit(1)).otherwise(F.lit(0))).alias(f"retained_{n}")
-        for n in horizons])
+    days = _with_first_visit(entity_days(events, entity, ts), entity)
+    # grouping by (entity, first_visit) is satisfied by the window's
+    # partitioning by entity: no further shuffle
+    flags = days.groupBy(entity, "first_visit").agg(*_retention_flags(horizons))
     return flags.withColumn("cohort_month", F.trunc("first_visit", "month"))
 
 
@@ -59,13 +74,9 @@ class RfmConfig:
     high_value: float = 3_000_000.0
 
 
-def rfm(events: DataFrame, entity: str, ts: str, amount: str, reference_date,
-        cfg: RfmConfig = RfmConfig()) -> DataFrame:
-    """Per entity: recency (days from its last visit to ``reference_date``),
-    frequency, monetary, tenure and the segment label."""
-    per = events.groupBy(entity).agg(
-        F.max(F.to_date(ts)).alias("last_visit"), F.min(F.to_date(ts)).alias("first_visit"),
-        F.count(F.lit(1)).alias("frequency"), F.sum(amount).alias("monetary"))
+def _with_segment(per: DataFrame, reference_date, cfg: RfmConfig) -> DataFrame:
+    """Recency / tenure relative to ``reference_date`` and the segment label,
+    from ``last_visit``, ``first_visit``, ``frequency`` and ``monetary``."""
     ref = F.lit(str(reference_date)).cast("date")
     per = per.withColumns({"recency": F.datediff(ref, "last_visit"),
                            "tenure": F.datediff(ref, "first_visit")})
@@ -79,6 +90,27 @@ def rfm(events: DataFrame, entity: str, ts: str, amount: str, reference_date,
     return per.withColumn("segment", seg)
 
 
+def rfm(events: DataFrame, entity: str, ts: str, amount: str, reference_date,
+        cfg: RfmConfig = RfmConfig()) -> DataFrame:
+    """Per entity: recency (days from its last visit to ``reference_date``),
+    frequency, monetary, tenure and the segment label (one hash aggregate)."""
+    per = events.groupBy(entity).agg(
+        F.max(F.to_date(ts)).alias("last_visit"), F.min(F.to_date(ts)).alias("first_visit"),
+        F.count(F.lit(1)).alias("frequency"), F.sum(amount).alias("monetary"))
+    return _with_segment(per, reference_date, cfg)
+
+
+def entity_profile(events: DataFrame, entity: str, ts: str, amount: str, reference_date,
+                   cfg: RfmConfig = RfmConfig(), horizons: Sequence[int] = (30, 60, 90)) -> DataFrame:
+    """RFM metrics, segment and retention flags per entity from a single scan
+    of ``events`` (see the module note)."""
+    days = _with_first_visit(entity_days(events, entity, ts, amount), entity)
+    per = days.groupBy(entity, "first_visit").agg(
+        F.max("_d").alias("last_visit"), F.sum("_n").alias("frequency"),
+        F.sum("_amt").alias("monetary"), *_retention_flags(horizons))
+    return _with_segment(per, reference_date, cfg)
+
+
 def segment_summary(per_entity: DataFrame) -> DataFrame:
     return per_entity.groupBy("segment").agg(
         F.count(F.lit(1)).alias("n_entities"),
@@ -87,11 +119,9 @@ def segment_summary(per_entity: DataFrame) -> DataFrame:
         F.round(F.avg("monetary"), 2).alias("avg_monetary"))
 
 
-def retention_by_segment(per_entity: DataFrame, flags: DataFrame, entity: str,
-                         horizon: int = 30) -> DataFrame:
-    """Join of two per-entity frames (each one row per entity, so no key can
-    fan out) and the retention rate per segment."""
-    j = per_entity.select(entity, "segment").join(flags.select(entity, f"retained_{horizon}"), entity)
-    return j.groupBy("segment").agg(
+def retention_by_segment(profile: DataFrame, horizon: int = 30) -> DataFrame:
+    """Retention rate per segment from an :func:`entity_profile` frame (one
+    row per entity, so nothing is joined or double counted)."""
+    return profile.groupBy("segment").agg(
         F.count(F.lit(1)).alias("n_entities"),
         F.round(F.avg(f"retained_{horizon}"), 4).alias(f"retention_rate_{horizon}"))

@@ -123,9 +123,7 @@ def snapshot_current(spark, d):
 @register("snapshot_diff", """
 SELECT *, 'added' AS change FROM orders WHERE o_orderstatus <> 'F'""")
 def snapshot_diff(spark, d):
-    added, removed = V.diff(spark, _orders_versions(spark, d), 0, 1)
-    return (added.withColumn("change", F.lit("added"))
-            .unionByName(removed.withColumn("change", F.lit("removed"))))
+    return V.changes(spark, _orders_versions(spark, d), 0, 1)
 
 
 @register("snapshot_restore", "SELECT * FROM orders WHERE o_orderstatus = 'F'")

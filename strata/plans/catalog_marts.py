@@ -10,7 +10,8 @@ from ..functions import columns as C
 from ..operators import marts as M
 from ..operators import quality as Q
 from ..operators import segments as SG
-from .catalog import enriched_customers, register
+from ..operators.enrich import Channel, enrich
+from .catalog import _event_channel, register
 from .tables import table
 
 # Fixed values (ours): lead-time buckets in days, with a bucket for negative
@@ -181,10 +182,9 @@ def rfm_segments(spark, d):
 SELECT segment, count(*) AS n_entities, round(avg(retained_30), 4) AS retention_rate_30
 FROM seg JOIN flags USING (o_custkey) GROUP BY segment""")
 def retention_by_segment(spark, d):
-    o = table(spark, d, "orders")
-    per = SG.rfm(o, "o_custkey", "o_orderdate", "o_totalprice", _reference_date(spark, d))
-    flags = SG.first_visit_flags(o, "o_custkey", "o_orderdate")
-    return SG.retention_by_segment(per, flags, "o_custkey")
+    profile = SG.entity_profile(table(spark, d, "orders"), "o_custkey", "o_orderdate", "o_totalprice",
+                                _reference_date(spark, d))
+    return SG.retention_by_segment(profile)
 
 
 @register("risk_counts", """
@@ -199,10 +199,14 @@ SELECT count(*) FILTER (WHERE event_error_rate > 0.25) AS high_error_customers,
        count(*) AS n_customers
 FROM e""")
 def risk_counts(spark, d):
-    e = enriched_customers(spark, d)
-    per = (table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey"))
-           .agg(F.count(F.lit(1)).alias("n_orders")))
-    e = e.join(per, "c_custkey", "left").withColumn("n_orders", F.coalesce("n_orders", F.lit(0)))
+    # each customer's own orders and events: two per-customer channels, one
+    # scan of each input (the peer-group channel is not needed here)
+    own_orders = Channel("own_orders", table(spark, d, "orders"), ["c_custkey"],
+                         [F.count(F.lit(1)).alias("n_orders")],
+                         prepare=lambda df: df.withColumnRenamed("o_custkey", "c_custkey"))
+    e = enrich(table(spark, d, "customer").select("c_custkey", "c_acctbal"),
+               [_event_channel(spark, d), own_orders])
+    e = e.withColumn("n_orders", F.coalesce("n_orders", F.lit(0)))
     return e.agg(
         F.count_if(F.col("event_error_rate") > 0.25).alias("high_error_customers"),
         F.count_if((F.col("c_acctbal") < 0) & (F.col("n_orders") == 0)).alias("negative_without_orders"),

@@ -119,10 +119,46 @@ def read_as_of(spark: SparkSession, root: str, version: int | None = None,
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
+def _replicate(df: DataFrame, count_col: str, chunk: int = 1024) -> DataFrame:
+    """Each row repeated ``count_col`` times.  Copies are generated in two
+    levels (chunks of at most ``chunk``), so a row with millions of copies
+    never builds one huge array."""
+    n = F.col(count_col)
+    chunks = df.withColumn("__c", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk).cast("long"))))
+    size = F.least(F.lit(chunk).cast("long"), n - F.col("__c") * chunk)
+    return (chunks.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), size)))
+                  .drop("__c", "__i", count_col))
+
+
+def changes(spark: SparkSession, root: str, old: int, new: int, change_col: str = "change") -> DataFrame:
+    """Multiset difference of two versions in one pass: rows of ``new`` not
+    in ``old`` (``added``) and rows of ``old`` not in ``new`` (``removed``),
+    each repeated by its surplus count — ``exceptAll`` in both directions.
+
+    Both versions are scanned once and shuffled once: a union tagged by side,
+    one hash aggregate over all columns (partial phase first, so a row
+    repeated a third of the table collapses map-side), then the surplus
+    copies are regenerated.
+    """
+    a, b = read_as_of(spark, root, old), read_as_of(spark, root, new)
+    # columns present in only one version are NULL on the other side
+    u = (a.withColumns({"__a": F.lit(1), "__b": F.lit(0)})
+          .unionByName(b.withColumns({"__a": F.lit(0), "__b": F.lit(1)}), allowMissingColumns=True))
+    g = u.groupBy(*[F.col(f"`{c}`") for c in u.columns if c not in ("__a", "__b")]).agg(
+        F.sum("__a").alias("__na"), F.sum("__b").alias("__nb"))
+    surplus = (g.where(F.col("__na") != F.col("__nb"))
+                .withColumns({change_col: F.when(F.col("__nb") > F.col("__na"), F.lit("added"))
+                                           .otherwise(F.lit("removed")),
+                              "__n": F.abs(F.col("__nb") - F.col("__na"))})
+                .drop("__na", "__nb"))
+    return _replicate(surplus, "__n")
+
+
 def diff(spark: SparkSession, root: str, old: int, new: int) -> tuple[DataFrame, DataFrame]:
     """(rows added in ``new``, rows removed since ``old``) as multisets."""
-    a, b = read_as_of(spark, root, old), read_as_of(spark, root, new)
-    return b.exceptAll(a), a.exceptAll(b)
+    ch = changes(spark, root, old, new, "__change")
+    return (ch.where(F.col("__change") == "added").drop("__change"),
+            ch.where(F.col("__change") == "removed").drop("__change"))
 
 
 def restore(spark: SparkSession, root: str, version: int | None = None,

@@ -48,3 +48,21 @@ def test_grouping_sets(spark):
     rows = [(r.d1, r.d2, r.gid, r.s) for r in out.collect()]
     assert (None, None, 3, 6) in rows and ("a", None, 1, 3) in rows and (None, "x", 2, 4) in rows
     assert len(rows) == 5
+
+
+def test_entity_profile_matches_rfm_and_flags(spark):
+    df = spark.createDataFrame(
+        [(1, "2024-01-01", 10.0), (1, "2024-01-20", 5.0), (1, "2024-01-20", 1.0), (2, "2024-01-05", 7.0),
+         (2, "2024-03-30", 2.0), (3, "2024-02-01", 4.0), (3, "2024-02-01", 4.0)],
+        "id int, d string, amt double")
+    ref = "2024-04-01"
+    prof = {r.id: r for r in SG.entity_profile(df, "id", "d", "amt", ref).collect()}
+    rfm = {r.id: r for r in SG.rfm(df, "id", "d", "amt", ref).collect()}
+    flags = {r.id: r for r in SG.first_visit_flags(df, "id", "d").collect()}
+    assert prof.keys() == rfm.keys() == flags.keys()
+    for k, p in prof.items():
+        for c in ("first_visit", "last_visit", "frequency", "monetary", "recency", "tenure", "segment"):
+            assert p[c] == rfm[k][c], (k, c)
+        for c in ("retained_30", "retained_60", "retained_90"):
+            assert p[c] == flags[k][c], (k, c)
+    assert prof[1].frequency == 3 and prof[1].monetary == 16.0

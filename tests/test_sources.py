@@ -2,6 +2,7 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import write_text
@@ -100,3 +101,24 @@ def test_inventory(spark, tmp):
               .groupBy("path").count().withColumnRenamed("count", "n_rows"))
     inv = {r.file_name: (r.n_rows, r.status, len(r.md5)) for r in FS.inventory(spark, f"{tmp}/raw", ".csv", counts).collect()}
     assert inv == {"people_1.csv": (1, "ingested", 32), "people_2.csv": (None, "pending", 32)}
+
+
+def test_changes_equal_except_all_both_ways(spark, tmp):
+    from datetime import datetime
+    root = f"{tmp}/versions"
+    # key 0 is a hot duplicate: 3000 copies in v0, 5100 in v1 (crosses chunk boundaries)
+    a = spark.range(3000).select(F.lit(0).alias("k"), F.lit("x").alias("v")).unionByName(
+        spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "k int, v string"))
+    b = spark.range(5100).select(F.lit(0).alias("k"), F.lit("x").alias("v")).unionByName(
+        spark.createDataFrame([(2, "b"), (3, "c"), (3, "c")], "k int, v string"))
+    V.publish(a, root, at=datetime(2024, 1, 1, 0, 0, 0))
+    V.publish(b, root, at=datetime(2024, 1, 1, 0, 0, 1))
+    ch = V.changes(spark, root, 0, 1)
+    got = sorted((r.change, r.k, r.v) for r in ch.collect())
+    va, vb = V.read_as_of(spark, root, 0), V.read_as_of(spark, root, 1)
+    want = sorted([("added", r.k, r.v) for r in vb.exceptAll(va).collect()]
+                  + [("removed", r.k, r.v) for r in va.exceptAll(vb).collect()])
+    assert got == want
+    assert sum(1 for c, k, _ in got if c == "added" and k == 0) == 2100
+    added, removed = V.diff(spark, root, 0, 1)
+    assert added.count() == 2102 and removed.count() == 2
