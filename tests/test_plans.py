@@ -36,3 +36,21 @@ def test_aggregates_are_two_phase(spark):
     for name in ("channel_agg_rate", "kpi_two_key_count", "cohort_retention", "mart_customer_summary"):
         p = _plan(E.queries()[name](spark, SF))
         assert "partial_" in p, name
+
+
+import pytest  # noqa: E402
+
+from strata.plans.tables import TABLES  # noqa: E402
+
+FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_every_query_plan_is_scan_once_and_jvm_only(spark, name):
+    """No nested-loop/cartesian joins, no Python evaluation, and each input
+    table read at most once per query (no self-joins re-scanning a base
+    table; channel aggregates are materialised once)."""
+    p = _plan(E.queries()[name](spark, SF))
+    assert not [k for k in FORBIDDEN if k in p], name
+    for t in TABLES:
+        assert p.count(f"/{t}.parquet]") <= 1, (name, t)
