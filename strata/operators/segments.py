@@ -23,11 +23,14 @@ from pyspark.sql import functions as F
 
 def entity_days(events: DataFrame, entity: str, ts: str, amount: str | None = None) -> DataFrame:
     """One row per (entity, visit day): ``_d``, the visit count ``_n`` and,
-    if ``amount`` is given, the day's amount ``_amt``."""
+    if ``amount`` is given, the day's amount ``_amt``.  Events without an
+    entity belong to nobody's history and are left out (the filter reaches
+    the scan)."""
     aggs = [F.count(F.lit(1)).alias("_n")]
     if amount is not None:
         aggs.append(F.sum(amount).alias("_amt"))
-    return events.groupBy(F.col(entity), F.to_date(F.col(ts)).alias("_d")).agg(*aggs)
+    return (events.where(F.col(entity).isNotNull())
+                  .groupBy(F.col(entity), F.to_date(F.col(ts)).alias("_d")).agg(*aggs))
 
 
 def _with_first_visit(days: DataFrame, entity: str) -> DataFrame:

@@ -66,3 +66,9 @@ def test_entity_profile_matches_rfm_and_flags(spark):
         for c in ("retained_30", "retained_60", "retained_90"):
             assert p[c] == flags[k][c], (k, c)
     assert prof[1].frequency == 3 and prof[1].monetary == 16.0
+
+
+def test_retention_ignores_events_without_entity(spark):
+    df = spark.createDataFrame([(1, "2024-01-01"), (1, "2024-01-10"), (None, "2024-01-02")], "id int, d string")
+    flags = SG.first_visit_flags(df, "id", "d").collect()
+    assert [(r.id, r.retained_30) for r in flags] == [(1, 1)]
