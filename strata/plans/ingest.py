@@ -47,6 +47,5 @@ def ingest_dataset(spark: SparkSession, raw_root: str, patterns: Sequence[str],
     obs = Observation(f"ingest_{channel}_{run_id}")
     overwrite_partitions(df.observe(obs, F.count(F.lit(1)).alias("n")), bronze_path,
                          ["load_date", "ingest_run"])
-    FS.record_ingested(spark, spark.createDataFrame([(p,) for p in paths], "path string"),
-                       manifest_path, run_id)
+    FS.record_ingested(spark, FS.path_frame(spark, paths), manifest_path, run_id)
     return obs.get["n"]

@@ -69,6 +69,13 @@ def run_id_for(paths: Sequence[str]) -> str:
     return hashlib.sha1("\n".join(sorted(paths)).encode()).hexdigest()[:16]
 
 
+def path_frame(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The exact list of paths a run read, as a one-column frame built from
+    literals (a file list, bounded by the files of one run)."""
+    return (spark.range(1, numPartitions=1)
+            .select(F.explode(F.array(*[F.lit(p) for p in paths]).cast("array<string>")).alias("path")))
+
+
 def record_ingested(spark: SparkSession, paths: DataFrame, manifest_path: str, run_id: str,
                     at: datetime | None = None) -> None:
     stamp = F.lit(at).cast("timestamp") if at is not None else F.current_timestamp()

@@ -77,8 +77,17 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 def _commit(spark: SparkSession, root: str, version: int, data_versions: list[int], operation: str,
             parameters: dict, num_rows: int, at: datetime | None) -> None:
     at = at or datetime.now()
-    row = [(version, data_versions, at, operation, json.dumps(parameters, sort_keys=True), num_rows)]
-    spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(_log_path(root))
+    # the row is built from literals in one single-partition frame: one
+    # small file per commit, no Python-side data transfer
+    row = spark.range(1, numPartitions=1).select(
+        F.lit(version).cast("int").alias("version"),
+        F.array(*[F.lit(v).cast("int") for v in data_versions]).alias("data_versions"),
+        # naive wall-clock value as text: independent of any time zone
+        F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz").alias("committed_at"),
+        F.lit(operation).alias("operation"),
+        F.lit(json.dumps(parameters, sort_keys=True)).alias("parameters"),
+        F.lit(num_rows).cast("long").alias("num_rows"))
+    row.write.mode("append").parquet(_log_path(root))
 
 
 def publish(df: DataFrame, root: str, mode: str = "overwrite", operation: str | None = None,
