@@ -69,3 +69,14 @@ def test_partition_property(spark, rows):
     assert got == want
     good, bad = Q.split(Q.tag(df, RULES))
     assert good.count() + bad.count() == len(rows)
+
+
+def test_dq_evidence_single_pass_and_empty_input(spark):
+    from strata.operators.inspect import dq_evidence
+    df = spark.createDataFrame([(1, None, "x"), (-1, 2.0, None), (-2, None, None), (5, 1.0, "y")],
+                               "a int, b double, c string")
+    tagged = Q.tag(df, [Q.Rule("neg_a", "a < 0")])
+    got = sorted((r.dataset, r.kind, r.name, r.n_rows) for r in dq_evidence("t", tagged, ["b", "c"]).collect())
+    assert got == [("t", "nulls", "b", 2), ("t", "nulls", "c", 2), ("t", "quarantine", "neg_a", 2)]
+    empty = sorted((r.kind, r.name, r.n_rows) for r in dq_evidence("t", tagged.limit(0), ["b", "c"]).collect())
+    assert empty == [("nulls", "b", 0), ("nulls", "c", 0)]
