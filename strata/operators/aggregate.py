@@ -27,13 +27,14 @@ def pivot_share(df: DataFrame, row: str, col: str, values: Sequence[str],
     """Counts of ``row × col`` with one column per value of ``col`` and the
     row-normalised share of each.
 
-    ``values`` is given explicitly, so Spark does not run a distinct job to
-    discover them and the pivot compiles to conditional sums in a single
-    hash aggregate.  Values not listed are not counted in any column.
+    ``values`` is given explicitly, so the pivot is one conditional count per
+    value inside a single hash aggregate keyed by ``row`` (one shuffle, with
+    map-side partial counts); Spark's generic ``pivot`` would first aggregate
+    by ``(row, col)`` and then pivot in a second shuffle.  Values not listed
+    are not counted in any column.
     """
-    counts = (df.groupBy(row).pivot(col, list(values)).agg(F.count(F.lit(1))))
-    counts = counts.select(row, *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).alias(f"{count_name}_{v}")
-                                  for v in values])
+    counts = df.groupBy(row).agg(*[F.count_if(F.col(col) == F.lit(v)).alias(f"{count_name}_{v}")
+                                   for v in values])
     total = sum((F.col(f"{count_name}_{v}") for v in values), F.lit(0))
     return counts.select(
         row, *[F.col(f"{count_name}_{v}") for v in values],
