@@ -24,7 +24,7 @@ from ..operators import quality as Q
 from ..operators.enrich import Channel, enrich
 from ..sources import versions as V
 from ..sources.files import safe_read
-from ..sources.tables import overwrite_partitions
+from ..sources.tables import overwrite, overwrite_partitions
 from .ingest import ingest_dataset
 
 # ---------------------------------------------------------------------------
@@ -222,15 +222,22 @@ def kpis(silver: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def run_gold(spark: SparkSession, lake: Lake, load_date: date | str) -> dict[str, str]:
-    """Current silver version → four KPI tables (their ``load_date``
-    partition is replaced, other days are kept).  KPI outputs have one row
-    per group, so a single file per partition is enough."""
+def run_gold(spark: SparkSession, lake: Lake, load_date: date | str,
+             keep_other_days: bool = False) -> dict[str, str]:
+    """Current silver version → four KPI tables, partitioned by ``load_date``.
+
+    By default each KPI table is fully replaced, so it holds the latest run
+    only (the source behaviour).  ``keep_other_days=True`` replaces just this
+    run's ``load_date`` partition and keeps earlier days.  KPI outputs have
+    one row per group, so a single file per partition is enough."""
     silver = V.read_as_of(spark, lake.silver).where(F.col("dataset") == SILVER_DATASET)
     out = {}
     for name, df in kpis(silver).items():
-        overwrite_partitions(df.withColumn("load_date", F.lit(str(load_date)).cast("date")).coalesce(1),
-                             lake.gold(name), ["load_date"])
+        df = df.withColumn("load_date", F.lit(str(load_date)).cast("date")).coalesce(1)
+        if keep_other_days:
+            overwrite_partitions(df, lake.gold(name), ["load_date"])
+        else:
+            overwrite(df, lake.gold(name), ["load_date"])
         out[name] = lake.gold(name)
     return out
 

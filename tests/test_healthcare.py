@@ -70,6 +70,15 @@ def test_end_to_end_golden(spark, tmp):
     c = spark.read.parquet(lake.gold("kpi_cost_by_gender")).first()
     assert (c.gender, c.avg_insurance_charges, c.avg_treatment_cost) == ("female", 200.0, 5000.5)
 
+    # a later run replaces the whole KPI table by default; keep_other_days
+    # keeps earlier load dates next to the new one
+    H.run_gold(spark, lake, "2024-02-02")
+    days = lambda: sorted(str(r.load_date) for r in
+                          spark.read.parquet(lake.gold("kpi_cost_by_gender")).select("load_date").collect())
+    assert days() == ["2024-02-02"]
+    H.run_gold(spark, lake, "2024-02-03", keep_other_days=True)
+    assert days() == ["2024-02-02", "2024-02-03"]
+
     # bronze re-run adds nothing
     assert H.run_bronze(spark, f"{tmp}/raw", lake, "2024-02-01") == {k: 0 for k in counts}
 
