@@ -100,9 +100,14 @@ def integral_double_to_string(c: Column | str) -> Column:
     ``29872499824296.0 -> "29872499824296"``; non-integral values keep their
     plain decimal rendering."""
     c = F.col(c) if isinstance(c, str) else c
+    plain = c.cast("string")
+    # ``x % 1 == 0`` is the integrality test (``floor`` returns a long and
+    # saturates above 2^63); values a decimal(38, s) cannot hold, NaN and
+    # infinities fall back to the plain double text instead of failing the
+    # job under ANSI casts
     return (F.when(c.isNull(), F.lit(None).cast("string"))
-             .when(c == F.floor(c), c.cast("decimal(38,0)").cast("string"))
-             .otherwise(c.cast("decimal(38,10)").cast("string")))
+             .when(c % 1 == 0, F.coalesce(c.try_cast("decimal(38,0)").cast("string"), plain))
+             .otherwise(F.coalesce(c.try_cast("decimal(38,10)").cast("string"), plain)))
 
 
 def iso_timestamp(c: Column | str) -> Column:

@@ -69,3 +69,9 @@ def test_title_case_and_zero_flags(spark):
     df = spark.createDataFrame([("bobby JACKSON", 0), ("ann", 3)], "n string, g int")
     out = C.zero_as_missing_flags(df.withColumn("t", C.title_case("n")), ["g", "absent"])
     assert [(r.t, r.g, r.is_missing_g) for r in out.collect()] == [("Bobby Jackson", 0, True), ("Ann", 3, False)]
+
+
+def test_integral_double_to_string_edge_values(spark):
+    df = spark.createDataFrame([(1e20,), (float("nan"),), (float("inf"),), (1e300,), (-3.0,)], "x double")
+    got = [r.t for r in df.select(C.integral_double_to_string("x").alias("t")).collect()]
+    assert got == ["100000000000000000000", "NaN", "Infinity", "1.0E300", "-3"]
