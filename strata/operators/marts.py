@@ -57,11 +57,12 @@ def quality_score(tagged: DataFrame, reason_col: str, data_cols: Sequence[str],
                    F.count_if(F.col(reason_col).isNull()).alias("n_passed"),
                    null_cells.alias("n_null_cells"),
                    F.count_distinct(*[F.col(k) for k in natural_key]).alias("n_keys"))
+    # try_divide: an empty input gives NULL rates instead of failing the job
     n = F.col("n_rows").cast("double")
-    success = F.col("n_passed") / n
+    success = F.try_divide(F.col("n_passed"), n)
     quarantine = 1 - success
-    null_rate = F.col("n_null_cells") / (n * n_cells)
-    dup = 1 - F.col("n_keys") / n
+    null_rate = F.try_divide(F.col("n_null_cells"), n * n_cells)
+    dup = 1 - F.try_divide(F.col("n_keys"), n)
     w1, w2, w3, w4 = weights
     return j.select(
         "n_rows", "n_passed", "n_keys",

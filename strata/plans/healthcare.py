@@ -329,7 +329,7 @@ def mart_patient_summary(silver: DataFrame) -> DataFrame:
     return overall_and_by(p, ["medical_condition", "gender", "admission_type"], [
         F.count_distinct("name_norm").alias("patients"),
         F.count(F.lit(1)).alias("visits"),
-        F.round(F.count(F.lit(1)) / F.count_distinct("name_norm"), 4).alias("visits_per_patient"),
+        F.round(F.try_divide(F.count(F.lit(1)), F.count_distinct("name_norm")), 4).alias("visits_per_patient"),
         F.round(F.avg("billing_amount"), 2).alias("avg_billing"),
         F.round(F.avg("length_of_stay"), 2).alias("avg_length_of_stay"),
         F.round(C.rate(F.col("is_chronic")), 4).alias("chronic_share")])

@@ -72,3 +72,10 @@ def test_retention_ignores_events_without_entity(spark):
     df = spark.createDataFrame([(1, "2024-01-01"), (1, "2024-01-10"), (None, "2024-01-02")], "id int, d string")
     flags = SG.first_visit_flags(df, "id", "d").collect()
     assert [(r.id, r.retained_30) for r in flags] == [(1, 1)]
+
+
+def test_quality_score_empty_input_gives_null_rates(spark):
+    from strata.operators import quality as Q
+    df = spark.createDataFrame([], "k int, v int")
+    r = M.quality_score(Q.tag(df, [Q.Rule("neg", "v < 0")]), Q.REASON_COL, ["k", "v"], ["k"]).first()
+    assert (r.n_rows, r.success_rate, r.quality_score) == (0, None, None)
