@@ -27,11 +27,12 @@ def daily_trend(events: DataFrame, ts: str, drop_threshold: float = 0.2) -> Data
     day — and the two roles are regrouped by day (a missing previous day
     gives NULL).  Days that only appear as "next day" are dropped.
     """
-    daily = events.groupBy(F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    daily = events.groupBy(F.try_to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("n"))
     roles = daily.select(F.explode(F.array(
         F.struct(F.col("day").alias("day"), F.col("n").alias("cur"), F.lit(None).cast("long").alias("prev")),
+        # rows without a day have no next day: NULL must not become its own "previous"
         F.struct(F.date_add("day", 1).alias("day"), F.lit(None).cast("long").alias("cur"),
-                 F.col("n").alias("prev")))).alias("r")).select("r.*")
+                 F.when(F.col("day").isNotNull(), F.col("n")).alias("prev")))).alias("r")).select("r.*")
     j = (roles.groupBy("day").agg(F.max("cur").alias("n_rows"), F.max("prev").alias("prev_n_rows"))
               .filter(F.col("n_rows").isNotNull()))
     change = F.round(F.try_divide((F.col("n_rows") - F.col("prev_n_rows")).cast("double"),

@@ -25,12 +25,13 @@ def entity_days(events: DataFrame, entity: str, ts: str, amount: str | None = No
     """One row per (entity, visit day): ``_d``, the visit count ``_n`` and,
     if ``amount`` is given, the day's amount ``_amt``.  Events without an
     entity belong to nobody's history and are left out (the filter reaches
-    the scan)."""
+    the scan).  ``ts`` may be a date, a timestamp or date text; unparsable
+    text gives a NULL day instead of failing the job."""
     aggs = [F.count(F.lit(1)).alias("_n")]
     if amount is not None:
         aggs.append(F.sum(amount).alias("_amt"))
     return (events.where(F.col(entity).isNotNull())
-                  .groupBy(F.col(entity), F.to_date(F.col(ts)).alias("_d")).agg(*aggs))
+                  .groupBy(F.col(entity), F.try_to_date(F.col(ts)).alias("_d")).agg(*aggs))
 
 
 def _with_first_visit(days: DataFrame, entity: str) -> DataFrame:
@@ -98,7 +99,7 @@ def rfm(events: DataFrame, entity: str, ts: str, amount: str, reference_date,
     """Per entity: recency (days from its last visit to ``reference_date``),
     frequency, monetary, tenure and the segment label (one hash aggregate)."""
     per = events.groupBy(entity).agg(
-        F.max(F.to_date(ts)).alias("last_visit"), F.min(F.to_date(ts)).alias("first_visit"),
+        F.max(F.try_to_date(ts)).alias("last_visit"), F.min(F.try_to_date(ts)).alias("first_visit"),
         F.count(F.lit(1)).alias("frequency"), F.sum(amount).alias("monetary"))
     return _with_segment(per, reference_date, cfg)
 

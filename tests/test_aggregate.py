@@ -79,3 +79,12 @@ def test_quality_score_empty_input_gives_null_rates(spark):
     df = spark.createDataFrame([], "k int, v int")
     r = M.quality_score(Q.tag(df, [Q.Rule("neg", "v < 0")]), Q.REASON_COL, ["k", "v"], ["k"]).first()
     assert (r.n_rows, r.success_rate, r.quality_score) == (0, None, None)
+
+
+def test_unparsable_dates_do_not_fail_jobs(spark):
+    df = spark.createDataFrame([(1, "2024-01-01"), (1, "not a date"), (1, "2024-01-15")], "id int, d string")
+    r = SG.first_visit_flags(df, "id", "d").first()
+    assert (str(r.first_visit), r.retained_30) == ("2024-01-01", 1)
+    days = {str(x.day): (x.n_rows, x.prev_n_rows)
+            for x in M.daily_trend(df.withColumnRenamed("d", "ts"), "ts").collect()}
+    assert days == {"2024-01-01": (1, None), "2024-01-15": (1, None), "None": (1, None)}
