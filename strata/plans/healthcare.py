@@ -99,6 +99,22 @@ METADATA_COLS = ("dataset", "load_date", "_source_file", "source_file", "channel
 SILVER_DATASET = "healthcare_unified"
 
 
+def bronze_schema(ds: str) -> T.StructType:
+    """Columns of a bronze table as ingestion writes them: the declared CSV
+    columns under their normalised names, the lineage and channel columns and
+    the ``(load_date, ingest_run)`` partition columns.  Reading bronze with it
+    needs no footer scan, and a column added to the declared schema later
+    reads as NULL for older files."""
+    fields = [T.StructField(C.normalize_name(f.name), f.dataType, True) for f in SCHEMAS[ds].fields]
+    fields += [T.StructField("source_file", _S), T.StructField("channel", _S),
+               T.StructField("load_date", _DT), T.StructField("ingest_run", _S)]
+    return T.StructType(fields)
+
+
+def read_bronze(spark: SparkSession, lake: "Lake", ds: str) -> DataFrame | None:
+    return safe_read(spark, lake.bronze(ds), schema=bronze_schema(ds))
+
+
 @dataclass
 class Lake:
     root: str
@@ -192,7 +208,7 @@ def build_silver(bronze: dict[str, DataFrame | None], load_date: date | str,
 def run_silver(spark: SparkSession, lake: Lake, load_date: date | str, run_id: str,
                compat_name_norm: bool = False) -> int:
     """Bronze → quarantine + new silver snapshot version.  Returns the version."""
-    bronze = {ds: safe_read(spark, lake.bronze(ds), mergeSchema="true") for ds in DATASETS}
+    bronze = {ds: read_bronze(spark, lake, ds) for ds in DATASETS}
     unified, gates = build_silver(bronze, load_date, compat_name_norm)
     for ds, g in gates.items():
         Q.write_quarantine(g.bad, lake.quarantine, ds, run_id)
@@ -377,7 +393,7 @@ def layer_report(spark: SparkSession, lake: Lake) -> DataFrame:
     from ..operators.inspect import describe_layer
     frames: dict[str, DataFrame] = {}
     for ds in DATASETS:
-        df = safe_read(spark, lake.bronze(ds), mergeSchema="true")
+        df = read_bronze(spark, lake, ds)
         if df is not None:
             frames[f"bronze.{ds}"] = df
     q = safe_read(spark, lake.quarantine, mergeSchema="true")
@@ -405,7 +421,7 @@ def dq_report(spark: SparkSession, lake: Lake) -> DataFrame:
                       .agg(F.count(F.lit(1)).alias("n_rows"))
                       .select("dataset", F.lit("quarantine").alias("kind"), "name", "n_rows"))
     for ds in DATASETS:
-        b = safe_read(spark, lake.bronze(ds), mergeSchema="true")
+        b = read_bronze(spark, lake, ds)
         if b is None:
             continue
         typed = [f.name for f in b.schema.fields

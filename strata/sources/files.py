@@ -109,11 +109,16 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
     return df
 
 
-def safe_read(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame | None:
+def safe_read(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None,
+              **options) -> DataFrame | None:
     """Tolerant read for an optional input: a missing path gives ``None``
-    (the channel is absent); every other error propagates."""
+    (the channel is absent); every other error propagates.  A declared
+    ``schema`` spares the footer scan of schema inference/merging."""
     try:
-        return spark.read.format(fmt).options(**options).load(path)
+        reader = spark.read.format(fmt).options(**options)
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.load(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return None

@@ -41,6 +41,11 @@ def test_end_to_end_golden(spark, tmp):
     assert counts == {"patients": 4, "insurance": 4, "diabetes": 3, "noshows": 3}
     alice = spark.read.parquet(lake.bronze("patients")).filter("name = 'Alice TypeEnforce'").first()
     assert alice.room_number is None and alice.billing_amount == 5000.5
+    # the declared bronze schema is exactly what ingestion writes
+    for ds in H.DATASETS:
+        written = spark.read.option("mergeSchema", "true").parquet(lake.bronze(ds)).schema
+        assert [(f.name, f.dataType) for f in written] == \
+            [(f.name, f.dataType) for f in H.bronze_schema(ds)], ds
 
     v = H.run_silver(spark, lake, "2024-02-01", "run-1")
     q = spark.read.parquet(lake.quarantine)
