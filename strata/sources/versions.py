@@ -5,7 +5,9 @@ Layout under ``root``::
     data/version=N/part-*.parquet   files written by version N
     _versions/                      commit log, one parquet row per commit:
         version int, data_versions array<int>, committed_at timestamp_ntz,
-        operation string, parameters string, num_rows bigint
+        operation string, parameters string, num_rows bigint,
+        schema_json string (the version's columns: reads use it instead of
+        scanning file footers to infer or merge the schema)
 
 A version's content is the union of the data directories listed in its
 ``data_versions``: an overwrite lists only its own directory, an append lists
@@ -23,11 +25,12 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .files import _exists
 
 LOG_SCHEMA = ("version int, data_versions array<int>, committed_at timestamp_ntz, "
-              "operation string, parameters string, num_rows bigint")
+              "operation string, parameters string, num_rows bigint, schema_json string")
 
 
 def _log_path(root: str) -> str:
@@ -51,7 +54,7 @@ def _log_rows(spark: SparkSession, root: str) -> list:
     if not _exists(spark, _log_path(root)):
         return []
     return (spark.read.schema(LOG_SCHEMA).parquet(_log_path(root))
-            .select("version", "data_versions", "committed_at", "num_rows").collect())
+            .select("version", "data_versions", "committed_at", "num_rows", "schema_json").collect())
 
 
 def _resolve(spark: SparkSession, root: str, version: int | None = None,
@@ -75,7 +78,7 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 
 
 def _commit(spark: SparkSession, root: str, version: int, data_versions: list[int], operation: str,
-            parameters: dict, num_rows: int, at: datetime | None) -> None:
+            parameters: dict, num_rows: int, at: datetime | None, schema_json: str | None = None) -> None:
     at = at or datetime.now()
     # the row is built from literals in one single-partition frame: one
     # small file per commit, no Python-side data transfer
@@ -86,10 +89,31 @@ def _commit(spark: SparkSession, root: str, version: int, data_versions: list[in
         F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz").alias("committed_at"),
         F.lit(operation).alias("operation"),
         F.lit(json.dumps(parameters, sort_keys=True)).alias("parameters"),
-        F.lit(num_rows).cast("long").alias("num_rows"))
+        F.lit(num_rows).cast("long").alias("num_rows"),
+        F.lit(schema_json).cast("string").alias("schema_json"))
     row.write.mode("append").parquet(_log_path(root))
 
 
+def _merged_schema(prev: T.StructType, new: T.StructType) -> T.StructType:
+    """Columns of an appended version: the previous ones, then new ones.  A
+    column may not change its type between the parts of one version."""
+    known = {f.name: f for f in prev.fields}
+    fields = [T.StructField(f.name, f.dataType, True) for f in prev.fields]
+    for f in new.fields:
+        if f.name in known:
+            if known[f.name].dataType != f.dataType:
+                raise ValueError(f"append changes the type of {f.name!r}: "
+                                 f"{known[f.name].dataType.simpleString()} -> {f.dataType.simpleString()}")
+        else:
+            fields.append(T.StructField(f.name, f.dataType, True))
+    return T.StructType(fields)
+
+
+def _schema_of(row) -> T.StructType | None:
+    js = row["schema_json"]
+    return T.StructType.fromJson(json.loads(js)) if js else None
+
+
 def publish(df: DataFrame, root: str, mode: str = "overwrite", operation: str | None = None,
             parameters: dict | None = None, at: datetime | None = None,
             partition_by: tuple[str, ...] = ()) -> int:
@@ -99,23 +123,30 @@ def publish(df: DataFrame, root: str, mode: str = "overwrite", operation: str |
     ``partition_by`` lays the version's files out in ``col=value``
     directories, so later equality filters on those columns prune files."""
     spark = df.sparkSession
+    if mode not in ("append", "overwrite"):
+        raise ValueError("mode must be 'overwrite' or 'append'")
     log = _log_rows(spark, root)
     cur = max((r["version"] for r in log), default=None)
     v = 0 if cur is None else cur + 1
+    # the version's content and columns are settled before any data is
+    # written, so a rejected append writes nothing
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+    prev = _resolve(spark, root, version=cur, rows=log) if mode == "append" and cur is not None else None
+    if prev is not None:
+        prev_schema = _schema_of(prev)
+        schema = _merged_schema(prev_schema, schema) if prev_schema is not None else None
     obs = Observation(f"publish_{v}")
     w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(_data_path(root, v))
     n = obs.get["n"]
-    if mode == "append" and cur is not None:
-        prev = _resolve(spark, root, version=cur, rows=log)
+    if prev is not None:
         dvs, total = list(prev["data_versions"]) + [v], prev["num_rows"] + n
-    elif mode in ("append", "overwrite"):
-        dvs, total = [v], n
     else:
-        raise ValueError("mode must be 'overwrite' or 'append'")
-    _commit(spark, root, v, dvs, operation or mode.upper(), parameters or {}, total, at)
+        dvs, total = [v], n
+    _commit(spark, root, v, dvs, operation or mode.upper(), parameters or {}, total, at,
+            schema.json() if schema is not None else None)
     return v
 
 
@@ -125,6 +156,10 @@ def read_as_of(spark: SparkSession, root: str, version: int | None = None,
     referenced ``version=`` directories are listed and scanned."""
     row = _resolve(spark, root, version, timestamp)
     paths = [_data_path(root, k) for k in row["data_versions"]]
+    schema = _schema_of(row)
+    if schema is not None:
+        # the schema recorded at commit: no footer scan to infer or merge it
+        return spark.read.schema(schema).parquet(*paths)
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
@@ -178,5 +213,5 @@ def restore(spark: SparkSession, root: str, version: int | None = None,
     row = _resolve(spark, root, version, timestamp, rows=log)
     v = max(r["version"] for r in log) + 1
     _commit(spark, root, v, list(row["data_versions"]), "RESTORE",
-            {"version": row["version"]}, row["num_rows"], at)
+            {"version": row["version"]}, row["num_rows"], at, row["schema_json"])
     return v

@@ -161,3 +161,18 @@ def test_publish_crash_before_commit_leaves_no_visible_version(spark, tmp, monke
     assert V.publish(spark.createDataFrame([(2,), (3,)], "id int"), root,
                      at=datetime(2024, 1, 1, 0, 0, 5)) == 1
     assert sorted(r.id for r in V.read_as_of(spark, root).collect()) == [2, 3]
+
+
+def test_append_evolves_schema_from_the_log(spark, tmp):
+    from datetime import datetime
+    root = f"{tmp}/versions"
+    V.publish(spark.createDataFrame([(1, "a")], "id int, v string"), root, at=datetime(2024, 1, 1))
+    V.publish(spark.createDataFrame([(2, 2.5, "b")], "id int, w double, v string"), root, mode="append")
+    df = V.read_as_of(spark, root)
+    assert df.columns == ["id", "v", "w"]
+    assert sorted((r.id, r.v, r.w) for r in df.collect()) == [(1, "a", None), (2, "b", 2.5)]
+    with pytest.raises(ValueError, match="changes the type"):
+        V.publish(spark.createDataFrame([("x",)], "id string"), root, mode="append")
+    assert V.read_as_of(spark, root).count() == 2   # the rejected append left no version
+    import os
+    assert sorted(os.listdir(f"{root}/data")) == ["version=0", "version=1"]  # and wrote no data
