@@ -69,11 +69,21 @@ def run_id_for(paths: Sequence[str]) -> str:
     return hashlib.sha1("\n".join(sorted(paths)).encode()).hexdigest()[:16]
 
 
+# Above this many paths a literal array costs more to analyse and optimise
+# than shipping the list as a local frame.
+_LITERAL_PATHS_MAX = 200
+
+
 def path_frame(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """The exact list of paths a run read, as a one-column frame built from
-    literals (a file list, bounded by the files of one run)."""
-    return (spark.range(1, numPartitions=1)
-            .select(F.explode(F.array(*[F.lit(p) for p in paths]).cast("array<string>")).alias("path")))
+    """The exact list of paths a run read (a file list, bounded by the files
+    of one run) as a one-column frame, written as few files: a literal array
+    in one partition for short lists, otherwise a local frame coalesced to
+    about one partition per 500 K paths."""
+    paths = list(paths)
+    if len(paths) <= _LITERAL_PATHS_MAX:
+        return (spark.range(1, numPartitions=1)
+                .select(F.explode(F.array(*[F.lit(p) for p in paths]).cast("array<string>")).alias("path")))
+    return spark.createDataFrame([(p,) for p in paths], "path string").coalesce(len(paths) // 500_000 + 1)
 
 
 def record_ingested(spark: SparkSession, paths: DataFrame, manifest_path: str, run_id: str,

@@ -176,3 +176,11 @@ def test_append_evolves_schema_from_the_log(spark, tmp):
     assert V.read_as_of(spark, root).count() == 2   # the rejected append left no version
     import os
     assert sorted(os.listdir(f"{root}/data")) == ["version=0", "version=1"]  # and wrote no data
+
+
+def test_path_frame_small_and_large_lists(spark):
+    for n in (0, 3, 5000):
+        paths = [f"file:///raw/f_{i:05d}.csv" for i in range(n)]
+        df = FS.path_frame(spark, paths)
+        assert sorted(r.path for r in df.collect()) == paths
+        assert df.rdd.getNumPartitions() == 1   # one manifest file per run
