@@ -2,6 +2,8 @@
 compare row count, column names/type families and the multiset of values.
 
     python tests/oracle_check.py [sf_dir] [name ...]
+
+Environment overrides: ORACLE_TZ, ORACLE_SHUFFLE_PARTITIONS, ORACLE_AQE, ORACLE_ANSI.
 """
 
 from __future__ import annotations
@@ -83,6 +85,14 @@ def main(argv):
     names = argv[2:]
     from strata.session import local_session
     spark = local_session()
+    # optional session overrides, to check that results do not depend on
+    # the caller's session (time zone, shuffle partitions, AQE)
+    for env, key in (("ORACLE_TZ", "spark.sql.session.timeZone"),
+                     ("ORACLE_SHUFFLE_PARTITIONS", "spark.sql.shuffle.partitions"),
+                     ("ORACLE_AQE", "spark.sql.adaptive.enabled"),
+                     ("ORACLE_ANSI", "spark.sql.ansi.enabled")):
+        if os.environ.get(env):
+            spark.conf.set(key, os.environ[env])
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
