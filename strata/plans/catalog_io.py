@@ -12,7 +12,6 @@ from datetime import datetime
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import columns as C
 from ..operators import dedup as D
 from ..operators import quality as Q
 from ..session import scratch_path
