@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_root
 from .join import DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
 
 
@@ -49,6 +50,9 @@ def _materialise_checked(channels: Sequence[Channel], parallel: bool) -> dict[in
     concurrently from driver threads (each is an ordinary Spark job; the
     scheduler interleaves their tasks)."""
     todo = [(i, ch) for i, ch in enumerate(channels) if ch.broadcast is None]
+    if todo:
+        # resolve the shared checkpoint folder once, before any thread needs it
+        shared_root(todo[0][1].prepared().sparkSession)
 
     def run(item):
         i, ch = item
