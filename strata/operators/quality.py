@@ -57,34 +57,51 @@ def split(tagged: DataFrame, reason_col: str = REASON_COL) -> tuple[DataFrame, D
 class Gate:
     good: DataFrame
     bad: DataFrame
-    metrics: Observation  # filled by the first action on ``good``
+    metrics: Observation  # filled by the first action on the observed path
 
     def summary(self) -> dict:
         """Totals and per-rule counts, collected as a side effect of the first
-        action that consumed ``good`` (no extra job)."""
+        action on the observed path (no extra job).  Blocks until that action
+        has run."""
         return dict(self.metrics.get)
 
 
 def gate(df: DataFrame, rules: Sequence[Rule], name: str = "dq",
-         reason_col: str = REASON_COL) -> Gate:
+         reason_col: str = REASON_COL, observe_on: str = "good") -> Gate:
     """Tag, split and attach zero-cost metrics.
 
-    The ``Observation`` rides on the good-row path (which sees every input
-    row before the filter), computing the total and one ``count_if`` per rule
-    — the complete breakdown without a separate aggregation job.  The bad
-    path is derived from the un-observed tagged frame so metrics are not
-    double counted.
+    The ``Observation`` sits on the tagged frame *before* the split filter of
+    one path (``observe_on``: ``good`` or ``bad``), so it sees every input row
+    and computes the total and one ``count_if`` per rule — the complete
+    breakdown without a separate aggregation job.  Choose the path that is
+    certain to be consumed (e.g. ``bad`` when every run writes the
+    quarantine); the other path is derived from the un-observed frame, so
+    nothing is counted twice.
     """
+    if observe_on not in ("good", "bad"):
+        raise ValueError("observe_on must be 'good' or 'bad'")
     tagged = tag(df, rules, reason_col)
     obs = Observation(name)
     metric_cols = [F.count(F.lit(1)).alias("total")] + [
         F.count_if(F.col(reason_col) == F.lit(r.name)).alias(r.name) for r in rules]
     observed = tagged.observe(obs, *metric_cols)
-    good = observed.filter(F.col(reason_col).isNull()).drop(reason_col)
-    bad = tagged.filter(F.col(reason_col).isNotNull())
+    good_src, bad_src = (observed, tagged) if observe_on == "good" else (tagged, observed)
+    good = good_src.filter(F.col(reason_col).isNull()).drop(reason_col)
+    bad = bad_src.filter(F.col(reason_col).isNotNull())
     return Gate(good, bad, obs)
 
 
+def summary_line(dataset: str, metrics: dict, rules: Sequence[Rule]) -> str:
+    """``<dataset>: <total> total | <passed> passed | <bad> quarantined (<pct>%)``
+    followed by the non-zero per-rule counts."""
+    total = metrics["total"]
+    bad = sum(metrics[r.name] for r in rules)
+    pct = 100.0 * bad / total if total else 0.0
+    per_rule = ", ".join(f"{r.name}={metrics[r.name]}" for r in rules if metrics[r.name])
+    return (f"{dataset}: {total} total | {total - bad} passed | {bad} quarantined ({pct:.1f}%)"
+            + (f" [{per_rule}]" if per_rule else ""))
+
+
 def breakdown(tagged: DataFrame, reason_col: str = REASON_COL,
               passed_label: str = "passed") -> DataFrame:
     """One row per outcome (each failed rule plus ``passed``): row count and

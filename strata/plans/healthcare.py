@@ -12,6 +12,7 @@ Layout under ``lake``::
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from datetime import date
 
@@ -27,6 +28,8 @@ from ..sources.files import safe_read
 from ..sources.tables import overwrite, overwrite_partitions
 from .ingest import ingest_dataset
 
+log = logging.getLogger("strata.healthcare")
+
 # ---------------------------------------------------------------------------
 # Source CSV headers (in file order) and types
 # ---------------------------------------------------------------------------
@@ -197,7 +200,9 @@ def build_silver(bronze: dict[str, DataFrame | None], load_date: date | str,
     ``bad`` frames feed the quarantine)."""
     if bronze.get("patients") is None:
         raise ValueError("primary dataset 'patients' is missing; cannot build silver")
-    gates = {ds: Q.gate(df, RULES[ds], name=f"dq_{ds}") for ds, df in bronze.items() if df is not None}
+    # metrics ride on the bad path: the quarantine write consumes it for every dataset
+    gates = {ds: Q.gate(df, RULES[ds], name=f"dq_{ds}", observe_on="bad")
+             for ds, df in bronze.items() if df is not None}
     good = {ds: (gates[ds].good if ds in gates else None) for ds in DATASETS}
     unified = enrich(prepare_patients(good["patients"], compat_name_norm),
                      channels(good["insurance"], good["diabetes"], good["noshows"]))
@@ -212,6 +217,7 @@ def run_silver(spark: SparkSession, lake: Lake, load_date: date | str, run_id: s
     unified, gates = build_silver(bronze, load_date, compat_name_norm)
     for ds, g in gates.items():
         Q.write_quarantine(g.bad, lake.quarantine, ds, run_id)
+        log.info("[DQ] %s", Q.summary_line(ds, g.summary(), RULES[ds]))
     return V.publish(unified, lake.silver, operation="WRITE",
                      parameters={"run_id": run_id, "load_date": str(load_date)},
                      partition_by=("dataset", "load_date"))

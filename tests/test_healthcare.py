@@ -35,7 +35,8 @@ def _raw(tmp):
     return f"{tmp}/raw"
 
 
-def test_end_to_end_golden(spark, tmp):
+def test_end_to_end_golden(spark, tmp, caplog):
+    caplog.set_level("INFO", logger="strata.healthcare")
     lake = H.Lake(f"{tmp}/lake")
     counts = H.run_bronze(spark, _raw(tmp), lake, "2024-02-01")
     assert counts == {"patients": 4, "insurance": 4, "diabetes": 3, "noshows": 3}
@@ -48,6 +49,10 @@ def test_end_to_end_golden(spark, tmp):
             [(f.name, f.dataType) for f in H.bronze_schema(ds)], ds
 
     v = H.run_silver(spark, lake, "2024-02-01", "run-1")
+    # DQ totals come from the observation on the quarantine write (all rows, no extra job)
+    dq = [r.getMessage() for r in caplog.records if r.getMessage().startswith("[DQ]")]
+    assert "[DQ] patients: 4 total | 1 passed | 3 quarantined (75.0%) " \
+           "[invalid_age=1, null_name=1, invalid_billing=1]" in dq
     q = spark.read.parquet(lake.quarantine)
     reasons = {(r.dataset, r.dq_failed_rule) for r in q.collect()}
     assert {("patients", "invalid_age"), ("patients", "null_name"), ("patients", "invalid_billing"),

@@ -80,3 +80,13 @@ def test_dq_evidence_single_pass_and_empty_input(spark):
     assert got == [("t", "nulls", "b", 2), ("t", "nulls", "c", 2), ("t", "quarantine", "neg_a", 2)]
     empty = sorted((r.kind, r.name, r.n_rows) for r in dq_evidence("t", tagged.limit(0), ["b", "c"]).collect())
     assert empty == [("nulls", "b", 0), ("nulls", "c", 0)]
+
+
+def test_gate_metrics_on_bad_path(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, 40, "b"), (3, 200, "c")], "id int, age int, name string")
+    g = Q.gate(df, RULES, name="dq_bad_path", observe_on="bad")
+    assert g.bad.count() == 2          # only the bad path is consumed ...
+    m = g.summary()                    # ... and the metrics still cover every row
+    assert m["total"] == 3 and m["null_age"] == 1 and m["invalid_age"] == 1
+    assert Q.summary_line("t", m, RULES) == \
+        "t: 3 total | 1 passed | 2 quarantined (66.7%) [null_age=1, invalid_age=1]"
