@@ -126,20 +126,26 @@ def count_by_rule(bad: DataFrame, reason_col: str = REASON_COL) -> DataFrame:
 
 
 def write_quarantine(bad: DataFrame, path: str, dataset: str, run_id: str,
-                     ts: datetime | None = None) -> None:
-    """Append-style quarantine that is idempotent per run.
-
-    Rows go to ``path/dataset=<d>/run_id=<r>/``; with dynamic partition
-    overwrite a re-run of the same ``run_id`` replaces its own partition
-    instead of appending the same bad rows again.  ``ts`` defaults to the
-    query's ``current_timestamp()``.  Schema evolution across runs is handled
-    on read with ``mergeSchema``.
+                     ts: datetime | None = None, batch_col: str | None = None) -> None:
+    """Append-style quarantine that is idempotent.
+
+    By default rows go to ``path/dataset=<d>/run_id=<r>/``; with dynamic
+    partition overwrite a re-run of the same ``run_id`` replaces its own
+    partition instead of appending the same bad rows again.
+
+    With ``batch_col`` (e.g. bronze's ``ingest_run``) the partition is the
+    *source batch* instead: a later run that re-reads the same input replaces
+    that batch's bad rows rather than adding another copy, so the quarantine
+    holds each bad row once however many runs re-check it (``run_id`` is kept
+    as a column).  ``ts`` defaults to the query's ``current_timestamp()``.
+    Schema evolution across runs is handled on read with ``mergeSchema``.
     """
     stamp = F.lit(ts).cast("timestamp") if ts is not None else F.current_timestamp()
-    (bad.withColumns({TIMESTAMP_COL: stamp, "dataset": F.lit(dataset), "run_id": F.lit(run_id)})
-        .write.mode("overwrite")
+    out = bad.withColumns({TIMESTAMP_COL: stamp, "dataset": F.lit(dataset), "run_id": F.lit(run_id)})
+    part = batch_col if batch_col is not None else "run_id"
+    (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dataset", "run_id")
+        .partitionBy("dataset", part)
         .parquet(path))
 
 

@@ -216,7 +216,9 @@ def run_silver(spark: SparkSession, lake: Lake, load_date: date | str, run_id: s
     bronze = {ds: read_bronze(spark, lake, ds) for ds in DATASETS}
     unified, gates = build_silver(bronze, load_date, compat_name_norm)
     for ds, g in gates.items():
-        Q.write_quarantine(g.bad, lake.quarantine, ds, run_id)
+        # partitioned by the bronze batch: re-checking the same bronze rows in a
+        # later run replaces their quarantine copy instead of adding one
+        Q.write_quarantine(g.bad, lake.quarantine, ds, run_id, batch_col="ingest_run")
         log.info("[DQ] %s", Q.summary_line(ds, g.summary(), RULES[ds]))
     return V.publish(unified, lake.silver, operation="WRITE",
                      parameters={"run_id": run_id, "load_date": str(load_date)},

@@ -69,9 +69,13 @@ def test_end_to_end_golden(spark, tmp, caplog):
     assert (s.appointment_show_rate, s.appointment_channel_size) == (0.5, 2)
     assert s.dataset == "healthcare_unified"
 
-    # re-running silver for the same run id does not duplicate quarantine rows
+    # re-running silver — same run id or a new one — does not duplicate quarantine rows:
+    # they are partitioned by the bronze batch they came from
     H.run_silver(spark, lake, "2024-02-01", "run-1")
     assert spark.read.parquet(lake.quarantine).filter("dataset = 'patients'").count() == 3
+    H.run_silver(spark, lake, "2024-02-02", "run-2")
+    q2 = spark.read.parquet(lake.quarantine).filter("dataset = 'patients'")
+    assert q2.count() == 3 and {r.run_id for r in q2.select("run_id").distinct().collect()} == {"run-2"}
 
     H.run_gold(spark, lake, "2024-02-01")
     g = spark.read.parquet(lake.gold("kpi_diabetes_by_age_group")).collect()
