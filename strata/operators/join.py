@@ -29,8 +29,10 @@ def _value_bytes(name: str, dt: T.DataType) -> Column:
     width = _FIXED_WIDTH.get(type(dt))
     if width is not None:
         return F.lit(width).cast("long")
-    # nested values: their JSON text length is a close upper estimate
-    return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)).cast("long")
+    if isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
+        # nested values: their JSON text length is a close upper estimate
+        return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)).cast("long")
+    return F.lit(16).cast("long")  # other scalars (intervals, time): at most 16 bytes
 
 
 def row_bytes(df: DataFrame) -> Column:

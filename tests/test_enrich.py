@@ -85,3 +85,10 @@ def test_enrich_preserves_primary_rows(spark, prim, chan):
             counts[k] = counts.get(k, 0) + 1
     for r in out.collect():
         assert r.n == counts.get(r.k)
+
+
+def test_row_bytes_nested_and_interval_types(spark):
+    from strata.operators.join import row_bytes
+    df = spark.sql("SELECT 1 AS k, array(1, 2) AS a, named_struct('x', 'ab') AS s, INTERVAL '2' DAY AS i")
+    b = df.select(row_bytes(df).alias("b")).first().b
+    assert b == 8 + 4 + len("[1,2]") + len('{"x":"ab"}') + 16
