@@ -29,7 +29,7 @@ def discover(spark: SparkSession, root: str, patterns: Sequence[str] = (), suffi
              since: date | str | None = None) -> DataFrame:
     """Files under ``root`` whose path ends with ``suffix`` (case-insensitive),
     contains any of ``patterns`` (lower-case match; empty = all) and was
-    modified on or after ``since``."""
+    modified on or after the UTC day ``since``."""
     files = list_files(spark, root)
     lp = F.lower(F.col("path"))
     cond = lp.endswith(suffix.lower())
@@ -39,7 +39,10 @@ def discover(spark: SparkSession, root: str, patterns: Sequence[str] = (), suffi
             any_pat = any_pat | lp.contains(p.lower())
         cond = cond & any_pat
     if since is not None:
-        cond = cond & (F.to_date("modificationTime") >= F.lit(str(since)).cast("date"))
+        # "modified on or after day D" as an instant comparison with D 00:00 UTC,
+        # independent of the session time zone (object stores report UTC)
+        start = F.lit(f"{since} 00:00:00+00:00").cast("timestamp")
+        cond = cond & (F.col("modificationTime") >= start)
     return files.filter(cond)
 
 

@@ -184,3 +184,17 @@ def test_path_frame_small_and_large_lists(spark):
         df = FS.path_frame(spark, paths)
         assert sorted(r.path for r in df.collect()) == paths
         assert df.rdd.getNumPartitions() == 1   # one manifest file per run
+
+
+def test_since_is_a_utc_day_whatever_the_session_zone(spark, tmp):
+    import calendar
+    f = write_text(f"{tmp}/raw/people_edge.csv", HDR + "Ed,3\n")
+    t = calendar.timegm((2024, 3, 10, 23, 30, 0))   # 2024-03-10 23:30 UTC = 03-11 08:30 in Tokyo
+    os.utime(f, (t, t))
+    old_tz = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        n = lambda since: FS.discover(spark, f"{tmp}/raw", ["people"], since=since).count()
+        assert n("2024-03-11") == 0 and n("2024-03-10") == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old_tz)
