@@ -21,6 +21,16 @@ def describe_layer(frames: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def describe_columns(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """(dataset, position, column, type) for every column of every frame —
+    the layers' schemas as a table.  Built from schema metadata only (no data
+    is read); its size is bounded by the number of columns."""
+    spark = next(iter(frames.values())).sparkSession
+    rows = [(name, i, f.name, f.dataType.simpleString())
+            for name, df in frames.items() for i, f in enumerate(df.schema.fields)]
+    return spark.createDataFrame(rows, "dataset string, position int, column string, type string")
+
+
 def dq_evidence(dataset: str, tagged: DataFrame, null_cols: Sequence[str],
                 reason_col: str = REASON_COL) -> DataFrame:
     """Long-format evidence for one dataset from a single scan of ``tagged``:

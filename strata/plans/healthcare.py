@@ -395,10 +395,11 @@ def mart_diabetes_cohort(diabetes: DataFrame) -> dict[str, DataFrame]:
 # ---------------------------------------------------------------------------
 # Layer inspection and DQ evidence over the lake
 # ---------------------------------------------------------------------------
-def layer_report(spark: SparkSession, lake: Lake) -> DataFrame:
+def layer_report(spark: SparkSession, lake: Lake, schemas: bool = False) -> DataFrame:
     """(dataset, n_rows, n_cols) for every bronze table, the quarantine, the
-    current silver version and every gold table that exists."""
-    from ..operators.inspect import describe_layer
+    current silver version and every gold table that exists; with
+    ``schemas=True`` their columns instead (dataset, position, column, type)."""
+    from ..operators.inspect import describe_columns, describe_layer
     frames: dict[str, DataFrame] = {}
     for ds in DATASETS:
         df = read_bronze(spark, lake, ds)
@@ -414,7 +415,7 @@ def layer_report(spark: SparkSession, lake: Lake) -> DataFrame:
         g = safe_read(spark, lake.gold(name))
         if g is not None:
             frames[f"gold.{name}"] = g
-    return describe_layer(frames)
+    return describe_columns(frames) if schemas else describe_layer(frames)
 
 
 def dq_report(spark: SparkSession, lake: Lake) -> DataFrame:

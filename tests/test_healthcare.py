@@ -162,6 +162,10 @@ def test_layer_and_dq_reports(spark, tmp):
     layers = {r.dataset: r.n_rows for r in H.layer_report(spark, lake).collect()}
     assert layers["bronze.patients"] == 4 and layers["silver"] == 1 and layers["quarantine"] == 6
     assert layers["gold.kpi_cost_by_gender"] == 1
+    cols = {(r.dataset, r.column): r.type for r in H.layer_report(spark, lake, schemas=True).collect()}
+    assert cols[("bronze.patients", "billing_amount")] == "double"
+    assert cols[("silver", "name_norm")] == "string"
+    assert cols[("gold.kpi_cost_by_gender", "load_date")] == "date"
     rep = {(r.dataset, r.kind, r.name): r.n_rows for r in H.dq_report(spark, lake).collect()}
     assert rep[("patients", "quarantine", "invalid_age")] == 1
     assert rep[("patients", "nulls", "room_number")] == 1
