@@ -194,14 +194,17 @@ def channels(ins: DataFrame | None, dia: DataFrame | None, nos: DataFrame | None
 
 
 def build_silver(bronze: dict[str, DataFrame | None], load_date: date | str,
-                 compat_name_norm: bool = False) -> tuple[DataFrame, dict[str, Q.Gate]]:
+                 compat_name_norm: bool = False,
+                 rules: dict[str, list[Q.Rule]] | None = None) -> tuple[DataFrame, dict[str, Q.Gate]]:
     """DQ-gate every present dataset and enrich the primary.  Returns the
     unified profile (one row per good patient row) and the gates (whose
-    ``bad`` frames feed the quarantine)."""
+    ``bad`` frames feed the quarantine).  ``rules`` replaces the default rule
+    set per dataset (``RULES``)."""
+    rules = {**RULES, **(rules or {})}
     if bronze.get("patients") is None:
         raise ValueError("primary dataset 'patients' is missing; cannot build silver")
     # metrics ride on the bad path: the quarantine write consumes it for every dataset
-    gates = {ds: Q.gate(df, RULES[ds], name=f"dq_{ds}", observe_on="bad")
+    gates = {ds: Q.gate(df, rules[ds], name=f"dq_{ds}", observe_on="bad")
              for ds, df in bronze.items() if df is not None}
     good = {ds: (gates[ds].good if ds in gates else None) for ds in DATASETS}
     unified = enrich(prepare_patients(good["patients"], compat_name_norm),
@@ -211,15 +214,16 @@ def build_silver(bronze: dict[str, DataFrame | None], load_date: date | str,
 
 
 def run_silver(spark: SparkSession, lake: Lake, load_date: date | str, run_id: str,
-               compat_name_norm: bool = False) -> int:
+               compat_name_norm: bool = False, rules: dict[str, list[Q.Rule]] | None = None) -> int:
     """Bronze → quarantine + new silver snapshot version.  Returns the version."""
+    rules = {**RULES, **(rules or {})}
     bronze = {ds: read_bronze(spark, lake, ds) for ds in DATASETS}
-    unified, gates = build_silver(bronze, load_date, compat_name_norm)
+    unified, gates = build_silver(bronze, load_date, compat_name_norm, rules)
     for ds, g in gates.items():
         # partitioned by the bronze batch: re-checking the same bronze rows in a
         # later run replaces their quarantine copy instead of adding one
         Q.write_quarantine(g.bad, lake.quarantine, ds, run_id, batch_col="ingest_run")
-        log.info("[DQ] %s", Q.summary_line(ds, g.summary(), RULES[ds]))
+        log.info("[DQ] %s", Q.summary_line(ds, g.summary(), rules[ds]))
     return V.publish(unified, lake.silver, operation="WRITE",
                      parameters={"run_id": run_id, "load_date": str(load_date)},
                      partition_by=("dataset", "load_date"))
@@ -228,8 +232,9 @@ def run_silver(spark: SparkSession, lake: Lake, load_date: date | str, run_id: s
 # ---------------------------------------------------------------------------
 # Gold
 # ---------------------------------------------------------------------------
-def kpis(silver: DataFrame) -> dict[str, DataFrame]:
-    age_group = C.bucket("age", AGE_GROUP_EDGES, AGE_GROUP_LABELS)
+def kpis(silver: DataFrame, age_edges=AGE_GROUP_EDGES, age_labels=AGE_GROUP_LABELS) -> dict[str, DataFrame]:
+    """The four gold KPIs; the age bins default to the source's."""
+    age_group = C.bucket("age", age_edges, age_labels)
     return {
         "kpi_cost_by_gender": silver.groupBy("gender").agg(
             F.round(F.avg("avg_insurance_charge"), 2).alias("avg_insurance_charges"),
@@ -247,7 +252,8 @@ def kpis(silver: DataFrame) -> dict[str, DataFrame]:
 
 
 def run_gold(spark: SparkSession, lake: Lake, load_date: date | str,
-             keep_other_days: bool = False) -> dict[str, str]:
+             keep_other_days: bool = False, age_edges=AGE_GROUP_EDGES,
+             age_labels=AGE_GROUP_LABELS) -> dict[str, str]:
     """Current silver version → four KPI tables, partitioned by ``load_date``.
 
     By default each KPI table is fully replaced, so it holds the latest run
@@ -256,7 +262,7 @@ def run_gold(spark: SparkSession, lake: Lake, load_date: date | str,
     one row per group, so a single file per partition is enough."""
     silver = V.read_as_of(spark, lake.silver).where(F.col("dataset") == SILVER_DATASET)
     out = {}
-    for name, df in kpis(silver).items():
+    for name, df in kpis(silver, age_edges, age_labels).items():
         df = df.withColumn("load_date", F.lit(str(load_date)).cast("date")).coalesce(1)
         if keep_other_days:
             overwrite_partitions(df, lake.gold(name), ["load_date"])

@@ -170,3 +170,18 @@ def test_layer_and_dq_reports(spark, tmp):
     assert rep[("patients", "quarantine", "invalid_age")] == 1
     assert rep[("patients", "nulls", "room_number")] == 1
     assert rep[("noshows", "nulls", "patientid")] == 1
+
+
+def test_rules_and_bins_are_parameters(spark):
+    from strata.operators import quality as Q
+    p = spark.createDataFrame([("A", 20, "Male", 100.0), ("B", 50, "Female", 200.0)],
+                              "name string, age int, gender string, billing_amount double")
+    strict = {"patients": [Q.Rule("too_old", "age > 40")]}
+    unified, gates = H.build_silver({"patients": p}, "2024-01-01", rules=strict)
+    assert [r.name for r in unified.collect()] == ["A"]
+    assert [r.dq_failed_rule for r in gates["patients"].bad.collect()] == ["too_old"]
+    silver = p.withColumns({"diabetes_positive_rate": F.lit(0.5), "avg_glucose": F.lit(1.0),
+                            "avg_insurance_charge": F.lit(1.0), "medical_condition": F.lit("x"),
+                            "test_results": F.lit("Normal")})
+    g = H.kpis(silver, [35], ["young", "old"])["kpi_diabetes_by_age_group"]
+    assert sorted((r.age_group, r.patient_count) for r in g.collect()) == [("old", 1), ("young", 1)]
