@@ -33,3 +33,16 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     """Read a table whose files carry different column sets (schema merge)."""
     return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], n_buckets: int, path: str) -> DataFrame:
+    """Lay ``df`` out once as a catalog table hash-bucketed (and sorted) by
+    ``keys`` in ``n_buckets`` files per writer, stored at ``path`` (a shared
+    folder).  Joins between tables bucketed on the join keys with the same
+    bucket count then read co-partitioned files and need no shuffle — worth it
+    for inputs that are joined repeatedly, such as lines and their orders.
+    The table lives in the session's catalog (persistent with a metastore).
+    Returns the table."""
+    (df.write.mode("overwrite").bucketBy(n_buckets, *keys).sortBy(*keys)
+       .option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)

@@ -18,6 +18,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "4g")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="strata-test-warehouse-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if s.sparkContext.getCheckpointDir() is None:

@@ -54,3 +54,21 @@ def test_every_query_plan_is_scan_once_and_jvm_only(spark, name):
     assert not [k for k in FORBIDDEN if k in p], name
     for t in TABLES:
         assert p.count(f"/{t}.parquet]") <= 1, (name, t)
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from strata.session import scratch_path
+    from strata.sources.tables import write_bucketed
+    from strata.plans.tables import table
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        li = write_bucketed(table(spark, SF, "lineitem"), "strata_test_li", ["l_orderkey"], 8,
+                            scratch_path(spark, "li_b"))
+        o = write_bucketed(table(spark, SF, "orders"), "strata_test_o", ["o_orderkey"], 8,
+                           scratch_path(spark, "o_b"))
+        j = li.join(o, li.l_orderkey == o.o_orderkey)
+        p = _plan(j)
+        assert "SortMergeJoin" in p and "Exchange" not in p
+        assert j.count() == table(spark, SF, "lineitem").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
