@@ -10,6 +10,7 @@ inside whole-stage codegen, evaluated in one pass over the input.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -62,11 +63,11 @@ class Gate:
     def summary(self) -> dict:
         """Totals and per-rule counts, collected as a side effect of the first
         action on the observed path (no extra job).  Blocks until that action
-        has run."""
+        has run — call it only after the observed path has been consumed."""
         return dict(self.metrics.get)
 
 
-def gate(df: DataFrame, rules: Sequence[Rule], name: str = "dq",
+def gate(df: DataFrame, rules: Sequence[Rule], name: str | None = None,
          reason_col: str = REASON_COL, observe_on: str = "good") -> Gate:
     """Tag, split and attach zero-cost metrics.
 
@@ -81,7 +82,9 @@ def gate(df: DataFrame, rules: Sequence[Rule], name: str = "dq",
     if observe_on not in ("good", "bad"):
         raise ValueError("observe_on must be 'good' or 'bad'")
     tagged = tag(df, rules, reason_col)
-    obs = Observation(name)
+    # observation names must be unique within a plan (two gated inputs may be
+    # joined later), so the default is a fresh name
+    obs = Observation(name or f"dq_{uuid.uuid4().hex[:12]}")
     metric_cols = [F.count(F.lit(1)).alias("total")] + [
         F.count_if(F.col(reason_col) == F.lit(r.name)).alias(r.name) for r in rules]
     observed = tagged.observe(obs, *metric_cols)

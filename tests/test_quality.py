@@ -90,3 +90,12 @@ def test_gate_metrics_on_bad_path(spark):
     assert m["total"] == 3 and m["null_age"] == 1 and m["invalid_age"] == 1
     assert Q.summary_line("t", m, RULES) == \
         "t: 3 total | 1 passed | 2 quarantined (66.7%) [null_age=1, invalid_age=1]"
+
+
+def test_two_default_gates_in_one_plan(spark):
+    a = spark.createDataFrame([(1, 30, "a")], "id int, age int, name string")
+    b = spark.createDataFrame([(1, None, "b")], "id int, age int, name string")
+    # both observations end up in one plan: ga on its good path, gb on its bad path
+    ga, gb = Q.gate(a, RULES), Q.gate(b, RULES, observe_on="bad")
+    assert ga.good.join(gb.bad.select("id", "dq_failed_rule"), "id").count() == 1
+    assert ga.summary()["total"] == 1 and gb.summary()["total"] == 1
