@@ -71,3 +71,53 @@ def test_entity_profile_brute_force(spark, visits):
         assert r.recency == 250 - last and r.tenure == 250 - first
         for n in (30, 60, 90):
             assert r[f"retained_{n}"] == int(any(0 < d - first <= n for d in days))
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 2), st.sampled_from(["a", "b", "c", None])),
+                min_size=1, max_size=40))
+def test_dedup_by_key_keeps_the_largest_row(spark, rows):
+    from strata.operators.dedup import dedup_by_key
+    df = spark.createDataFrame(rows, "k int, p int, v string")
+    got = {(r.k, r.p, r.v) for r in dedup_by_key(df, ["k"], [F.col("p")]).collect()}
+    want = set()
+    for k in {r[0] for r in rows}:
+        group = [r for r in rows if r[0] == k]
+        # largest by p, ties by v (NULL smallest, as in Spark's ordering)
+        want.add(max(group, key=lambda r: (r[1], r[2] is not None, r[2] or "")))
+    assert got == want
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["x", "y"]), st.sampled_from(["F", "O", "P", "Q"])), max_size=40))
+def test_pivot_share_brute_force(spark, rows):
+    from strata.operators.aggregate import pivot_share
+    df = spark.createDataFrame(rows, "r string, c string")
+    got = {r.r: r for r in pivot_share(df, "r", "c", ["F", "O", "P"]).collect()}
+    assert set(got) == {r for r, _ in rows}
+    for key, out in got.items():
+        counts = {v: sum(1 for r, c in rows if r == key and c == v) for v in "FOP"}
+        total = sum(counts.values())
+        assert (out.n_F, out.n_O, out.n_P, out.n_total) == (counts["F"], counts["O"], counts["P"], total)
+        for v in "FOP":
+            share = None if total == 0 else round(counts[v] / total, 4)
+            assert out[f"share_{v}"] == share
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(-5, 130)), min_size=1, max_size=30))
+def test_bucket_brute_force(spark, ages):
+    from strata.functions.columns import bucket
+    edges, labels = [30, 45, 60, 75], ["13-29", "30-44", "45-59", "60-74", "75-89"]
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(ages)], "i int, age int")
+    got = [r.g for r in df.select("i", bucket("age", edges, labels).alias("g")).orderBy("i").collect()]
+    want = []
+    for a in ages:
+        lab = labels[-1]   # NULL and everything past the last edge: last bin
+        if a is not None:
+            for e, l in zip(edges, labels):
+                if a < e:
+                    lab = l
+                    break
+        want.append(lab)
+    assert got == want
