@@ -35,6 +35,7 @@ def ingest_dataset(spark: SparkSession, raw_root: str, patterns: Sequence[str],
     if not paths:
         return 0
     run_id = FS.run_id_for(paths)
+    _drop_unrecorded_runs(spark, bronze_path, manifest_path)
     df = normalize_columns(FS.read_csv(spark, paths, schema, multiline=multiline,
                                        source_col="_source_file"))
     df = drop_all_null_rows(drop_exact_duplicates(df, dedup_scope, "source_file"),
@@ -49,3 +50,20 @@ def ingest_dataset(spark: SparkSession, raw_root: str, patterns: Sequence[str],
                          ["load_date", "ingest_run"])
     FS.record_ingested(spark, FS.path_frame(spark, paths), manifest_path, run_id)
     return obs.get["n"]
+
+
+def _drop_unrecorded_runs(spark: SparkSession, bronze_path: str, manifest_path: str) -> None:
+    """A run that wrote its bronze partition but died before recording its
+    files in the manifest leaves rows whose files are still pending, so the
+    current run reads those files again — possibly together with newer ones,
+    under a different run id.  Such partitions are removed first, so no row
+    is kept twice.  Only run ids and directory names reach the driver (bounded
+    by the number of runs); a single writer per bronze table is assumed."""
+    runs = FS.glob_dirs(spark, f"{bronze_path.rstrip('/')}/*/ingest_run=*")
+    if not runs:
+        return
+    recorded = {r["run_id"] for r in
+                FS.read_manifest(spark, manifest_path).select("run_id").distinct().collect()}
+    for path in runs:
+        if path.rsplit("ingest_run=", 1)[1] not in recorded:
+            FS.delete_path(spark, path)

@@ -53,6 +53,23 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a Hadoop glob (a listing, no data is read)."""
+    fs, hpath = _fs(spark, pattern)
+    return [st.getPath().toString() for st in (fs.globStatus(hpath) or [])]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)
+
+
 def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
     schema = "path string, run_id string, ingested_at timestamp"
     if not _exists(spark, manifest_path):

@@ -198,3 +198,22 @@ def test_since_is_a_utc_day_whatever_the_session_zone(spark, tmp):
         assert n("2024-03-11") == 0 and n("2024-03-10") == 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", old_tz)
+
+
+def test_ingest_retry_with_new_files_since_the_crash(spark, tmp, monkeypatch):
+    """Run 1 writes bronze for file 1 and dies before the manifest update; a
+    second file arrives before the retry.  The retry's file set (and run id)
+    differs, yet file 1's rows must not be kept twice."""
+    write_text(f"{tmp}/raw/people_1.csv", HDR + "Ann,30\nBo,41\n")
+
+    def crash(*a, **k):
+        raise RuntimeError("driver lost before manifest update")
+
+    monkeypatch.setattr(FS, "record_ingested", crash)
+    with pytest.raises(RuntimeError):
+        _ingest(spark, tmp)
+    monkeypatch.undo()
+    write_text(f"{tmp}/raw/people_2.csv", HDR + "Cy,50\n")
+    assert _ingest(spark, tmp) == 3
+    rows = sorted((r.name, r.age) for r in spark.read.parquet(f"{tmp}/bronze").collect())
+    assert rows == [("Ann", 30), ("Bo", 41), ("Cy", 50)]
