@@ -7,7 +7,7 @@ Layout under ``lake``::
     bronze/<dataset>/load_date=…/ingest_run=…/   bronze/_manifest/
     quarantine/dataset=…/run_id=…/
     silver/  (snapshot-versioned: data/version=N/dataset=…/load_date=…/, _versions/)
-    gold/<kpi>/load_date=…/
+    gold/<kpi>/  (snapshot-versioned: data/version=N/load_date=…/, _versions/)
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ from ..operators import quality as Q
 from ..operators.enrich import Channel, enrich
 from ..sources import versions as V
 from ..sources.files import safe_read
-from ..sources.tables import overwrite, overwrite_partitions
 from .ingest import ingest_dataset
 
 log = logging.getLogger("strata.healthcare")
@@ -254,24 +253,36 @@ def kpis(silver: DataFrame, age_edges=AGE_GROUP_EDGES, age_labels=AGE_GROUP_LABE
 def run_gold(spark: SparkSession, lake: Lake, load_date: date | str,
              keep_other_days: bool = False, age_edges=AGE_GROUP_EDGES,
              age_labels=AGE_GROUP_LABELS) -> dict[str, str]:
-    """Current silver version → four KPI tables, partitioned by ``load_date``.
-
-    By default each KPI table is fully replaced, so it holds the latest run
-    only (the source behaviour).  ``keep_other_days=True`` replaces just this
-    run's ``load_date`` partition and keeps earlier days.  KPI outputs have
-    one row per group, so a single file per partition is enough."""
+    """Current silver version → four KPI tables, each published as a new
+    snapshot version partitioned by ``load_date`` (an atomic replacement:
+    readers see the previous version until the new one commits, and earlier
+    versions stay readable, as with a table format).
+
+    By default a version holds this run only (the source behaviour).
+    ``keep_other_days=True`` carries the other days of the current version
+    over and replaces just this run's ``load_date``.  KPI outputs have one
+    row per group, so a single file per version is enough."""
     silver = V.read_as_of(spark, lake.silver).where(F.col("dataset") == SILVER_DATASET)
+    day = F.lit(str(load_date)).cast("date")
     out = {}
     for name, df in kpis(silver, age_edges, age_labels).items():
-        df = df.withColumn("load_date", F.lit(str(load_date)).cast("date")).coalesce(1)
-        if keep_other_days:
-            overwrite_partitions(df, lake.gold(name), ["load_date"])
-        else:
-            overwrite(df, lake.gold(name), ["load_date"])
+        df = df.withColumn("load_date", day)
+        prev = read_gold(spark, lake, name) if keep_other_days else None
+        if prev is not None:
+            df = prev.where(F.col("load_date") != day).unionByName(df)
+        V.publish(df.coalesce(1), lake.gold(name), operation="KPI",
+                  parameters={"load_date": str(load_date)}, partition_by=("load_date",))
         out[name] = lake.gold(name)
     return out
 
 
+def read_gold(spark: SparkSession, lake: Lake, name: str, version: int | None = None) -> DataFrame | None:
+    """A gold KPI table (current version by default); ``None`` if never built."""
+    if V.current_version(spark, lake.gold(name)) is None:
+        return None
+    return V.read_as_of(spark, lake.gold(name), version=version)
+
+
 # ---------------------------------------------------------------------------
 # Domain enrichments (specified-only layer); thresholds are ours where the
 # specification leaves gaps (BMI edges 18.5/25/30, lead buckets)
@@ -418,7 +429,7 @@ def layer_report(spark: SparkSession, lake: Lake, schemas: bool = False) -> Data
         frames["silver"] = V.read_as_of(spark, lake.silver)
     for name in ("kpi_cost_by_gender", "kpi_cost_by_condition", "kpi_test_results_by_condition",
                  "kpi_diabetes_by_age_group"):
-        g = safe_read(spark, lake.gold(name))
+        g = read_gold(spark, lake, name)
         if g is not None:
             frames[f"gold.{name}"] = g
     return describe_columns(frames) if schemas else describe_layer(frames)

@@ -78,18 +78,21 @@ def test_end_to_end_golden(spark, tmp, caplog):
     assert q2.count() == 3 and {r.run_id for r in q2.select("run_id").distinct().collect()} == {"run-2"}
 
     H.run_gold(spark, lake, "2024-02-01")
-    g = spark.read.parquet(lake.gold("kpi_diabetes_by_age_group")).collect()
+    g = H.read_gold(spark, lake, "kpi_diabetes_by_age_group").collect()
     assert [(r.age_group, r.diabetes_positive_rate, r.avg_glucose, r.patient_count) for r in g] == [
         ("45-59", 0.5, 110.0, 1)]
-    c = spark.read.parquet(lake.gold("kpi_cost_by_gender")).first()
+    c = H.read_gold(spark, lake, "kpi_cost_by_gender").first()
     assert (c.gender, c.avg_insurance_charges, c.avg_treatment_cost) == ("female", 200.0, 5000.5)
 
     # a later run replaces the whole KPI table by default; keep_other_days
     # keeps earlier load dates next to the new one
     H.run_gold(spark, lake, "2024-02-02")
     days = lambda: sorted(str(r.load_date) for r in
-                          spark.read.parquet(lake.gold("kpi_cost_by_gender")).select("load_date").collect())
+                          H.read_gold(spark, lake, "kpi_cost_by_gender").select("load_date").collect())
     assert days() == ["2024-02-02"]
+    # each gold run is an atomic new version; the earlier one stays readable
+    assert [str(r.load_date) for r in H.read_gold(spark, lake, "kpi_cost_by_gender", version=0)
+            .select("load_date").collect()] == ["2024-02-01"]
     H.run_gold(spark, lake, "2024-02-03", keep_other_days=True)
     assert days() == ["2024-02-02", "2024-02-03"]
 
