@@ -108,7 +108,20 @@ def test_missing_primary_raises(spark):
 
 def test_batch_cli(spark, tmp):
     raw = _raw(tmp)
-    assert batch_job.main(["--mode", "all", "--raw", raw, "--lake", f"{tmp}/lake", "--load-date", "2024-02-01"]) == 0
+    args = ["--mode", "all", "--raw", raw, "--lake", f"{tmp}/lake", "--load-date", "2024-02-01"]
+    assert batch_job.main(args) == 0
+    lake = H.Lake(f"{tmp}/lake")
+    bronze = sum(spark.read.parquet(lake.bronze(ds)).count() for ds in H.DATASETS)
+    quarantined = spark.read.parquet(lake.quarantine).count()
+    # the whole job re-run: nothing new in bronze, no duplicated quarantine
+    # rows, one more silver and gold version with the same content
+    assert batch_job.main(args[:-1] + ["2024-02-02"]) == 0
+    assert sum(spark.read.parquet(lake.bronze(ds)).count() for ds in H.DATASETS) == bronze
+    assert spark.read.parquet(lake.quarantine).count() == quarantined
+    assert V.current_version(spark, lake.silver) == 1
+    assert V.current_version(spark, lake.gold("kpi_cost_by_gender")) == 1
+    assert H.read_gold(spark, lake, "kpi_cost_by_gender").count() == \
+        H.read_gold(spark, lake, "kpi_cost_by_gender", version=0).count()
     assert batch_job.main(["--mode", "gold", "--raw", raw, "--lake", f"{tmp}/nolake"]) == 2
 
 
