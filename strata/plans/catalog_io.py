@@ -160,7 +160,7 @@ def incremental_append(spark, d):
     # keys above the watermark are appended, by name
     S.incremental_append(o.select(*reversed(o.columns)), target, "o_orderkey")
     assert S.incremental_append(o, target, "o_orderkey") == 0
-    return spark.read.parquet(target)
+    return S.read_extract(spark, target)
 
 
 @register("full_extract", "SELECT * FROM orders WHERE o_orderpriority = '2-HIGH'")

@@ -3,11 +3,10 @@ high-watermark incremental append."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import _exists
-from .versions import read_as_of
+from .versions import _publish, current_version, read_as_of
 
 
 def full_extract(spark: SparkSession, versioned_root: str, out_path: str,
@@ -26,14 +25,20 @@ def incremental_append(source: DataFrame, target_path: str, key: str) -> int:
     *by name* to the target's order.  Returns the number of rows appended
     (0 → nothing was written).
 
-    The watermark is a single scalar (one aggregate over the key column,
-    answered from parquet footers/column chunks), and the ``key > hw``
-    predicate is pushed into the source scan.
+    The target is a snapshot-versioned table (:mod:`strata.sources.versions`)
+    and each sync is an ``append`` version committed after its data is
+    written.  A sync that dies part-way leaves files no version references,
+    so the watermark of the retry still comes from committed data only and
+    the retry appends exactly the missing rows — nothing is lost or doubled
+    (a plain parquet append could expose part of a failed job's files and
+    move the watermark past rows that were never written).  The watermark is
+    one scalar aggregate over the key column, and ``key > hw`` is pushed into
+    the source scan.  Read the extract with :func:`read_extract`.
     """
     spark = source.sparkSession
     new = source
-    if _exists(spark, target_path):
-        target = spark.read.parquet(target_path)
+    if current_version(spark, target_path) is not None:
+        target = read_as_of(spark, target_path)
         hw = target.agg(F.max(key).alias("hw")).first()["hw"]
         if hw is not None:
             new = source.where(F.col(key) > F.lit(hw))
@@ -43,6 +48,9 @@ def incremental_append(source: DataFrame, target_path: str, key: str) -> int:
         new = new.select(*target.columns)
     if new.isEmpty():
         return 0
-    obs = Observation("incremental_append")
-    new.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(target_path)
-    return obs.get["n"]
+    return _publish(new, target_path, mode="append", operation="SYNC", parameters={"key": key})[1]
+
+
+def read_extract(spark: SparkSession, target_path: str) -> DataFrame:
+    """The committed content of an incrementally synced extract."""
+    return read_as_of(spark, target_path)

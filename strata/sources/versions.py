@@ -122,6 +122,13 @@ def publish(df: DataFrame, root: str, mode: str = "overwrite", operation: str |
     in the log is observed during the write itself (no extra job).
     ``partition_by`` lays the version's files out in ``col=value``
     directories, so later equality filters on those columns prune files."""
+    return _publish(df, root, mode, operation, parameters, at, partition_by)[0]
+
+
+def _publish(df: DataFrame, root: str, mode: str = "overwrite", operation: str | None = None,
+             parameters: dict | None = None, at: datetime | None = None,
+             partition_by: tuple[str, ...] = ()) -> tuple[int, int]:
+    """:func:`publish`, returning ``(version, rows written)``."""
     spark = df.sparkSession
     if mode not in ("append", "overwrite"):
         raise ValueError("mode must be 'overwrite' or 'append'")
@@ -147,7 +154,7 @@ def publish(df: DataFrame, root: str, mode: str = "overwrite", operation: str |
         dvs, total = [v], n
     _commit(spark, root, v, dvs, operation or mode.upper(), parameters or {}, total, at,
             schema.json() if schema is not None else None)
-    return v
+    return v, n
 
 
 def read_as_of(spark: SparkSession, root: str, version: int | None = None,
