@@ -169,7 +169,7 @@ def full_extract(spark, d):
     out = scratch_path(spark, "extract")
     V.restore(spark, root, version=1, at=_t(3))
     S.full_extract(spark, root, out, where="o_orderpriority = '2-HIGH'")
-    return spark.read.parquet(out)
+    return S.read_extract(spark, out)
 
 
 @register("partition_pruned_read", """

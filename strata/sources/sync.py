@@ -6,17 +6,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .versions import _publish, current_version, read_as_of
+from .versions import _publish, current_version, publish, read_as_of
 
 
 def full_extract(spark: SparkSession, versioned_root: str, out_path: str,
-                 where: str | None = None) -> None:
+                 where: str | None = None) -> int:
     """Rebuild an extract from the *current* version of a snapshot table
-    (not from a raw file glob, which would also pick up superseded files)."""
+    (not from a raw file glob, which would also pick up superseded files).
+    The extract is replaced atomically — published as a new overwrite
+    version, so readers (:func:`read_extract`) see either the old or the new
+    content, never a half-written one.  Returns the extract's version."""
     df = read_as_of(spark, versioned_root)
     if where:
         df = df.where(where)
-    df.write.mode("overwrite").parquet(out_path)
+    return publish(df, out_path, mode="overwrite", operation="EXTRACT",
+                   parameters={"source": versioned_root, "where": where or ""})
 
 
 def incremental_append(source: DataFrame, target_path: str, key: str) -> int:

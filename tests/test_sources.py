@@ -237,3 +237,14 @@ def test_ingest_retry_with_new_files_since_the_crash(spark, tmp, monkeypatch):
     assert _ingest(spark, tmp) == 3
     rows = sorted((r.name, r.age) for r in spark.read.parquet(f"{tmp}/bronze").collect())
     assert rows == [("Ann", 30), ("Bo", 41), ("Cy", 50)]
+
+
+def test_full_extract_replaces_atomically_from_current_version(spark, tmp):
+    from datetime import datetime
+    src, out = f"{tmp}/table", f"{tmp}/extract"
+    V.publish(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), src, at=datetime(2024, 1, 1))
+    assert S.full_extract(spark, src, out, where="k > 1") == 0
+    V.publish(spark.createDataFrame([(3, "c")], "k int, v string"), src, mode="append")
+    assert S.full_extract(spark, src, out) == 1            # rebuilt from the current version
+    assert sorted(r.k for r in S.read_extract(spark, out).collect()) == [1, 2, 3]
+    assert [r.k for r in V.read_as_of(spark, out, version=0).collect()] == [2]   # previous extract kept
