@@ -88,3 +88,11 @@ def test_unparsable_dates_do_not_fail_jobs(spark):
     days = {str(x.day): (x.n_rows, x.prev_n_rows)
             for x in M.daily_trend(df.withColumnRenamed("d", "ts"), "ts").collect()}
     assert days == {"2024-01-01": (1, None), "2024-01-15": (1, None), "None": (1, None)}
+
+
+def test_count_desc_and_weighted_mean_merge(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), ("c",)], "k string")
+    assert [(r.k, r.n_rows) for r in A.count_desc(df, "k").collect()] == [("b", 2), ("c", 2), ("a", 1)]
+    parts = spark.createDataFrame([("x", 10.0, 2), ("x", 20.0, 3), ("y", 5.0, 1)], "g string, s double, n long")
+    got = {r.g: (r.avg, r.cnt) for r in A.weighted_mean_merge(parts, ["g"], "s", "n", "avg", "cnt").collect()}
+    assert got == {"x": (6.0, 5), "y": (5.0, 1)}

@@ -248,3 +248,14 @@ def test_full_extract_replaces_atomically_from_current_version(spark, tmp):
     assert S.full_extract(spark, src, out) == 1            # rebuilt from the current version
     assert sorted(r.k for r in S.read_extract(spark, out).collect()) == [1, 2, 3]
     assert [r.k for r in V.read_as_of(spark, out, version=0).collect()] == [2]   # previous extract kept
+
+
+def test_partitioned_append_with_evolving_schema_and_overwrite(spark, tmp):
+    from strata.sources import tables as TB
+    path = f"{tmp}/t"
+    TB.append(spark.createDataFrame([(1, "2024-01-01")], "id int, load_date string"), path)
+    TB.append(spark.createDataFrame([(2, 7, "2024-01-02")], "id int, extra int, load_date string"), path)
+    df = TB.read_evolving(spark, path)
+    assert sorted((r.id, r.extra) for r in df.collect()) == [(1, None), (2, 7)]   # column added later
+    TB.overwrite(spark.createDataFrame([(9, "2024-01-03")], "id int, load_date string"), path, ["load_date"])
+    assert [r.id for r in spark.read.parquet(path).collect()] == [9]
