@@ -75,12 +75,23 @@ def idempotent_batch_writer(sink_path: str, batch_col: str = "batch_id"):
 
 
 def start(parsed: DataFrame, sink_path: str, checkpoint: str, processing_time: str | None = "5 seconds",
-          available_now: bool = False, name: str | None = None) -> StreamingQuery:
+          available_now: bool = False, name: str | None = None, sink: str = "batches") -> StreamingQuery:
     """Start the append stream.  ``available_now`` drains what is there and
-    stops (tests, back-fills); otherwise a processing-time trigger."""
-    w = (parsed.writeStream.outputMode("append")
-         .foreachBatch(idempotent_batch_writer(sink_path))
-         .option("checkpointLocation", checkpoint))
+    stops (tests, back-fills); otherwise a processing-time trigger.
+
+    ``sink="batches"``: ``foreachBatch`` with :func:`idempotent_batch_writer`
+    (one partition per epoch, replaced on replay) — the shape of a sink into
+    an external store.  ``sink="files"``: Spark's parquet file sink, whose
+    own compacted ``_spark_metadata`` log makes the output exactly-once —
+    readers of the directory see only files of committed batches, even
+    while a failed batch waits for its replay."""
+    w = parsed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if sink == "files":
+        w = w.format("parquet").option("path", sink_path)
+    elif sink == "batches":
+        w = w.foreachBatch(idempotent_batch_writer(sink_path))
+    else:
+        raise ValueError("sink must be 'batches' or 'files'")
     if name:
         w = w.queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
