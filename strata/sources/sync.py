@@ -1,5 +1,7 @@
 """Serving extracts: full rebuild from the current snapshot and
-high-watermark incremental append."""
+high-watermark incremental append.  Both targets are snapshot-versioned
+tables (each rebuild an overwrite version, each sync an append version), so
+a reader (:func:`read_extract`) never sees a half-written extract."""
 
 from __future__ import annotations
 

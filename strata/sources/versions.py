@@ -21,6 +21,7 @@ Single writer per table is assumed; a table format such as Delta lifts that.
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -142,7 +143,7 @@ def _publish(df: DataFrame, root: str, mode: str = "overwrite", operation: str |
     if prev is not None:
         prev_schema = _schema_of(prev)
         schema = _merged_schema(prev_schema, schema) if prev_schema is not None else None
-    obs = Observation(f"publish_{v}")
+    obs = Observation(f"publish_{v}_{uuid.uuid4().hex[:12]}")  # unique within any plan
     w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
