@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +31,10 @@ class Channel:
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
     broadcast: bool | None = None           # None = decide from measured size
+    split_hot_keys: bool = True             # shuffle path: route hot primary keys around the shuffle
+    hot_key_share: float = 0.001            # a key holding >= this share of sampled rows is hot
+    hot_key_sample: float = 0.05            # fraction of primary rows sampled to find hot keys
+    hot_key_salt: int = 64                  # shuffle partitions a hot key's rows are spread over
     notes: dict = field(default_factory=dict)
 
     def available(self) -> bool:
@@ -67,6 +73,59 @@ def _materialise_checked(channels: Sequence[Channel], parallel: bool) -> dict[in
     return dict(map(run, todo))
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.001, sample: float = 0.05,
+             seed: int = 17) -> list[tuple]:
+    """Candidate hot key values of ``df``: keys holding at least ``share`` of
+    a row sample (Spark's one-pass frequent-items sketch over the key
+    columns only).  At most ``1 / share`` candidates are returned — a proven
+    bound — and a false positive only costs a broadcast row."""
+    k = F.struct(*[F.col(f"`{c}`") for c in keys]).alias("__k")
+    row = df.select(k).sample(fraction=sample, seed=seed).stat.freqItems(["__k"], support=share).first()
+    return [tuple(r) for r in (row[0] if row is not None else [])]
+
+
+def _join_splitting_hot_keys(primary: DataFrame, agg: DataFrame, keys: Sequence[str],
+                             ch: Channel) -> DataFrame:
+    """Left join of ``primary`` with the per-key aggregate ``agg`` when
+    ``agg`` is too large to broadcast, safe for primary keys that hold a large
+    share of the rows.
+
+    AQE's skew-join splitting does not apply here (the aggregate side is
+    already hash-partitioned by its aggregation, so it has no exchange of its
+    own), so hot keys are split explicitly: their aggregate rows (at most
+    ``1 / hot_key_share`` of them) are broadcast and joined where the primary
+    rows are, and the primary rows of hot keys — and of NULL keys, which can
+    match nothing — get a salt that spreads them over ``hot_key_salt``
+    partitions of the shuffle join while matching nothing there.  One scan of
+    the primary, one shuffle join, exact results.
+    """
+    hot = hot_keys(primary, keys, ch.hot_key_share, ch.hot_key_sample)
+    ch.notes["hot_keys"] = len(hot)
+    spark = primary.sparkSession
+    key_cols = [F.col(f"`{c}`") for c in keys]
+    agg_cols = [c for c in agg.columns if c not in keys]
+    any_null = reduce(or_, [c.isNull() for c in key_cols])
+    if hot:
+        hot_df = spark.createDataFrame(hot, primary.select(*key_cols).schema).withColumn("__hot", F.lit(True))
+        hot_agg = (agg.join(F.broadcast(hot_df.drop("__hot")), list(keys), "left_semi")
+                      .select(*keys, *[F.col(f"`{c}`").alias(f"__hot_{c}") for c in agg_cols]))
+        flagged = primary.join(F.broadcast(hot_df), list(keys), "left")
+        is_hot = F.coalesce(F.col("__hot"), F.lit(False))
+    else:
+        flagged, is_hot = primary, F.lit(False)
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in primary.columns])
+    salted = flagged.withColumn("__salt", F.when(is_hot | any_null,
+                                                 F.pmod(row_hash, F.lit(ch.hot_key_salt)) + 1)
+                                          .otherwise(F.lit(0).cast("long")))
+    if hot:
+        salted = salted.join(F.broadcast(hot_agg), list(keys), "left")
+    j = salted.join(agg.withColumn("__salt", F.lit(0).cast("long")), [*keys, "__salt"], "left")
+    rest = [c for c in primary.columns if c not in keys]
+    vals = [(F.coalesce(F.col(f"__hot_{c}"), F.col(f"`{c}`")) if hot else F.col(f"`{c}`")).alias(c)
+            for c in agg_cols]
+    return j.select(*keys, *rest, *vals)
+
+
 def enrich(primary: DataFrame, channels: Sequence[Channel], parallel: bool = True) -> DataFrame:
     """Chain of left joins of ``primary`` with each available channel's
     per-key aggregate.
@@ -97,5 +156,8 @@ def enrich(primary: DataFrame, channels: Sequence[Channel], parallel: bool = Tru
             agg, ch.notes["broadcast"] = F.broadcast(ch.aggregate()), True
         else:
             agg, ch.notes["broadcast"] = ch.aggregate(), False
-        out = out.join(agg, list(ch.keys), "left")
+        if ch.notes["broadcast"] or not ch.split_hot_keys:
+            out = out.join(agg, list(ch.keys), "left")
+        else:
+            out = _join_splitting_hot_keys(out, agg, ch.keys, ch)
     return out

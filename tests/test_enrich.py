@@ -60,9 +60,14 @@ def test_broadcast_join_when_small(spark):
         small = Channel("c", ch, ["k"], [F.sum("v").alias("s")])
         out = enrich(p, [small])
         assert "BroadcastHashJoin" in _plan(out)
-        forced = Channel("c", ch, ["k"], [F.sum("v").alias("s")], broadcast=False)
+        forced = Channel("c", ch, ["k"], [F.sum("v").alias("s")], broadcast=False, split_hot_keys=False)
         assert "BroadcastHashJoin" not in _plan(enrich(p, [forced]))
         assert enrich(p, [forced]).count() == 1000
+        # with hot-key splitting (the default) every key here is hot (1/7 of the rows each):
+        # their aggregate rows are broadcast, and the result is the same
+        split = Channel("c", ch, ["k"], [F.sum("v").alias("s")], broadcast=False)
+        a = sorted(tuple(r) for r in enrich(p, [forced]).collect())
+        assert sorted(tuple(r) for r in enrich(p, [split]).collect()) == a and split.notes["hot_keys"] >= 7
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

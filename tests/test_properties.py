@@ -121,3 +121,19 @@ def test_bucket_brute_force(spark, ages):
                     break
         want.append(lab)
     assert got == want
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.integers(0, 2), st.integers(0, 99)),
+                min_size=1, max_size=60),
+       st.lists(st.tuples(st.integers(0, 6), st.integers(0, 2), st.floats(0, 10)), max_size=30))
+def test_hot_key_split_join_equals_plain_join(spark, prim, chan):
+    from strata.operators.enrich import Channel, enrich
+    p = spark.createDataFrame(prim, "a int, b int, v int")
+    c = spark.createDataFrame(chan, "a int, b int, x double")
+    mk = lambda split: Channel("c", c, ["a", "b"], [F.round(F.sum("x"), 6).alias("sx"),
+                                                   F.count(F.lit(1)).alias("n")],
+                               broadcast=False, split_hot_keys=split, hot_key_share=0.05, hot_key_sample=1.0)
+    plain = sorted((tuple(r) for r in enrich(p, [mk(False)]).collect()), key=repr)
+    split = sorted((tuple(r) for r in enrich(p, [mk(True)]).collect()), key=repr)
+    assert split == plain and len(split) == len(prim)
