@@ -133,9 +133,9 @@ def enrich(primary: DataFrame, channels: Sequence[Channel], parallel: bool = Tru
     Join strategy per channel: the aggregate is materialised while its rows
     and bytes are observed (:func:`checked_broadcast`); within
     ``max_broadcast_rows`` and ``max_broadcast_bytes`` → broadcast hash join
-    (no shuffle of the primary); above → shuffle join, with AQE splitting a
-    skewed primary key.  ``broadcast=False`` forces the shuffle
-    join without materialising; ``broadcast=True`` is only for aggregates
+    (no shuffle of the primary); above → shuffle join in which hot primary
+    keys are split off (:func:`_join_splitting_hot_keys`).  ``broadcast=False``
+    forces the shuffle join without materialising; ``broadcast=True`` is only for aggregates
     whose key domain is bounded by construction.
     """
     present = []

@@ -50,7 +50,7 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     also cuts its lineage) while observing its row count and byte size in the
     same job, and mark it for broadcast only if both are within bounds.
     Above a bound the checkpointed frame is returned unhinted, so the join
-    falls back to a shuffle (sort-merge) join with AQE skew splitting.
+    falls back to a shuffle join (see ``enrich`` for its hot-key split).
 
     Returns ``(frame, broadcasted)``.
     """
