@@ -34,7 +34,7 @@ class Channel:
     split_hot_keys: bool = True             # shuffle path: route hot primary keys around the shuffle
     hot_key_share: float = 0.001            # a key holding >= this share of sampled rows is hot
     hot_key_sample: float = 0.05            # fraction of primary rows sampled to find hot keys
-    hot_key_salt: int = 64                  # shuffle partitions a hot key's rows are spread over
+    hot_key_salt: int | None = None         # partitions a hot key's rows spread over (None: all shuffle partitions)
     notes: dict = field(default_factory=dict)
 
     def available(self) -> bool:
@@ -96,7 +96,8 @@ def _join_splitting_hot_keys(primary: DataFrame, agg: DataFrame, keys: Sequence[
     ``1 / hot_key_share`` of them) are broadcast and joined where the primary
     rows are, and the primary rows of hot keys — and of NULL keys, which can
     match nothing — get a salt that spreads them over ``hot_key_salt``
-    partitions of the shuffle join while matching nothing there.  One scan of
+    (default: all shuffle) partitions of the shuffle join while matching
+    nothing there.  One scan of
     the primary, one shuffle join, exact results.
     """
     hot = hot_keys(primary, keys, ch.hot_key_share, ch.hot_key_sample)
@@ -113,9 +114,11 @@ def _join_splitting_hot_keys(primary: DataFrame, agg: DataFrame, keys: Sequence[
         is_hot = F.coalesce(F.col("__hot"), F.lit(False))
     else:
         flagged, is_hot = primary, F.lit(False)
+    # by default hot rows spread over every shuffle partition, as evenly as ordinary rows
+    n_salt = ch.hot_key_salt or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in primary.columns])
     salted = flagged.withColumn("__salt", F.when(is_hot | any_null,
-                                                 F.pmod(row_hash, F.lit(ch.hot_key_salt)) + 1)
+                                                 F.pmod(row_hash, F.lit(n_salt)) + 1)
                                           .otherwise(F.lit(0).cast("long")))
     if hot:
         salted = salted.join(F.broadcast(hot_agg), list(keys), "left")
