@@ -85,7 +85,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.001, sample: f
 
 
 def _join_splitting_hot_keys(primary: DataFrame, agg: DataFrame, keys: Sequence[str],
-                             ch: Channel) -> DataFrame:
+                             ch: Channel, detect_on: DataFrame | None = None) -> DataFrame:
     """Left join of ``primary`` with the per-key aggregate ``agg`` when
     ``agg`` is too large to broadcast, safe for primary keys that hold a large
     share of the rows.
@@ -100,7 +100,10 @@ def _join_splitting_hot_keys(primary: DataFrame, agg: DataFrame, keys: Sequence[
     nothing there.  One scan of
     the primary, one shuffle join, exact results.
     """
-    hot = hot_keys(primary, keys, ch.hot_key_share, ch.hot_key_sample)
+    # detection samples the key columns of the original primary (``detect_on``),
+    # not the result of earlier channel joins
+    hot = hot_keys(detect_on if detect_on is not None else primary, keys, ch.hot_key_share,
+                   ch.hot_key_sample)
     ch.notes["hot_keys"] = len(hot)
     spark = primary.sparkSession
     key_cols = [F.col(f"`{c}`") for c in keys]
@@ -162,5 +165,5 @@ def enrich(primary: DataFrame, channels: Sequence[Channel], parallel: bool = Tru
         if ch.notes["broadcast"] or not ch.split_hot_keys:
             out = out.join(agg, list(ch.keys), "left")
         else:
-            out = _join_splitting_hot_keys(out, agg, ch.keys, ch)
+            out = _join_splitting_hot_keys(out, agg, ch.keys, ch, detect_on=primary)
     return out
