@@ -65,3 +65,11 @@ def test_retention_joins_distinct_entity_days(spark):
     got = flags.filter("id = 0").first()
     assert got.retained_60 == expect
     assert flags.count() == pdf.id.nunique()
+
+
+def test_hot_keys_found_and_bounded(spark):
+    from strata.operators.enrich import hot_keys
+    df = _hot(spark, n=20000)          # key 0 holds a third of the rows, the rest are unique
+    found = hot_keys(df, ["k"], share=0.01, sample=0.5)
+    assert (0,) in found
+    assert len(found) <= 100           # at most 1 / share candidates
