@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.tables import table
-from . import decontaminate, exact_dedup, sharding, simhash
-from .common import materialise, text_of
+from . import (decontaminate, exact_dedup, licenses, lm_score, packing, quality, sharding, simhash, token_counts,
+               toxicity)
+from .common import held_out, materialise, number_within, text_of
+from .tokenise import word_vocabulary
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -28,6 +30,30 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def _classified(scored: DataFrame, cut: float) -> DataFrame:
+    return scored.select("doc_id", held_out("doc_id", 5).alias("held_out"), "score",
+                         (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+@register("op1_toxicity")
+def op1(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    model = toxicity.learn(docs, table(spark, d, "labels"), "toxic", folds=5)
+    return _classified(toxicity.score(docs, model), 0.5)
+
+
+@register("op2_license_scan")
+def op2(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scan(table(spark, d, "documents"))
+
+
+@register("op3_quality_classifier")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    ranker = quality.learn(docs, table(spark, d, "labels"), "quality", folds=5, cut=0.3)
+    return _classified(quality.score(docs, ranker), ranker.cut)
+
+
 @register("op4_benchmark_decontamination", f"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') AS w FROM benchmark),
@@ -54,13 +80,29 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+@register("op6_token_counts")
+def op6(spark: SparkSession, d: str) -> DataFrame:
+    return token_counts.count(table(spark, d, "documents"), word_vocabulary(), end_id=49407)
+
+
+@register("op7_best_fit_packing")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(table(spark, d, "documents"), word_vocabulary(), capacity=4096, end_id=1)
+
+
+@register("op8_lm_scoring")
+def op8(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers
+    return lm_score.score(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"), folds=10)
+
+
 @register("op9_sharding")
 def op9(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     placed = sharding.assign(docs, [1.0] * SHARDS, grown_weight=1.0).select(
         "doc_id", (F.octet_length(text_of()) + 16).cast("long").alias("size"),
         F.crc32(text_of().cast("binary")).alias("text_crc32"), F.lit("key").alias("law"), "shard", "grown_shard")
-    return sharding.number_within(materialise(placed, "placed"), ["shard"], ["doc_id", "text_crc32", "size"])
+    return number_within(materialise(placed, "placed"), ["shard"], ["doc_id", "text_crc32", "size"])
 
 
 @register("op10_exact_dedup", f"""

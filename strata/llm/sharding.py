@@ -17,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import text_of
@@ -57,25 +56,3 @@ def assign(docs: DataFrame, weights: Sequence[float], grown_weight: float | None
         more = rendezvous(record_key(id_col, text_col), [grown_weight], first=len(weights))
         out = out.withColumn("grown_shard", F.greatest(F.col("__won"), more)["shard"])
     return out.drop("__won")
-
-
-def number_within(rows: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "slot",
-                  buckets: int | None = None) -> DataFrame:
-    """``rows`` with ``out``: 0, 1, 2, ... without a gap in every group.
-
-    A group may hold any share of the rows: it is numbered in ``buckets`` parts
-    (by default as many as the session's shuffle partitions), each from its own
-    start, which is a running sum over the parts' counts.  Rows alike in all of
-    ``order`` share a part and get neighbouring numbers in no given order.
-    """
-    n = buckets or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parted = rows.withColumn("__part", F.pmod(F.xxhash64(*order), F.lit(n)).cast("int"))
-    keys = [*group, "__part"]
-    starts = (parted.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-              .withColumn("__start", F.coalesce(F.sum("__n").over(
-                  W.partitionBy(*group).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-              .drop("__n"))
-    local = parted.withColumn("__local", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
-    return (local.join(starts, keys)
-            .withColumn(out, (F.col("__start") + F.col("__local") - 1).cast("long"))
-            .drop("__part", "__start", "__local"))
