@@ -199,6 +199,62 @@ class _Nystroem:
         return weights
 
 
+def _independent(docs: list[set[bytes]], bands: int = 6, rows: int = 4) -> list[int]:
+    """One of each group of near copies: documents that meet in a band of ``rows``
+    smallest hashes and have over half of their words in common."""
+    parent = list(range(len(docs)))
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    factor = np.random.default_rng(3).integers(1, 1 << 62, bands * rows).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    first: dict = {}
+    for i, d in enumerate(docs):
+        h = np.array([zlib.crc32(w) + 1 for w in d] or [0], np.uint64)
+        low = (h[:, None] * factor[None, :] >> np.uint64(16)).min(axis=0).reshape(bands, rows)
+        for k in range(bands):
+            other = first.setdefault((k, low[k].tobytes()), i)
+            if 2 * len(d & docs[other]) > len(d | docs[other]):
+                a, b = root(i), root(other)
+                parent[max(a, b)] = min(a, b)
+    return [i for i in range(len(docs)) if root(i) == i]
+
+
+class _Nystroem:
+    """Coordinates of words in the span of some landmark words."""
+
+    def __init__(self, landmarks: list[bytes]):
+        codes, owner = _windows(landmarks)
+        t, w = _triples(codes)
+        self.known = np.unique(t[t > 0])
+        self.column = np.zeros(1 << 18, np.int32)
+        self.column[self.known] = np.arange(1, len(self.known) + 1)
+        phi = np.zeros((len(landmarks), len(self.known) + 1))
+        np.add.at(phi, (owner[:, None], self.column[t]), w)
+        phi[:, 0] = 0
+        values, vectors = np.linalg.eigh(phi @ phi.T)
+        keep = values > 1e-5 * values.max()
+        self.project = (phi.T @ (vectors[:, keep] / np.sqrt(values[keep]))).astype(np.float32)
+
+    def embed(self, words: list[bytes]) -> np.ndarray:
+        """A row per word, of a long one its first window."""
+        parts = [np.zeros((0, self.project.shape[1]))]
+        for at in range(0, len(words), 128):
+            codes, _ = _windows([w[:WIDTH] for w in words[at:at + 128]])
+            t, w = _triples(codes)
+            parts.append(np.einsum("wt,wtd->wd", w.astype(np.float32), self.project[self.column[t]]).astype(float))
+        return np.concatenate(parts)
+
+    def collapse(self, u: np.ndarray) -> np.ndarray:
+        """Weights per subsequence that score like ``u`` on the coordinates."""
+        weights = np.zeros(1 << 18, np.float32)
+        weights[self.known] = (self.project @ u)[1:]
+        return weights
+
+
 def _independent(docs: list[set[bytes]]) -> list[int]:
     """One of each group of near copies: documents that share a smallest hash, by
     any of three hash functions, of their words of eight bytes or more."""
