@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 import oracle_check as OC
+from strata.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,12 +21,12 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_documented():
-    no_sql = set(E.queries()) - set(E.oracle_sql())
+    no_sql = set(catalog.QUERIES) - set(catalog.ORACLE_SQL)
     assert no_sql <= {"raw_inventory"}, no_sql
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF)
     spdf = sdf.toPandas()
