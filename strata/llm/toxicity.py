@@ -255,27 +255,6 @@ class _Nystroem:
         return weights
 
 
-def _independent(docs: list[set[bytes]]) -> list[int]:
-    """One of each group of near copies: documents that share a smallest hash, by
-    any of three hash functions, of their words of eight bytes or more."""
-    parent = list(range(len(docs)))
-
-    def root(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    for seed in (1, 2, 3):
-        first: dict = {}
-        for i, d in enumerate(docs):
-            long = [w for w in d if len(w) >= 8] or list(d)
-            key = min((zlib.crc32(w, seed) for w in long), default=None)
-            a, b = root(i), root(first.setdefault(key, i))
-            parent[max(a, b)] = min(a, b)
-    return [i for i in range(len(docs)) if root(i) == i]
-
-
 def fit(docs: list[set[bytes]], toxic: np.ndarray) -> Model:
     """``docs``: the distinct words of each training document.  Near copies count once."""
     chosen = _independent(docs)
