@@ -23,18 +23,24 @@ def kpi(df: DataFrame, keys: Sequence[str | Column], measures: dict[str, Column]
 
 
 def pivot_share(df: DataFrame, row: str, col: str, values: Sequence[str],
-                count_name: str = "n", share_prefix: str = "share_") -> DataFrame:
+                count_name: str = "n", share_prefix: str = "share_", other: str = "other") -> DataFrame:
     """Counts of ``row × col`` with one column per value of ``col`` and the
     row-normalised share of each.
 
     ``values`` is given explicitly, so the pivot is one conditional count per
     value inside a single hash aggregate keyed by ``row`` (one shuffle, with
     map-side partial counts); Spark's generic ``pivot`` would first aggregate
-    by ``(row, col)`` and then pivot in a second shuffle.  Values not listed
-    are not counted in any column.
+    by ``(row, col)`` and then pivot in a second shuffle.  Values not listed,
+    NULL among them, share the column ``<count_name>_<other>``, so the total is
+    that of all rows.
     """
+    if other in values:
+        raise ValueError(f"{other!r} is a value; name the rest otherwise")
+    listed = F.coalesce(F.col(col).isin(list(values)), F.lit(False))
     counts = df.groupBy(row).agg(*[F.count_if(F.col(col) == F.lit(v)).alias(f"{count_name}_{v}")
-                                   for v in values])
+                                   for v in values],
+                                 F.count_if(~listed).alias(f"{count_name}_{other}"))
+    values = [*values, other]
     total = sum((F.col(f"{count_name}_{v}") for v in values), F.lit(0))
     return counts.select(
         row, *[F.col(f"{count_name}_{v}") for v in values],

@@ -119,13 +119,17 @@ def _join_splitting_hot_keys(primary: DataFrame, agg: DataFrame, keys: Sequence[
         flagged, is_hot = primary, F.lit(False)
     # by default hot rows spread over every shuffle partition, as evenly as ordinary rows
     n_salt = ch.hot_key_salt or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in primary.columns])
+    # numbered by position, so that identical rows spread as well
+    row_hash = F.xxhash64(F.monotonically_increasing_id())
     salted = flagged.withColumn("__salt", F.when(is_hot | any_null,
                                                  F.pmod(row_hash, F.lit(n_salt)) + 1)
                                           .otherwise(F.lit(0).cast("long")))
     if hot:
         salted = salted.join(F.broadcast(hot_agg), list(keys), "left")
-    j = salted.join(agg.withColumn("__salt", F.lit(0).cast("long")), [*keys, "__salt"], "left")
+    # always 0, but not a literal: that would be folded into a join condition
+    # and leave the keys alone to partition by
+    zero = F.pmod(F.xxhash64(*key_cols), F.lit(1)).cast("long")
+    j = salted.join(agg.withColumn("__salt", zero), [*keys, "__salt"], "left")
     rest = [c for c in primary.columns if c not in keys]
     vals = [(F.coalesce(F.col(f"__hot_{c}"), F.col(f"`{c}`")) if hot else F.col(f"`{c}`")).alias(c)
             for c in agg_cols]

@@ -18,6 +18,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..sources.files import delete_path, glob_dirs
+
 REASON_COL = "dq_failed_rule"
 TIMESTAMP_COL = "dq_timestamp"
 
@@ -95,14 +97,13 @@ def gate(df: DataFrame, rules: Sequence[Rule], name: str | None = None,
 
 
 def summary_line(dataset: str, metrics: dict, rules: Sequence[Rule]) -> str:
-    """``<dataset>: <total> total | <passed> passed | <bad> quarantined (<pct>%)``
-    followed by the non-zero per-rule counts."""
+    """``dataset=<d> rows=<total> bad=<bad> share=<bad / total>`` followed by the
+    non-zero per-rule counts."""
     total = metrics["total"]
     bad = sum(metrics[r.name] for r in rules)
-    pct = 100.0 * bad / total if total else 0.0
-    per_rule = ", ".join(f"{r.name}={metrics[r.name]}" for r in rules if metrics[r.name])
-    return (f"{dataset}: {total} total | {total - bad} passed | {bad} quarantined ({pct:.1f}%)"
-            + (f" [{per_rule}]" if per_rule else ""))
+    share = bad / total if total else 0.0
+    per_rule = " ".join(f"{r.name}={metrics[r.name]}" for r in rules if metrics[r.name])
+    return f"dataset={dataset} rows={total} bad={bad} share={share:.4f}" + (f" {per_rule}" if per_rule else "")
 
 
 def breakdown(tagged: DataFrame, reason_col: str = REASON_COL,
@@ -129,7 +130,8 @@ def count_by_rule(bad: DataFrame, reason_col: str = REASON_COL) -> DataFrame:
 
 
 def write_quarantine(bad: DataFrame, path: str, dataset: str, run_id: str,
-                     ts: datetime | None = None, batch_col: str | None = None) -> None:
+                     ts: datetime | None = None, batch_col: str | None = None,
+                     checked: DataFrame | None = None) -> None:
     """Append-style quarantine that is idempotent.
 
     By default rows go to ``path/dataset=<d>/run_id=<r>/``; with dynamic
@@ -140,7 +142,9 @@ def write_quarantine(bad: DataFrame, path: str, dataset: str, run_id: str,
     *source batch* instead: a later run that re-reads the same input replaces
     that batch's bad rows rather than adding another copy, so the quarantine
     holds each bad row once however many runs re-check it (``run_id`` is kept
-    as a column).  ``ts`` defaults to the query's ``current_timestamp()``.
+    as a column).  ``checked`` is then the frame that was checked: batches of
+    it that have no bad row any more lose their old quarantine rows.  Only
+    batch ids (one per ingest run) reach the driver.  ``ts`` defaults to the query's ``current_timestamp()``.
     Schema evolution across runs is handled on read with ``mergeSchema``.
     """
     stamp = F.lit(ts).cast("timestamp") if ts is not None else F.current_timestamp()
@@ -150,6 +154,20 @@ def write_quarantine(bad: DataFrame, path: str, dataset: str, run_id: str,
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dataset", part)
         .parquet(path))
+    if batch_col is not None and checked is not None:
+        spark = bad.sparkSession
+        now = spark.read.parquet(path) if _has_rows(spark, path) else None
+        seen = checked.select(F.col(batch_col).cast("string").alias("b")).distinct()
+        if now is not None:
+            rechecked = (now.filter((F.col("dataset") == dataset) & (F.col("run_id") == run_id))
+                         .select(F.col(batch_col).cast("string").alias("b")).distinct())
+            seen = seen.join(rechecked, "b", "left_anti")
+            for r in seen.filter("b is not null").collect():
+                delete_path(spark, f"{path.rstrip('/')}/dataset={dataset}/{part}={r['b']}")
+
+
+def _has_rows(spark, path: str) -> bool:
+    return bool(glob_dirs(spark, f"{path.rstrip('/')}/dataset=*"))
 
 
 def read_quarantine(spark, path: str) -> DataFrame:

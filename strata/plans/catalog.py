@@ -239,20 +239,31 @@ def kpi_rate_by_bucket(spark, d):
 ORDER_STATUSES = ["F", "O", "P"]
 
 
-@register("pivot_share", """
-WITH c AS (SELECT o_orderpriority,
-                  count(*) FILTER (WHERE o_orderstatus = 'F') AS n_F,
-                  count(*) FILTER (WHERE o_orderstatus = 'O') AS n_O,
-                  count(*) FILTER (WHERE o_orderstatus = 'P') AS n_P
-           FROM orders GROUP BY o_orderpriority)
-SELECT o_orderpriority, n_F, n_O, n_P, n_F + n_O + n_P AS n_total,
-       round(n_F / (n_F + n_O + n_P), 4) AS share_F, round(n_O / (n_F + n_O + n_P), 4) AS share_O,
-       round(n_P / (n_F + n_O + n_P), 4) AS share_P
-FROM c""")
+def _pivot_share_sql(source: str, values: list[str]) -> str:
+    counted = {v: f"count(*) FILTER (WHERE s = '{v}')" for v in values}
+    listed = ", ".join(f"'{v}'" for v in values)
+    counted["other"] = f"count(*) FILTER (WHERE s IS NULL OR s NOT IN ({listed}))"
+    total = " + ".join(f"n_{v}" for v in counted)
+    return f"""
+WITH c AS (SELECT o_orderpriority, {", ".join(f"{e} AS n_{v}" for v, e in counted.items())}
+           FROM (SELECT o_orderpriority, {source} AS s FROM orders) GROUP BY o_orderpriority)
+SELECT o_orderpriority, {", ".join(f"n_{v}" for v in counted)}, {total} AS n_total,
+       {", ".join(f"round(n_{v} / ({total}), 4) AS share_{v}" for v in counted)}
+FROM c"""
+
+
+@register("pivot_share", _pivot_share_sql("o_orderstatus", ORDER_STATUSES))
 def pivot_share(spark, d):
     return A.pivot_share(table(spark, d, "orders"), "o_orderpriority", "o_orderstatus", ORDER_STATUSES)
 
 
+@register("pivot_share_unlisted", _pivot_share_sql("CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END", ["F", "O"]))
+def pivot_share_unlisted(spark, d):
+    """Values outside the list, and NULL, count in the total and share a column."""
+    orders = table(spark, d, "orders").withColumn("s", F.expr("CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END"))
+    return A.pivot_share(orders, "o_orderpriority", "s", ["F", "O"])
+
+
 @register("null_profile", """
 WITH heavy AS (SELECT o_custkey, count(*) AS n_orders, avg(o_totalprice) AS avg_price
                FROM orders GROUP BY o_custkey HAVING count(*) > 10),

@@ -221,7 +221,7 @@ def run_silver(spark: SparkSession, lake: Lake, load_date: date | str, run_id: s
     for ds, g in gates.items():
         # partitioned by the bronze batch: re-checking the same bronze rows in a
         # later run replaces their quarantine copy instead of adding one
-        Q.write_quarantine(g.bad, lake.quarantine, ds, run_id, batch_col="ingest_run")
+        Q.write_quarantine(g.bad, lake.quarantine, ds, run_id, batch_col="ingest_run", checked=bronze[ds])
         log.info("[DQ] %s", Q.summary_line(ds, g.summary(), rules[ds]))
     return V.publish(unified, lake.silver, operation="WRITE",
                      parameters={"run_id": run_id, "load_date": str(load_date)},
@@ -289,7 +289,7 @@ def read_gold(spark: SparkSession, lake: Lake, name: str, version: int | None =
 # ---------------------------------------------------------------------------
 INPATIENT_AGE_EDGES = [18, 36, 56, 71]
 INPATIENT_AGE_LABELS = ["0-17", "18-35", "36-55", "56-70", "71+"]
-CHRONIC_CONDITIONS = ["Diabetes", "Hypertension", "Asthma", "Arthritis", "Obesity", "Cancer"]
+CHRONIC_CONDITIONS = ["Diabetes", "Hypertension", "Asthma", "Arthritis"]
 GOVERNMENT_PROVIDERS = ["Medicare"]
 GLUCOSE_EDGES, GLUCOSE_LABELS = [100, 126], ["Normal", "Prediabetes", "Diabetes"]
 BMI_EDGES, BMI_LABELS = [18.5, 25, 30], ["Underweight", "Normal", "Overweight", "Obese"]
@@ -317,14 +317,16 @@ def enrich_outpatient(n: DataFrame, high_risk_lead_days: int = 7) -> DataFrame:
 
 
 def enrich_diabetes(d: DataFrame) -> DataFrame:
-    status = C.bucket("glucose", GLUCOSE_EDGES, GLUCOSE_LABELS)
-    bmi_cat = C.bucket("bmi", BMI_EDGES, BMI_LABELS)
+    # a measurement that wasn't taken is no finding
+    status = C.bucket("glucose", GLUCOSE_EDGES, GLUCOSE_LABELS, null_label="Unknown")
+    bmi_cat = C.bucket("bmi", BMI_EDGES, BMI_LABELS, null_label="Unknown")
     d = d.withColumns({"glucose_status": status, "bmi_category": bmi_cat})
     risk = (F.when((F.col("outcome") == 1) & ((F.col("glucose_status") == "Diabetes") | (F.col("bmi") >= 30)),
                    "High")
              .when((F.col("outcome") == 0) & (F.col("glucose_status") == "Normal") & (F.col("bmi") < 30), "Low")
              .otherwise("Medium"))
-    return d.withColumn("diabetes_risk_tier", risk)
+    unknown = F.col("outcome").isNull() | F.col("glucose").isNull() | F.col("bmi").isNull()
+    return d.withColumn("diabetes_risk_tier", F.when(risk == "High", risk).when(unknown, "Unknown").otherwise(risk))
 
 
 def fix_noshow_names(n: DataFrame) -> DataFrame:

@@ -23,19 +23,22 @@ def ingest_dataset(spark: SparkSession, raw_root: str, patterns: Sequence[str],
     normalise column names, drop duplicates and all-NULL rows, tag channel
     and load date, write bronze, then record the files in the manifest.
 
-    Idempotent: the bronze partition is ``(load_date, ingest_run)`` with a run
-    id derived from the file set, and it is overwritten, so a retry after a
-    failure between the data write and the manifest update does not
-    duplicate rows.  Returns the number of rows written (0 = nothing new).
+    Idempotent: a run's rows are one bronze partition ``(load_date,
+    ingest_run)``, which appears when its write commits.  A run that died
+    between that and the manifest update is completed first
+    (:func:`adopt_unrecorded_runs`), so its files are neither read again nor
+    lost, whatever ``since`` says and even if the manifest is gone.  Returns
+    the number of rows that became part of the table (0 = nothing new), those
+    of completed runs included.
     """
+    adopted = adopt_unrecorded_runs(spark, bronze_path, manifest_path)
     pending = FS.pending_files(spark, FS.discover(spark, raw_root, patterns, ".csv", since),
                                manifest_path).select("path")
     # The pending *file list* (not data) goes to the driver to build the read.
     paths = sorted(r["path"] for r in pending.collect())
     if not paths:
-        return 0
+        return adopted
     run_id = FS.run_id_for(paths)
-    _drop_unrecorded_runs(spark, bronze_path, manifest_path)
     df = normalize_columns(FS.read_csv(spark, paths, schema, multiline=multiline,
                                        source_col="_source_file"))
     df = drop_all_null_rows(drop_exact_duplicates(df, dedup_scope, "source_file"),
@@ -49,21 +52,24 @@ def ingest_dataset(spark: SparkSession, raw_root: str, patterns: Sequence[str],
     overwrite_partitions(df.observe(obs, F.count(F.lit(1)).alias("n")), bronze_path,
                          ["load_date", "ingest_run"])
     FS.record_ingested(spark, FS.path_frame(spark, paths), manifest_path, run_id)
-    return obs.get["n"]
+    return adopted + obs.get["n"]
 
 
-def _drop_unrecorded_runs(spark: SparkSession, bronze_path: str, manifest_path: str) -> None:
-    """A run that wrote its bronze partition but died before recording its
-    files in the manifest leaves rows whose files are still pending, so the
-    current run reads those files again — possibly together with newer ones,
-    under a different run id.  Such partitions are removed first, so no row
-    is kept twice.  Only run ids and directory names reach the driver (bounded
-    by the number of runs); a single writer per bronze table is assumed."""
-    runs = FS.glob_dirs(spark, f"{bronze_path.rstrip('/')}/*/ingest_run=*")
-    if not runs:
-        return
-    recorded = {r["run_id"] for r in
-                FS.read_manifest(spark, manifest_path).select("run_id").distinct().collect()}
-    for path in runs:
-        if path.rsplit("ingest_run=", 1)[1] not in recorded:
-            FS.delete_path(spark, path)
+def adopt_unrecorded_runs(spark: SparkSession, bronze_path: str, manifest_path: str) -> int:
+    """Record the files of committed bronze partitions that the manifest does
+    not know.  Nothing is deleted: the rows are there, only the note of their
+    files is missing, and it is rebuilt from the lineage column of those
+    partitions alone.  A file that left no row is simply read again.  Returns
+    the number of their rows; a single writer per bronze table is assumed."""
+    dirs = FS.glob_dirs(spark, f"{bronze_path.rstrip('/')}/*/ingest_run=*")
+    if not dirs:
+        return 0
+    runs = spark.createDataFrame([(p.rsplit("ingest_run=", 1)[1], p) for p in dirs], "run_id string, dir string")
+    unknown = runs.join(FS.read_manifest(spark, manifest_path).select("run_id"), "run_id", "left_anti").collect()
+    rows = 0
+    for r in unknown:  # as a rule none, or the one run that died
+        lineage = spark.read.schema("source_file string").parquet(r["dir"])
+        FS.record_ingested(spark, lineage.select(FS.normalize_path("source_file").alias("path")).distinct(),
+                           manifest_path, r["run_id"])
+        rows += lineage.count()
+    return rows

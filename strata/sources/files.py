@@ -27,11 +27,17 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
 def discover(spark: SparkSession, root: str, patterns: Sequence[str] = (), suffix: str = ".csv",
              since: date | str | None = None) -> DataFrame:
-    """Files under ``root`` whose path ends with ``suffix`` (case-insensitive),
-    contains any of ``patterns`` (lower-case match; empty = all) and was
-    modified on or after the UTC day ``since``."""
+    """Files under ``root`` whose path below ``root`` ends with ``suffix``
+    (case-insensitive), contains any of ``patterns`` (lower-case match; empty
+    = all) and was modified on or after the UTC day ``since``.  Folders above
+    ``root`` are not matched, whatever their names."""
     files = list_files(spark, root)
-    lp = F.lower(F.col("path"))
+    fs, hroot = _fs(spark, root)
+    base = fs.makeQualified(hroot).toUri().getPath().rstrip("/") + "/"
+    # what follows the scheme and authority, then what follows the root
+    below = F.regexp_replace(F.col("path"), "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
+    lp = F.lower(F.when(below.startswith(base), F.substring(below, F.lit(len(base) + 1), F.length(below)))
+                 .otherwise(below))
     cond = lp.endswith(suffix.lower())
     if patterns:
         any_pat = F.lit(False)
@@ -79,7 +85,8 @@ def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
 
 def pending_files(spark: SparkSession, candidates: DataFrame, manifest_path: str) -> DataFrame:
     """Candidates not yet recorded in the manifest."""
-    return candidates.join(read_manifest(spark, manifest_path).select("path"), "path", "left_anti")
+    done = read_manifest(spark, manifest_path).select(normalize_path("path").alias("__done")).distinct()
+    return candidates.join(done, normalize_path("path") == F.col("__done"), "left_anti")
 
 
 def run_id_for(paths: Sequence[str]) -> str:

@@ -27,7 +27,8 @@ def full_extract(spark: SparkSession, versioned_root: str, out_path: str,
 
 def incremental_append(source: DataFrame, target_path: str, key: str) -> int:
     """Append the source rows whose ``key`` exceeds the target's current
-    maximum; an absent target receives everything.  Columns are aligned
+    maximum; an absent target receives everything but rows with a NULL key,
+    which have no place in the order and are never synced, first time or later.  Columns are aligned
     *by name* to the target's order.  Returns the number of rows appended
     (0 → nothing was written).
 
@@ -42,12 +43,12 @@ def incremental_append(source: DataFrame, target_path: str, key: str) -> int:
     the source scan.  Read the extract with :func:`read_extract`.
     """
     spark = source.sparkSession
-    new = source
+    new = source.where(F.col(key).isNotNull())
     if current_version(spark, target_path) is not None:
         target = read_as_of(spark, target_path)
         hw = target.agg(F.max(key).alias("hw")).first()["hw"]
         if hw is not None:
-            new = source.where(F.col(key) > F.lit(hw))
+            new = new.where(F.col(key) > F.lit(hw))
         missing = [c for c in target.columns if c not in new.columns]
         if missing:
             raise ValueError(f"source lacks target columns {missing}")

@@ -51,8 +51,8 @@ def test_end_to_end_golden(spark, tmp, caplog):
     v = H.run_silver(spark, lake, "2024-02-01", "run-1")
     # DQ totals come from the observation on the quarantine write (all rows, no extra job)
     dq = [r.getMessage() for r in caplog.records if r.getMessage().startswith("[DQ]")]
-    assert "[DQ] patients: 4 total | 1 passed | 3 quarantined (75.0%) " \
-           "[invalid_age=1, null_name=1, invalid_billing=1]" in dq
+    assert "[DQ] dataset=patients rows=4 bad=3 share=0.7500 " \
+           "invalid_age=1 null_name=1 invalid_billing=1" in dq
     q = spark.read.parquet(lake.quarantine)
     reasons = {(r.dataset, r.dq_failed_rule) for r in q.collect()}
     assert {("patients", "invalid_age"), ("patients", "null_name"), ("patients", "invalid_billing"),

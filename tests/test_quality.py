@@ -89,7 +89,7 @@ def test_gate_metrics_on_bad_path(spark):
     m = g.summary()                    # ... and the metrics still cover every row
     assert m["total"] == 3 and m["null_age"] == 1 and m["invalid_age"] == 1
     assert Q.summary_line("t", m, RULES) == \
-        "t: 3 total | 1 passed | 2 quarantined (66.7%) [null_age=1, invalid_age=1]"
+        "dataset=t rows=3 bad=2 share=0.6667 null_age=1 invalid_age=1"
 
 
 def test_two_default_gates_in_one_plan(spark):

@@ -1,0 +1,94 @@
+"""What must survive a crash, a lost note, a changed rule or an unlucky name."""
+
+import pytest
+from conftest import write_text
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.functions import columns as C
+from strata.operators import aggregate as A
+from strata.operators import quality as Q
+from strata.plans import healthcare as H
+from strata.plans import ingest as I
+from strata.sources import files as FS
+from strata.sources import sync
+
+SCHEMA = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("v", T.StringType())])
+
+
+def ingest(spark, tmp, **args):
+    return I.ingest_dataset(spark, f"{tmp}/raw", ["orders"], SCHEMA, f"{tmp}/bronze", f"{tmp}/manifest", "c", "2024-01-01", **args)
+
+
+def ids(spark, tmp):
+    return sorted(r.id for r in spark.read.parquet(f"{tmp}/bronze").collect())
+
+
+@pytest.mark.parametrize("since", [None, "2999-01-01"])
+def test_crash_before_the_manifest_keeps_rows_whatever_since_says(spark, tmp, monkeypatch, since):
+    write_text(f"{tmp}/raw/orders_1.csv", "id,v\n1,a\n2,b\n")
+    with monkeypatch.context() as m:
+        m.setattr(FS, "record_ingested", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError):
+            ingest(spark, tmp)
+    write_text(f"{tmp}/raw/orders_2.csv", "id,v\n3,c\n")
+    ingest(spark, tmp, since=since)
+    assert ids(spark, tmp) == [1, 2] if since else [1, 2, 3]
+    ingest(spark, tmp)
+    assert ids(spark, tmp) == [1, 2, 3]
+
+
+def test_lost_manifest_loses_and_doubles_nothing(spark, tmp):
+    write_text(f"{tmp}/raw/orders_1.csv", "id,v\n1,a\n")
+    ingest(spark, tmp)
+    write_text(f"{tmp}/raw/orders_2.csv", "id,v\n2,b\n")
+    ingest(spark, tmp)
+    FS.delete_path(spark, f"{tmp}/manifest")
+    assert ingest(spark, tmp) == 2  # both runs are noted again
+    assert ingest(spark, tmp) == 0
+    assert ids(spark, tmp) == [1, 2]
+
+
+def test_patterns_match_below_the_root_only(spark, tmp):
+    write_text(f"{tmp}/orders-lake/raw/other.csv", "id,v\n1,a\n")
+    write_text(f"{tmp}/orders-lake/raw/sub/orders.csv", "id,v\n1,a\n")
+    found = FS.discover(spark, f"{tmp}/orders-lake/raw", ["orders"]).collect()
+    assert [r.path.rsplit("/", 1)[1] for r in found] == ["orders.csv"]
+
+
+def test_rechecked_batch_without_bad_rows_leaves_quarantine(spark, tmp):
+    df = spark.createDataFrame([(1, -1, "b1"), (2, 5, "b1"), (3, -3, "b2"), (4, 50, "b2"), (5, -9, "b3")], "id int, x int, batch string")
+
+    def run(rules, run_id, checked):
+        g = Q.gate(checked, rules)
+        Q.write_quarantine(g.bad, f"{tmp}/q", "d", run_id, batch_col="batch", checked=checked)
+        return {r.id for r in g.good.collect()}, {r.id for r in Q.read_quarantine(spark, f"{tmp}/q").collect()}
+
+    assert run([Q.Rule("negative", "x < 0")], "r1", df) == ({2, 4}, {1, 3, 5})
+    good, bad = run([Q.Rule("large", "x > 10")], "r2", df.filter("batch <> 'b3'"))
+    assert (good, bad) == ({1, 2, 3}, {4, 5})  # b1 has no bad row now; b3 wasn't checked again
+    assert run([], "r3", df.filter("batch <> 'b3'")) == ({1, 2, 3, 4}, {5})
+
+
+def test_pivot_total_counts_unlisted_values(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "z"), ("a", None)], "r string, c string")
+    r = A.pivot_share(df, "r", "c", ["x", "y"]).first()
+    assert (r.n_x, r.n_y, r.n_other, r.n_total, r.share_x, r.share_other) == (1, 1, 2, 4, 0.25, 0.5)
+    with pytest.raises(ValueError):
+        A.pivot_share(df, "r", "c", ["other"])
+
+
+def test_null_keys_are_never_synced(spark, tmp):
+    df = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    assert sync.incremental_append(df, f"{tmp}/t", "k") == 1
+    assert sync.incremental_append(df.unionByName(spark.createDataFrame([(2, "c"), (None, "d")], "k int, v string")), f"{tmp}/t", "k") == 1
+    assert sorted(r.k for r in sync.read_extract(spark, f"{tmp}/t").collect()) == [1, 2]
+
+
+def test_missing_measurements_are_unknown(spark):
+    d = spark.createDataFrame([(1, None, 22.0, 1), (2, 90, None, 0), (3, 90, 22.0, 0), (4, 150, None, 1), (5, 110, 35.0, 1)],
+                              "id int, glucose int, bmi double, outcome int")
+    got = {r.id: (r.glucose_status, r.bmi_category, r.diabetes_risk_tier) for r in H.enrich_diabetes(d).collect()}
+    assert got == {1: ("Unknown", "Normal", "Unknown"), 2: ("Normal", "Unknown", "Unknown"), 3: ("Normal", "Normal", "Low"),
+                   4: ("Diabetes", "Unknown", "High"), 5: ("Prediabetes", "Obese", "High")}
+    assert spark.range(1).select(C.bucket(F.lit(None).cast("int"), [1], ["a", "b"], "?").alias("x")).first().x == "?"

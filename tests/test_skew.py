@@ -1,6 +1,7 @@
 """Hot-key behaviour: one key holding a large share of rows must not change
 results, and per-key work must aggregate map-side (partial aggregation)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import dedup as D
@@ -73,3 +74,29 @@ def test_hot_keys_found_and_bounded(spark):
     found = hot_keys(df, ["k"], share=0.01, sample=0.5)
     assert (0,) in found
     assert len(found) <= 100           # at most 1 / share candidates
+
+
+@pytest.mark.parametrize("aqe", ["true", "false"])
+@pytest.mark.parametrize("kind", ["half of all rows on one key", "alike rows", "null keys"])
+def test_shuffle_path_spreads_hot_rows_over_tasks(spark, aqe, kind):
+    """At most about twice the mean rows per task, also for identical rows and NULL keys."""
+    n, parts = 40_000, 8
+    key = F.when(F.col("id") % 2 == 0, F.lit(None if kind == "null keys" else 0)).otherwise(F.col("id")).alias("k")
+    value = F.lit(1) if kind == "alike rows" else F.col("id")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions",
+                                             "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        channel = spark.range(5000).select(F.col("id").alias("k"), F.lit(1).alias("x"))
+        out = enrich(spark.range(n).select(key, value.alias("v")),
+                     [Channel("c", channel, ["k"], [F.sum("x").alias("s")], broadcast=False)])
+        rows = out.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in rows) <= 2 * n / parts
+        assert out.count() == n
+        hits = out.filter("s is not null").count()
+        assert hits == 2500 + (0 if kind == "null keys" else n // 2)
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
