@@ -14,7 +14,7 @@ import numpy as np
 
 from .common import ASCII_LOWER
 
-CACHE = 400_000
+CACHE = 800_000
 _held: dict = {}
 
 
@@ -36,12 +36,10 @@ class WordIds:
         self.ids: dict[bytes, bytes] = {}
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
-        got = self.tokenizer.encode_batch([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        got = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in got]
 
     def _learn(self, words: set[bytes]) -> None:
-        if len(self.ids) + len(words) > CACHE:
-            self.ids.clear()
         # a final full stop or comma after an ASCII letter is a token of its own
         tail = {w for w in words if len(w) > 1 and w[-1:] in b".," and 97 <= w[-2] <= 122}
         whole = list((words - tail) | {w[:-1] for w in tail} | {b".", b","})
@@ -63,8 +61,8 @@ class WordIds:
             met.update(words)
             split.append(words)
         new = met - self.ids.keys()
-        if len(self.ids) + len(new) > CACHE:
-            new = met
+        if len(self.ids) + len(new) > CACHE:  # keep what these texts use: frequent words are among it
+            self.ids = {w: self.ids[w] for w in met & self.ids.keys()}
         if new:
             self._learn(new)
         get = self.ids.__getitem__
