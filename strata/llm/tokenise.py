@@ -14,7 +14,7 @@ import numpy as np
 
 from .common import ASCII_LOWER
 
-CACHE = 800_000
+CACHE = 300_000
 _held: dict = {}
 
 
