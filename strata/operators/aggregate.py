@@ -49,6 +49,14 @@ def pivot_share(df: DataFrame, row: str, col: str, values: Sequence[str],
           .alias(f"{share_prefix}{v}") for v in values])
 
 
+def shares(df: DataFrame, by: Sequence[str], count_name: str = "n_rows") -> DataFrame:
+    """Rows per group and their share of all rows.  The total is summed over the
+    groups, of which there are few: ``by`` is meant for categories."""
+    from pyspark.sql import Window
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias(count_name))
+    return counts.withColumn("share", F.round(F.col(count_name) / F.sum(count_name).over(Window.partitionBy(F.lit(1))), 4))
+
+
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None, suffix: str = "_nulls") -> DataFrame:
     """Per-column NULL counts plus the row count, in one pass (one global
     aggregate with partial aggregation)."""

@@ -67,9 +67,9 @@ def cohort_retention(flags: DataFrame, horizons: Sequence[int] = (30, 60, 90)) -
 
 @dataclass(frozen=True)
 class RfmConfig:
-    """Thresholds (ours; the specification names the segments but gives no
-    numbers).  Segments are evaluated in this order: New, Champions, Loyal,
-    Lost, At Risk."""
+    """Thresholds of recency, frequency and monetary value, for entities that
+    have amounts but no appointments; see :class:`VisitConfig` for the visit
+    segments.  Evaluated in this order: New, Champions, Loyal, Lost, At Risk."""
     new_first_within_days: int = 180
     recent_days: int = 90
     lost_after_days: int = 365
@@ -129,3 +129,45 @@ def retention_by_segment(profile: DataFrame, horizon: int = 30) -> DataFrame:
     return profile.groupBy("segment").agg(
         F.count(F.lit(1)).alias("n_entities"),
         F.round(F.avg(f"retained_{horizon}"), 4).alias(f"retention_rate_{horizon}"))
+
+
+@dataclass(frozen=True)
+class VisitConfig:
+    """Segments by visits, average lead time and no-show rate.  The lead-time
+    limits and "New = one visit" are given values; what counts as many visits
+    and as a low or high no-show rate is ours."""
+    many_visits: int = 3
+    few_visits: int = 2
+    low_no_show: float = 0.15
+    high_no_show: float = 0.5
+    champion_lead: int = 30
+    loyal_lead: int = 90
+    lost_lead: int = 180
+
+
+def visit_profile(visits: DataFrame, entity: str, day: str, lead: str, missed: str, cfg: VisitConfig = VisitConfig(),
+                  horizons: Sequence[int] = (30, 60, 90)) -> DataFrame:
+    """Per entity: visits, avg_lead_time, no_show_rate, cohort_month, segment and
+    retention flags, from a single scan of ``visits``.  Rows without entity or
+    day are left out; ``missed`` NULL counts as kept."""
+    d = visits.select(F.col(entity), F.try_to_date(F.col(day)).alias("_d"), F.col(lead).cast("double").alias("_lead"),
+                      F.coalesce(F.col(missed), F.lit(False)).alias("_missed")).filter(
+        F.col(entity).isNotNull() & F.col("_d").isNotNull())
+    days = d.groupBy(entity, "_d").agg(F.count(F.lit(1)).alias("_n"), F.sum("_lead").alias("_lead"), F.count("_lead").alias("_leads"),
+                                       F.count_if(F.col("_missed")).alias("_miss"))
+    per = _with_first_visit(days, entity).groupBy(entity, "first_visit").agg(
+        F.sum("_n").alias("visits"), F.try_divide(F.sum("_lead"), F.sum("_leads")).alias("avg_lead_time"),
+        (F.sum("_miss") / F.sum("_n")).alias("no_show_rate"), *_retention_flags(horizons))
+    v, lt, ns = F.col("visits"), F.col("avg_lead_time"), F.col("no_show_rate")
+    segment = (F.when(v == 1, "New")
+               .when((v >= cfg.many_visits) & (lt <= cfg.champion_lead) & (ns <= cfg.low_no_show), "Champions")
+               .when((lt > cfg.lost_lead) | ((v <= cfg.few_visits) & (ns >= cfg.high_no_show)), "Lost")
+               .when((v >= cfg.many_visits) & (lt <= cfg.loyal_lead) & (ns < cfg.high_no_show), "Loyal")
+               .otherwise("At Risk"))
+    return per.withColumns({"segment": segment, "cohort_month": F.trunc("first_visit", "month")})
+
+
+def retention_at(profile: DataFrame, by: str = "segment", horizons: Sequence[int] = (30, 60, 90)) -> DataFrame:
+    """Size and retention rate at every horizon per segment (or cohort)."""
+    return profile.groupBy(by).agg(F.count(F.lit(1)).alias("n_entities"), *[
+        F.round(F.avg(f"retained_{n}"), 4).alias(f"retention_rate_{n}") for n in horizons])

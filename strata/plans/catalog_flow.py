@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators import aggregate as A
 from ..operators import dedup as D
 from ..operators import quality as Q
+from ..operators import segments as SG
 from ..operators.enrich import Channel, enrich
 from ..session import scratch_path
 from ..sources import files as FS
@@ -229,3 +231,67 @@ def raw_inventory_by_source(spark, d):
     nation = F.regexp_extract("path", "nation=(\\d+)", 1).cast("int")
     return inv.groupBy(nation.alias("c_nationkey"), "status").agg(F.sum("n_rows").alias("n_rows"),
                                                                   F.bool_and(F.length("md5") == 32).alias("hashed"))
+
+
+_VISITS = ("SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderkey % 200 - o_custkey % 150 AS lead, "
+           "CASE WHEN o_orderkey % 9 <> 0 THEN o_orderkey % 4 = 0 END AS missed FROM orders")
+
+
+def _visit_profile(spark, d):
+    o = table(spark, d, "orders").select(
+        "o_custkey", F.col("o_orderdate").cast("date").alias("day"), F.expr("o_orderkey % 200 - o_custkey % 150").alias("lead"),
+        F.expr("CASE WHEN o_orderkey % 9 <> 0 THEN o_orderkey % 4 = 0 END").alias("missed"))
+    return SG.visit_profile(o, "o_custkey", "day", "lead", "missed")
+
+
+_PROFILE_SQL = f"""
+WITH v AS ({_VISITS}), f AS (SELECT o_custkey, min(day) AS first_visit FROM v GROUP BY 1),
+p AS (SELECT o_custkey, first_visit, count(*) AS visits, avg(lead) AS avg_lead_time,
+    count(*) FILTER (WHERE coalesce(missed, false)) / count(*) AS no_show_rate,
+    {", ".join(f"max(CASE WHEN day - first_visit > 0 AND day - first_visit <= {n} THEN 1 ELSE 0 END) AS retained_{n}" for n in (30, 60, 90))}
+  FROM v JOIN f USING (o_custkey) GROUP BY 1, 2),
+s AS (SELECT *, CASE WHEN visits = 1 THEN 'New'
+    WHEN visits >= 3 AND avg_lead_time <= 30 AND no_show_rate <= 0.15 THEN 'Champions'
+    WHEN avg_lead_time > 180 OR (visits <= 2 AND no_show_rate >= 0.5) THEN 'Lost'
+    WHEN visits >= 3 AND avg_lead_time <= 90 AND no_show_rate < 0.5 THEN 'Loyal' ELSE 'At Risk' END AS segment FROM p)"""
+
+
+@register("visit_segments", _PROFILE_SQL + """
+SELECT o_custkey, visits, round(avg_lead_time, 6) AS avg_lead_time, round(no_show_rate, 6) AS no_show_rate, segment,
+  CAST(date_trunc('month', first_visit) AS DATE) AS cohort_month FROM s""")
+def visit_segments(spark, d):
+    return _visit_profile(spark, d).select(
+        "o_custkey", "visits", F.round("avg_lead_time", 6).alias("avg_lead_time"), F.round("no_show_rate", 6).alias("no_show_rate"),
+        "segment", "cohort_month")
+
+
+@register("visit_segment_retention", _PROFILE_SQL + f"""
+SELECT segment, count(*) AS n_entities, {", ".join(f"round(avg(retained_{n}), 4) AS retention_rate_{n}" for n in (30, 60, 90))}
+FROM s GROUP BY segment""")
+def visit_segment_retention(spark, d):
+    return SG.retention_at(_visit_profile(spark, d))
+
+
+@register("condition_prevalence", f"""
+SELECT medical_condition, count(*) AS visits, round(count(*) / sum(count(*)) OVER (), 4) AS share
+FROM ({_patients_sql()}) GROUP BY 1""")
+def condition_prevalence(spark, d):
+    return A.shares(_patients(spark, d), ["medical_condition"], "visits")
+
+
+@register("clinical_risk_counts", f"""
+SELECT 'high_no_show_risk' AS risk, count(*) AS n_rows FROM orders
+  WHERE o_orderkey % 20 - 3 > 7 AND o_orderkey % 3 <> 0 AND o_orderkey % 4 = 0
+UNION ALL SELECT 'chronic_uninsured', count(*) FROM ({_patients_sql()})
+  WHERE medical_condition IN ('Diabetes', 'Hypertension', 'Arthritis', 'Asthma') AND insurance_provider IS NULL
+UNION ALL SELECT 'diabetes_high', count(*) FROM part WHERE p_partkey % 2 = 1
+  AND ((p_partkey % 6 <> 0 AND p_size * 4 >= 126) OR (p_partkey % 7 <> 0 AND 15 + p_size % 25 >= 30))""")
+def clinical_risk_counts(spark, d):
+    noshows = table(spark, d, "orders").select(
+        F.col("o_orderdate").cast("date").alias("scheduledday"),
+        F.expr("date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 20 - 3 AS INT))").alias("appointmentday"),
+        F.expr("o_orderkey % 3 = 0").alias("sms_received"), F.expr("o_orderkey % 4 = 0").alias("scholarship"))
+    diabetes = table(spark, d, "part").select(
+        F.expr("CASE WHEN p_partkey % 6 <> 0 THEN p_size * 4 END").alias("glucose"),
+        F.expr("CASE WHEN p_partkey % 7 <> 0 THEN 15 + p_size % 25 END").alias("bmi"), F.expr("p_partkey % 2").alias("outcome"))
+    return H.clinical_risk_counts(_patients(spark, d), noshows, diabetes)

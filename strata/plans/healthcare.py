@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns as C
+from ..operators import aggregate as A
 from ..operators import quality as Q
 from ..operators.enrich import Channel, enrich
 from ..sources import versions as V
@@ -378,6 +379,40 @@ def mart_patient_summary(silver: DataFrame) -> DataFrame:
         F.round(C.rate(F.col("is_chronic")), 4).alias("chronic_share")])
 
 
+def mart_patient_mix(silver: DataFrame) -> dict[str, DataFrame]:
+    """Billing by hospital, and counts with shares of admission types, test
+    results and conditions (prevalence)."""
+    return {
+        "billing_by_hospital": silver.groupBy("hospital").agg(
+            F.count(F.lit(1)).alias("visits"), F.round(F.avg("billing_amount"), 2).alias("avg_billing")),
+        "admission_mix": A.shares(silver, ["admission_type"], "visits"),
+        "test_result_mix": A.shares(silver, ["test_results"], "visits"),
+        "condition_prevalence": A.shares(silver, ["medical_condition"], "visits"),
+    }
+
+
+def mart_visit_segments(noshows: DataFrame) -> dict[str, DataFrame]:
+    """Segment and cohort per patient, segment sizes with retention at 30, 60
+    and 90 days, and the same per cohort month."""
+    from ..operators import segments as SG
+    n = enrich_outpatient(noshows).withColumn("missed", ~F.col("showed_up"))
+    profile = SG.visit_profile(n, "patientid", "appointmentday", "lead_time", "missed")
+    return {"patients": profile, "by_segment": SG.retention_at(profile),
+            "by_cohort": SG.retention_at(profile, "cohort_month")}
+
+
+def clinical_risk_counts(patients: DataFrame, noshows: DataFrame, diabetes: DataFrame) -> DataFrame:
+    """(risk, n_rows): appointments at high no-show risk, chronic patients
+    without insurance, diabetes patients in the high tier."""
+    def count(df, cond, name):
+        return df.agg(F.lit(name).alias("risk"), F.count_if(cond).alias("n_rows"))
+
+    return (count(enrich_outpatient(noshows), F.col("is_high_risk_noshow"), "high_no_show_risk")
+            .unionByName(count(enrich_inpatient(patients), F.col("is_chronic") & F.col("insurance_provider").isNull(),
+                               "chronic_uninsured"))
+            .unionByName(count(enrich_diabetes(diabetes), F.col("diabetes_risk_tier") == "High", "diabetes_high")))
+
+
 def mart_insurance_utilization(insurance: DataFrame, silver: DataFrame | None = None) -> dict[str, DataFrame]:
     """Average charges by region and smoker status, BMI↔charges correlation
     per age group, and (with silver) billing by provider / insured share."""
@@ -402,7 +437,7 @@ def mart_diabetes_cohort(diabetes: DataFrame) -> dict[str, DataFrame]:
     d = enrich_diabetes(diabetes).withColumn("age_group", C.bucket("age", INPATIENT_AGE_EDGES,
                                                                     INPATIENT_AGE_LABELS))
     return {
-        "status_distribution": d.groupBy("glucose_status").agg(F.count(F.lit(1)).alias("patients")),
+        "status_distribution": A.shares(d, ["glucose_status"], "patients"),
         "prevalence": d.agg(F.round(C.rate(F.col("outcome") == 1), 4).alias("prevalence"),
                             F.count_if(F.col("diabetes_risk_tier") == "High").alias("high_risk")),
         "glucose_by_age_group": d.groupBy("age_group").agg(F.round(F.avg("glucose"), 2).alias("avg_glucose")),
