@@ -46,9 +46,10 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], prefer: Sequence[Column]) -
     ``prefer`` (ties broken by every remaining column, so the result is
     deterministic).
 
-    Implemented as ``max(struct(prefer..., rest...))`` per key: a hash
-    aggregate with a partial phase, so a key holding a third of all rows is
-    reduced map-side instead of being sorted inside one window task.
+    Implemented as ``max(struct(prefer..., rest...))`` per key: a sort
+    aggregate (a struct has no fixed width), whose partial phase reduces a key
+    that holds a third of all rows on the map side.  It costs one shuffle and
+    a sort of the wide rows on either side of it.
     """
     rest = [c for c in df.columns if c not in keys]
     pref_names = [f"__p{i}" for i in range(len(prefer))]

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -80,13 +80,13 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 
 def _commit(spark: SparkSession, root: str, version: int, data_versions: list[int], operation: str,
             parameters: dict, num_rows: int, at: datetime | None, schema_json: str | None = None) -> None:
-    at = at or datetime.now()
+    at = at or datetime.now(timezone.utc).replace(tzinfo=None)
     # the row is built from literals in one single-partition frame: one
     # small file per commit, no Python-side data transfer
     row = spark.range(1, numPartitions=1).select(
         F.lit(version).cast("int").alias("version"),
         F.array(*[F.lit(v).cast("int") for v in data_versions]).alias("data_versions"),
-        # naive wall-clock value as text: independent of any time zone
+        # UTC as a naive value: independent of zones and of clock changes
         F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz").alias("committed_at"),
         F.lit(operation).alias("operation"),
         F.lit(json.dumps(parameters, sort_keys=True)).alias("parameters"),
@@ -173,11 +173,13 @@ def read_as_of(spark: SparkSession, root: str, version: int | None = None,
 
 def _replicate(df: DataFrame, count_col: str, chunk: int = 1024) -> DataFrame:
     """Each row repeated ``count_col`` times.  Copies are generated in two
-    levels (chunks of at most ``chunk``), so a row with millions of copies
-    never builds one huge array."""
+    levels: chunks of at most ``chunk`` are dealt to all tasks before they are
+    unrolled, so a row with millions of copies neither builds one huge array
+    nor keeps one task busy."""
     n = F.col(count_col)
     chunks = df.withColumn("__c", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk).cast("long"))))
     size = F.least(F.lit(chunk).cast("long"), n - F.col("__c") * chunk)
+    chunks = chunks.repartition("__c", *[F.col(f"`{c}`") for c in df.columns])
     return (chunks.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), size)))
                   .drop("__c", "__i", count_col))
 
