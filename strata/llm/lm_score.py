@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from .common import ASCII_LOWER, held_out, map_rows, materialise
 
 HEAD, HEAD_BYTES, SMOOTH, LN10 = 100_000, 64, 0.1, math.log(10)
+LONG, CELLS = 64, 60_000
 _MARK = "▁"
-_held: dict = {}
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -53,9 +53,54 @@ def prior(model: str) -> tuple[dict[str, float], float]:
 
 
 class Lattice:
+    """One word at a time; :class:`Trie` does the same for many words of a length."""
+
     def __init__(self, pieces: dict[str, float], byte: float):
         self.pieces, self.byte = pieces, byte
         self.longest = max(map(len, pieces), default=1)
+        self._trie = None
+
+    def __getstate__(self):
+        return self.pieces, self.byte, self.longest
+
+    def __setstate__(self, state):
+        self.pieces, self.byte, self.longest = state
+        self._trie = None
+
+    @property
+    def trie(self) -> Trie:
+        if self._trie is None:
+            self._trie = Trie(self.pieces, self.byte)
+        return self._trie
+
+    def log_ps(self, words: list[bytes]) -> list[float]:
+        """:meth:`log_p` of many words."""
+        out = [0.0] * len(words)
+        for places, codes, sizes in batches(words):
+            if codes is None:
+                for k in places:
+                    out[k] = self.log_p(words[k])
+            else:
+                a, _ = self.trie.forward(codes, sizes)
+                for k, v in zip(places, a[:, -1].tolist()):
+                    out[k] = v
+        return out
+
+    def expected_uses(self, words: list[bytes], counts: list[float]) -> dict:
+        """Expected uses of each piece in all words, each as often as counted."""
+        total: dict = {}
+        sums = np.zeros(len(self.trie.names) + 1)
+        for places, codes, sizes in batches(words):
+            n = np.array([counts[k] for k in places], float)
+            if codes is None:
+                for k in places:
+                    self.expected(words[k], counts[k], total)
+            else:
+                self.trie.add_expected(codes, sizes, n, sums)
+        for k in np.flatnonzero(sums):
+            name = self.trie.names[k - 1] if k else None
+            total[name] = total.get(name, 0.0) + float(sums[k])
+        return total
 
     def edges(self, s: str) -> list[list[tuple[int, float, str | None]]]:
         """For each place, the pieces that end there: (start, log p, piece); a
@@ -98,6 +143,92 @@ class Lattice:
                     into[piece] = into.get(piece, 0.0) + part
 
 
+def batches(words: list[bytes]):
+    """Words as code points, a matrix per length: (places in ``words``, code points, bytes
+    per character).  Words of over ``LONG`` characters come without matrix, one by one."""
+    by: dict[int, list[int]] = {}
+    text = [_MARK + w.decode("utf-8", "replace") for w in words]
+    for k, t in enumerate(text):
+        by.setdefault(len(t), []).append(k)
+    for n, places in by.items():
+        if n > LONG:
+            yield places, None, None
+            continue
+        step = max(1, CELLS // n)
+        for at in range(0, len(places), step):
+            part = places[at:at + step]
+            codes = np.frombuffer("".join([text[k] for k in part]).encode("utf-32-le", "replace"), "<u4").reshape(len(part), n)
+            sizes = 1 + (codes > 0x7F).astype(np.int8) + (codes > 0x7FF) + (codes > 0xFFFF)
+            yield part, codes, sizes
+
+
+class Trie:
+    """The pieces as a trie of sorted (node, character) keys, walked for all words at once."""
+
+    def __init__(self, pieces: dict[str, float], byte: float):
+        self.names, self.byte = sorted(pieces), byte
+        steps: dict[tuple[int, str], int] = {}
+        ends = {}
+        for k, piece in enumerate(self.names):
+            node = 0
+            for c in piece:
+                node = steps.setdefault((node, c), len(steps) + 1)
+            ends[node] = k
+        keys = np.array([node << 21 | ord(c) for node, c in steps], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.next = keys[order], np.array(list(steps.values()), np.int64)[order]
+        self.piece = np.zeros(len(steps) + 1, np.int64)  # 1 + number of the piece that ends at a node, else 0
+        self.log_p = np.zeros(len(steps) + 1)
+        for node, k in ends.items():
+            self.piece[node], self.log_p[node] = k + 1, pieces[self.names[k]]
+
+    def edges(self, codes: np.ndarray, sizes: np.ndarray):
+        """For each start, its edges (end, rows, log p, piece); piece 0 is spelling in bytes."""
+        w, n = codes.shape
+        points = codes.astype(np.int64)
+        for i in range(n):
+            out, rows, node = [], np.arange(w), np.zeros(w, np.int64)
+            for j in range(i, n):
+                key = node << 21 | points[rows, j]
+                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                on = self.keys[at] == key
+                rows, node = rows[on], self.next[at[on]]
+                whole = self.piece[node] > 0
+                if j == i:  # a character that is no piece
+                    spelt = np.ones(w, bool)
+                    spelt[rows[whole]] = False
+                    r = np.flatnonzero(spelt)
+                    if len(r):
+                        out.append((j + 1, r, self.byte * sizes[r, j], np.zeros(len(r), np.int64)))
+                if whole.any():
+                    out.append((j + 1, rows[whole], self.log_p[node[whole]], self.piece[node[whole]]))
+                if not len(rows):
+                    break
+            yield i, out
+
+    def forward(self, codes: np.ndarray, sizes: np.ndarray):
+        """Log probability of every prefix of every word, and the edges."""
+        a = np.full((codes.shape[0], codes.shape[1] + 1), -np.inf)
+        a[:, 0] = 0.0
+        kept = []
+        for i, out in self.edges(codes, sizes):
+            for j, rows, p, _ in out:
+                a[rows, j] = np.logaddexp(a[rows, j], a[rows, i] + p)
+            kept.append(out)
+        return a, kept
+
+    def add_expected(self, codes: np.ndarray, sizes: np.ndarray, counts: np.ndarray, sums: np.ndarray) -> None:
+        """Adds the expected uses of each piece to ``sums``, by number + 1; 0 is for bytes."""
+        a, kept = self.forward(codes, sizes)
+        b = np.full(a.shape, -np.inf)
+        b[:, -1] = 0.0
+        for i in range(len(kept) - 1, -1, -1):
+            for j, rows, p, piece in kept[i]:
+                through = p + b[rows, j]
+                b[rows, i] = np.logaddexp(b[rows, i], through)
+                sums += np.bincount(piece, np.exp(a[rows, i] + through - a[rows, -1]) * counts[rows], len(sums))
+
+
 def count_words(docs: DataFrame, folds: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(word, n, n_train) of every distinct word of all documents; counts of a few MB
     of text are summed before they are shuffled."""
@@ -121,9 +252,7 @@ def reweigh(counted: DataFrame, pieces: dict[str, float], byte: float) -> tuple[
     lattice = spark.sparkContext.broadcast(Lattice(pieces, byte))  # the vocabulary: fixed size
 
     def run(cols):
-        total: dict = {}
-        for w, n in zip(cols["word"], cols["n_train"]):
-            lattice.value.expected(w, n, total)
+        total = lattice.value.expected_uses(cols["word"], cols["n_train"])
         return {"piece": list(total), "n": list(total.values())}
 
     used = map_rows(counted.filter("n_train > 0").select("word", "n_train"), run, "piece string, n double")
@@ -150,7 +279,7 @@ def score(docs: DataFrame, model: str, folds: int = 10, head: int = HEAD, id_col
 
     def likelihoods(cols):
         return {"word": pa.array(cols["word"], pa.binary()), "n": cols["n"], "c": cols["n_train"],
-                "lm": [shared.value.log_p(w) for w in cols["word"]]}
+                "lm": shared.value.log_ps(cols["word"])}
 
     # dealt anew, since a word's work is not a row's: long words spread out
     table = materialise(map_rows(counted, likelihoods, "word binary, n long, c long, lm double"), "word-table")
@@ -162,7 +291,18 @@ def score(docs: DataFrame, model: str, folds: int = 10, head: int = HEAD, id_col
     # the end of a text: as likely as training texts are among training tokens
     end_lm = math.log10((ends + SMOOTH) / (n_train + 2 * SMOOTH))
     go_on = math.log10((n_train - ends + SMOOTH) / (n_train + 2 * SMOOTH))
-    top = (table.filter(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("n"), "word").limit(head).collect())
+    # the head: words from some frequency on, as low as leaves at most `head` of them.  Frequencies are
+    # looked at in steps of a sixteenth of a doubling, of which there are a few hundred whatever the corpus
+    step = F.floor(F.log2("n") * 16)
+    short = table.filter(F.octet_length("word") <= HEAD_BYTES)
+    steps = short.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("s")).collect()
+    room, lowest = head, None
+    for r in steps:
+        room -= r["k"]
+        if room < 0:
+            break
+        lowest = r["s"]
+    top = short.filter(step >= lowest).collect() if lowest is not None else []
     known = spark.sparkContext.broadcast({  # at most `head` words of at most HEAD_BYTES bytes
         bytes(r["word"]): (math.log10((r["c"] + SMOOTH) / floor), r["lm"] / LN10, r["c"] > 0) for r in top})
 

@@ -155,6 +155,12 @@ def test_lattice_sums_every_segmentation():
 
     for w in ("abab", "a", "abcba", "é", "bbabaab"):
         assert math.isclose(lattice.log_p(w.encode()), math.log(every("▁" + w)), rel_tol=1e-9)
+    many = [b"abab", b"a", b"abcba", "é".encode(), b"bbabaab", b"ab" * 50, b""] * 3
+    assert np.allclose(lattice.log_ps(many), [lattice.log_p(w) for w in many], rtol=1e-9)
+    one, all_ = {}, lattice.expected_uses(many, [2.0] * len(many))
+    for w in many:
+        lattice.expected(w, 2.0, one)
+    assert one.keys() == all_.keys() and all(math.isclose(one[k], all_[k], rel_tol=1e-9) for k in one)
     used = {}
     lattice.expected(b"abcba", 3.0, used)
     # every segmentation spells the word: expected characters add up
