@@ -41,7 +41,7 @@ from .common import ASCII_LOWER, map_rows
 from .quality import training_rows
 
 SPAN, DECAY, WIDTH = 6, 0.5, 24
-MAX_ROWS, LANDMARKS, NEGATIVES, ROUNDS, RIDGE = 4000, 400, 8000, 4, 1e-2
+MAX_ROWS, LANDMARKS, NEGATIVES, ROUNDS, RIDGE = 2500, 400, 8000, 3, 1e-2
 CACHE = 1_000_000
 #: gaps (d1, d2) between the three places of a subsequence
 _STEPS = [(a, b) for a in range(1, SPAN) for b in range(1, SPAN) if a + b < SPAN]
@@ -125,10 +125,10 @@ class Model:
     def margins(self, words: list[bytes]) -> np.ndarray:
         """The SVM's decision for each word, of a long one that of its worst window."""
         out = np.full(len(words), -np.inf)
-        for at in range(0, len(words), 4096):
-            codes, owner = _windows(words[at:at + 4096])
+        for at in range(0, len(words), 1024):
+            codes, owner = _windows(words[at:at + 1024])
             t, w = _triples(codes)
-            np.maximum.at(out[at:at + 4096], owner, (self.weights[t] * w).sum(axis=1) + self.bias)
+            np.maximum.at(out[at:at + 1024], owner, (self.weights[t] * w).sum(axis=1) + self.bias)
         return out
 
     def scores(self, margins: np.ndarray) -> np.ndarray:
@@ -186,8 +186,8 @@ class _Nystroem:
     def embed(self, words: list[bytes]) -> np.ndarray:
         """A row per word, of a long one its first window."""
         parts = [np.zeros((0, self.project.shape[1]))]
-        for at in range(0, len(words), 128):
-            codes, _ = _windows([w[:WIDTH] for w in words[at:at + 128]])
+        for at in range(0, len(words), 32):
+            codes, _ = _windows([w[:WIDTH] for w in words[at:at + 32]])
             t, w = _triples(codes)
             parts.append(np.einsum("wt,wtd->wd", w.astype(np.float32), self.project[self.column[t]]).astype(float))
         return np.concatenate(parts)
@@ -312,11 +312,17 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
 
     def run(cols):
         return {"doc_id": cols["doc_id"], "label": cols["label"],
-                "words": [sorted(w[:200].decode("utf-8", "replace") for w in units(t)) for t in cols["text"]]}
-
-    got = map_rows(rows, run, "doc_id long, label int, words array<string>").collect()
-    got.sort(key=lambda r: (r["doc_id"], r["label"], r["words"]))
-    return fit([{w.encode() for w in r["words"]} for r in got], np.array([r["label"] == 1 for r in got], bool))
+                "words": [b" ".join(sorted(w[:100] for w in units(t))).decode("utf-8", "replace") for t in cols["text"]]}
+
+    got = sorted((r["doc_id"], r["label"], r["words"])
+                 for r in map_rows(rows, run, "doc_id long, label int, words string").collect())
+    toxic = np.array([label == 1 for _, label, _ in got], bool)
+    same: dict[bytes, bytes] = {}  # one object per distinct word
+    got.reverse()
+    sets = []
+    while got:
+        sets.append({same.setdefault(w, w) for w in got.pop()[2].encode().split()})
+    return fit(sets, toxic)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
