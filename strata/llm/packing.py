@@ -31,6 +31,8 @@ from .tokenise import word_ids
 
 #: rows of a plan are cut to this many pieces, so that no task unrolls a long run
 RUN = 100_000
+#: words whose ids a worker remembers; it writes no files, so there is room for more than by default
+CACHE = 400_000
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id",
@@ -40,7 +42,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
 
     def run(cols):
         out: dict = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32")}
-        for i, ids in zip(cols["doc_id"], word_ids(tokenizer).encode(cols["text"])):
+        for i, ids in zip(cols["doc_id"], word_ids(tokenizer, cache=CACHE).encode(cols["text"])):
             ids += end
             for k, at in enumerate(range(0, len(ids) // 4, capacity)):
                 part = ids[at * 4:(at + capacity) * 4]

@@ -2,7 +2,7 @@
 
 The vocabulary drops white space and never joins across it, so a text's ids
 are those of its white-space separated words in turn.  Each Python worker keeps
-the ids of words it has met (at most ``CACHE`` of them), which spares most of
+the ids of words it has met (at most ``cache`` of them), which spares most of
 the work, and tokenizes only new words.
 """
 
@@ -27,12 +27,12 @@ def word_vocabulary() -> str:
 class WordIds:
     """``literal`` reads the special tokens' names in a text as ordinary text."""
 
-    def __init__(self, path: str, literal: bool = False):
+    def __init__(self, path: str, literal: bool = False, cache: int = CACHE):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = literal
-        self.literal = literal
+        self.literal, self.cache = literal, cache
         self.ids: dict[bytes, bytes] = {}
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
@@ -61,7 +61,7 @@ class WordIds:
             met.update(words)
             split.append(words)
         new = met - self.ids.keys()
-        if len(self.ids) + len(new) > CACHE:  # keep what these texts use: frequent words are among it
+        if len(self.ids) + len(new) > self.cache:  # keep what these texts use: frequent words are among it
             self.ids = {w: self.ids[w] for w in met & self.ids.keys()}
         if new:
             self._learn(new)
@@ -69,8 +69,9 @@ class WordIds:
         return [b"".join(map(get, w)) if isinstance(w, list) else self._encode([w])[0] for w in split]
 
 
-def word_ids(path: str, literal: bool = False) -> WordIds:
+def word_ids(path: str, literal: bool = False, cache: int = CACHE) -> WordIds:
     """The worker's tokenizer for ``path``."""
-    if (path, literal) not in _held:
-        _held[path, literal] = WordIds(path, literal)
-    return _held[path, literal]
+    key = path, literal, cache
+    if key not in _held:
+        _held[key] = WordIds(*key)
+    return _held[key]
