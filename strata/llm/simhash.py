@@ -23,21 +23,22 @@ linked (fewer edges than members), never all pairs.
 
 Defined results: null and word-less texts have fingerprint 0, which links like
 any other; a text of fewer words than a shingle is one shingle; rows with
-equal ids are rows of one component if their texts link; a null id never
-names a component unless all of its ids are null.
+equal ids are rows of one component if their texts link, and are judged once per
+text otherwise; a null id never names a component unless all of its ids are null.
 """
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, map_rows, materialise
+from .common import ASCII_LOWER, map_rows, materialise, text_of
 from .components import components
 
 SEED, BLOCKS, PIVOTS, TILE = 42, 5, 24, 2048
@@ -71,14 +72,18 @@ def _majority(hashes: np.ndarray) -> int:
     return int(np.packbits(count * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                 digest: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed long; with ``digest`` also the text's SHA-256."""
     def run(cols):
         fps = np.array([fingerprint(t, shingle) for t in cols["text"]], np.uint64).view(np.int64)
-        return {"doc_id": cols["doc_id"], "fp": pa.array(fps)}
+        out = {"doc_id": cols["doc_id"], "fp": pa.array(fps)}
+        if digest:
+            out["text_sha256"] = [hashlib.sha256(t or b"").hexdigest() for t in cols["text"]]
+        return out
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_rows(slim, run, "doc_id long, fp long")
+    return map_rows(slim, run, "doc_id long, fp long" + (", text_sha256 string" if digest else ""))
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -206,14 +211,18 @@ def cluster(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "d
     """(doc_id, fp, component_id), a row per row of ``docs``; component_id is the
     smallest id that chains of links reach, the row's own included."""
     marked = materialise(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    values = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "values")
+    return _with_lowest(marked, F.col("doc_id"), radius).select("doc_id", "fp", F.col("low").alias("component_id"))
+
+
+def _with_lowest(marked: DataFrame, value: Column, radius: int) -> DataFrame:
+    """``marked`` with ``low``, the smallest ``value`` in the component of the row's ``fp``."""
+    values = materialise(marked.groupBy("fp").agg(F.min(value).alias("low")), "values")
     found = components(links(values.select("fp"), radius)).select(F.col("node").alias("fp"), "root")
     rooted = materialise(values.join(found, "fp"), "rooted")
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_low"))
     named = materialise(rooted.join(materialise(lowest, "lowest"), "root").select("fp", "component_low"), "named")
-    own = materialise(values.join(named, "fp", "left")
-                      .select("fp", F.coalesce("component_low", "low").alias("component_id")), "own")
-    return marked.join(own, "fp").select("doc_id", "fp", "component_id")
+    own = materialise(values.join(named, "fp", "left").select("fp", F.coalesce("component_low", "low").alias("low")), "own")
+    return marked.join(own, "fp")
 
 
 def hex_digits(fp: str = "fp"):
@@ -225,15 +234,22 @@ def deduplicate(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str
                 text_col: str = "text") -> DataFrame:
     """``docs`` with one document left of each component: the one whose id names it.
 
-    Of several rows with that id one is left; of a component without any id, one row.
+    Of several texts with that id, or of a component without any id, the text with
+    the smallest SHA-256 is left; of rows alike in id and text, one.
     """
-    rows = materialise(cluster(docs, shingle, radius, id_col, text_col), "clustered")
-    gone = rows.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__gone")), "left_anti")
-    many = materialise(rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-                       .select(F.col("doc_id").alias("__many")), "many")
+    marked = materialise(fingerprints(docs, shingle, id_col, text_col, digest=True), "fingerprints")
+    # nulls sort first in a struct: a null id comes after all others
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_sha256")
+    rows = materialise(_with_lowest(marked, order, radius), "clustered")
+    # rows alike in id and text share a fingerprint, so they go or stay together
+    named = F.col("doc_id").eqNullSafe(F.col("low.doc_id")) & (F.col("text_sha256") == F.col("low.text_sha256"))
+    gone = rows.filter(~named).select(F.col("doc_id").alias("__gone"), F.col("text_sha256").alias("__gone_sha")).distinct()
+    many = materialise(rows.filter(named).groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                       .select(F.col("doc_id").alias("__many"), F.col("text_sha256").alias("__many_sha")), "many")
+    own = docs.withColumn("__id", F.col(id_col).cast("long")).withColumn("__sha", F.sha2(text_of(text_col).cast("binary"), 256))
+    left = own.join(gone, F.col("__id").eqNullSafe(F.col("__gone")) & (F.col("__sha") == F.col("__gone_sha")), "left_anti")
     if many.isEmpty():
-        return left
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__many"))
+        return left.drop("__id", "__sha")
+    same = F.col("__id").eqNullSafe(F.col("__many")) & (F.col("__sha") == F.col("__many_sha"))
     return left.join(many, same, "left_anti").unionByName(
-        left.join(many, same, "left_semi").dropDuplicates([id_col]))
+        left.join(many, same, "left_semi").dropDuplicates(["__id", "__sha"])).drop("__id", "__sha")

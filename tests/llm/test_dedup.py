@@ -162,6 +162,27 @@ def test_near_defined_results(odd):
     assert S.cluster(odd.limit(0)).isEmpty() and S.deduplicate(odd.limit(0)).isEmpty()
 
 
+def test_near_keeps_one_row_of_every_component(spark):
+    """Null and repeated ids whose texts are unrelated are judged text by text."""
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(60))
+    rows = [(None, text(1)), (None, text(2)), (None, text(3)), (9, text(3)),  # a null id that links to 9
+            (7, text(4)), (7, text(5)), (8, text(6)), (8, text(7)), (2, text(7)),  # one text of 8 is a copy of 2's
+            (None, text(8)), (None, text(8)), (4, text(9)), (4, text(9))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("extra", F.lit("e"))
+    left = S.deduplicate(docs)
+    assert left.columns == docs.columns
+    want = [(None, 1), (None, 2), (9, 3), (7, 4), (7, 5), (8, 6), (2, 7), (None, 8), (4, 9)]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in left.collect()))) == sorted(str((i, text(k))) for i, k in want)
+
+
+def test_near_defined_results_keep_unrelated_rows(odd):
+    """Of ODD, rows that share an id but no component stay apart."""
+    got = sorted((str(r.doc_id), r.text or "") for r in S.deduplicate(odd).collect())
+    fps = {(i, t): S.fingerprint((t or "").encode()) for i, t, *_ in ODD}
+    root = brute_components(set(fps.values()), 3)
+    assert len(got) == len({root[f] for f in fps.values()})
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     hub = [(1, i) for i in range(1000, 1400)]
