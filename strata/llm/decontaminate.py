@@ -16,7 +16,8 @@ where adaptive execution splits a hash that very many documents hold.
 
 Defined results: a null or word-less text has no words and no hits, an item
 without words matches nothing; rows with equal ids are told apart by their
-text; equal rows get equal results, one each.
+text; equal rows get equal results, one each.  An item with a null id matches
+like any other: all of them count as one in ``n_items`` and none is listed in ``item_ids``.
 """
 
 from __future__ import annotations
@@ -65,10 +66,12 @@ def winnowed(df: DataFrame, array: str, window: int = WINDOW, k: int = K, out: s
 
 
 def _items(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> DataFrame:
-    """Items that have words: item_id (as text), their words and how many."""
-    return materialise(
-        benchmark.select(F.col(item_col).cast("string").alias("item_id"), words(text_of(text_col)).alias("item_words"))
-        .withColumn("n", F.size("item_words")).filter("n > 0"), "items")
+    """Items that have words: item_id (as text, may be null), their words and how many, and
+    item_key, never null and different for each (id, words)."""
+    held = (benchmark.select(F.col(item_col).cast("string").alias("item_id"), words(text_of(text_col)).alias("item_words"))
+            .distinct().withColumn("n", F.size("item_words")).filter("n > 0"))
+    # fixed by being written
+    return materialise(held.withColumn("item_key", F.monotonically_increasing_id()), "items")
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K, id_col: str = "doc_id",
@@ -84,15 +87,15 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K
     marks = winnowed(items.filter(F.col("n") >= window), "item_words", window, k)
     # explode_outer throughout: for explode the optimiser adds a filter on the array's size and
     # pushes a copy of the whole expression below the projections that share its parts
-    sides.append(marks.select("item_id", "n", F.explode_outer("kept").alias("kept")).select(
-        "item_id", "n", F.col("kept.pos").alias("item_pos"), F.col("kept.hash").alias("hash")))
+    sides.append(marks.select("item_key", "n", F.explode_outer("kept").alias("kept")).select(
+        "item_key", "n", F.col("kept.pos").alias("item_pos"), F.col("kept.hash").alias("hash")))
     kinds.append(F.col("kept"))
     for m in short:
         grams = winnowed(grams, "words", m, m, f"kept{m}")
         # the length goes into the hash, so that kinds don't meet by chance
         own = F.xxhash64(F.lit(m), F.col("kept")[0]["hash"])
         sides.append(winnowed(items.filter(F.col("n") == m), "item_words", m, m)
-                     .select("item_id", "n", F.lit(0).alias("item_pos"), own.alias("hash")))
+                     .select("item_key", "n", F.lit(0).alias("item_pos"), own.alias("hash")))
         kinds.append(F.expr(f"transform(kept{m}, x -> struct(x.pos as pos, xxhash64({m}, x.hash) as hash))"))
     marked = sides[0]
     for s in sides[1:]:
@@ -103,10 +106,10 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K
     probe = grams.select("doc_id", "text_hash", F.explode_outer(F.concat(*kinds, itself)).alias("kept")).select(
         "doc_id", "text_hash", F.col("kept.pos").alias("pos"), F.col("kept.hash").alias("hash"))
     met = probe.join(marked, (probe["hash"] == marked["hash"]) & (probe["pos"] >= 0), "left").filter(
-        "pos < 0 or item_id is not null")
-    met = materialise(met.select("doc_id", "text_hash", "pos", "item_id", "n", "item_pos"), "met")
+        "pos < 0 or item_key is not null")
+    met = materialise(met.select("doc_id", "text_hash", "pos", "item_key", "n", "item_pos"), "met")
     rows = met.filter("pos < 0").select("doc_id", "text_hash", (-F.col("pos") - 1).cast("long").alias("n_words"))
-    lines = materialise(met.filter("pos >= 0").select("doc_id", "text_hash", "item_id", "n",
+    lines = materialise(met.filter("pos >= 0").select("doc_id", "text_hash", "item_key", "n",
                                                       (F.col("pos") - F.col("item_pos")).alias("shift")).distinct(), "lines")
     return rows, _extended(docs, lines, items, window, id_col, text_col)
 
@@ -120,9 +123,9 @@ def _extended(docs: DataFrame, lines: DataFrame, items: DataFrame, window: int,
         F.col("__id"), F.col("__hash"), words(F.col("__text")).alias("__words")).dropDuplicates(["__id", "__hash"]), "held")
     # only the stretch that lies along the item goes on
     along = lines.join(held, lines["doc_id"].eqNullSafe(held["__id"]) & (lines["text_hash"] == held["__hash"])).select(
-        "doc_id", "text_hash", "item_id", "shift",
+        "doc_id", "text_hash", "item_key", "shift",
         F.expr("slice(__words, greatest(shift, 0) + 1, n)").alias("stretch"))
-    both = along.join(items, "item_id").withColumn("apart", F.expr(
+    both = along.join(items, "item_key").withColumn("apart", F.expr(
         "concat(array(-1), filter(sequence(0, n - 1), j -> not coalesce(get(stretch, j + least(shift, 0)) = item_words[j], false)),"
         " array(n))"))
     runs = F.expr(f"filter(transform(sequence(0, size(apart) - 2), i -> struct(apart[i] + 1 as first, apart[i + 1] - 1 as last)),"
@@ -133,21 +136,22 @@ def _extended(docs: DataFrame, lines: DataFrame, items: DataFrame, window: int,
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """doc_id, text_hash, n_words, n_hit (words inside a shared window), n_items,
-    item_ids (sorted as text), contaminated; a row per row of ``docs``."""
+    """doc_id, text_hash, n_words, n_hit (words inside a shared window), n_items (distinct ids, null
+    among them), item_ids (sorted as text, without null), contaminated; a row per row of ``docs``."""
     rows, runs = hits(docs, benchmark, **options)
     runs = materialise(runs.distinct(), "runs")
     key = ["doc_id", "text_hash"]
     covered = (runs.select(*key, F.explode(F.sequence("first", "last")).alias("place")).distinct()
                .groupBy(*key).agg(F.count(F.lit(1)).alias("n_hit")))
-    found = runs.groupBy(*key).agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
+    found = runs.groupBy(*key).agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"),
+                                    F.max(F.col("item_id").isNull().cast("int")).alias("unnamed"))
     per = materialise(covered.alias("c").join(found.alias("f"), F.col("c.doc_id").eqNullSafe(F.col("f.doc_id"))
                                   & (F.col("c.text_hash") == F.col("f.text_hash")))
-                      .select("c.doc_id", "c.text_hash", "n_hit", "item_ids"), "per-document")
+                      .select("c.doc_id", "c.text_hash", "n_hit", "item_ids", "unnamed"), "per-document")
     r, p = rows.alias("r"), per.alias("p")
     out = r.join(p, F.col("r.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("r.text_hash") == F.col("p.text_hash")), "left")
     return out.select("r.doc_id", "r.text_hash", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-                      F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
+                      F.coalesce(F.size("item_ids") + F.col("unnamed"), F.lit(0)).cast("long").alias("n_items"),
                       F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
                       F.col("n_hit").isNotNull().alias("contaminated"))
 

@@ -73,6 +73,20 @@ def test_defined_results(spark):
     assert D.report(docs, items.limit(0)).filter("contaminated").isEmpty()
 
 
+@pytest.mark.parametrize("rows", [1_000_000, 0])
+def test_items_without_id_count(spark, monkeypatch, rows):
+    monkeypatch.setattr(D, "BROADCAST_ROWS", rows)
+    one, two, three = (" ".join(f"{c}{i}" for i in range(12)) for c in "abc")
+    docs = spark.createDataFrame([(1, "x " + one), (2, f"{two} y {three}"), (3, "z"), (4, f"{one} {two}"), (5, "tiny bit")],
+                                 "doc_id long, text string")
+    # item 1 has two texts; a null id names a long item twice and a short one
+    items = spark.createDataFrame([(None, one), (None, one), (1, two), (1, three), (None, "bit"), (None, "!!")],
+                                  "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.item_ids, r.contaminated) for r in D.report(docs, items).collect()}
+    assert got == {1: (12, 1, [], True), 2: (24, 1, ["1"], True), 3: (0, 0, [], False), 4: (24, 2, ["1"], True), 5: (1, 1, [], True)}
+    assert [r.doc_id for r in D.decontaminate(docs, items).collect()] == [3]
+
+
 def test_winnowing_guarantee(spark):
     """Any run of `window` k-grams keeps at least one."""
     df = spark.createDataFrame([(" ".join(random.Random(4).choice("abcde") for _ in range(200)).split(),)], "w array<string>")
