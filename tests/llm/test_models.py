@@ -41,6 +41,14 @@ def test_quality_separates_held_out_rows(tables):
     assert kept == {i for i, s in got.items() if s >= 0.3}
 
 
+def test_compressibility_reads_the_tail():
+    at = [quality.FEATURES.index(k) for k in ("packed", "packed_low")]
+    body, junk = np.random.default_rng(2).bytes(2048), b"z" * 1000
+    plain, tail = quality.features(body), quality.features(body + junk)
+    assert all(tail[k] < plain[k] - 0.2 for k in at)
+    assert quality.features(b"ab")[at[0]] == quality.features(b"ab")[at[1]] > 0
+
+
 def test_preference_pairs_order_scores():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, 5))
