@@ -5,7 +5,8 @@ share, contiguous or not: a subsequence that spans ``s`` characters weighs
 ``DECAY ** s``, up to ``SPAN``.  So an insult with inserted, dropped or appended
 characters stays close to the plain one.  Strings are the words of a sentence
 with a boundary mark at either end; runs of single characters ("i d i o t")
-are joined first, and long words are cut into overlapping windows.
+are joined first, and long words are cut into overlapping windows, all of which
+are trained on and scored.
 
 Training (on labelled sentences, by multiple-instance rounds): a sentence has the
 label of its document.  Words that toxic documents hold far more often than chance allows
@@ -30,7 +31,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,7 +42,7 @@ from .common import ASCII_LOWER, map_rows
 from .quality import training_rows
 
 SPAN, DECAY, WIDTH = 6, 0.5, 24
-MAX_ROWS, LANDMARKS, NEGATIVES, ROUNDS, RIDGE = 2500, 400, 8000, 3, 1e-2
+MAX_ROWS, LANDMARKS, NEGATIVES, ROUNDS, RIDGE = 4000, 400, 8000, 4, 1e-2
 CACHE = 1_000_000
 #: gaps (d1, d2) between the three places of a subsequence
 _STEPS = [(a, b) for a in range(1, SPAN) for b in range(1, SPAN) if a + b < SPAN]
@@ -81,12 +82,17 @@ def units(text: bytes | None) -> set[bytes]:
     return met
 
 
+def _cut(word: bytes) -> list[bytes]:
+    """The overlapping windows of a word, itself if it is short."""
+    return [word[at:at + WIDTH] for at in range(0, max(1, len(word) - WIDTH // 2), WIDTH // 2)]
+
+
 def _windows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Symbol codes, a row of ``WIDTH + 2`` per window of a word, and each row's word."""
     rows, owner = [], []
     for i, w in enumerate(words):
-        for at in range(0, max(1, len(w) - WIDTH // 2), WIDTH // 2):
-            rows.append(w[at:at + WIDTH])
+        for part in _cut(w):
+            rows.append(part)
             owner.append(i)
     lengths = np.fromiter(map(len, rows), np.int64, len(rows))
     codes = np.zeros((len(rows), WIDTH + 2), np.int32)
@@ -135,19 +141,24 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -30, 30)))
 
 
-def _newton_svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
-    """Linear SVM with squared hinge loss; the bias is a feature that isn't shrunk much."""
-    x = np.concatenate([z, np.ones((len(z), 1))], axis=1)
+def _newton_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """Linear SVM with squared hinge loss; the last column of ``x`` is 1, and its weight, the bias, isn't shrunk much."""
     ridge = RIDGE * np.eye(x.shape[1])
     ridge[-1, -1] *= 1e-3
     w, kept = np.zeros(x.shape[1]), None
     for _ in range(30):
-        on = y * (x @ w) < 1
+        on = np.concatenate([y[at:at + 1024] * (x[at:at + 1024].astype(float) @ w) < 1 for at in range(0, len(x), 1024)])
         if kept is not None and (on == kept).all():
             break
         kept = on
-        xs = x[on] * weight[on, None]
-        w = np.linalg.solve(xs.T @ x[on] + ridge, xs.T @ y[on])
+        inside, left, right = np.flatnonzero(on), ridge.copy(), np.zeros(x.shape[1])
+        for at in range(0, len(inside), 1024):  # a copy of a few rows at a time
+            k = inside[at:at + 1024]
+            rows = x[k].astype(float)
+            weighed = rows * weight[k, None]
+            left += weighed.T @ rows
+            right += weighed.T @ y[k]
+        w = np.linalg.solve(left, right)
     return w[:-1], float(w[-1])
 
 
@@ -167,41 +178,9 @@ def _logistic(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(1e-3, float(w[0])), float(w[1])
 
 
-class _Nystroem:
-    """Coordinates of words in the span of some landmark words."""
-
-    def __init__(self, landmarks: list[bytes]):
-        codes, owner = _windows(landmarks)
-        t, w = _triples(codes)
-        self.known = np.unique(t[t > 0])
-        self.column = np.zeros(1 << 18, np.int32)
-        self.column[self.known] = np.arange(1, len(self.known) + 1)
-        phi = np.zeros((len(landmarks), len(self.known) + 1))
-        np.add.at(phi, (owner[:, None], self.column[t]), w)
-        phi[:, 0] = 0
-        values, vectors = np.linalg.eigh(phi @ phi.T)
-        keep = values > 1e-5 * values.max()
-        self.project = (phi.T @ (vectors[:, keep] / np.sqrt(values[keep]))).astype(np.float32)
-
-    def embed(self, words: list[bytes]) -> np.ndarray:
-        """A row per word, of a long one its first window."""
-        parts = [np.zeros((0, self.project.shape[1]))]
-        for at in range(0, len(words), 32):
-            codes, _ = _windows([w[:WIDTH] for w in words[at:at + 32]])
-            t, w = _triples(codes)
-            parts.append(np.einsum("wt,wtd->wd", w.astype(np.float32), self.project[self.column[t]]).astype(float))
-        return np.concatenate(parts)
-
-    def collapse(self, u: np.ndarray) -> np.ndarray:
-        """Weights per subsequence that score like ``u`` on the coordinates."""
-        weights = np.zeros(1 << 18, np.float32)
-        weights[self.known] = (self.project @ u)[1:]
-        return weights
-
-
-def _independent(docs: list[set[bytes]], bands: int = 6, rows: int = 4) -> list[int]:
+def _independent(docs: list[np.ndarray], crc: np.ndarray, bands: int = 6, rows: int = 4) -> list[int]:
     """One of each group of near copies: documents that meet in a band of ``rows``
-    smallest hashes and have over half of their words in common."""
+    smallest hashes and have over half of their strings in common."""
     parent = list(range(len(docs)))
 
     def root(i):
@@ -213,18 +192,29 @@ def _independent(docs: list[set[bytes]], bands: int = 6, rows: int = 4) -> list[
     factor = np.random.default_rng(3).integers(1, 1 << 62, bands * rows).astype(np.uint64) * np.uint64(2) + np.uint64(1)
     first: dict = {}
     for i, d in enumerate(docs):
-        h = np.array([zlib.crc32(w) + 1 for w in d] or [0], np.uint64)
-        low = (h[:, None] * factor[None, :] >> np.uint64(16)).min(axis=0).reshape(bands, rows)
+        h = crc[d] + np.uint64(1) if len(d) else np.zeros(1, np.uint64)
+        low = np.array([(h * f >> np.uint64(16)).min() for f in factor], np.uint64).reshape(bands, rows)
         for k in range(bands):
             other = first.setdefault((k, low[k].tobytes()), i)
-            if 2 * len(d & docs[other]) > len(d | docs[other]):
+            both = len(np.intersect1d(d, docs[other], assume_unique=True))
+            if 2 * both > len(d) + len(docs[other]) - both:
                 a, b = root(i), root(other)
                 parent[max(a, b)] = min(a, b)
     return [i for i in range(len(docs)) if root(i) == i]
 
 
+def _numbered(docs: Iterable[Iterable[bytes]]) -> tuple[list[bytes], list[np.ndarray]]:
+    """The distinct windows of all documents in order, and each document's, as sorted places in that list."""
+    met: dict[bytes, int] = {}
+    held = [np.array(list({met.setdefault(p, len(met)) for w in d for p in _cut(w)}), np.int32) for d in docs]
+    strings = sorted(met)
+    place = np.zeros(len(strings), np.int32)
+    place[np.fromiter((met[w] for w in strings), np.int64, len(strings))] = np.arange(len(strings))
+    return strings, [np.sort(place[d]) for d in held]
+
+
 class _Nystroem:
-    """Coordinates of words in the span of some landmark words."""
+    """Coordinates of windows in the span of some landmark windows."""
 
     def __init__(self, landmarks: list[bytes]):
         codes, owner = _windows(landmarks)
@@ -232,21 +222,36 @@ class _Nystroem:
         self.known = np.unique(t[t > 0])
         self.column = np.zeros(1 << 18, np.int32)
         self.column[self.known] = np.arange(1, len(self.known) + 1)
-        phi = np.zeros((len(landmarks), len(self.known) + 1))
-        np.add.at(phi, (owner[:, None], self.column[t]), w)
-        phi[:, 0] = 0
-        values, vectors = np.linalg.eigh(phi @ phi.T)
+        rows, cols, w = np.repeat(owner, t.shape[1]), self.column[t].ravel(), w.ravel()
+        order = np.argsort(cols, kind="stable")
+        rows, cols, w = rows[order], cols[order], w[order]
+
+        def blocks(size=2048):  # the dense table of subsequences by landmarks, some columns at a time; column 0 is padding
+            for low in range(1, len(self.known) + 1, size):
+                high = min(low + size, len(self.known) + 1)
+                a, b = np.searchsorted(cols, [low, high])
+                phi = np.zeros((len(landmarks), high - low))
+                np.add.at(phi, (rows[a:b], cols[a:b] - low), w[a:b])
+                yield low, high, phi
+
+        gram = np.zeros((len(landmarks), len(landmarks)))
+        for _, _, phi in blocks():
+            gram += phi @ phi.T
+        values, vectors = np.linalg.eigh(gram)
         keep = values > 1e-5 * values.max()
-        self.project = (phi.T @ (vectors[:, keep] / np.sqrt(values[keep]))).astype(np.float32)
-
-    def embed(self, words: list[bytes]) -> np.ndarray:
-        """A row per word, of a long one its first window."""
-        parts = [np.zeros((0, self.project.shape[1]))]
-        for at in range(0, len(words), 128):
-            codes, _ = _windows([w[:WIDTH] for w in words[at:at + 128]])
+        whiten = vectors[:, keep] / np.sqrt(values[keep])
+        self.project = np.zeros((len(self.known) + 1, int(keep.sum())), np.float32)
+        for low, high, phi in blocks():
+            self.project[low:high] = phi.T @ whiten
+
+    def embed(self, windows: list[bytes]) -> np.ndarray:
+        """A row per window, its last column 1."""
+        out = np.ones((len(windows), self.project.shape[1] + 1), np.float32)
+        for at in range(0, len(windows), 32):
+            codes, _ = _windows(windows[at:at + 32])
             t, w = _triples(codes)
-            parts.append(np.einsum("wt,wtd->wd", w.astype(np.float32), self.project[self.column[t]]).astype(float))
-        return np.concatenate(parts)
+            out[at:at + 32, :-1] = np.einsum("wt,wtd->wd", w.astype(np.float32), self.project[self.column[t]])
+        return out
 
     def collapse(self, u: np.ndarray) -> np.ndarray:
         """Weights per subsequence that score like ``u`` on the coordinates."""
@@ -255,51 +260,53 @@ class _Nystroem:
         return weights
 
 
-def fit(docs: list[set[bytes]], toxic: np.ndarray) -> Model:
+def fit(docs: Iterable[Iterable[bytes]], toxic: np.ndarray) -> Model:
     """``docs``: the distinct words of each training document.  Near copies count once."""
-    chosen = _independent(docs)
+    strings, docs = _numbered(docs)
+    chosen = _independent(docs, np.array([zlib.crc32(w) for w in strings], np.uint64))
     docs, toxic = [docs[i] for i in chosen], toxic[chosen]
     if toxic.all() or not toxic.any():
         return Model(np.zeros(1 << 18), 0.0, 1.0, -30.0, 0)
-    bad, good = Counter(), Counter()
-    for words, t in zip(docs, toxic):
-        (bad if t else good).update(words)
+    bad, good = (np.bincount(np.concatenate([d for d, t in zip(docs, toxic) if t == which]), minlength=len(strings))
+                 for which in (True, False))
     n_bad, n_good = int(toxic.sum()), int((~toxic).sum())
-    # words of so many documents, to tell a word that only toxic documents hold from chance
-    alike = Counter(bad[w] + good[w] for w in bad.keys() | good.keys())
+    # strings of so many documents, to tell one that only toxic documents hold from chance
+    alike = np.bincount(bad + good)
     chance = math.log((n_bad + n_good) / n_bad)
+    # log odds against meeting such a string by chance
+    telling_by = bad * chance - np.log(20 * np.maximum(1, alike[bad + good]))
+    rarely = good * n_bad <= 0.02 * bad * n_good
 
-    def telling_by(w):  # log odds against meeting such a word by chance
-        return bad[w] * chance - math.log(20 * alike[bad[w] + good[w]])
+    def ranked_by(among, value):  # places with the largest value first, equal ones in order
+        at = np.flatnonzero(among)
+        return at[np.argsort(-value[at], kind="stable")].tolist()
 
-    rarely = lambda w: good[w] * n_bad <= 0.02 * bad[w] * n_good
-    ranked = sorted((w for w in bad if rarely(w)), key=lambda w: (-telling_by(w), w))
-    telling = [w for w in ranked if telling_by(w) > 0][:LANDMARKS] or ranked[:8]
+    ranked = ranked_by((bad > 0) & rarely, telling_by)
+    telling = [k for k in ranked if telling_by[k] > 0][:LANDMARKS] or ranked[:8]
     if not telling:
         return Model(np.zeros(1 << 18), 0.0, 1.0, -30.0, 0)
-    clean = sorted(good, key=lambda w: (-good[w], w))
+    clean = ranked_by(good > 0, good)
     negatives = list(dict.fromkeys([*clean[:LANDMARKS], *clean[::max(1, len(clean) // NEGATIVES)]]))
-    all_words = sorted(bad.keys() | good.keys())
-    positives, hard = telling, []
+    positives, hard, known = telling, [], np.array(telling)
     for _ in range(ROUNDS):
         landmarks = dict.fromkeys([*telling, *hard[:LANDMARKS], *negatives[::max(1, len(negatives) * 4 // LANDMARKS)]])
-        space = _Nystroem(list(landmarks))
-        z = np.concatenate([space.embed(positives), space.embed(negatives)])
+        space = _Nystroem([strings[k] for k in landmarks])
+        x = space.embed([strings[k] for k in (*positives, *negatives)])
         y = np.concatenate([np.ones(len(positives)), -np.ones(len(negatives))])
         even = np.concatenate([np.full(len(positives), 0.25 * len(y) / len(positives)), np.full(len(negatives), 0.75 * len(y) / len(negatives))])
-        u, bias = _newton_svm(z, y, even)
+        u, bias = _newton_svm(x, y, even)
         model = Model(space.collapse(u), bias, 1.0, 0.0, 0)
-        margin = dict(zip(all_words, model.margins(all_words).tolist()))
-        # of toxic documents without a telling word, the worst word, if it looks like the positives so far
-        known = set(telling)
-        witness = {max(d, key=lambda w: (margin[w], w)) for d, t in zip(docs, toxic) if t and d and not d & known}
-        positives = [*telling, *sorted(w for w in witness if margin[w] > 0 and rarely(w))]
-        # clean words that score too high join the negatives and the landmarks
+        del space, x
+        margin = model.margins(strings)
+        # of toxic documents without a telling string, the worst one, if it looks like the positives so far
+        witness = {int(d[::-1][np.argmax(margin[d[::-1]])]) for d, t in zip(docs, toxic) if t and len(d) and not np.isin(d, known).any()}
+        positives = [*telling, *sorted(k for k in witness if margin[k] > 0 and rarely[k])]
+        # clean strings that score too high join the negatives and the landmarks
         taken = set(positives)
-        worse = [w for w in sorted(good, key=lambda w: (-margin[w], w))[:NEGATIVES // 4] if w not in taken and not rarely(w)]
+        worse = [k for k in ranked_by(good > 0, margin)[:NEGATIVES // 4] if k not in taken and not rarely[k]]
         negatives = list(dict.fromkeys([*negatives, *worse]))
         hard = list(dict.fromkeys([*worse[:LANDMARKS // 3], *hard]))
-    worst = np.array([max((margin[w] for w in d), default=-3.0) for d in docs])
+    worst = np.array([margin[d].max() if len(d) else -3.0 for d in docs])
     model.slope, model.shift = _logistic(worst, toxic)
     model.name = zlib.crc32(model.weights.tobytes() + str(model.bias).encode())
     return model
@@ -312,17 +319,13 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
 
     def run(cols):
         return {"doc_id": cols["doc_id"], "label": cols["label"],
-                "words": [b" ".join(sorted(w[:100] for w in units(t))).decode("utf-8", "replace") for t in cols["text"]]}
+                "words": [b" ".join(sorted(units(t))).decode("utf-8", "replace") for t in cols["text"]]}
 
     got = sorted((r["doc_id"], r["label"], r["words"])
                  for r in map_rows(rows, run, "doc_id long, label int, words string").collect())
     toxic = np.array([label == 1 for _, label, _ in got], bool)
-    same: dict[bytes, bytes] = {}  # one object per distinct word
     got.reverse()
-    sets = []
-    while got:
-        sets.append({same.setdefault(w, w) for w in got.pop()[2].encode().split()})
-    return fit(sets, toxic)
+    return fit((got.pop()[2].encode().split() for _ in range(len(got))), toxic)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

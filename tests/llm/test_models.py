@@ -99,6 +99,20 @@ def test_toxicity_tolerates_gaps_and_insertions():
     assert sum(s >= 0.5 for s in clean) <= 4
 
 
+def test_toxicity_learns_from_every_window_of_a_long_word():
+    """The insult lies 150 bytes into texts without white space, beyond any prefix."""
+    rng = random.Random(5)
+    syllables = ["er", "on", "tha", "re", "in", "li", "mo", "su", "da", "pe"]
+    solid = lambda n: "".join(rng.choice(syllables) for _ in range(n))
+    docs = [{(solid(80) + ("blockhead" if k % 3 == 0 else "") + solid(20)).encode()} for k in range(900)]
+    model = toxicity.fit(docs, np.array([k % 3 == 0 for k in range(900)]))
+    score = lambda t: float(model.scores(model.margins([t.encode()]))[0])
+    bad = [score(solid(80) + "blockhead" + solid(20)) for _ in range(100)]
+    clean = [score(solid(100)) for _ in range(100)]
+    assert np.mean(bad) > np.mean(clean) + 0.3
+    assert (toxicity.MAX_ROWS, toxicity.ROUNDS) == (4000, 4)
+
+
 def test_toxicity_on_tables(tables, odd):
     docs, labels = tables
     model = toxicity.learn(docs, labels)
