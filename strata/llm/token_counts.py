@@ -49,6 +49,8 @@ def write_flat(docs: DataFrame, folder: str, tokenizer: str, end_id: int, file_t
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes token files under ``folder`` (shared by all executors) and returns what
     they were made of: (file, ordinal, doc_id), evaluated once."""
+    if not 0 <= end_id < 1 << 16:
+        raise ValueError("token files hold ids of 16 bits")
     end = np.array([end_id], "<u2").tobytes()
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
@@ -67,7 +69,10 @@ def write_flat(docs: DataFrame, folder: str, tokenizer: str, end_id: int, file_t
                                 out.close()
                             name, ordinal, written = uuid.uuid4().hex + ".tokens", 0, 0
                             out = store.open_output_stream(f"{root}/{name}")
-                        data = np.frombuffer(tokens, "<u4").astype("<u2").tobytes() + end
+                        own = np.frombuffer(tokens, "<u4")
+                        if own.size and (own.max() >= 1 << 16 or (own == end_id).any()):
+                            raise ValueError("a text has ids beyond 16 bits, or the end id itself")
+                        data = own.astype("<u2").tobytes() + end
                         out.write(data)
                         rows["file"].append(name)
                         rows["ordinal"].append(ordinal)
@@ -120,7 +125,7 @@ def stitch(blocks: DataFrame, block_tokens: int = BLOCK_TOKENS, group: int = GRO
     at = F.col("block") * block_tokens
     each = blocks.select("file", "block", F.floor(F.col("block") / group).alias("group"),
                          F.size("ends").cast("long").alias("n"),
-                         (at + F.element_at("ends", -1)).alias("last"), (at + F.col("n_tokens")).alias("size"))
+                         (at + F.get("ends", F.size("ends") - 1)).alias("last"), (at + F.col("n_tokens")).alias("size"))
     groups = each.groupBy("file", "group").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
 
     def before(*keys, order):  # what lies ahead of a row: separators, and the place of the last one
@@ -145,7 +150,8 @@ def stitch(blocks: DataFrame, block_tokens: int = BLOCK_TOKENS, group: int = GRO
         "file", "ordinal", "start", (F.col("stop") - F.col("start")).alias("n_tokens"), "closed")
 
 
-def count(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def count(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
+          block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """(doc_id, n_tokens) of every row of ``docs``, by way of flat token files."""
     spark = docs.sparkSession
     folder = scratch_path(spark, "llm-tokens")
@@ -155,5 +161,6 @@ def count(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id",
     if order.isEmpty():
         return order.select("doc_id", F.lit(0).cast("long").alias("n_tokens"))
     written = order.select("file").distinct()  # files of tasks that failed are not in it
-    blocks = materialise(scan_blocks(list_files(spark, folder).join(written, "file", "left_semi"), end_id), "token-blocks")
-    return order.join(stitch(blocks), ["file", "ordinal"]).select("doc_id", "n_tokens")
+    blocks = materialise(scan_blocks(list_files(spark, folder).join(written, "file", "left_semi"), end_id, block_tokens),
+                         "token-blocks")
+    return order.join(stitch(blocks, block_tokens), ["file", "ordinal"]).select("doc_id", "n_tokens")

@@ -31,6 +31,22 @@ def test_word_cache_equals_whole_text(tokenizer):
     assert got == want
 
 
+@pytest.mark.parametrize("cache", [40, 100_000])
+def test_word_cache_on_random_words(tokenizer, cache):
+    rng = random.Random(cache)
+    parts = ["an", "der", "é", "À", "ß", "ÿ", "×", "İ", "ő", "s", "'", "'s", ".", ",", "...", "%%%", "-", "3", "—", "́", "日", "<|", "|>", "<"]
+    for literal in (False, True):
+        own = parts if literal else parts[:-3]  # texts that may name a special token go whole
+        texts = [" ".join("".join(rng.choices(own, k=rng.randint(1, 5))) for _ in range(300)) for _ in range(40)]
+        ids = WordIds(word_vocabulary(), literal, cache)
+        tokenizer.encode_special_tokens = literal
+        for at in range(0, 40, 4):
+            want = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts[at:at + 4], add_special_tokens=False)]
+            assert ids.encode([t.encode() for t in texts[at:at + 4]]) == want
+        assert ids.agree
+    tokenizer.encode_special_tokens = False
+
+
 def test_growing_moves_rows_into_the_new_shard_only(spark):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     rows = sharding.assign(docs, [1.0] * 10, grown_weight=1.0).collect()
@@ -151,3 +167,18 @@ def test_stitching_across_blocks(spark, tmp, block, group):
     blocks = token_counts.scan_blocks(token_counts.list_files(spark, tmp), 9, block).cache()
     got = sorted(tuple(r) for r in token_counts.stitch(blocks, block, group).collect())
     assert got == sorted(want)
+
+
+def test_texts_over_several_blocks(spark):
+    docs = spark.createDataFrame([(1, "word " * 500), (2, None), (3, "a b c"), (4, "word " * 64)], "doc_id long, text string")
+    got = token_counts.count(docs.coalesce(1), word_vocabulary(), 49407, block_tokens=64)
+    assert sorted(map(tuple, got.collect())) == [(1, 500), (2, 0), (3, 3), (4, 64)]
+
+
+def test_token_ids_that_do_not_fit(spark):
+    docs = spark.createDataFrame([(1, "word")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        token_counts.count(docs, word_vocabulary(), 70_000)
+    own = WordIds(word_vocabulary()).encode([b"word"])[0]
+    with pytest.raises(Exception, match="the end id itself"):
+        token_counts.count(docs, word_vocabulary(), int.from_bytes(own, "little")).collect()
