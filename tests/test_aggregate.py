@@ -9,7 +9,8 @@ def test_pivot_share(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "y"), ("b", "x"), ("b", "q")], "r string, c string")
     rows = {r.r: r for r in A.pivot_share(df, "r", "c", ["x", "y"]).collect()}
     assert (rows["a"].n_x, rows["a"].n_y, rows["a"].n_total, rows["a"].share_y) == (1, 2, 3, 0.6667)
-    assert (rows["b"].n_x, rows["b"].n_y, rows["b"].n_total) == (1, 0, 1)
+    b = rows["b"]
+    assert (b.n_x, b.n_y, b.n_other, b.n_total, b.share_x, b.share_y, b.share_other) == (1, 0, 1, 2, 0.5, 0.0, 0.5)
 
 
 def test_null_profile(spark):
