@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.tables import table
-from . import (decontaminate, exact_dedup, licenses, lm_score, packing, quality, sharding, simhash, token_counts,
-               toxicity)
+from . import (decontaminate, exact_dedup, licenses, lm_score, mixing, packing, phrases, quality, resample, sharding,
+               simhash, token_counts, toxicity)
 from .common import held_out, materialise, number_within, text_of
 from .tokenise import word_vocabulary
 
@@ -112,3 +112,42 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d
 FROM d JOIN g USING (t)""")
 def op10(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.decide(table(spark, d, "documents"))
+
+
+def _runs(k: int) -> str:
+    """Every run of k words of a piece, from the pieces' word lists ``p``."""
+    return (f"SELECT lang, {k} AS m, array_to_string(w[i : i + {k - 1}], ' ') AS phrase FROM "
+            f"(SELECT lang, w, unnest(generate_series(1, len(w) - {k - 1})) AS i FROM p WHERE len(w) >= {k})")
+
+
+@register("op11_phrase_collocations", f"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM t),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM ({" UNION ALL ".join(_runs(k) for k in range(1, 5))}) GROUP BY lang, m, phrase HAVING count(*) >= 30),
+c AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+inner_runs AS (SELECT lang, a, array_to_string(w[i : i + k - 1], ' ') AS phrase FROM
+  (SELECT lang, a, w, k, unnest(generate_series(1, m - k + 1)) AS i FROM (SELECT *, unnest(generate_series(2, m - 1)) AS k FROM c WHERE m > 2))),
+longer AS (SELECT lang, phrase, max(a) AS longer FROM inner_runs GROUP BY lang, phrase),
+kept AS (SELECT c.* FROM c LEFT JOIN longer USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(w[1 : k], ' ') AS first, array_to_string(w[k + 1 : m], ' ') AS rest
+  FROM (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM kept)),
+scored AS (SELECT cuts.lang, cuts.phrase, cuts.a, k, x.a AS l, y.a AS r, CAST((CAST(cuts.a AS HUGEINT) * 2000000) // (x.a + y.a) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = first JOIN f y ON y.lang = cuts.lang AND y.phrase = rest),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000""")
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    return phrases.collocations(table(spark, d, "documents"), support=30, longest=4, inside=80, top=2000)
+
+
+@register("op12_mixing")
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    taken = mixing.plan(table(spark, d, "documents"), [5, 2, 1], most=3.0)
+    return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@register("op13_importance_resampling")
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    return resample.resample(table(spark, d, "documents"), table(spark, d, "benchmark"), percent=10, least_words=20, seed=2024,
+                             low=1, high=1, buckets=10_000)
