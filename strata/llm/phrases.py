@@ -2,26 +2,29 @@
 
 A *phrase* is a run of consecutive words of one piece of text.  It is wanted if
 it occurs at least ``support`` times in its language.  Documents are dealt to
-shards by a hash of their id.  If a language has ``N`` words and a shard
-``N_s`` of them, a phrase with ``support`` occurrences has at least
-``support * N_s / N`` of them in some shard, so:
+shards by blocks of ids.  If a language has ``N`` words and a shard ``N_s`` of them, a phrase with
+``support`` occurrences has at least ``support * N_s / N`` of them in some shard, so:
 
-1. every shard is mined completely at that lowered support, level by level
-   (words, then phrases of two words, ...; a phrase is counted only if the two
-   phrases one word shorter are locally frequent);
+1. every shard is mined completely at that lowered support: words first, then
+   phrases of two words that are both locally frequent, then those of three
+   and more whose pairs are;
 2. the union over shards of what is locally frequent are the candidates;
 3. all candidates are counted over the whole corpus, exactly.
 
 A shard is a share of the corpus, not a task: it is mined by one distributed
-aggregation on (shard, language, phrase), so a shard may have any size, and no
+aggregation on (shard and language, phrase), so a shard may have any size, and no
 task holds one.  The number of shards follows the support, not the data: with
 more than half as many shards as the support, the local support falls to one
 and the shards no longer discard anything.
 
+Mining goes by 64-bit hashes of phrases.  Two phrases with one hash count
+together there, so a frequent phrase is never missed; at worst a rare one becomes a candidate.
 What is frequent at one level reaches the tasks of the next as a bitmap of
-``2 ** bits`` hashed places, whatever the number of phrases.  Two phrases that
-share a place only cost needless counting: counts are taken of phrases, not
-hashes, and tested against the support afterwards.
+``2 ** bits`` hashed places, whatever the number of phrases, which errs to the
+same side.  The count in step 3 is of the phrases themselves.
+
+Within a task the words of some MB of text are one array of hashes, and
+phrases, tests and counts are array operations on it.
 
 Defined results: null text counts as empty, null language as ``und``; repeated
 rows count each; an empty table gives no phrases.  Texts are read in blocks cut
@@ -31,9 +34,9 @@ a short one (but for a single word).
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -43,18 +46,22 @@ from pyspark.sql import functions as F
 from .common import ASCII_LOWER, materialise, slices
 
 SHARDS, BITS = 10, 26
-#: different phrases that a task counts before it hands the counts on
-HELD = 400_000
-#: bytes of one text that are split into words at a time
+#: documents whose ids agree but for so many last bits go to the same shard: they tend to be
+#: in the same task, which then counts more of a shard's phrases together
+ID_BITS = 14
+#: occurrences that a task counts together before it hands the counts on
+HELD = 3_000_000
+#: bytes of text that are split into words at a time
 BLOCK = 1 << 22
-#: bits of one row of Spark's bitmap aggregate
-ROW_BITS = 32768
 UNKNOWN = "und"
 
 # a piece ends at one of these; no word holds them, so a full stop can stand for all
 _END = b"."
 _FLAT = bytes(46 if chr(c) in ".,;:!?\n\v\f\r" else 32 if c == 9 else c for c in ASCII_LOWER)
-_SCHEMA = pa.schema([("grp", pa.string()), ("phrase", pa.string()), ("a", pa.int64())])
+_U = np.uint64
+# The constants of XXH64
+_P1, _P2, _P3 = _U(11400714785074694791), _U(14029467366897019727), _U(1609587929392839161)
+_P4, _P5 = _U(9650029242287828579), _U(2870177450012600261)
 
 
 def _words(text: bytes | None, most: int) -> Iterator[tuple[int, list[bytes]]]:
@@ -81,88 +88,172 @@ def _words(text: bytes | None, most: int) -> Iterator[tuple[int, list[bytes]]]:
         kept = (kept + words)[-(most - 1):] if most > 1 else []
 
 
-def _frequent(bitmap: bytes, group: bytes, mask: int, known: dict[bytes, int] | None):
-    """Whether a phrase's place in the bitmap is set; ``known`` holds what was asked before."""
-    seed = xxhash.xxh64_intdigest(group, 42)
-
-    def ask(phrase: bytes) -> int:
-        place = xxhash.xxh64_intdigest(phrase, seed) & mask
-        return bitmap[place >> 3] >> (place & 7) & 1
-
-    def remember(phrase: bytes) -> int:
-        got = known.get(phrase)
-        if got is None:
-            got = known[phrase] = ask(phrase)
-        return got
-
-    return ask if known is None else remember
-
-
-def _phrases(words: list[bytes], first: int, longest: int, below, exact: bool) -> Iterator[tuple[int, list[bytes]]]:
-    """(start, phrase) lists by length from ``first`` to ``longest``.  ``below[k]`` tells which
-    phrases of k words are frequent; with ``exact`` phrases of the last length are asked too."""
-    held: list = [None if w == _END else w for w in words]
-    for k in range(1, longest + 1):
-        if k > 1:
-            held = [a + b" " + words[i] if a is not None and b is not None else None
-                    for i, (a, b) in enumerate(zip(held, held[1:]), k - 1)]
-        if k < longest or exact:
-            ask = below[k]
-            held = [g if g is not None and ask(g) else None for g in held]
-        if k >= first:
-            yield k, held
-
-
-def _counted(texts: DataFrame, first: int, longest: int, bitmaps: dict, bits: int, exact: bool, group: str) -> DataFrame:
-    """(grp, phrase, a): occurrences of phrases of ``first`` to ``longest`` words by ``group``."""
-    mask = (1 << bits) - 1
-    carried = {k: texts.sparkSession.sparkContext.broadcast(b) for k, b in bitmaps.items()}
-    slim = texts.select(group, "text")
-
-    def rows(counts):
-        for g, c in counts.items():
-            c.pop(None, None)
-            phrases, numbers = list(c), list(c.values())
-            for at in range(0, len(phrases), 100_000):
-                part = phrases[at:at + 100_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([g] * len(part), pa.string()), pa.array(part, pa.binary()).cast(pa.string()),
-                     pa.array(numbers[at:at + 100_000], pa.int64())], schema=_SCHEMA)
+def _turn(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << _U(by)) | (x >> _U(64 - by))
+
+
+def hash_longs(x: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """What Spark's ``xxhash64`` makes of whole numbers under these seeds."""
+    h = (seed + _P5 + _U(8)) ^ (_turn(x * _P2, 31) * _P1)
+    h = _turn(h, 27) * _P1 + _P4
+    h = (h ^ (h >> _U(33))) * _P2
+    h = (h ^ (h >> _U(29))) * _P3
+    return h ^ (h >> _U(32))
+
+
+def _joined(left: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hash of a phrase from those of all but its last word, and of that."""
+    h = left * _P3 + word
+    h = (h ^ (h >> _U(31))) * _P2
+    return h ^ (h >> _U(29))
+
+
+class Block:
+    """Words of some texts in a row, :data:`_END` between pieces and texts.
+
+    ``owner[i]`` is the number of word i's text.  Words that the block before had
+    too (see :func:`_words`) are in ``old`` as (first, how many)."""
+
+    def __init__(self, words: list[bytes], owner: np.ndarray, old: list[tuple[int, int]]):
+        self.words, self.owner, self.old = words, owner, old
+        n = len(words)
+        self.hash = np.fromiter(map(xxhash.xxh64_intdigest, words), _U, n)
+        self.word = ~np.fromiter(map(_END.__eq__, words), bool, n)
+
+    def phrases(self, longest: int, frequent: dict, seed: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(k, first words, hashes) of the phrases of 1 to ``longest`` words that ``frequent`` does not
+        rule out: a phrase counts if its two parts of a word less do, and if the bitmap ``frequent[k]``, where there is one, has its place."""
+        seeds = seed[self.owner]
+        alive, h = self.word, self.hash
+        for k in range(1, longest + 1):
+            if k > 1:
+                alive = alive[:-1] & alive[1:]
+                h = _joined(h[:-1], self.hash[k - 1:])
+            at = np.flatnonzero(alive)
+            if k in frequent:
+                bits = frequent[k]
+                place = hash_longs(h[at], seeds[at]) & _U(len(bits) * 8 - 1)
+                hit = (bits[place >> _U(3)] >> (place & _U(7)).astype(np.uint8)) & 1 != 0
+                alive = np.zeros(len(alive), bool)
+                at = at[hit]
+                alive[at] = True
+            new = at
+            for first, many in self.old:
+                new = new[(new < first) | (new >= first + max(0, many - k + 1))]
+            yield k, new, h[new]
+
+
+def _blocks(texts: Sequence[bytes | None], longest: int) -> Iterator[Block]:
+    words: list[bytes] = []
+    owner, old, size = [], [], 0
+    for i, text in enumerate(texts):
+        for again, some in _words(text, longest):
+            if again:
+                old.append((len(words), again))
+            words += some
+            words.append(_END)
+            owner.append((i, len(some) + 1))
+        size += len(text or b"")
+        if words and size >= BLOCK:
+            yield Block(words, np.repeat(*map(np.array, zip(*owner))), old)
+            words, owner, old, size = [], [], [], 0
+    if words:
+        yield Block(words, np.repeat(*map(np.array, zip(*owner))), old)
+
+
+def _seeds(groups: Sequence[int]) -> np.ndarray:
+    """Spark's ``xxhash64`` of each group, the seed of what is hashed after it."""
+    return np.array([xxhash.xxh64_intdigest((g & (1 << 64) - 1).to_bytes(8, "little"), 42) for g in groups], _U)
+
+
+def _bitmaps(texts: DataFrame, bitmaps: dict[int, bytes]) -> dict:
+    return {k: texts.sparkSession.sparkContext.broadcast(b) for k, b in bitmaps.items()}
+
+
+def mined(texts: DataFrame, first: int, longest: int, bitmaps: dict[int, bytes]) -> DataFrame:
+    """(grp, hash, a): occurrences of the phrases of ``first`` to ``longest`` words that the
+    bitmaps do not rule out, by group (a whole number) and hash."""
+    carried = _bitmaps(texts, bitmaps)
+    schema = pa.schema([("grp", pa.int64()), ("hash", pa.int64()), ("a", pa.int64())])
+
+    def rows(held):
+        group, h = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((h, group))
+        group, h = group[order], h[order]
+        starts = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (group[1:] != group[:-1])]))
+        counts = np.diff(np.append(starts, len(h)))
+        for at in range(0, len(starts), 500_000):
+            some = starts[at:at + 500_000]
+            yield pa.RecordBatch.from_arrays([pa.array(group[some]), pa.array(h[some].view(np.int64)),
+                                              pa.array(counts[at:at + 500_000], pa.int64())], schema=schema)
 
     def run(batches):
-        counts: dict[str, Counter] = defaultdict(Counter)
-        known: dict[str, dict] = defaultdict(dict)  # words are asked again and again, longer phrases less
-        asks: dict[str, dict] = {}
+        frequent = {k: np.frombuffer(b.value, np.uint8) for k, b in carried.items()}
+        held, size = [], 0
         for batch in batches:
             for part in slices(batch):
-                for g, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
-                    if g not in asks:
-                        asks[g] = {k: _frequent(b.value, g.encode(), mask, known[g] if k == 1 else None)
-                                   for k, b in carried.items()}
-                    for again, words in _words(text, longest):
-                        for k, held in _phrases(words, first, longest, asks[g], exact):
-                            counts[g].update(held[max(0, again - k + 1):] if again else held)
-                        if sum(map(len, counts.values())) > HELD:
-                            yield from rows(counts)
-                            counts.clear()
-                if len(asks) > 1000 or sum(map(len, known.values())) > HELD:
-                    asks.clear()
-                    known.clear()
-        yield from rows(counts)
-
-    return (slim.mapInArrow(run, "grp string, phrase string, a long")
-            .groupBy("grp", "phrase").agg(F.sum("a").alias("a")))
+                groups = part.column(0).to_numpy(zero_copy_only=False)
+                seed = _seeds(part.column(0).to_pylist())
+                for block in _blocks(part.column(1).cast(pa.binary()).to_pylist(), longest):
+                    for k, at, h in block.phrases(longest, frequent, seed):
+                        if k >= first and len(at):
+                            held.append((groups[block.owner[at]], h))
+                            size += len(at)
+                    if size > HELD:
+                        yield from rows(held)
+                        held, size = [], 0
+        if held:
+            yield from rows(held)
+
+    return (texts.select("grp", "text").mapInArrow(run, "grp long, hash long, a long")
+            .groupBy("grp", "hash").agg(F.sum("a").alias("a")))
+
+
+def counted(texts: DataFrame, longest: int, places: bytes) -> DataFrame:
+    """(lang, phrase, a): exact occurrences of the phrases of 1 to ``longest`` words whose place in the bitmap is set."""
+    carried = _bitmaps(texts, {0: places})
+    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("a", pa.int64())])
+
+    def run(batches):
+        bits = np.frombuffer(carried[0].value, np.uint8)
+        frequent = dict.fromkeys(range(1, longest + 1), bits)
+        for batch in batches:
+            for part in slices(batch):
+                seed, langs = _seeds(part.column(0).to_pylist()), part.column(1).to_pylist()
+                numbers = {g: i for i, g in enumerate(dict.fromkeys(langs))}
+                names, lang = list(numbers), np.array([numbers[g] for g in langs])
+                for block in _blocks(part.column(2).cast(pa.binary()).to_pylist(), longest):
+                    words = block.words
+                    ids = {w: i for i, w in enumerate(dict.fromkeys(words))}
+                    number = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+                    own = lang[block.owner]
+                    for k, at, h in block.phrases(longest, frequent, seed):
+                        order = np.lexsort((h, own[at]))
+                        at, h = at[order], h[order]
+                        # neighbours are equal if they are word by word, which hashes only bring together
+                        differ = own[at[1:]] != own[at[:-1]]
+                        for j in range(k):
+                            differ |= number[at[1:] + j] != number[at[:-1] + j]
+                        starts = np.flatnonzero(np.concatenate([[True], differ]) if len(at) else differ)
+                        some = at[starts]
+                        texts_ = [b" ".join(words[i:i + k]) for i in some.tolist()] if k > 1 else [words[i] for i in some.tolist()]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([names[i] for i in own[some].tolist()], pa.string()), pa.array(texts_, pa.binary()).cast(pa.string()),
+                             pa.array(np.diff(np.append(starts, len(at))), pa.int64())], schema=schema)
+
+    return (texts.select("lang_hash", "lang", "text").mapInArrow(run, "lang string, phrase string, a long")
+            .groupBy("lang", "phrase").agg(F.sum("a").alias("a")))
 
 
 def bitmap_of(df: DataFrame, columns: Sequence[str], bits: int) -> bytes:
     """``2 ** bits`` bits, set at the hash of the columns of each row.  Whatever the
     number of rows, the driver gets at most that many bits."""
     place = F.xxhash64(*columns).bitwiseAND(F.lit((1 << bits) - 1))
-    rows = (df.select(place.alias("p")).groupBy(F.shiftright("p", 15).alias("row"))
-            .agg(F.bitmap_construct_agg(F.col("p") % ROW_BITS).alias("b")))
-    out = bytearray((1 << bits) // 8)
+    rows = (df.select(place.alias("p")).groupBy(F.shiftright("p", 15).alias("row"))  # 2 ** 15 bits a row
+            .agg(F.bitmap_construct_agg(F.col("p") % (1 << 15)).alias("b")))
+    out = bytearray(1 << bits - 3)
     for r in rows.collect():
-        out[r["row"] * ROW_BITS // 8:(r["row"] + 1) * ROW_BITS // 8] = r["b"]
+        out[r["row"] << 12:r["row"] + 1 << 12] = r["b"]
     return bytes(out)
 
 
@@ -173,29 +264,35 @@ def count(docs: DataFrame, support: int = 30, longest: int = 4, shards: int = SH
     if bits < 15 or support < 1 or shards < 1 or longest < 1:
         raise ValueError("support, shards and longest are at least 1, bits at least 15")
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN))
-    shard = F.pmod(F.xxhash64(id_col), F.lit(shards))
-    texts = docs.select(F.concat(shard.cast("string"), F.lit("/"), lang).alias("part"), lang.alias("lang"),
-                        F.col(text_col).cast("string").alias("text"))
-    words = materialise(_counted(texts, 1, 1, {}, bits, False, "part"), "words")
+    shard = F.pmod(F.xxhash64(F.shiftright(F.col(id_col).cast("long"), ID_BITS)), F.lit(shards))
+    texts = docs.select(F.xxhash64(shard, lang).alias("grp"), shard.alias("shard"), F.xxhash64(lang).alias("lang_hash"),
+                        lang.alias("lang"), F.col(text_col).cast("string").alias("text"))
     # one row for each shard and language
-    sizes = words.groupBy("grp").agg(F.sum("a").alias("own")).withColumn(
-        "lang", F.expr("substr(grp, instr(grp, '/') + 1)"))
-    sizes = materialise(sizes.withColumn("n", F.sum("own").over(W.partitionBy("lang"))), "sizes")
+    parts = materialise(texts.select("grp", "shard", "lang").distinct(), "parts")
+    if parts.groupBy("grp").count().filter("count > 1").limit(1).count():
+        raise ValueError("two shards share a hash: change their number")
+    words = materialise(mined(texts, 1, 1, {}), "words")
+    sizes = words.groupBy("grp").agg(F.sum("a").alias("own")).join(parts, "grp").withColumn("n", F.sum("own").over(W.partitionBy("lang")))
+    sizes = materialise(sizes.select("grp", "lang", "own", "n"), "sizes")
     enough = F.col("a").cast("decimal(20,0)") * F.col("n") >= F.col("own").cast("decimal(20,0)") * support
-    found, bitmaps = [], {}
-    for k in range(1, longest + 1):
-        counted = words if k == 1 else _counted(texts, k, k, bitmaps, bits, False, "part")
-        local = counted.join(sizes, "grp").filter(enough).select("grp", "lang", "phrase")
-        found.append(materialise(local, f"local-{k}"))
-        if k < longest:
-            bitmaps[k] = bitmap_of(found[-1], ["grp", "phrase"], bits)
+
+    def local(rows, label):
+        return materialise(rows.join(sizes, "grp").filter(enough).select("grp", "lang", "hash"), label)
+
+    found = [local(words, "local-words")]
+    if longest > 1:
+        bitmaps = {1: bitmap_of(found[0], ["grp", "hash"], bits)}
+        found.append(local(mined(texts, 2, 2, bitmaps), "local-pairs"))
+    if longest > 2:
+        bitmaps[2] = bitmap_of(found[1], ["grp", "hash"], bits)
+        found.append(local(mined(texts, 3, longest, bitmaps), "local-longer"))
     union = found[0]
     for f in found[1:]:
         union = union.unionByName(f)
-    candidates = materialise(union.select("lang", "phrase").distinct(), "candidates")
-    places = bitmap_of(candidates, ["lang", "phrase"], bits)
-    every = _counted(texts, 1, longest, dict.fromkeys(range(1, longest + 1), places), bits, True, "lang")
-    exact = every.withColumnRenamed("grp", "lang").filter(F.col("a") >= support).join(candidates, ["lang", "phrase"], "left_semi")
+    candidates = union.select(F.xxhash64("lang").alias("lang_hash"), "hash")
+    places = bitmap_of(candidates, ["lang_hash", "hash"], bits)
+    # whatever reaches the support is a candidate, by 1 and 2; the rest had but a place in common with one
+    exact = counted(texts, longest, places).filter(F.col("a") >= support)
     return materialise(exact, "phrases"), sizes.select("lang", "n").distinct()
 
 

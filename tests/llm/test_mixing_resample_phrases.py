@@ -71,25 +71,54 @@ def test_phrases_of_nothing(spark):
 @pytest.mark.parametrize("block", [1, 7, 100])
 def test_phrases_across_blocks(monkeypatch, block):
     monkeypatch.setattr(phrases, "BLOCK", block)
-    text = " ".join(_texts(5, 10)).encode()
+    texts = [t.encode() for t in _texts(5, 10)] + [None, b"", b"one"]
     got = Counter()
-    for again, words in phrases._words(text, 4):
-        for k, held in phrases._phrases(words, 1, 4, {k: lambda g: 1 for k in range(1, 5)}, True):
-            got.update(held[max(0, again - k + 1):] if again else held)
-    got.pop(None, None)
+    for b in phrases._blocks(texts, 4):
+        for k, at, _ in b.phrases(4, {}, np.zeros(len(texts), np.uint64)):
+            got.update((int(b.owner[i]), b" ".join(b.words[i:i + k])) for i in at)
     want = Counter()
-    for piece in re.split(rb"[.,;:!?\n-\r]", text.lower()):
-        w = re.findall(rb"[^\x20\x09]+", piece)
-        for k in range(1, 5):
-            want.update(b" ".join(w[i:i + k]) for i in range(len(w) - k + 1))
+    for i, text in enumerate(texts):
+        for piece in re.split(rb"[.,;:!?\n-\r]", (text or b"").lower()):
+            w = re.findall(rb"[^\x20\x09]+", piece)
+            for k in range(1, 5):
+                want.update((i, b" ".join(w[j:j + k])) for j in range(len(w) - k + 1))
     assert got == want
 
 
+def test_equal_hashes_are_counted_apart(spark, monkeypatch):
+    """With all hashes alike every phrase is a candidate, and the count is still of phrases."""
+    docs = spark.createDataFrame([(1, "a b a b c", "x"), (2, "b a. b a b", "x")], "doc_id long, text string, lang string")
+    real = phrases.Block.__init__
+
+    def alike(self, *a):
+        real(self, *a)
+        self.hash[:] = 7
+
+    monkeypatch.setattr(phrases.Block, "__init__", alike)
+    texts = docs.select(F.xxhash64("lang").alias("lang_hash"), "lang", "text")
+    import pyarrow as pa
+    block = next(phrases._blocks([r.text.encode() for r in texts.collect()], 2))
+    assert len(set(block.hash.tolist())) == 1
+    # the same function that the tasks run, on one batch here
+    run = {}
+    monkeypatch.setattr(type(texts), "mapInArrow", lambda self, fn, schema: run.setdefault("fn", fn) and self.select("lang", F.lit("").alias("phrase"), F.lit(0).alias("a")))
+    phrases.counted(texts, 2, b"\xff" * 4096)
+    batch = pa.RecordBatch.from_arrays([pa.array([r.lang_hash for r in texts.collect()]), pa.array(["x", "x"]), pa.array(["a b a b c", "b a. b a b"])],
+                                       names=["lang_hash", "lang", "text"])
+    got = Counter()
+    for out in run["fn"](iter([batch])):
+        for r in out.to_pylist():
+            got[r["phrase"]] += r["a"]
+    assert got == Counter({"a": 4, "b": 5, "c": 1, "a b": 3, "b a": 3, "b c": 1})
+
+
 def test_bitmap_places_agree_with_the_workers(spark):
-    rows = [("0/en", "the of"), ("3/a/b", "é"), ("", "x" * 50), ("0/en", "fox")]
-    bits = phrases.bitmap_of(spark.createDataFrame(rows, "grp string, phrase string"), ["grp", "phrase"], 22)
-    assert sum(map(int.bit_count, bits)) == 4
-    assert all(phrases._frequent(bits, g.encode(), (1 << 22) - 1, known)(p.encode()) for g, p in rows for known in (None, {}))
+    rng = random.Random(2)
+    rows = [(rng.randrange(-2 ** 63, 2 ** 63), rng.randrange(-2 ** 63, 2 ** 63)) for _ in range(50)]
+    bits = np.frombuffer(phrases.bitmap_of(spark.createDataFrame(rows, "grp long, hash long"), ["grp", "hash"], 22), np.uint8)
+    assert int(np.bitwise_count(bits).sum()) <= 50
+    place = phrases.hash_longs(np.array([h for _, h in rows], np.int64).view(np.uint64), phrases._seeds([g for g, _ in rows])) & np.uint64((1 << 22) - 1)
+    assert all(bits[int(p) >> 3] >> (int(p) & 7) & 1 for p in place) and len(set(place.tolist())) == int(np.bitwise_count(bits).sum())
 
 
 # ---- mixing
