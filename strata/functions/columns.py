@@ -89,10 +89,10 @@ def title_case(c: Column | str) -> Column:
     return F.initcap(F.col(c) if isinstance(c, str) else c)
 
 
-def zero_as_missing_flags(df: DataFrame, cols: Sequence[str], prefix: str = "is_missing_") -> DataFrame:
-    """Add ``<prefix><col>`` = (col == 0) flags; the values themselves are kept."""
+def zero_as_missing_flags(df: DataFrame, cols: Sequence[str], prefix: str = "is_missing_", suffix: str = "") -> DataFrame:
+    """Add ``<prefix><col><suffix>`` = (col == 0) flags; the values themselves are kept."""
     present = [c for c in cols if c in df.columns]
-    return df.withColumns({f"{prefix}{c}": F.col(c) == 0 for c in present})
+    return df.withColumns({f"{prefix}{c}{suffix}": F.col(c) == 0 for c in present})
 
 
 def integral_double_to_string(c: Column | str) -> Column:

@@ -72,3 +72,50 @@ def quality_score(tagged: DataFrame, reason_col: str, data_cols: Sequence[str],
         F.round(w1 * success + w2 * (1 - quarantine) + w3 * (1 - null_rate) + w4 * (1 - dup), 4)
          .alias("quality_score"),
         (null_rate > null_flag_threshold).alias("null_rate_flag"))
+
+
+def next_publish(arrivals: DataFrame, publishes: DataFrame, by: Sequence[str], at: str) -> DataFrame:
+    """``arrivals`` with ``published_at`` (the first publish of the same ``by`` at or
+    after the arrival, NULL if there is none) and ``lag_hours``.
+
+    An as-of join without a range join.  Within a calendar day both sides are
+    one sorted run, in which the last publish seen, going backwards, is the next
+    one.  An arrival after its day's last publish takes the first publish of the
+    next day that has one, found over one row per day.  Publishes at the same
+    moment count once; an arrival without a time has no publish.
+    """
+    from pyspark.sql import Window as W
+    keys = [f"__k{i}" for i in range(len(by))]
+
+    def side(df: DataFrame, publish: bool) -> DataFrame:
+        # NULL is a key like any other
+        named = dict(zip(keys, [F.struct(F.col(b)) for b in by]))
+        rows = df.withColumns({**named, "__at": F.col(at), "__day": F.to_date(at)})
+        return rows.withColumn("__pub", F.col("__at") if publish else F.lit(None).cast(df.schema[at].dataType))
+
+    pub = side(publishes.where(F.col(at).isNotNull()), True).select(*keys, "__at", "__day", "__pub").distinct()
+    arr = side(arrivals, False)
+    both = arr.withColumn("__arrival", F.lit(True)).unionByName(pub.withColumn("__arrival", F.lit(False)), allowMissingColumns=True)
+    back = (W.partitionBy(*keys, "__day").orderBy(F.desc("__at"), F.asc("__arrival"))
+            .rowsBetween(W.unboundedPreceding, W.currentRow))
+    same_day = both.withColumn("__same", F.last("__pub", ignorenulls=True).over(back)).where("__arrival")
+    days = pub.groupBy(*keys, "__day").agg(F.min("__pub").alias("__first")).unionByName(
+        arr.where("__day is not null").select(*keys, "__day").distinct().withColumn("__first", F.lit(None).cast(arrivals.schema[at].dataType)))
+    later = W.partitionBy(*keys).orderBy(F.desc("__day")).rowsBetween(W.unboundedPreceding, -1)
+    first = days.groupBy(*keys, "__day").agg(F.max("__first").alias("__first")).withColumn(
+        "__later", F.last("__first", ignorenulls=True).over(later)).select(*keys, "__day", "__later")
+    joined = same_day.join(first, [*keys, "__day"], "left")
+    published = F.coalesce("__same", "__later")
+    hours = (published.cast("timestamp").cast("double") - F.col("__at").cast("timestamp").cast("double")) / 3600
+    return joined.select(*[F.col(f"`{c}`") for c in arrivals.columns], published.alias("published_at"),
+                         F.round(hours, 4).alias("lag_hours"))
+
+
+def batch_success(followed: DataFrame, by: Sequence[str], within_hours: float = 24.0) -> DataFrame:
+    """Per ``by``: n_batches, n_published, success_rate (published within ``within_hours``),
+    avg_lag_hours and max_lag_hours of :func:`next_publish`'s rows."""
+    in_time = F.coalesce(F.col("lag_hours") <= within_hours, F.lit(False))
+    return followed.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_batches"), F.count("published_at").alias("n_published"),
+        F.round(F.avg(in_time.cast("double")), 4).alias("success_rate"),
+        F.round(F.avg("lag_hours"), 4).alias("avg_lag_hours"), F.max("lag_hours").alias("max_lag_hours"))

@@ -18,7 +18,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..sources.files import delete_path, glob_dirs
+from ..sources.files import delete_path
 
 REASON_COL = "dq_failed_rule"
 TIMESTAMP_COL = "dq_timestamp"
@@ -143,7 +143,8 @@ def write_quarantine(bad: DataFrame, path: str, dataset: str, run_id: str,
     that batch's bad rows rather than adding another copy, so the quarantine
     holds each bad row once however many runs re-check it (``run_id`` is kept
     as a column).  ``checked`` is then the frame that was checked: batches of
-    it that have no bad row any more lose their old quarantine rows.  Only
+    it that have no bad row any more lose their old quarantine rows, whatever
+    run wrote them and whether or not ``run_id`` was used before.  Only
     batch ids (one per ingest run) reach the driver.  ``ts`` defaults to the query's ``current_timestamp()``.
     Schema evolution across runs is handled on read with ``mergeSchema``.
     """
@@ -156,18 +157,13 @@ def write_quarantine(bad: DataFrame, path: str, dataset: str, run_id: str,
         .parquet(path))
     if batch_col is not None and checked is not None:
         spark = bad.sparkSession
-        now = spark.read.parquet(path) if _has_rows(spark, path) else None
-        seen = checked.select(F.col(batch_col).cast("string").alias("b")).distinct()
-        if now is not None:
-            rechecked = (now.filter((F.col("dataset") == dataset) & (F.col("run_id") == run_id))
-                         .select(F.col(batch_col).cast("string").alias("b")).distinct())
-            seen = seen.join(rechecked, "b", "left_anti")
-            for r in seen.filter("b is not null").collect():
-                delete_path(spark, f"{path.rstrip('/')}/dataset={dataset}/{part}={r['b']}")
-
-
-def _has_rows(spark, path: str) -> bool:
-    return bool(glob_dirs(spark, f"{path.rstrip('/')}/dataset=*"))
+        clean = (checked.select(F.col(batch_col).cast("string").alias("b")).distinct()
+                 .join(bad.select(F.col(batch_col).cast("string").alias("c")).distinct(),
+                       F.col("b").eqNullSafe(F.col("c")), "left_anti"))
+        escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        for r in clean.collect():
+            name = "__HIVE_DEFAULT_PARTITION__" if r["b"] is None else escape(r["b"])
+            delete_path(spark, f"{path.rstrip('/')}/dataset={escape(dataset)}/{part}={name}")
 
 
 def read_quarantine(spark, path: str) -> DataFrame:

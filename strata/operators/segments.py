@@ -56,6 +56,30 @@ def first_visit_flags(events: DataFrame, entity: str, ts: str,
     return flags.withColumn("cohort_month", F.trunc("first_visit", "month"))
 
 
+def visit_state(events: DataFrame, entity: str, ts: str) -> DataFrame:
+    """(entity, days): the first two different visit days of each entity, ascending.
+
+    All that retention needs, and two states merge into the state of both: a
+    visit within ``n`` days of the first exists exactly if the second day is."""
+    days = entity_days(events, entity, ts).where(F.col("_d").isNotNull())
+    first = Window.partitionBy(entity).orderBy("_d")
+    return (days.withColumn("_i", F.row_number().over(first)).where("_i <= 2")
+                .groupBy(entity).agg(F.array_sort(F.collect_list("_d")).alias("days")))
+
+
+def merge_visit_state(state: DataFrame, new: DataFrame, entity: str) -> DataFrame:
+    """State after ``new`` (a state of more visits, in any order, late ones included).  Reads no visit again."""
+    both = state.unionByName(new).select(entity, F.explode("days").alias("_d"))  # at most four days of an entity
+    return both.groupBy(entity).agg(F.slice(F.array_sort(F.collect_set("_d")), 1, 2).alias("days"))
+
+
+def flags_of_state(state: DataFrame, horizons: Sequence[int] = (30, 60, 90)) -> DataFrame:
+    """The rows of :func:`first_visit_flags`, from the state alone."""
+    first, gap = F.col("days")[0], F.datediff(F.get("days", F.lit(1)), F.col("days")[0])
+    flags = {f"retained_{n}": F.coalesce((gap <= n).cast("int"), F.lit(0)) for n in horizons}
+    return state.withColumns({"first_visit": first, **flags, "cohort_month": F.trunc(first, "month")}).drop("days")
+
+
 def cohort_retention(flags: DataFrame, horizons: Sequence[int] = (30, 60, 90)) -> DataFrame:
     """Per cohort month: size, retained counts and rates (rounded to 4)."""
     aggs = [F.count(F.lit(1)).alias("cohort_size")]

@@ -71,16 +71,16 @@ def flow_prepare_patients(spark, d):
 
 
 @register("flow_inpatient", f"""
-SELECT c_custkey, CASE WHEN age < 18 THEN '0-17' WHEN age < 36 THEN '18-35' WHEN age < 56 THEN '36-55'
+SELECT c_custkey, CASE WHEN age IS NULL THEN 'Unknown' WHEN age < 18 THEN '0-17' WHEN age < 36 THEN '18-35' WHEN age < 56 THEN '36-55'
     WHEN age < 71 THEN '56-70' ELSE '71+' END AS age_group,
   discharge_date - date_of_admission AS length_of_stay,
   billing_amount / nullif(discharge_date - date_of_admission, 0) AS cost_per_day,
   medical_condition IN ('Diabetes', 'Hypertension', 'Arthritis', 'Asthma') AS is_chronic,
   CASE WHEN insurance_provider IS NULL THEN 'Unknown' WHEN insurance_provider = 'Medicare' THEN 'Government'
     ELSE 'Commercial' END AS insurance_tier
-FROM ({_patients_sql()}) WHERE age IS NOT NULL""")
+FROM ({_patients_sql()})""")
 def flow_inpatient(spark, d):
-    return H.enrich_inpatient(_patients(spark, d).filter("age is not null")).select(
+    return H.enrich_inpatient(_patients(spark, d)).select(
         "c_custkey", "age_group", F.col("length_of_stay").cast("long").alias("length_of_stay"), "cost_per_day",
         "is_chronic", "insurance_tier")
 
@@ -170,14 +170,15 @@ SELECT c_custkey, CASE WHEN c_nationkey % 3 = 2 THEN 'negative' ELSE 'large' END
 FROM customer WHERE CASE WHEN c_nationkey % 3 = 2 THEN c_acctbal < 0 ELSE c_acctbal > 9000 AND c_nationkey % 3 = 1 END""")
 def quarantine_recheck(spark, d):
     """Batches 0 and 1 are checked again under another rule, which nothing in batch 0
-    breaks; batch 2 keeps what the first check found."""
+    breaks, twice under the run id of the first check; batch 2 keeps what that found."""
     path = scratch_path(spark, "recheck")
     rows = table(spark, d, "customer").select("c_custkey", "c_acctbal", F.expr("CAST(c_nationkey % 3 AS INT)").alias("batch"))
     Q.write_quarantine(Q.split(Q.tag(rows, [Q.Rule("negative", "c_acctbal < 0")]))[1], path, "customer", "r1",
                        batch_col="batch", checked=rows)
     again = rows.filter("batch < 2")
-    Q.write_quarantine(Q.split(Q.tag(again, [Q.Rule("large", "c_acctbal > 9000 AND batch = 1")]))[1], path, "customer", "r2",
-                       batch_col="batch", checked=again)
+    for run in ("r1", "r1", "r2"):
+        Q.write_quarantine(Q.split(Q.tag(again, [Q.Rule("large", "c_acctbal > 9000 AND batch = 1")]))[1], path, "customer", run,
+                           batch_col="batch", checked=again)
     return Q.read_quarantine(spark, path).select("c_custkey", "dq_failed_rule")
 
 
@@ -198,14 +199,19 @@ def ingest_after_lost_manifest(spark, d):
     return spark.read.parquet(f"{root}/bronze").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
 
 
-@register("incremental_append_null_keys", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 5 <> 0")
+@register("incremental_append_null_keys", """
+SELECT CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey END AS o_orderkey, round(o_totalprice / 1000) AS o_totalprice FROM orders""")
 def incremental_append_null_keys(spark, d):
-    """Rows without key are never synced, in the first sync or later."""
+    """Every row once, a fifth of them without key and many of those alike: the first sync sees
+    half of either, the second all, the third finds nothing."""
     path = scratch_path(spark, "null-keys")
-    rows = table(spark, d, "orders").select(F.expr("CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey END").alias("o_orderkey"), "o_totalprice")
+    rows = table(spark, d, "orders").select(F.expr("CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey END").alias("o_orderkey"),
+                                             F.round(F.col("o_totalprice") / 1000).alias("o_totalprice"), (F.col("o_orderkey") % 2).alias("half"))
     middle = table(spark, d, "orders").agg(F.floor(F.max("o_orderkey") / 2)).first()[0]
-    S.incremental_append(rows.filter(F.col("o_orderkey").isNull() | (F.col("o_orderkey") <= middle)), path, "o_orderkey")
-    S.incremental_append(rows, path, "o_orderkey")
+    first = F.when(F.col("o_orderkey").isNull(), F.col("half") == 0).otherwise(F.col("o_orderkey") <= middle)
+    S.incremental_append(rows.filter(first).drop("half"), path, "o_orderkey")
+    S.incremental_append(rows.drop("half"), path, "o_orderkey")
+    assert S.incremental_append(rows.drop("half"), path, "o_orderkey") == 0
     return S.read_extract(spark, path)
 
 
@@ -218,21 +224,6 @@ def bucket_unknown(spark, d):
             .agg(F.count(F.lit(1)).alias("n_parts")))
 
 
-@register("raw_inventory_by_source", """
-SELECT c_nationkey, count(*) AS n_rows, 'ingested' AS status, true AS hashed FROM customer GROUP BY c_nationkey""")
-def raw_inventory_by_source(spark, d):
-    """The inventory of one raw folder per nation: rows and status by source."""
-    root = scratch_path(spark, "by-nation")
-    cust = table(spark, d, "customer").withColumn("nation", F.col("c_nationkey"))
-    cust.repartition("nation").write.option("header", True).partitionBy("nation").csv(f"{root}/raw")
-    read = FS.read_csv(spark, f"{root}/raw/*", infer_schema=False, enforce_header=False, source_col="path")
-    counts = read.groupBy("path").agg(F.count(F.lit(1)).alias("n_rows"))
-    inv = FS.inventory(spark, f"{root}/raw", ".csv", counts)
-    nation = F.regexp_extract("path", "nation=(\\d+)", 1).cast("int")
-    return inv.groupBy(nation.alias("c_nationkey"), "status").agg(F.sum("n_rows").alias("n_rows"),
-                                                                  F.bool_and(F.length("md5") == 32).alias("hashed"))
-
-
 _VISITS = ("SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderkey % 200 - o_custkey % 150 AS lead, "
            "CASE WHEN o_orderkey % 9 <> 0 THEN o_orderkey % 4 = 0 END AS missed FROM orders")
 

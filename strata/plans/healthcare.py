@@ -26,7 +26,7 @@ from ..operators import aggregate as A
 from ..operators import quality as Q
 from ..operators.enrich import Channel, enrich
 from ..sources import versions as V
-from ..sources.files import safe_read
+from ..sources.files import glob_dirs, safe_read
 from .ingest import ingest_dataset
 
 log = logging.getLogger("strata.healthcare")
@@ -98,6 +98,15 @@ RULES = {
 GENDER_CODES = {"f": "female", "m": "male"}
 AGE_GROUP_EDGES = [30, 45, 60, 75]
 AGE_GROUP_LABELS = ["13-29", "30-44", "45-59", "60-74", "75-89"]
+# Natural keys, on the columns of the bronze tables
+NATURAL_KEYS = {
+    "patients": ["name_norm", "date_of_admission", "hospital"],
+    "noshows": ["patientid", "appointmentid"],
+    "diabetes": ["id"],
+    "insurance": ["age", "sex", "bmi", "region"],
+}
+# Measurements of the lab channel in which zero stands for missing
+ZERO_IS_MISSING = ["insulin", "bloodpressure", "glucose"]
 METADATA_COLS = ("dataset", "load_date", "_source_file", "source_file", "channel", "ingest_run")
 SILVER_DATASET = "healthcare_unified"
 
@@ -129,6 +138,21 @@ class Lake:
     def manifest(self) -> str:
         return f"{self.root}/bronze/_manifest"
 
+    @property
+    def inventory(self) -> str:
+        return f"{self.root}/bronze/_inventory"
+
+    @property
+    def schemas(self) -> str:
+        return f"{self.root}/bronze/_schemas"
+
+    @property
+    def domains(self) -> str:
+        return f"{self.root}/silver_domains"
+
+    def mart(self, name: str) -> str:
+        return f"{self.root}/marts/{name}"
+
     @property
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
@@ -146,18 +170,41 @@ class Lake:
 # ---------------------------------------------------------------------------
 def run_bronze(spark: SparkSession, raw_root: str, lake: Lake, load_date: date | str,
                since: date | str | None = None, dedup_scope: str = "file",
-               multiline: Collection[str] = ()) -> dict[str, int]:
+               multiline: Collection[str] | None = None, records: bool = True) -> dict[str, int]:
     """Ingest every dataset's new files; returns rows written per dataset.
-    ``multiline`` names the datasets whose quoted cells hold line breaks: their
-    files can't be split, so each is read by one task."""
+    Files whose quoted cells hold line breaks are found by a scan of the lines
+    and read whole, each by one task; ``multiline`` spares the scan by naming the datasets that have such files.
+    ``dedup_scope="key"`` keeps one row per natural key (:data:`NATURAL_KEYS`) over everything that was ever
+    ingested.  ``records``: each run also writes its inventory and schema snapshot."""
     out = {}
     for ds, (patterns, channel) in DATASETS.items():
         out[ds] = ingest_dataset(spark, raw_root, patterns, SCHEMAS[ds], lake.bronze(ds), lake.manifest,
-                                 channel, load_date, since, dedup_scope, ds in multiline,
-                                 trim_cols=("name",) if ds == "patients" else ())
+                                 channel, load_date, since, "file" if dedup_scope == "key" else dedup_scope,
+                                 None if multiline is None else ds in multiline,
+                                 trim_cols=("name",) if ds == "patients" else (),
+                                 natural_key=natural_key(ds) if dedup_scope == "key" else (),
+                                 inventory_path=f"{lake.inventory}/dataset={ds}" if records else None,
+                                 schema_path=lake.schemas if records else None)
     return out
 
 
+def natural_key(ds: str) -> list:
+    return [C.name_norm("name") if k == "name_norm" else F.col(k) for k in NATURAL_KEYS[ds]]
+
+
+def clean(ds: str, df: DataFrame) -> DataFrame:
+    """Bronze rows under corrected names and values: typos in column names, the
+    patient id as text, names in title case, and a flag ``<column>_is_missing``
+    for measurements in which zero stands for missing (the value is kept)."""
+    if ds == "noshows":
+        return fix_noshow_names(df)
+    if ds == "patients" and "name" in df.columns:
+        return df.withColumn("name", C.title_case("name"))
+    if ds == "diabetes":
+        return C.zero_as_missing_flags(df, ZERO_IS_MISSING, prefix="", suffix="_is_missing")
+    return df
+
+
 # ---------------------------------------------------------------------------
 # Silver
 # ---------------------------------------------------------------------------
@@ -304,7 +351,7 @@ def enrich_inpatient(p: DataFrame) -> DataFrame:
              .when(F.col("insurance_provider").isin(*GOVERNMENT_PROVIDERS), "Government")
              .otherwise("Commercial"))
     return p.withColumns({
-        "age_group": C.bucket("age", INPATIENT_AGE_EDGES, INPATIENT_AGE_LABELS),
+        "age_group": C.bucket("age", INPATIENT_AGE_EDGES, INPATIENT_AGE_LABELS, "Unknown"),
         "length_of_stay": los,
         "cost_per_day": F.try_divide(F.col("billing_amount"), los),
         "is_chronic": F.col("medical_condition").isin(*CHRONIC_CONDITIONS),
@@ -312,10 +359,12 @@ def enrich_inpatient(p: DataFrame) -> DataFrame:
 
 
 def enrich_outpatient(n: DataFrame, high_risk_lead_days: int = 7) -> DataFrame:
+    """``is_high_risk_noshow`` is false where the lead time, the message or the scholarship is unknown."""
     lead = F.datediff("appointmentday", "scheduledday")
+    risk = (lead > high_risk_lead_days) & ~F.col("sms_received") & F.col("scholarship")
     return n.withColumns({
         "lead_time": lead,
-        "is_high_risk_noshow": (lead > high_risk_lead_days) & ~F.col("sms_received") & F.col("scholarship"),
+        "is_high_risk_noshow": F.coalesce(risk, F.lit(False)),
         "day_of_week": F.date_format("appointmentday", "EEEE")})
 
 
@@ -343,8 +392,6 @@ def fix_noshow_names(n: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Domain marts (specified-only layer) on the healthcare column names
 # ---------------------------------------------------------------------------
-NOSHOW_AGE_EDGES = [18, 36, 56, 71]
-NOSHOW_AGE_LABELS = ["0-17", "18-35", "36-55", "56-70", "71+"]
 # ours: lead-time buckets without the specification's overlaps at 7 and 30
 LEAD_EDGES, LEAD_LABELS = [0, 1, 4, 8, 31], ["negative", "0", "1-3", "4-7", "8-30", "31+"]
 
@@ -354,9 +401,9 @@ def mart_noshow_analytics(noshows: DataFrame) -> DataFrame:
     neighbourhood, age group, SMS received, scholarship, lead bucket and
     weekday — one GROUPING SETS aggregate over the enriched appointments."""
     from ..operators.marts import overall_and_by
-    n = enrich_outpatient(noshows).withColumns({
+    n = (noshows if "lead_time" in noshows.columns else enrich_outpatient(noshows)).withColumns({
         "appointment_month": F.date_format("appointmentday", "yyyy-MM"),
-        "age_group": C.bucket("age", NOSHOW_AGE_EDGES, NOSHOW_AGE_LABELS),
+        "age_group": C.bucket("age", INPATIENT_AGE_EDGES, INPATIENT_AGE_LABELS, "Unknown"),
         "lead_bucket": C.bucket("lead_time", LEAD_EDGES, LEAD_LABELS)})
     dims = ["appointment_month", "neighbourhood", "age_group", "sms_received", "scholarship",
             "lead_bucket", "day_of_week"]
@@ -369,16 +416,22 @@ def mart_noshow_analytics(noshows: DataFrame) -> DataFrame:
 def mart_patient_summary(silver: DataFrame) -> DataFrame:
     """Distinct patients, visits per patient and average cost/stay, overall
     and by condition, gender and admission type.  A patient is identified by
-    the normalised name (the sources share no patient id)."""
-    from ..operators.marts import overall_and_by
-    p = enrich_inpatient(silver)
-    return overall_and_by(p, ["medical_condition", "gender", "admission_type"], [
-        F.count_distinct("name_norm").alias("patients"),
-        F.count(F.lit(1)).alias("visits"),
-        F.round(F.try_divide(F.count(F.lit(1)), F.count_distinct("name_norm")), 4).alias("visits_per_patient"),
-        F.round(F.avg("billing_amount"), 2).alias("avg_billing"),
-        F.round(F.avg("length_of_stay"), 2).alias("avg_length_of_stay"),
-        F.round(C.rate(F.col("is_chronic")), 4).alias("chronic_share")])
+    the normalised name (the sources share no patient id); names are numbered and counted
+    in bitmaps (:mod:`strata.operators.distinct`)."""
+    from ..operators.distinct import dense_ids, distinct_by
+    p = silver if "length_of_stay" in silver.columns else enrich_inpatient(silver)
+    p = p.join(dense_ids(p, "name_norm", "__patient"), "name_norm", "left")
+    n = distinct_by(p, ["medical_condition", "gender", "admission_type"], "__patient", out="patients", sums={
+        "billing": F.col("billing_amount"), "billed": F.col("billing_amount").isNotNull().cast("long"),
+        "days": F.col("length_of_stay"), "stays": F.col("length_of_stay").isNotNull().cast("long"),
+        "chronic": F.when(F.col("is_chronic"), 1).otherwise(0)})
+    return n.select(
+        "medical_condition", "gender", "admission_type", F.col("gid").cast("long").alias("gid"), "patients",
+        F.col("n_rows").alias("visits"),
+        F.round(F.try_divide("n_rows", "patients"), 4).alias("visits_per_patient"),
+        F.round(F.try_divide("billing", "billed"), 2).alias("avg_billing"),
+        F.round(F.try_divide("days", "stays"), 2).alias("avg_length_of_stay"),
+        F.round(F.try_divide("chronic", "n_rows"), 4).alias("chronic_share"))
 
 
 def mart_patient_mix(silver: DataFrame) -> dict[str, DataFrame]:
@@ -397,7 +450,8 @@ def mart_visit_segments(noshows: DataFrame) -> dict[str, DataFrame]:
     """Segment and cohort per patient, segment sizes with retention at 30, 60
     and 90 days, and the same per cohort month."""
     from ..operators import segments as SG
-    n = enrich_outpatient(noshows).withColumn("missed", ~F.col("showed_up"))
+    n = noshows if "lead_time" in noshows.columns else enrich_outpatient(noshows)
+    n = n.withColumn("missed", ~F.col("showed_up"))
     profile = SG.visit_profile(n, "patientid", "appointmentday", "lead_time", "missed")
     return {"patients": profile, "by_segment": SG.retention_at(profile),
             "by_cohort": SG.retention_at(profile, "cohort_month")}
@@ -418,7 +472,7 @@ def clinical_risk_counts(patients: DataFrame, noshows: DataFrame, diabetes: Data
 def mart_insurance_utilization(insurance: DataFrame, silver: DataFrame | None = None) -> dict[str, DataFrame]:
     """Average charges by region and smoker status, BMI↔charges correlation
     per age group, and (with silver) billing by provider / insured share."""
-    age_group = C.bucket("age", INPATIENT_AGE_EDGES, INPATIENT_AGE_LABELS)
+    age_group = C.bucket("age", INPATIENT_AGE_EDGES, INPATIENT_AGE_LABELS, "Unknown")
     out = {
         "by_region_smoker": insurance.groupBy("region", "smoker").agg(
             F.count(F.lit(1)).alias("members"), F.round(F.avg("charges"), 2).alias("avg_charges")),
@@ -436,8 +490,8 @@ def mart_insurance_utilization(insurance: DataFrame, silver: DataFrame | None =
 def mart_diabetes_cohort(diabetes: DataFrame) -> dict[str, DataFrame]:
     """Status distribution, prevalence, glucose by age group, high-risk
     count and a BMI histogram (5-unit bins) by outcome."""
-    d = enrich_diabetes(diabetes).withColumn("age_group", C.bucket("age", INPATIENT_AGE_EDGES,
-                                                                    INPATIENT_AGE_LABELS))
+    d = enrich_diabetes(diabetes).withColumn("age_group", C.bucket("age", INPATIENT_AGE_EDGES, INPATIENT_AGE_LABELS,
+                                                                    "Unknown"))
     return {
         "status_distribution": A.shares(d, ["glucose_status"], "patients"),
         "prevalence": d.agg(F.round(C.rate(F.col("outcome") == 1), 4).alias("prevalence"),
@@ -448,6 +502,81 @@ def mart_diabetes_cohort(diabetes: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+# ---------------------------------------------------------------------------
+# Silver domains and marts of the job
+# ---------------------------------------------------------------------------
+DOMAINS = {"inpatient": ("patients", enrich_inpatient), "outpatient": ("noshows", enrich_outpatient)}
+
+
+def domain_rows(bronze: dict[str, DataFrame | None], rules: dict[str, list[Q.Rule]] | None = None) -> dict[str, DataFrame]:
+    """Good, cleaned and enriched rows of each domain whose dataset is there."""
+    rules = {**RULES, **(rules or {})}
+    out = {}
+    for domain, (ds, enrichment) in DOMAINS.items():
+        if bronze.get(ds) is not None:
+            good, _ = Q.split(Q.tag(bronze[ds], rules[ds]))
+            rows = clean(ds, good).drop(*METADATA_COLS)
+            if "name" in rows.columns:
+                rows = rows.withColumn("name_norm", C.name_norm("name"))
+            out[domain] = enrichment(rows)
+    return out
+
+
+def run_domains(spark: SparkSession, lake: Lake, load_date: date | str, run_id: str,
+                rules: dict[str, list[Q.Rule]] | None = None) -> int:
+    """Both silver domains as one new version: a single write that reads each
+    bronze table once and lays its rows out by domain, so a reader sees both of a run or neither."""
+    from functools import reduce
+    frames = domain_rows({ds: read_bronze(spark, lake, ds) for ds, _ in DOMAINS.values()}, rules)
+    if not frames:
+        raise ValueError("no dataset of a domain is there")
+    tagged = [df.withColumn("domain", F.lit(d)) for d, df in frames.items()]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    return V.publish(every.withColumn("load_date", F.lit(str(load_date)).cast("date")), lake.domains, operation="WRITE",
+                     parameters={"run_id": run_id}, partition_by=("domain", "load_date"))
+
+
+def read_domain(spark: SparkSession, lake: Lake, domain: str, version: int | None = None) -> DataFrame | None:
+    """One domain with its own columns (None if its dataset was not there); only its folders are read."""
+    ds = DOMAINS[domain][0]
+    own = domain_rows({ds: spark.createDataFrame([], bronze_schema(ds))})[domain].columns
+    every = V.read_as_of(spark, lake.domains, version=version)
+    return every.where(F.col("domain") == domain).select(*own, "load_date") if set(own) <= set(every.columns) else None
+
+
+def marts(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """The domain marts over what the lake holds now."""
+    inpatient, outpatient = read_domain(spark, lake, "inpatient"), read_domain(spark, lake, "outpatient")
+    out = {}
+    if inpatient is not None:
+        out["patient_summary"] = mart_patient_summary(inpatient)
+        out |= {f"patient_mix_{n}": df for n, df in mart_patient_mix(inpatient).items()}
+    if outpatient is not None:
+        out["noshow_analytics"] = mart_noshow_analytics(outpatient)
+        out |= {f"visit_segments_{n}": df for n, df in mart_visit_segments(outpatient).items()}
+    ins, dia = read_bronze(spark, lake, "insurance"), read_bronze(spark, lake, "diabetes")
+    if ins is not None:
+        good, _ = Q.split(Q.tag(ins, RULES["insurance"]))
+        out |= {f"insurance_{n}": df for n, df in mart_insurance_utilization(good, inpatient).items()}
+    if dia is not None:
+        good, _ = Q.split(Q.tag(clean("diabetes", dia), RULES["diabetes"]))
+        out |= {f"diabetes_{n}": df for n, df in mart_diabetes_cohort(good).items()}
+    return out
+
+
+def run_marts(spark: SparkSession, lake: Lake, load_date: date | str) -> list[str]:
+    """Publish every mart as a new version of its own table."""
+    out = marts(spark, lake)
+    for name, df in out.items():
+        V.publish(df.withColumn("load_date", F.lit(str(load_date)).cast("date")), lake.mart(name), operation="MART",
+                  parameters={"load_date": str(load_date)})
+    return sorted(out)
+
+
+def read_mart(spark: SparkSession, lake: Lake, name: str) -> DataFrame | None:
+    return V.read_as_of(spark, lake.mart(name)) if V.current_version(spark, lake.mart(name)) is not None else None
+
+
 # ---------------------------------------------------------------------------
 # Layer inspection and DQ evidence over the lake
 # ---------------------------------------------------------------------------
@@ -471,6 +600,15 @@ def layer_report(spark: SparkSession, lake: Lake, schemas: bool = False) -> Data
         g = read_gold(spark, lake, name)
         if g is not None:
             frames[f"gold.{name}"] = g
+    if V.current_version(spark, lake.domains) is not None:
+        frames |= {f"silver.{d}": df for d in DOMAINS if (df := read_domain(spark, lake, d)) is not None}
+    for path in sorted(glob_dirs(spark, lake.mart("*"))):
+        name = path.rstrip("/").rsplit("/", 1)[1]
+        frames[f"mart.{name}"] = read_mart(spark, lake, name)
+    for name, path in (("inventory", lake.inventory), ("schemas", lake.schemas)):
+        df = safe_read(spark, path)
+        if df is not None:
+            frames[f"bronze.{name}"] = df
     return describe_columns(frames) if schemas else describe_layer(frames)
 
 

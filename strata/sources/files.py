@@ -10,6 +10,7 @@ join against it.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Sequence
 from datetime import date, datetime
 
@@ -19,10 +20,13 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, modificationTime, length) of every file under ``root``."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .load(root).select("path", "modificationTime", "length"))
+def _binary(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root if isinstance(root, str) else list(root))
+
+
+def list_files(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
+    """(path, modificationTime, length) of every file under ``root``, or of a list of files."""
+    return _binary(spark, root).select("path", "modificationTime", "length")
 
 
 def discover(spark: SparkSession, root: str, patterns: Sequence[str] = (), suffix: str = ".csv",
@@ -146,6 +150,55 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
     return df
 
 
+def files_with_line_breaks(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Those of ``paths`` in which a quoted cell goes on over a line's end.
+
+    Quotes inside a quoted cell are doubled, so a line holds an odd number of
+    quotes exactly if it ends, or begins, within a cell.  One scan of the
+    files' lines; file names reach the driver."""
+    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value")
+    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
+    return [r["path"] for r in lines.filter(quotes % 2 == 1).select("path").distinct().collect()]
+
+
+def read_csv_files(spark: SparkSession, paths: Sequence[str], schema: T.StructType, multiline: bool | None = None,
+                   **options) -> DataFrame:
+    """:func:`read_csv` of the files at ``paths``.  ``multiline=None`` finds out which
+    files hold cells with line breaks and reads those whole, the others in
+    splits; ``True`` reads all whole without looking; ``False`` reads all in
+    splits, and fails rather than cut a cell."""
+    whole = set(paths) if multiline else {_bare(p) for p in files_with_line_breaks(spark, paths)}
+    if multiline is False and whole:
+        raise ValueError(f"quoted cells hold line breaks in {sorted(whole)[:5]}; read them with multiline")
+    if not multiline:
+        whole = {p for p in paths if _bare(p) in whole}
+    parts = [read_csv(spark, sorted(some), schema, multiline=many, **options)
+             for many, some in ((False, set(paths) - whole), (True, whole)) if some]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _bare(path: str) -> str:
+    """A path in the one spelling that listings and file metadata share: decoded, ``file:/`` with one slash."""
+    from urllib.parse import unquote
+    return re.sub("^file:/+", "file:/", unquote(path))
+
+
+def malformed_cells(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, multiline: bool = False) -> DataFrame:
+    """(path, column, n_rows, n_malformed): per file and column of another type than text, the
+    cells that hold something but become NULL under ``schema``.
+
+    Every cell is read once, as text, and converted beside it; columns that
+    are text anyway are not read."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    typed = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    rows = read_csv(spark, paths, text, multiline=multiline, source_col="__path")
+    bad = {f.name: F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull() for f in typed}
+    counts = rows.groupBy("__path").agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(c).alias(f"__n{i}") for i, c in enumerate(bad.values())])
+    each = F.array(*[F.struct(F.lit(n).alias("column"), F.col(f"__n{i}").alias("n_malformed")) for i, n in enumerate(bad)])
+    return counts.select(normalize_path("__path").alias("path"), "n_rows", F.explode(each).alias("c")).select(
+        "path", "c.column", "n_rows", "c.n_malformed")
+
+
 def safe_read(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None,
               **options) -> DataFrame | None:
     """Tolerant read for an optional input: a missing path gives ``None``
@@ -168,23 +221,72 @@ def normalize_path(c):
     return F.regexp_replace(c, "^file:/+", "file:///")
 
 
-def inventory(spark: SparkSession, root: str, suffix: str | None = None,
-              rows_per_file: DataFrame | None = None) -> DataFrame:
-    """Raw-zone inventory: file name, size, mtime, md5 of the content and —
-    if ``rows_per_file(path, n_rows)`` is given — the ingested row count and
-    a status (``ingested`` / ``pending``).
+RANGE_BYTES = 64 << 20
+
+
+def _store(path: str):
+    """(file system, path) as Python reads them: plain and ``file:`` paths locally, others by their scheme."""
+    from pyarrow import fs
+    bare = re.sub("^file:/+", "/", path)
+    return fs.FileSystem.from_uri(path) if "://" in bare else (fs.LocalFileSystem(), bare)
+
 
-    The md5 is computed on the executors from ``binaryFile`` content, one
-    task per file split; files above 2 GiB cannot be hashed this way.
+def digests(spark: SparkSession, root: str | Sequence[str], suffix: str | None = None, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(path, n_ranges, digest) of every file under ``root``, of any size.
+
+    A file is cut into ranges of ``range_bytes``.  The digest is the MD5 of the
+    ranges' MD5s (hexadecimal, one after the other), so it depends on the
+    content and ``range_bytes`` alone.  Files of one range go through Spark's
+    binary reader; of longer ones each range is a row, read in small blocks by whatever task gets
+    it, and only its digest goes on.  Spark's file listing leaves empty files out.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    def hashed(batches):
+        import hashlib
+
+        import pyarrow as pa
+        for batch in batches:
+            for row in batch.to_pylist():
+                store, path = _store(row["path"])
+                md5, left = hashlib.md5(), row["n"]
+                with store.open_input_file(path) as f:
+                    f.seek(row["start"])
+                    while left:
+                        block = f.read(min(left, 4 << 20))
+                        if not block:
+                            raise OSError(f"{row['path']} has become shorter")
+                        md5.update(block)
+                        left -= len(block)
+                yield pa.RecordBatch.from_pydict({"path": [row["path"]], "at": [row["at"]], "md5": [md5.hexdigest()]})
+
+    files = _binary(spark, root)
+    if suffix:
+        files = files.filter(F.lower("path").endswith(suffix.lower()))
+    one = files.filter(F.col("length") <= range_bytes).select("path", F.lit(0).cast("long").alias("at"), F.md5("content").alias("md5"))
+    cut = files.filter(F.col("length") > range_bytes).select("path", "length").withColumn(
+        "at", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(length - 1) div {range_bytes}"))))
+    start = F.col("at") * range_bytes
+    ranges = cut.select("path", "at", start.alias("start"), F.least(F.lit(range_bytes).cast("long"), F.col("length") - start).alias("n"))
+    # a range is as much work as a task should get
+    dealt = ranges.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "at")
+    parts = one.unionByName(dealt.mapInArrow(hashed, "path string, at long, md5 string"))
+    # 32 characters a range: a terabyte is half a megabyte here
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "md5"))), lambda r: r["md5"]), "")
+    return parts.groupBy(normalize_path("path").alias("path")).agg(
+        F.count(F.lit(1)).alias("n_ranges"), F.md5(whole).alias("digest"))
+
+
+def inventory(spark: SparkSession, root: str | Sequence[str], suffix: str | None = None,
+              rows_per_file: DataFrame | None = None, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Raw-zone inventory: file name, size, mtime, number of ranges and digest
+    of the content (:func:`digests`) and — if ``rows_per_file(path, n_rows)`` is given — the
+    ingested row count and a status (``ingested`` / ``pending``)."""
+    files = list_files(spark, root)
     if suffix:
         files = files.filter(F.lower("path").endswith(suffix.lower()))
     out = files.select(normalize_path("path").alias("path"),
                        F.element_at(F.split("path", "/"), -1).alias("file_name"),
                        F.col("length").alias("size_bytes"),
-                       F.col("modificationTime").alias("modified_at"),
-                       F.md5("content").alias("md5"))
+                       F.col("modificationTime").alias("modified_at")).join(digests(spark, root, suffix, range_bytes), "path")
     if rows_per_file is not None:
         counts = rows_per_file.select(normalize_path("path").alias("path"), "n_rows")
         out = (out.join(counts, "path", "left")

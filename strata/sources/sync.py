@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .versions import _publish, current_version, publish, read_as_of
+from .versions import _publish, current_version, publish, read_as_of, surplus
 
 
 def full_extract(spark: SparkSession, versioned_root: str, out_path: str,
@@ -27,9 +27,10 @@ def full_extract(spark: SparkSession, versioned_root: str, out_path: str,
 
 def incremental_append(source: DataFrame, target_path: str, key: str) -> int:
     """Append the source rows whose ``key`` exceeds the target's current
-    maximum; an absent target receives everything but rows with a NULL key,
-    which have no place in the order and are never synced, first time or later.  Columns are aligned
-    *by name* to the target's order.  Returns the number of rows appended
+    maximum; an absent target receives everything.  Rows with a NULL key have
+    no place in the order: of these, later syncs append what the target does not
+    hold yet, as a multiset (two equal rows in the source are two in the
+    target).  Columns are aligned *by name* to the target's order.  Returns the number of rows appended
     (0 → nothing was written).
 
     The target is a snapshot-versioned table (:mod:`strata.sources.versions`)
@@ -39,20 +40,21 @@ def incremental_append(source: DataFrame, target_path: str, key: str) -> int:
     the retry appends exactly the missing rows — nothing is lost or doubled
     (a plain parquet append could expose part of a failed job's files and
     move the watermark past rows that were never written).  The watermark is
-    one scalar aggregate over the key column, and ``key > hw`` is pushed into
-    the source scan.  Read the extract with :func:`read_extract`.
+    one scalar aggregate over the key column; ``key > hw`` and ``key IS NULL`` are pushed
+    into the scans, so files without NULL keys are skipped by their statistics.
+    Read the extract with :func:`read_extract`.
     """
-    spark = source.sparkSession
-    new = source.where(F.col(key).isNotNull())
+    spark, new = source.sparkSession, source
     if current_version(spark, target_path) is not None:
         target = read_as_of(spark, target_path)
-        hw = target.agg(F.max(key).alias("hw")).first()["hw"]
-        if hw is not None:
-            new = new.where(F.col(key) > F.lit(hw))
-        missing = [c for c in target.columns if c not in new.columns]
+        missing = [c for c in target.columns if c not in source.columns]
         if missing:
             raise ValueError(f"source lacks target columns {missing}")
-        new = new.select(*target.columns)
+        source = source.select(*target.columns)
+        hw = target.agg(F.max(key).alias("hw")).first()["hw"]
+        keyed = source.where(F.col(key).isNotNull() if hw is None else F.col(key) > F.lit(hw))
+        no_key = F.col(key).isNull()
+        new = keyed.unionByName(surplus(target.where(no_key), source.where(no_key)).select(*target.columns))
     if new.isEmpty():
         return 0
     return _publish(new, target_path, mode="append", operation="SYNC", parameters={"key": key})[1]

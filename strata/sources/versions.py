@@ -23,12 +23,13 @@ from __future__ import annotations
 import json
 import uuid
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .files import _exists
+from .files import _exists, glob_dirs
 
 LOG_SCHEMA = ("version int, data_versions array<int>, committed_at timestamp_ntz, "
               "operation string, parameters string, num_rows bigint, schema_json string")
@@ -115,6 +116,15 @@ def _schema_of(row) -> T.StructType | None:
     return T.StructType.fromJson(json.loads(js)) if js else None
 
 
+def _layout(spark: SparkSession, root: str, v: int) -> tuple[str, ...]:
+    """Partition columns of a version's files, read off its folder names."""
+    names, pattern = [], f"{_data_path(root, v)}/*=*"
+    while dirs := glob_dirs(spark, pattern):
+        names.append(dirs[0].rstrip("/").rsplit("/", 1)[1].split("=", 1)[0])
+        pattern += "/*=*"
+    return tuple(names)
+
+
 def publish(df: DataFrame, root: str, mode: str = "overwrite", operation: str | None = None,
             parameters: dict | None = None, at: datetime | None = None,
             partition_by: tuple[str, ...] = ()) -> int:
@@ -122,7 +132,8 @@ def publish(df: DataFrame, root: str, mode: str = "overwrite", operation: str |
     ``append`` adds to it).  Returns the new version number.  The row count
     in the log is observed during the write itself (no extra job).
     ``partition_by`` lays the version's files out in ``col=value``
-    directories, so later equality filters on those columns prune files."""
+    directories, so later equality filters on those columns prune files; an
+    append keeps the layout of the version it extends."""
     return _publish(df, root, mode, operation, parameters, at, partition_by)[0]
 
 
@@ -139,6 +150,12 @@ def _publish(df: DataFrame, root: str, mode: str = "overwrite", operation: str |
     # the version's content and columns are settled before any data is
     # written, so a rejected append writes nothing
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+    if mode == "append" and cur is not None:
+        # the parts of one version share a folder layout, else they can't be read together
+        layout = _layout(spark, root, _resolve(spark, root, version=cur, rows=log)["data_versions"][0])
+        if partition_by and tuple(partition_by) != layout:
+            raise ValueError(f"the table is laid out by {layout}, not by {tuple(partition_by)}")
+        partition_by = layout
     prev = _resolve(spark, root, version=cur, rows=log) if mode == "append" and cur is not None else None
     if prev is not None:
         prev_schema = _schema_of(prev)
@@ -167,6 +184,9 @@ def read_as_of(spark: SparkSession, root: str, version: int | None = None,
     schema = _schema_of(row)
     if schema is not None:
         # the schema recorded at commit: no footer scan to infer or merge it
+        if len(paths) > 1 and _layout(spark, root, row["data_versions"][0]):
+            # folders of values under several roots can't be told apart in one read
+            return reduce(DataFrame.unionByName, [spark.read.schema(schema).parquet(p).select(*schema.names) for p in paths])
         return spark.read.schema(schema).parquet(*paths)
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
@@ -195,19 +215,25 @@ def changes(spark: SparkSession, root: str, old: int, new: int, change_col: str
     copies are regenerated.
     """
     a, b = read_as_of(spark, root, old), read_as_of(spark, root, new)
-    # columns present in only one version are NULL on the other side
-    u = (a.withColumns({"__a": F.lit(1), "__b": F.lit(0)})
-          .unionByName(b.withColumns({"__a": F.lit(0), "__b": F.lit(1)}), allowMissingColumns=True))
-    g = u.groupBy(*[F.col(f"`{c}`") for c in u.columns if c not in ("__a", "__b")]).agg(
-        F.sum("__a").alias("__na"), F.sum("__b").alias("__nb"))
-    surplus = (g.where(F.col("__na") != F.col("__nb"))
-                .withColumns({change_col: F.when(F.col("__nb") > F.col("__na"), F.lit("added"))
-                                           .otherwise(F.lit("removed")),
-                              "__n": F.abs(F.col("__nb") - F.col("__na"))})
-                .drop("__na", "__nb"))
+    g = _balance(a, b)
+    surplus = (g.where(F.col("__n") != 0)
+                .withColumns({change_col: F.when(F.col("__n") > 0, F.lit("added")).otherwise(F.lit("removed")),
+                              "__n": F.abs("__n")}))
     return _replicate(surplus, "__n")
 
 
+def _balance(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Every different row of the two with ``__n``: how many more of it ``new``
+    holds.  Columns present on only one side are NULL on the other."""
+    u = (old.withColumn("__n", F.lit(-1)).unionByName(new.withColumn("__n", F.lit(1)), allowMissingColumns=True))
+    return u.groupBy(*[F.col(f"`{c}`") for c in u.columns if c != "__n"]).agg(F.sum("__n").alias("__n"))
+
+
+def surplus(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of ``new`` beyond those ``old`` holds, as a multiset (NULLs compare equal)."""
+    return _replicate(_balance(old, new).where(F.col("__n") > 0), "__n")
+
+
 def diff(spark: SparkSession, root: str, old: int, new: int) -> tuple[DataFrame, DataFrame]:
     """(rows added in ``new``, rows removed since ``old``) as multisets."""
     ch = changes(spark, root, old, new, "__change")

@@ -102,5 +102,44 @@ def start(parsed: DataFrame, sink_path: str, checkpoint: str, processing_time: s
     return w.start()
 
 
+def split_messages(raw: DataFrame, schema: T.StructType | str, key: str, value_col: str = "value") -> DataFrame:
+    """Every message once: ``data`` (parsed) and ``value``, with ``reason`` NULL for a row with a
+    key, else why it is a dead letter: ``empty`` (no message), ``unparsable`` (no JSON object) or ``no_key``."""
+    data = parse_json(F.col(value_col), schema, JSON_OPTIONS)
+    # an object parses as a map whatever its fields; anything else does not
+    is_object = F.get_json_object(F.col(value_col), "$").startswith("{")
+    reason = (F.when(F.col(value_col).isNull() | (F.trim(value_col) == ""), "empty")
+               .when(~F.coalesce(is_object, F.lit(False)), "unparsable")
+               .when(data.getField(key).isNull(), "no_key"))
+    return raw.select(F.col(value_col).alias("value"), data.alias("data"), reason.alias("reason"))
+
+
+def start_with_dead_letters(split: DataFrame, sink_path: str, checkpoint: str, processing_time: str | None = "5 seconds",
+                            available_now: bool = False) -> StreamingQuery:
+    """Start the stream of :func:`split_messages` into two tables under ``sink_path``: rows and dead letters.
+
+    A micro-batch is written by one job into the partitions (kind, batch_id), and the
+    partitions of an epoch are replaced together when that job commits.  A replay after a kill at
+    any moment therefore leaves each message in exactly one of the two, once."""
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        kind = F.when(F.col("reason").isNull(), "rows").otherwise("dead")
+        (batch.withColumns({"value": F.when(F.col("reason").isNotNull(), F.col("value")), "kind": kind,
+                            "batch_id": F.lit(epoch_id).cast("long")})
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("kind", "batch_id").parquet(sink_path))
+
+    w = split.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def read_rows(spark: SparkSession, sink_path: str) -> DataFrame:
+    return spark.read.parquet(sink_path).where("kind = 'rows'").select("data.*")
+
+
+def read_dead_letters(spark: SparkSession, sink_path: str) -> DataFrame:
+    return spark.read.parquet(sink_path).where("kind = 'dead'").select("value", "reason", "batch_id")
+
+
 def read_sink(spark: SparkSession, sink_path: str, batch_col: str = "batch_id") -> DataFrame:
     return spark.read.parquet(sink_path).drop(batch_col)

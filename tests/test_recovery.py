@@ -78,11 +78,18 @@ def test_pivot_total_counts_unlisted_values(spark):
         A.pivot_share(df, "r", "c", ["other"])
 
 
-def test_null_keys_are_never_synced(spark, tmp):
-    df = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
-    assert sync.incremental_append(df, f"{tmp}/t", "k") == 1
-    assert sync.incremental_append(df.unionByName(spark.createDataFrame([(2, "c"), (None, "d")], "k int, v string")), f"{tmp}/t", "k") == 1
-    assert sorted(r.k for r in sync.read_extract(spark, f"{tmp}/t").collect()) == [1, 2]
+def test_null_keys_are_synced_as_a_multiset(spark, tmp):
+    def rows(*r):
+        return spark.createDataFrame(list(r), "k int, v string")
+
+    t = f"{tmp}/t"
+    assert sync.incremental_append(rows((1, "a"), (None, "b"), (None, "b"), (None, None)), t, "k") == 4
+    more = rows((1, "a"), (None, "b"), (None, "b"), (None, "b"), (None, None), (2, "c"), (None, "d"))
+    assert sync.incremental_append(more, t, "k") == 3  # one more b, c and d
+    assert sync.incremental_append(more, t, "k") == 0
+    assert sync.incremental_append(rows((None, "b")), t, "k") == 0  # nothing is removed
+    got = sorted(((r.k, r.v) for r in sync.read_extract(spark, t).collect()), key=str)
+    assert got == sorted(((r.k, r.v) for r in more.collect()), key=str)
 
 
 def test_missing_measurements_are_unknown(spark):

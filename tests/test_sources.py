@@ -1,3 +1,4 @@
+import hashlib
 import os
 import time
 
@@ -119,8 +120,10 @@ def test_inventory(spark, tmp):
     write_text(f"{tmp}/raw/people_2.csv", HDR + "Bo,3\nCy,4\n")
     counts = (FS.read_csv(spark, f"{tmp}/raw/people_1.csv", SCHEMA, source_col="path")
               .groupBy("path").count().withColumnRenamed("count", "n_rows"))
-    inv = {r.file_name: (r.n_rows, r.status, len(r.md5)) for r in FS.inventory(spark, f"{tmp}/raw", ".csv", counts).collect()}
-    assert inv == {"people_1.csv": (1, "ingested", 32), "people_2.csv": (None, "pending", 32)}
+    inv = {r.file_name: (r.n_rows, r.status, r.n_ranges, r.digest) for r in FS.inventory(spark, f"{tmp}/raw", ".csv", counts).collect()}
+    digest = lambda text: hashlib.md5(hashlib.md5(text.encode()).hexdigest().encode()).hexdigest()
+    assert inv == {"people_1.csv": (1, "ingested", 1, digest(HDR + "Ann,30\n")),
+                   "people_2.csv": (None, "pending", 1, digest(HDR + "Bo,3\nCy,4\n"))}
 
 
 def test_changes_equal_except_all_both_ways(spark, tmp):
