@@ -62,11 +62,12 @@ _U = np.uint64
 # The constants of XXH64
 _P1, _P2, _P3 = _U(11400714785074694791), _U(14029467366897019727), _U(1609587929392839161)
 _P4, _P5 = _U(9650029242287828579), _U(2870177450012600261)
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], "<u8")
 
 
-def _words(text: bytes | None, most: int) -> Iterator[tuple[int, list[bytes]]]:
-    """Words of a text with :data:`_END` between pieces, in blocks: (k, words).  The first
-    k words, at most ``most - 1``, are the last of the block before and end no phrase anew."""
+def _chunks(text: bytes | None, most: int) -> Iterator[tuple[int, bytes]]:
+    """A text in chunks of whole words, :data:`_END` between pieces and spaces between words: (k, chunk).
+    The first k words, less than ``most``, are the last of the chunk before and end no phrase anew."""
     if not text:
         return
     at, kept = 0, []
@@ -83,9 +84,11 @@ def _words(text: bytes | None, most: int) -> Iterator[tuple[int, list[bytes]]]:
                 if cut >= 0:
                     break
             flat += b"".join(more)
-        words = flat.replace(_END, b" . ").split()
-        yield len(kept), kept + words
-        kept = (kept + words)[-(most - 1):] if most > 1 else []
+        if kept:
+            flat = b" ".join(kept) + b" " + flat
+        yield len(kept) - kept.count(_END), flat
+        if at < len(text):
+            kept = flat.replace(_END, b" . ").rsplit(None, most - 1)[-(most - 1):] if most > 1 else []
 
 
 def _turn(x: np.ndarray, by: int) -> np.ndarray:
@@ -109,30 +112,70 @@ def _joined(left: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """Words of some texts in a row, :data:`_END` between pieces and texts.
-
-    ``owner[i]`` is the number of word i's text.  Words that the block before had
-    too (see :func:`_words`) are in ``old`` as (first, how many)."""
-
-    def __init__(self, words: list[bytes], owner: np.ndarray, old: list[tuple[int, int]]):
-        self.words, self.owner, self.old = words, owner, old
-        n = len(words)
-        self.hash = np.fromiter(map(xxhash.xxh64_intdigest, words), _U, n)
-        self.word = ~np.fromiter(map(_END.__eq__, words), bool, n)
+    """Words of some texts: places in ``flat``, the texts' chunks with :data:`_END` between them.
+
+    Word i is ``flat[start[i]:start[i] + length[i]]``, of text ``owner[i]``; ``opens[i]`` if it is the first of
+    its piece.  Words that the chunk before had too (see :func:`_chunks`) are in ``old`` as (first, how many)."""
+
+    def __init__(self, chunks: list[tuple[int, int, bytes]]):
+        self.flat = _END.join([c for _, _, c in chunks]) + bytes(8)
+        raw = np.frombuffer(self.flat, np.uint8)[:-8]
+        inside = np.concatenate([[False], (raw != 32) & (raw != 46), [False]])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        self.start, self.length = edges[::2], edges[1::2] - edges[::2]
+        self.opens = np.zeros(len(self.start) + 1, bool)
+        self.opens[np.searchsorted(self.start, np.flatnonzero(raw == 46))] = True
+        begins = np.cumsum([0] + [len(c) + 1 for _, _, c in chunks[:-1]])
+        word = np.searchsorted(self.start, begins)
+        self.owner = np.repeat([i for i, _, _ in chunks], np.diff(np.append(word, len(self.start))))
+        self.old = [(int(w), again) for w, (_, again, _) in zip(word, chunks) if again]
+        # the 8 bytes from every place on
+        self.eight = np.ndarray(len(self.flat) - 7, "<u8", self.flat, strides=(1,))
+        self.hash = self._hashes()
+
+    def _hashes(self) -> np.ndarray:
+        h = self.length.astype(_U) * _P5 + _P4
+        left, at = np.arange(len(h)), 0
+        while left.size:
+            lane = self.eight[self.start[left] + at] & _MASKS[np.minimum(self.length[left] - at, 8)]
+            h[left] = _turn(h[left] ^ (_turn(lane * _P2, 31) * _P1), 27) * _P1 + _P4
+            at += 8
+            left = left[self.length[left] > at]
+        h = (h ^ (h >> _U(33))) * _P2
+        return h ^ (h >> _U(29))
+
+    def differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether words a and b differ, byte by byte."""
+        out = self.length[a] != self.length[b]
+        left, at = np.flatnonzero(~out), 0
+        while left.size:
+            x, y = a[left], b[left]
+            rest = np.minimum(self.length[x] - at, 8)
+            apart = (self.eight[self.start[x] + at] ^ self.eight[self.start[y] + at]) & _MASKS[rest] != 0
+            out[left] = apart
+            at += 8
+            left = left[~apart & (self.length[x] > at)]
+        return out
+
+    def text(self, i: int, k: int) -> bytes:
+        """The phrase of ``k`` words from word ``i`` on."""
+        found = self.flat[self.start[i]:self.start[i + k - 1] + self.length[i + k - 1]]
+        return found if k == 1 else b" ".join(found.split())
 
     def phrases(self, longest: int, frequent: dict, seed: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(k, first words, hashes) of the phrases of 1 to ``longest`` words that ``frequent`` does not
         rule out: a phrase counts if its two parts of a word less do, and if the bitmap ``frequent[k]``, where there is one, has its place."""
-        seeds = seed[self.owner]
-        alive, h = self.word, self.hash
+        alive, h = np.ones(len(self.hash), bool), self.hash
         for k in range(1, longest + 1):
             if k > 1:
                 alive = alive[:-1] & alive[1:]
+                if k == 2:
+                    alive &= ~self.opens[1:len(self.start)]
                 h = _joined(h[:-1], self.hash[k - 1:])
             at = np.flatnonzero(alive)
             if k in frequent:
                 bits = frequent[k]
-                place = hash_longs(h[at], seeds[at]) & _U(len(bits) * 8 - 1)
+                place = hash_longs(h[at], seed[self.owner[at]]) & _U(len(bits) * 8 - 1)
                 hit = (bits[place >> _U(3)] >> (place & _U(7)).astype(np.uint8)) & 1 != 0
                 alive = np.zeros(len(alive), bool)
                 at = at[hit]
@@ -144,21 +187,17 @@ class Block:
 
 
 def _blocks(texts: Sequence[bytes | None], longest: int) -> Iterator[Block]:
-    words: list[bytes] = []
-    owner, old, size = [], [], 0
+    chunks: list[tuple[int, int, bytes]] = []
+    size = 0
     for i, text in enumerate(texts):
-        for again, some in _words(text, longest):
-            if again:
-                old.append((len(words), again))
-            words += some
-            words.append(_END)
-            owner.append((i, len(some) + 1))
-        size += len(text or b"")
-        if words and size >= BLOCK:
-            yield Block(words, np.repeat(*map(np.array, zip(*owner))), old)
-            words, owner, old, size = [], [], [], 0
-    if words:
-        yield Block(words, np.repeat(*map(np.array, zip(*owner))), old)
+        for again, chunk in _chunks(text, longest):
+            chunks.append((i, again, chunk))
+            size += len(chunk)
+            if size >= BLOCK:
+                yield Block(chunks)
+                chunks, size = [], 0
+    if chunks:
+        yield Block(chunks)
 
 
 def _seeds(groups: Sequence[int]) -> np.ndarray:
@@ -178,14 +217,16 @@ def mined(texts: DataFrame, first: int, longest: int, bitmaps: dict[int, bytes])
 
     def rows(held):
         group, h = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((h, group))
-        group, h = group[order], h[order]
-        starts = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (group[1:] != group[:-1])]))
-        counts = np.diff(np.append(starts, len(h)))
-        for at in range(0, len(starts), 500_000):
-            some = starts[at:at + 500_000]
-            yield pa.RecordBatch.from_arrays([pa.array(group[some]), pa.array(h[some].view(np.int64)),
-                                              pa.array(counts[at:at + 500_000], pa.int64())], schema=schema)
+        names, code = np.unique(group, return_inverse=True)
+        order = np.argsort(code.astype(np.int16 if len(names) < 1 << 15 else np.int64), kind="stable")
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(code))])
+        h = h[order]
+        for name, lo, hi in zip(names, bounds, bounds[1:]):
+            own = np.sort(h[lo:hi])
+            starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            counts = np.diff(np.append(starts, len(own)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(starts), name)), pa.array(own[starts].view(np.int64)),
+                                              pa.array(counts, pa.int64())], schema=schema)
 
     def run(batches):
         frequent = {k: np.frombuffer(b.value, np.uint8) for k, b in carried.items()}
@@ -223,22 +264,20 @@ def counted(texts: DataFrame, longest: int, places: bytes) -> DataFrame:
                 numbers = {g: i for i, g in enumerate(dict.fromkeys(langs))}
                 names, lang = list(numbers), np.array([numbers[g] for g in langs])
                 for block in _blocks(part.column(2).cast(pa.binary()).to_pylist(), longest):
-                    words = block.words
-                    ids = {w: i for i, w in enumerate(dict.fromkeys(words))}
-                    number = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
                     own = lang[block.owner]
                     for k, at, h in block.phrases(longest, frequent, seed):
-                        order = np.lexsort((h, own[at]))
-                        at, h = at[order], h[order]
+                        if not len(at):
+                            continue
+                        at = at[np.argsort(hash_longs(h, own[at].astype(_U)))]
                         # neighbours are equal if they are word by word, which hashes only bring together
-                        differ = own[at[1:]] != own[at[:-1]]
+                        apart = own[at[1:]] != own[at[:-1]]
                         for j in range(k):
-                            differ |= number[at[1:] + j] != number[at[:-1] + j]
-                        starts = np.flatnonzero(np.concatenate([[True], differ]) if len(at) else differ)
-                        some = at[starts]
-                        texts_ = [b" ".join(words[i:i + k]) for i in some.tolist()] if k > 1 else [words[i] for i in some.tolist()]
+                            apart |= block.differ(at[1:] + j, at[:-1] + j)
+                        starts = np.flatnonzero(np.concatenate([[True], apart]))
+                        some = at[starts].tolist()
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array([names[i] for i in own[some].tolist()], pa.string()), pa.array(texts_, pa.binary()).cast(pa.string()),
+                            [pa.array([names[i] for i in own[some].tolist()], pa.string()),
+                             pa.array([block.text(i, k) for i in some], pa.binary()).cast(pa.string()),
                              pa.array(np.diff(np.append(starts, len(at))), pa.int64())], schema=schema)
 
     return (texts.select("lang_hash", "lang", "text").mapInArrow(run, "lang string, phrase string, a long")
