@@ -16,8 +16,11 @@ Words that no template has can't add to an overlap and are left out of the
 blocks beforehand.  Templates are a fixed list, so their prefix table is small
 by construction and broadcast; blocks are not shuffled.
 
+Blocks are at least twice as long as the longest template, else a template could lie
+across two of them; a shorter block is refused.
+
 Defined results: a null or word-less text has no block, no place and score 0;
-rows with equal ids share the labels that any of their texts got by the join.
+rows with equal ids, or none, are told apart by their text; equal rows get equal results, one each.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, map_rows, materialise
+from .common import WORD_BYTES, map_rows, materialise, text_of
 
 BLOCK, THRESHOLD = 64, 0.9
 
@@ -62,32 +65,36 @@ def words(text: bytes | None) -> list[bytes]:
 
 
 def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    """(doc_id, text, text_hash): the hash tells rows with equal ids apart."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       F.xxhash64(text_of(text_col)).alias("text_hash"))
 
 
 def places(docs: DataFrame, phrases: dict[str, str] = PHRASES, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels: where phrases stand."""
+    """doc_id, text_hash, n_words, n_base, first_word, last_word, base_labels: where phrases stand."""
     wanted = [(b" " + p.encode() + b" ", label) for p, label in phrases.items()]
 
     def run(cols):
-        out: dict = {n: [] for n in ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")}
-        for i, t in zip(cols["doc_id"], cols["text"]):
+        out: dict = {n: [] for n in ("doc_id", "text_hash", "n_words", "n_base", "first_word", "last_word", "base_labels")}
+        for i, key, t in zip(cols["doc_id"], cols["text_hash"], cols["text"]):
             w = words(t)
             line = b" " + b" ".join(w) + b" "
             starts, labels = [], set()
             for phrase, label in wanted:
-                at = line.find(phrase)
+                at, seen, number = line.find(phrase), 0, 0
                 while at >= 0:
-                    starts.append(line.count(b" ", 0, at))  # spaces before a word's own: its number
+                    number += line.count(b" ", seen, at)  # spaces before a word's own: its number
+                    seen = at
+                    starts.append(number)
                     labels.add(label)
                     at = line.find(phrase, at + 1)
-            for n, v in zip(out, (i, len(w), len(starts), min(starts, default=None), max(starts, default=None), sorted(labels))):
+            for n, v in zip(out, (i, key, len(w), len(starts), min(starts, default=None), max(starts, default=None), sorted(labels))):
                 out[n].append(v)
         return out
 
     return map_rows(_slim(docs, id_col, text_col), run,
-                    "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels array<string>")
+                    "doc_id long, text_hash long, n_words long, n_base long, first_word long, last_word long, base_labels array<string>")
 
 
 def word_order(docs: DataFrame, vocabulary: set[str], text_col: str = "text") -> dict[str, int]:
@@ -107,10 +114,14 @@ def word_order(docs: DataFrame, vocabulary: set[str], text_col: str = "text") ->
 
 
 def join(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD,
-         block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, block, first_word, label, containment) of every matching block and template."""
+         block: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_hash, block, first_word, label, containment) of every matching block and template."""
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
+    longest = max(len(words(t.encode())) for t in templates.values())
+    block = max(BLOCK, 2 * longest) if block is None else block
+    if block < 2 * longest:
+        raise ValueError(f"a template of {longest} words needs blocks of {2 * longest}")
     spark = docs.sparkSession
     sets = {label: {w.decode() for w in words(t.encode())} for label, t in templates.items()}
     rank = word_order(docs, set().union(*sets.values()), text_col)
@@ -124,8 +135,8 @@ def join(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     stride = block // 2
 
     def run(cols):
-        out: dict = {n: [] for n in ("doc_id", "block", "token", "place", "tokens")}
-        for i, t in zip(cols["doc_id"], cols["text"]):
+        out: dict = {n: [] for n in ("doc_id", "text_hash", "block", "token", "place", "tokens")}
+        for i, key, t in zip(cols["doc_id"], cols["text_hash"], cols["text"]):
             w = words(t)
             where = [k for k, x in enumerate(w) if x in ranks]
             hit = [ranks[w[k]] for k in where]
@@ -136,17 +147,17 @@ def join(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
                 own = sorted(set(hit[lo:hi]))
                 for place, r in enumerate(own[:max(0, len(own) - least + 1)]):
                     if r in probing:
-                        for n, v in zip(out, (i, b, r, place, own)):
+                        for n, v in zip(out, (i, key, b, r, place, own)):
                             out[n].append(v)
         return out
 
-    probes = map_rows(_slim(docs, id_col, text_col), run, "doc_id long, block long, token int, place int, tokens array<int>")
+    probes = map_rows(_slim(docs, id_col, text_col), run, "doc_id long, text_hash long, block long, token int, place int, tokens array<int>")
     p, size = probes.join(F.broadcast(table), "token"), F.size("tokens")
     rest = F.least(size - F.col("place"), F.col("t_size") - F.col("at"))
     met = p.filter((size >= F.col("need")) & (F.col("place") <= size - F.col("need")) & (rest >= F.col("need")))
     shared = F.size(F.array_intersect("tokens", "t_tokens"))
     return (met.withColumn("shared", shared).filter("shared >= need")
-            .select("doc_id", "block", (F.col("block") * stride).alias("first_word"), "label",
+            .select("doc_id", "text_hash", "block", (F.col("block") * stride).alias("first_word"), "label",
                     (F.col("shared") / F.col("t_size")).alias("containment")).distinct())
 
 
@@ -154,12 +165,12 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """:func:`places` with the labels of both ways and a score: 1 for a phrase in place,
     else the best containment of a matching block, else 0."""
-    met = join(docs, templates, threshold, BLOCK, id_col, text_col)
+    met = join(docs, templates, threshold, None, id_col, text_col)
     # a document has at most as many labels as there are templates
-    per = materialise(met.groupBy("doc_id").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best")), "labels")
+    per = materialise(met.groupBy("doc_id", "text_hash").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best")), "labels")
     found = places(docs, id_col=id_col, text_col=text_col).alias("p")
     m = per.alias("m")
-    out = found.join(m, F.col("p.doc_id").eqNullSafe(F.col("m.doc_id")), "left")
+    out = found.join(m, F.col("p.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("p.text_hash") == F.col("m.text_hash")), "left")
     none = F.array().cast("array<string>")
     return out.select(
         "p.doc_id", "n_words", "n_base", "first_word", "last_word", F.concat_ws(",", "base_labels").alias("base_labels"),

@@ -163,6 +163,44 @@ def test_license_places(spark, odd):
     assert licenses.scan(odd.limit(0)).isEmpty()
 
 
+def test_license_labels_stay_with_their_text(spark):
+    bsd = licenses.TEMPLATES["bsd"]
+    rows = [(1, bsd), (1, "plain text"), (None, bsd.upper()), (None, "other text"), (None, None), (1, bsd)]
+    got = sorted((str(r.doc_id), r.n_words, r.labels, r.score) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    n = len(licenses.words(bsd.encode()))
+    assert got == sorted([("1", n, "bsd", 1.0)] * 2 + [("1", 2, "", 0.0), ("None", n, "bsd", 1.0), ("None", 2, "", 0.0), ("None", 0, "", 0.0)])
+
+
+def test_license_blocks_hold_the_longest_template(spark):
+    body = " ".join(f"w{i}" for i in range(100))
+    docs = spark.createDataFrame([(i, "x " * i + body) for i in range(0, 400, 37)], "doc_id long, text string")
+    got = licenses.join(docs, {"body": body}, 1.0)
+    assert {r.doc_id for r in got.collect()} == set(range(0, 400, 37))
+    with pytest.raises(ValueError):
+        licenses.join(docs, {"body": body}, 1.0, block=64)
+
+
+def test_license_base_columns_equal_sql(spark):
+    import duckdb
+    sf = "/root/testdata/sf0.001"
+    sql = f"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM '{sf}/documents.parquet'),
+      p AS (SELECT unnest(['gnu general public license', 'apache license', 'cc by', 'mit license']) AS p, unnest(['gpl', 'apache', 'cc-by', 'mit']) AS label),
+      m AS (SELECT doc_id, i, label FROM (SELECT doc_id, w, unnest(generate_series(0, len(w) - 1)) AS i FROM d WHERE len(w) > 0), p
+        WHERE array_to_string(w[i + 1 : i + len(string_split(p, ' '))], ' ') = p)
+      SELECT d.doc_id, len(w) AS n_words, count(i) AS n_base, min(i) AS first_word, max(i) AS last_word,
+        coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels FROM d LEFT JOIN m USING (doc_id) GROUP BY d.doc_id, w"""
+    want = sorted(duckdb.sql(sql.replace("\\\\", "\\")).fetchall())
+    got = licenses.scan(spark.read.parquet(f"{sf}/documents.parquet"))
+    assert sorted(map(tuple, got.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels").collect())) == want
+    assert sum(r[2] for r in want) > 0
+
+
+def test_many_license_phrases_in_a_long_text(spark):
+    r = licenses.places(spark.createDataFrame([(1, "mit license x " * 100_000)], "doc_id long, text string")).first()
+    assert (r.n_base, r.first_word, r.last_word) == (100_000, 0, 299_997)
+
+
 def test_lattice_sums_every_segmentation():
     pieces = {"▁": math.log(.1), "▁a": math.log(.2), "a": math.log(.1), "b": math.log(.05), "ab": math.log(.2), "ba": math.log(.1)}
     lattice = lm_score.Lattice(pieces, math.log(.001))
