@@ -4,9 +4,11 @@ Of every ``window - k + 1`` consecutive k-gram hashes of a text the smallest is
 kept (all places, where several tie).  A stretch of ``window`` words that a
 document shares with a benchmark item has the same smallest hash in both, so
 joining the kept hashes finds every such stretch: nothing is left to chance.
+Of an item each different window is marked once, at its first place, so words that repeat in
+both meet once for each place in the document, not for each pair of places.
 Each meeting fixes an alignment of document and item; its matching words are
-then compared one by one and extended to maximal runs, and a run counts from
-``window`` words on.  Items shorter than ``window`` are fingerprinted whole, one
+then compared one by one and extended to runs as long as the alignment allows, and a run counts from
+``window`` words on.  The runs cover every window that document and item share.  Items shorter than ``window`` are fingerprinted whole, one
 k-gram of the item's own length.
 
 Word hashes are computed inside the row, so the documents' text is not
@@ -65,6 +67,21 @@ def winnowed(df: DataFrame, array: str, window: int = WINDOW, k: int = K, out: s
             .drop("__h", "__m", "__at"))
 
 
+def _marks(items: DataFrame, window: int, k: int) -> DataFrame:
+    """(item_key, n, item_pos, hash): the first smallest k-gram of each different window of the items,
+    at the window's first place.  Which k-gram that is depends on the window alone, and :func:`winnowed` keeps it in any text."""
+    w = window - k + 1
+    gram = ", ".join(f"item_words[i + {j}]" for j in range(k))
+    hashed = items.withColumn("__h", F.expr(f"transform({_places('item_words', k)}, i -> xxhash64({gram}))"))
+    each = hashed.select("item_key", "n", F.explode_outer(F.expr(
+        f"transform({_places('item_words', window)}, j -> struct(array_join(slice(item_words, j + 1, {window}), ' ') as words, j as at,"
+        f" slice(__h, j + 1, {w}) as h))")).alias("w"))
+    at = F.col("w.at") + F.array_position("w.h", F.array_min("w.h")).cast("int") - 1
+    marked = each.select("item_key", "n", F.col("w.words").alias("words"), F.struct(F.col("w.at").alias("at"), at.alias("item_pos"),
+                                                                                    F.array_min("w.h").alias("hash")).alias("m"))
+    return marked.groupBy("item_key", "n", "words").agg(F.min("m").alias("m")).select("item_key", "n", "m.item_pos", "m.hash")
+
+
 def _items(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> DataFrame:
     """Items that have words: item_id (as text, may be null), their words and how many, and
     item_key, never null and different for each (id, words)."""
@@ -77,18 +94,16 @@ def _items(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> D
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K, id_col: str = "doc_id",
          text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(rows, runs)``: a row (doc_id, text_hash, n_words) per document, and the
-    maximal runs (doc_id, text_hash, item_id, first, last) of words shared with an item."""
+    runs (doc_id, text_hash, item_id, first, last) of words shared with an item."""
     items = _items(benchmark, item_col, item_text_col, window)
     short = sorted(r["n"] for r in items.filter(F.col("n") < window).select("n").distinct().collect())  # below window
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_hash"),
                         words(text_of(text_col)).alias("words"))
     sides, kinds = [], []
     grams = winnowed(texts, "words", window, k)
-    marks = winnowed(items.filter(F.col("n") >= window), "item_words", window, k)
     # explode_outer throughout: for explode the optimiser adds a filter on the array's size and
     # pushes a copy of the whole expression below the projections that share its parts
-    sides.append(marks.select("item_key", "n", F.explode_outer("kept").alias("kept")).select(
-        "item_key", "n", F.col("kept.pos").alias("item_pos"), F.col("kept.hash").alias("hash")))
+    sides.append(_marks(items.filter(F.col("n") >= window), window, k))
     kinds.append(F.col("kept"))
     for m in short:
         grams = winnowed(grams, "words", m, m, f"kept{m}")
@@ -141,8 +156,12 @@ def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     rows, runs = hits(docs, benchmark, **options)
     runs = materialise(runs.distinct(), "runs")
     key = ["doc_id", "text_hash"]
-    covered = (runs.select(*key, F.explode(F.sequence("first", "last")).alias("place")).distinct()
-               .groupBy(*key).agg(F.count(F.lit(1)).alias("n_hit")))
+    # words under the union of a document's runs, taken in order: those beyond the furthest reached so far
+    spans = F.array_sort(F.collect_set(F.struct("first", "last")))
+    covered = runs.groupBy(*key).agg(F.aggregate(
+        spans, F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).alias("reach")),
+        lambda a, x: F.struct((a["n"] + F.greatest(F.lit(0), x["last"] - F.greatest(x["first"] - 1, a["reach"]))).alias("n"),
+                              F.greatest(a["reach"], x["last"]).alias("reach")), lambda a: a["n"]).alias("n_hit"))
     found = runs.groupBy(*key).agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"),
                                     F.max(F.col("item_id").isNull().cast("int")).alias("unnamed"))
     per = materialise(covered.alias("c").join(found.alias("f"), F.col("c.doc_id").eqNullSafe(F.col("f.doc_id"))

@@ -98,3 +98,25 @@ def test_no_python_in_the_plan(spark):
     docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     plan = D.report(docs, items)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_periodic_texts(spark, seed):
+    """Windows that come again in the same item are marked once; nothing is lost by that."""
+    rng = random.Random(seed)
+    units = ["a", "a b", "a b c", "a a b", "a b a c"]
+    items = [(i, " ".join([rng.choice(units)] * rng.randint(4, 9) + rng.choices("abcx", k=rng.randint(0, 8)) + [rng.choice(units)] * rng.randint(0, 6)))
+             for i in range(6)]
+    docs = [(i, " ".join(rng.choices("abcxy", k=rng.randint(0, 9)) + [rng.choice(units)] * rng.randint(0, 20) + rng.choices("abcx", k=rng.randint(0, 9))
+                         + [rng.choice(units)] * rng.randint(0, 9))) for i in range(30)]
+    got = report(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert got == brute(docs, items, 10)
+
+
+def test_equal_words_do_not_multiply(spark):
+    docs = spark.createDataFrame([(1, "a " * 50_000), (2, "a b " * 2_000), (3, "a " * 9)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a " * 400), (2, "b a " * 200)], "item_id long, text string")
+    held = D._items(items, "item_id", "text", 10)
+    assert D._marks(held, 10, 5).count() == 3  # one window of the first item, two of the second
+    got = {r.doc_id: (r.n_hit, r.item_ids) for r in D.report(docs, items).collect()}
+    assert got == {1: (50_000, ["1"]), 2: (4_000, ["2"]), 3: (0, [])}
