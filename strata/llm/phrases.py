@@ -45,14 +45,15 @@ from pyspark.sql import functions as F
 
 from .common import ASCII_LOWER, materialise, slices
 
-SHARDS, BITS = 10, 26
+#: five shards lower a support of 30 to 6
+SHARDS, BITS = 5, 26
 #: documents whose ids agree but for so many last bits go to the same shard: they tend to be
 #: in the same task, which then counts more of a shard's phrases together
 ID_BITS = 14
 #: occurrences that a task counts together before it hands the counts on
 HELD = 3_000_000
-#: bytes of text that are split into words at a time
-BLOCK = 1 << 22
+#: bytes of text that are one array of words: when mining, and when counting, where larger ones share more
+BLOCK, COUNT_BLOCK = 1 << 22, 1 << 24
 UNKNOWN = "und"
 
 # a piece ends at one of these; no word holds them, so a full stop can stand for all
@@ -157,10 +158,16 @@ class Block:
             left = left[~apart & (self.length[x] > at)]
         return out
 
-    def text(self, i: int, k: int) -> bytes:
-        """The phrase of ``k`` words from word ``i`` on."""
-        found = self.flat[self.start[i]:self.start[i + k - 1] + self.length[i + k - 1]]
-        return found if k == 1 else b" ".join(found.split())
+    def texts(self, at: np.ndarray, k: int) -> list[bytes]:
+        """The phrases of ``k`` words from words ``at`` on."""
+        last = at + k - 1
+        stop = self.start[last] + self.length[last]
+        words = sum(self.length[at + j] for j in range(k)) + k - 1
+        flat = self.flat
+        out = [flat[a:b] for a, b in zip(self.start[at].tolist(), stop.tolist())]
+        for i in np.flatnonzero(stop - self.start[at] != words).tolist():  # more than one space between two
+            out[i] = b" ".join(out[i].split())
+        return out
 
     def phrases(self, longest: int, frequent: dict, seed: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(k, first words, hashes) of the phrases of 1 to ``longest`` words that ``frequent`` does not
@@ -186,14 +193,14 @@ class Block:
             yield k, new, h[new]
 
 
-def _blocks(texts: Sequence[bytes | None], longest: int) -> Iterator[Block]:
+def _blocks(texts: Sequence[bytes | None], longest: int, most: int | None = None) -> Iterator[Block]:
     chunks: list[tuple[int, int, bytes]] = []
     size = 0
     for i, text in enumerate(texts):
         for again, chunk in _chunks(text, longest):
             chunks.append((i, again, chunk))
             size += len(chunk)
-            if size >= BLOCK:
+            if size >= (most or BLOCK):
                 yield Block(chunks)
                 chunks, size = [], 0
     if chunks:
@@ -259,11 +266,11 @@ def counted(texts: DataFrame, longest: int, places: bytes) -> DataFrame:
         bits = np.frombuffer(carried[0].value, np.uint8)
         frequent = dict.fromkeys(range(1, longest + 1), bits)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, COUNT_BLOCK):
                 seed, langs = _seeds(part.column(0).to_pylist()), part.column(1).to_pylist()
                 numbers = {g: i for i, g in enumerate(dict.fromkeys(langs))}
-                names, lang = list(numbers), np.array([numbers[g] for g in langs])
-                for block in _blocks(part.column(2).cast(pa.binary()).to_pylist(), longest):
+                names, lang = pa.array(list(numbers), pa.string()), np.array([numbers[g] for g in langs])
+                for block in _blocks(part.column(2).cast(pa.binary()).to_pylist(), longest, COUNT_BLOCK):
                     own = lang[block.owner]
                     for k, at, h in block.phrases(longest, frequent, seed):
                         if not len(at):
@@ -274,11 +281,12 @@ def counted(texts: DataFrame, longest: int, places: bytes) -> DataFrame:
                         for j in range(k):
                             apart |= block.differ(at[1:] + j, at[:-1] + j)
                         starts = np.flatnonzero(np.concatenate([[True], apart]))
-                        some = at[starts].tolist()
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([names[i] for i in own[some].tolist()], pa.string()),
-                             pa.array([block.text(i, k) for i in some], pa.binary()).cast(pa.string()),
-                             pa.array(np.diff(np.append(starts, len(at))), pa.int64())], schema=schema)
+                        counts, some = np.diff(np.append(starts, len(at))), at[starts]
+                        for lo in range(0, len(some), 200_000):
+                            few = some[lo:lo + 200_000]
+                            yield pa.RecordBatch.from_arrays(
+                                [names.take(pa.array(own[few])), pa.array(block.texts(few, k), pa.binary()).cast(pa.string()),
+                                 pa.array(counts[lo:lo + 200_000], pa.int64())], schema=schema)
 
     return (texts.select("lang_hash", "lang", "text").mapInArrow(run, "lang string, phrase string, a long")
             .groupBy("lang", "phrase").agg(F.sum("a").alias("a")))
