@@ -82,7 +82,8 @@ def next_publish(arrivals: DataFrame, publishes: DataFrame, by: Sequence[str], a
     one sorted run, in which the last publish seen, going backwards, is the next
     one.  An arrival after its day's last publish takes the first publish of the
     next day that has one, found over one row per day.  Publishes at the same
-    moment count once; an arrival without a time has no publish.
+    moment count once; an arrival without a time has no publish.  Both sides are
+    read twice, for their rows and for their days.
     """
     from pyspark.sql import Window as W
     keys = [f"__k{i}" for i in range(len(by))]
