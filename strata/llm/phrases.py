@@ -53,7 +53,7 @@ ID_BITS = 14
 #: occurrences that a task counts together before it hands the counts on
 HELD = 3_000_000
 #: bytes of text that are one array of words: when mining, and when counting, where larger ones share more
-BLOCK, COUNT_BLOCK = 1 << 22, 1 << 24
+BLOCK, COUNT_BLOCK = 1 << 22, 6 << 20
 UNKNOWN = "und"
 
 # a piece ends at one of these; no word holds them, so a full stop can stand for all
@@ -123,12 +123,12 @@ class Block:
         raw = np.frombuffer(self.flat, np.uint8)[:-8]
         inside = np.concatenate([[False], (raw != 32) & (raw != 46), [False]])
         edges = np.flatnonzero(inside[1:] != inside[:-1])
-        self.start, self.length = edges[::2], edges[1::2] - edges[::2]
+        self.start, self.length = edges[::2].astype(np.int32), (edges[1::2] - edges[::2]).astype(np.int32)
         self.opens = np.zeros(len(self.start) + 1, bool)
         self.opens[np.searchsorted(self.start, np.flatnonzero(raw == 46))] = True
         begins = np.cumsum([0] + [len(c) + 1 for _, _, c in chunks[:-1]])
         word = np.searchsorted(self.start, begins)
-        self.owner = np.repeat([i for i, _, _ in chunks], np.diff(np.append(word, len(self.start))))
+        self.owner = np.repeat(np.array([i for i, _, _ in chunks], np.int32), np.diff(np.append(word, len(self.start))))
         self.old = [(int(w), again) for w, (_, again, _) in zip(word, chunks) if again]
         # the 8 bytes from every place on
         self.eight = np.ndarray(len(self.flat) - 7, "<u8", self.flat, strides=(1,))
