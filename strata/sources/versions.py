@@ -50,33 +50,31 @@ def history(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(_log_path(root)).orderBy(F.desc("version"))
 
 
-def _log_rows(spark: SparkSession, root: str) -> list:
-    """All commit-log rows (one per commit: metadata, bounded by the number
-    of commits), fetched with a single read."""
+def _latest(spark: SparkSession, root: str, version: int | None = None, timestamp: datetime | str | None = None):
+    """The log row of a version / of the latest commit at or before a time / of the
+    current version, or None.  Only that row reaches the driver."""
     if not _exists(spark, _log_path(root)):
-        return []
-    return (spark.read.schema(LOG_SCHEMA).parquet(_log_path(root))
-            .select("version", "data_versions", "committed_at", "num_rows", "schema_json").collect())
-
-
-def _resolve(spark: SparkSession, root: str, version: int | None = None,
-             timestamp: datetime | str | None = None, rows: list | None = None):
-    """The log row for a version / the latest commit at or before a time /
-    the current version."""
-    rows = _log_rows(spark, root) if rows is None else rows
+        return None
+    rows = (spark.read.schema(LOG_SCHEMA).parquet(_log_path(root))
+            .select("version", "data_versions", "committed_at", "num_rows", "schema_json"))
     if version is not None:
-        rows = [r for r in rows if r["version"] == version]
+        rows = rows.where(F.col("version") == version)
     if timestamp is not None:
         t = datetime.fromisoformat(str(timestamp)) if not isinstance(timestamp, datetime) else timestamp
-        rows = [r for r in rows if r["committed_at"] <= t]
-    if not rows:
+        rows = rows.where(F.col("committed_at") <= F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz"))
+    return rows.orderBy(F.desc("version")).limit(1).first()
+
+
+def _resolve(spark: SparkSession, root: str, version: int | None = None, timestamp: datetime | str | None = None):
+    row = _latest(spark, root, version, timestamp)
+    if row is None:
         raise ValueError(f"no version of {root} matches version={version} timestamp={timestamp}")
-    return max(rows, key=lambda r: r["version"])
+    return row
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
-    rows = _log_rows(spark, root)
-    return max((r["version"] for r in rows), default=None)
+    row = _latest(spark, root)
+    return None if row is None else row["version"]
 
 
 def _commit(spark: SparkSession, root: str, version: int, data_versions: list[int], operation: str,
@@ -144,20 +142,18 @@ def _publish(df: DataFrame, root: str, mode: str = "overwrite", operation: str |
     spark = df.sparkSession
     if mode not in ("append", "overwrite"):
         raise ValueError("mode must be 'overwrite' or 'append'")
-    log = _log_rows(spark, root)
-    cur = max((r["version"] for r in log), default=None)
-    v = 0 if cur is None else cur + 1
+    last = _latest(spark, root)
+    v = 0 if last is None else last["version"] + 1
     # the version's content and columns are settled before any data is
     # written, so a rejected append writes nothing
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-    if mode == "append" and cur is not None:
+    prev = last if mode == "append" else None
+    if prev is not None:
         # the parts of one version share a folder layout, else they can't be read together
-        layout = _layout(spark, root, _resolve(spark, root, version=cur, rows=log)["data_versions"][0])
+        layout = _layout(spark, root, prev["data_versions"][0])
         if partition_by and tuple(partition_by) != layout:
             raise ValueError(f"the table is laid out by {layout}, not by {tuple(partition_by)}")
         partition_by = layout
-    prev = _resolve(spark, root, version=cur, rows=log) if mode == "append" and cur is not None else None
-    if prev is not None:
         prev_schema = _schema_of(prev)
         schema = _merged_schema(prev_schema, schema) if prev_schema is not None else None
     obs = Observation(f"publish_{v}_{uuid.uuid4().hex[:12]}")  # unique within any plan
@@ -245,9 +241,8 @@ def restore(spark: SparkSession, root: str, version: int | None = None,
             timestamp: datetime | str | None = None, at: datetime | None = None) -> int:
     """Make an older version current again by committing a new version that
     points at the old data directories (metadata only, no copy)."""
-    log = _log_rows(spark, root)
-    row = _resolve(spark, root, version, timestamp, rows=log)
-    v = max(r["version"] for r in log) + 1
+    row = _resolve(spark, root, version, timestamp)
+    v = current_version(spark, root) + 1
     _commit(spark, root, v, list(row["data_versions"]), "RESTORE",
             {"version": row["version"]}, row["num_rows"], at, row["schema_json"])
     return v
