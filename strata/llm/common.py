@@ -34,6 +34,8 @@ WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <=
                    else 32 for c in range(256))
 WORD_PATTERN = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 SLICE_BYTES = 4 << 20
+#: equal rows that one task unrolls at a time
+CHUNK = 4096
 
 _scratch: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 _lock = threading.Lock()
@@ -54,12 +56,13 @@ def scratch_mark(spark: SparkSession) -> int:
     return len(_scratch.get(spark.sparkContext, []))
 
 
-def clear_scratch(spark: SparkSession, since: int = 0) -> None:
-    """Delete intermediates written after ``since``; call it once their results
-    have been written elsewhere."""
+def clear_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete intermediates written after ``since``, but for the last ``keep``; call it once
+    their results have been written elsewhere."""
     with _lock:
         paths = _scratch.get(spark.sparkContext, [])
-        gone, paths[since:] = paths[since:], []
+        end = max(since, len(paths) - keep)
+        gone, paths[since:end] = paths[since:end], []
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for p in gone:
         path = jvm.org.apache.hadoop.fs.Path(p)
@@ -94,6 +97,20 @@ def number_within(rows: DataFrame, group: Sequence[str], order: Sequence[str], o
             .drop("__part", "__start", "__local"))
 
 
+def unrolled(rows: DataFrame, n: str, out: str = "k") -> DataFrame:
+    """Every row ``n`` times, numbered from 0 in ``out``; the copies of a row are dealt to all
+    tasks in chunks of :data:`CHUNK`.  ``rows`` is read twice, the second time for rows of many copies only."""
+    def numbers(first, last):
+        return F.explode(F.sequence(first, last))
+
+    zero = F.lit(0).cast("long")
+    few = rows.filter(F.col(n) <= CHUNK).withColumn(out, numbers(zero, F.col(n) - 1))
+    many = rows.filter(F.col(n) > CHUNK).withColumn("__chunk", numbers(zero, F.floor((F.col(n) - 1) / CHUNK)))
+    dealt = many.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__chunk")
+    first = F.col("__chunk") * CHUNK
+    return few.unionByName(dealt.withColumn(out, numbers(first, F.least(first + CHUNK, F.col(n)) - 1)).drop("__chunk"))
+
+
 def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, ascii_lower, map_rows, materialise, text_of
+from .common import ASCII_LOWER, ascii_lower, map_rows, materialise, text_of, unrolled
 
 AVERAGE, SMALLEST, LARGEST, WINDOW = 2048, 512, 16384, 16
 # odd multiplier of the rolling polynomial, modulo 2**32 by overflow
@@ -165,10 +165,9 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits
     back = alike.join(groups, "recipe", "left")
     out = back.select("doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
                       F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), "text_sha256", "__copies")
-    one = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))
-    return (out.withColumn("__copy", one)
+    return (unrolled(out, "__copies", "__copy")
             .select("doc_id", "keep_id", "group_size",
-                    (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("__copy") == 1)).alias("kept"),
+                    (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("__copy") == 0)).alias("kept"),
                     "text_sha256"))
 
 

@@ -33,14 +33,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialise, text_of
+from .common import materialise, text_of, unrolled
 
 UNIT_BITS = 20
 UNIT = 1 << UNIT_BITS
 #: parts that a size class of a source is spread over
 PARTS = 256
-#: equal rows that one task unrolls at a time
-CHUNK = 4096
 #: the targets are broadcast up to so many sources and bytes of their names, and joined by shuffle beyond
 BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 8 << 20
 WORD = r"[^\x20\x09-\x0D]+"
@@ -83,20 +81,6 @@ def running(rows: DataFrame, group: Sequence[str], classes: Sequence[str], part:
     return local.join(starts, keys).withColumn(out, F.col("__own") + F.col("__start")).drop("__own", "__start")
 
 
-def unrolled(rows: DataFrame, n: str, out: str = "k") -> DataFrame:
-    """Every row ``n`` times, numbered from 0 in ``out``; the copies of a row are dealt to all
-    tasks in chunks.  ``rows`` is read twice: write it out first."""
-    def numbers(first, last):
-        return F.explode(F.sequence(first, last))
-
-    zero = F.lit(0).cast("long")
-    few = rows.filter(F.col(n) <= CHUNK).withColumn(out, numbers(zero, F.col(n) - 1))
-    many = rows.filter(F.col(n) > CHUNK).withColumn("__chunk", numbers(zero, F.floor((F.col(n) - 1) / CHUNK)))
-    dealt = many.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__chunk")
-    first = F.col("__chunk") * CHUNK
-    return few.unionByName(dealt.withColumn(out, numbers(first, F.least(first + CHUNK, F.col(n)) - 1)).drop("__chunk"))
-
-
 def plan(docs: DataFrame, weights: Sequence[float], most: float = 3.0, seed: int = 1, id_col: str = "doc_id",
          text_col: str = "text", source_col: str = "source") -> DataFrame:
     """A row per row of ``docs``: doc_id, source, text_hash, size, source_size, target, copies."""

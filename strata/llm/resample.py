@@ -37,8 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, bounded_broadcast, materialise, slices
-from .mixing import unrolled
+from .common import WORD_BYTES, bounded_broadcast, materialise, slices, unrolled
 
 BUCKETS = 10_000
 BLOCK = 1 << 20

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, phrases, resample
+from strata.llm import common, mixing, phrases, resample
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 VOCABULARY = ["the", "of", "Red", "fox", "ran", "é", "—", "a/b", "x_y", "\x0c", "\x85z", "\\"]
@@ -153,7 +153,7 @@ def _mixed(spark):
 
 
 def test_systematic_copies(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "CHUNK", 64)  # repeated rows are unrolled in chunks
+    monkeypatch.setattr(common, "CHUNK", 64)  # repeated rows are unrolled in chunks
     rows, docs = _mixed(spark)
     got = mixing.plan(docs, [5, 2, 1]).collect()
     key = lambda i, t, s: (str(i), str(s), len(re.findall(r"[^\x20\x09-\x0D]+", t or "")))
@@ -199,7 +199,7 @@ def test_mixing_stays_in_the_engine(spark):
 
 def test_a_hot_row_is_dealt_out(spark):
     rows = spark.range(3).select(F.col("id"), F.when(F.col("id") == 1, 200_000).otherwise(2).cast("long").alias("n"))
-    out = mixing.unrolled(rows, "n")
+    out = common.unrolled(rows, "n")
     per_task = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
     assert sum(per_task) == 200_004 and max(per_task) <= 120_000
     assert out.filter("id = 1").agg(F.countDistinct("k"), F.min("k"), F.max("k")).first()[:] == (200_000, 0, 199_999)

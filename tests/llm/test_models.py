@@ -249,3 +249,10 @@ def test_lm_scores(spark, odd, head):
     by = {r.doc_id: r.score for r in got}
     assert by[1] == by[2] == by[3] > by[5]  # an end alone is likelier than a word and an end
     assert lm_score.score(odd.limit(0), public_tokenizers.path("piece_bpe_32k.model")).isEmpty()
+
+
+def test_different_triples_equal_a_set_of_triples():
+    rng = random.Random(9)
+    for n, alphabet in ((3, 2), (50, 3), (2000, 5), (2000, 400)):
+        w = [b"w%d" % rng.randrange(alphabet) for _ in range(n)]
+        assert quality._different_triples(w) == len(set(zip(w, w[1:], w[2:])))

@@ -188,3 +188,16 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     hub = [(1, i) for i in range(1000, 1400)]
     got = {r.node: r.root for r in components(spark.createDataFrame(chain + hub + [(7, 7)], "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 1 for i in [1, *range(1000, 1400)]}}
+
+
+def test_a_row_repeated_very_often(spark):
+    from pyspark.sql import functions as F
+
+    from strata.llm import exact_dedup
+    docs = spark.range(30_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("").alias("text")).unionByName(
+        spark.createDataFrame([(1, "A"), (2, "a"), (2, "b")], "doc_id long, text string"))
+    out = exact_dedup.decide(docs)
+    got = {(r.doc_id, r.keep_id, r.group_size, r.kept): r["count"] for r in out.groupBy("doc_id", "keep_id", "group_size", "kept").count().collect()}
+    assert got == {(None, None, 30_000, True): 1, (None, None, 30_000, False): 29_999, (1, 2, 2, False): 1, (2, 2, 2, True): 1, (2, 2, 1, True): 1}
+    per_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(per_task) <= 20_000
