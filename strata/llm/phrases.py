@@ -51,9 +51,9 @@ SHARDS, BITS = 5, 26
 #: in the same task, which then counts more of a shard's phrases together
 ID_BITS = 14
 #: occurrences that a task counts together before it hands the counts on
-HELD = 3_000_000
-#: bytes of text that are one array of words: when mining, and when counting, where larger ones share more
-BLOCK, COUNT_BLOCK = 1 << 22, 6 << 20
+HELD = 2_000_000
+#: bytes of text that are one array of words
+BLOCK = 1 << 22
 UNKNOWN = "und"
 
 # a piece ends at one of these; no word holds them, so a full stop can stand for all
@@ -193,14 +193,14 @@ class Block:
             yield k, new, h[new]
 
 
-def _blocks(texts: Sequence[bytes | None], longest: int, most: int | None = None) -> Iterator[Block]:
+def _blocks(texts: Sequence[bytes | None], longest: int) -> Iterator[Block]:
     chunks: list[tuple[int, int, bytes]] = []
     size = 0
     for i, text in enumerate(texts):
         for again, chunk in _chunks(text, longest):
             chunks.append((i, again, chunk))
             size += len(chunk)
-            if size >= (most or BLOCK):
+            if size >= BLOCK:
                 yield Block(chunks)
                 chunks, size = [], 0
     if chunks:
@@ -266,11 +266,11 @@ def counted(texts: DataFrame, longest: int, places: bytes) -> DataFrame:
         bits = np.frombuffer(carried[0].value, np.uint8)
         frequent = dict.fromkeys(range(1, longest + 1), bits)
         for batch in batches:
-            for part in slices(batch, COUNT_BLOCK):
+            for part in slices(batch):
                 seed, langs = _seeds(part.column(0).to_pylist()), part.column(1).to_pylist()
                 numbers = {g: i for i, g in enumerate(dict.fromkeys(langs))}
                 names, lang = pa.array(list(numbers), pa.string()), np.array([numbers[g] for g in langs])
-                for block in _blocks(part.column(2).cast(pa.binary()).to_pylist(), longest, COUNT_BLOCK):
+                for block in _blocks(part.column(2).cast(pa.binary()).to_pylist(), longest):
                     own = lang[block.owner]
                     for k, at, h in block.phrases(longest, frequent, seed):
                         if not len(at):
