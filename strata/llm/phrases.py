@@ -54,6 +54,8 @@ ID_BITS = 14
 HELD = 2_000_000
 #: bytes of text that are one array of words
 BLOCK = 1 << 22
+#: parts of a language that are ranked on their own before the best of all are
+PARTS = 64
 UNKNOWN = "und"
 
 # a piece ends at one of these; no word holds them, so a full stop can stand for all
@@ -370,8 +372,10 @@ def collocations(docs: DataFrame, support: int = 30, longest: int = 4, inside: i
     scored = cuts.join(part, ["lang", "first"]).join(other, ["lang", "rest"]).withColumn(
         "score", F.expr("cast((cast(a as decimal(25,0)) * 2000000) div (cast(l as decimal(20,0)) + r) as long)"))
     best = scored.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("b"))
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = best.select("lang", "phrase", "a", "b.l", "b.r", "b.score").withColumn(
-        "rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # the best of each part of a language first, so that no task sorts all of it
+    best = best.select("lang", "phrase", "a", "b.l", "b.r", "b.score").withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    few = best.withColumn("nth", F.row_number().over(W.partitionBy("lang", "part").orderBy(*order))).filter(F.col("nth") <= top)
+    ranked = few.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
     return ranked.join(sizes, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
