@@ -502,6 +502,33 @@ def mart_diabetes_cohort(diabetes: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def mart_data_quality(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """Per dataset: files ingested in success, rows quarantined, NULL cells, rows that repeat
+    another of their ingest run, and the score of these; and the NULL rate of each column.
+
+    Both come from one profile per ingest run, which adds up."""
+    from functools import reduce
+
+    from ..operators import profile as P
+    profiles = []
+    for ds in DATASETS:
+        bronze = read_bronze(spark, lake, ds)
+        if bronze is not None:
+            columns = [c for c in bronze.columns if c not in METADATA_COLS]
+            profiles.append(P.batch_profile(bronze, ["ingest_run"], columns, Q.reason_expr(RULES[ds]).isNotNull())
+                            .withColumn("dataset", F.lit(ds)))
+    if not profiles:
+        raise ValueError("no bronze table is there")
+    every = reduce(DataFrame.unionByName, profiles)
+    files = safe_read(spark, lake.inventory)
+    rolled = P.rolled_up(every, ["dataset"])
+    if files is None:
+        rolled = rolled.withColumn("success", F.lit(None).cast("double"))
+    else:
+        rolled = rolled.join(files.groupBy("dataset").agg(F.avg((F.col("status") == "SUCCESS").cast("double")).alias("success")), "dataset", "left")
+    return {"by_dataset": P.score(rolled, F.col("success")).drop("success"), "null_rates": P.null_rates(every, ["dataset"])}
+
+
 # ---------------------------------------------------------------------------
 # Silver domains and marts of the job
 # ---------------------------------------------------------------------------
@@ -561,7 +588,7 @@ def marts(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     if dia is not None:
         good, _ = Q.split(Q.tag(clean("diabetes", dia), RULES["diabetes"]))
         out |= {f"diabetes_{n}": df for n, df in mart_diabetes_cohort(good).items()}
-    return out
+    return out | {f"data_quality_{n}": df for n, df in mart_data_quality(spark, lake).items()}
 
 
 def run_marts(spark: SparkSession, lake: Lake, load_date: date | str) -> list[str]:

@@ -317,6 +317,11 @@ def test_whole_job_writes_every_layer(spark, tmp):
         ("29872499824296", True, 19, True), ("29872499824296", True, 32, False)]  # an unknown scholarship is no finding
     assert "name" not in out[0].asDict() and "lead_time" not in inn.asDict()
     assert H.read_mart(spark, lake, "diabetes_prevalence").first().high_risk == 1
+    dq = {r.dataset: r for r in H.read_mart(spark, lake, "data_quality_by_dataset").collect()}
+    assert (dq["patients"].n_rows, dq["patients"].quarantine_rate, dq["patients"].success_rate) == (2, 0.5, 1.0)
+    assert (dq["noshows"].null_rate, dq["noshows"].quality_score) == (round(1 / 30, 4), round(0.8 + 0.2 * 29 / 30, 4))
+    nulls = {(r.dataset, r.column): r.null_rate for r in H.read_mart(spark, lake, "data_quality_null_rates").collect()}
+    assert nulls["noshows", "scholarship"] == 0.5 and nulls["patients", "age"] == 0.5 and nulls["patients", "doctor"] == 0.0
     # again: nothing new, and the domains are replaced together
     assert batch_job.main(args) == 0
     assert {r.dataset: r.n_rows for r in H.layer_report(spark, lake).collect()} == layers
