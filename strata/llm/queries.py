@@ -50,8 +50,9 @@ def op2(spark: SparkSession, d: str) -> DataFrame:
 @register("op3_quality_classifier")
 def op3(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    ranker = quality.learn(docs, table(spark, d, "labels"), "quality", folds=5, cut=0.3)
-    return _classified(quality.score(docs, ranker), ranker.cut)
+    x = materialise(quality.vectors(docs), "vectors")
+    ranker = quality.learn_vectors(x, table(spark, d, "labels"), "quality", folds=5, cut=0.3)
+    return _classified(quality.score_vectors(x, ranker), ranker.cut)
 
 
 @register("op4_benchmark_decontamination", f"""

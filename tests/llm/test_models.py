@@ -256,3 +256,53 @@ def test_different_triples_equal_a_set_of_triples():
     for n, alphabet in ((3, 2), (50, 3), (2000, 5), (2000, 400)):
         w = [b"w%d" % rng.randrange(alphabet) for _ in range(n)]
         assert quality._different_triples(w) == len(set(zip(w, w[1:], w[2:])))
+
+
+def ranked_pairs(x, good):
+    """Newton's method on the listed pairs."""
+    z = x / x.std(axis=0)
+    diff = (z[good][:, None] - z[~good][None]).reshape(-1, x.shape[1])
+    w = np.zeros(x.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(diff @ w))
+        w += np.linalg.solve((diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + quality.RIDGE * np.eye(len(w)),
+                             diff.T @ p / len(diff) - quality.RIDGE * w)
+    return w / x.std(axis=0)
+
+
+def test_the_fit_takes_all_pairs():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 4)) * [1, 50, 0.01, 1] + [0, 900, 5, 0]
+    s = x @ np.array([1, -0.02, 60, 0]) + rng.normal(size=300)
+    good = s > np.quantile(s, 0.3)
+    r = quality.fit(x, good, (~good).mean(), 0.3)
+    assert np.allclose(r.w * x.std(axis=0), ranked_pairs(x, good) * x.std(axis=0), atol=1e-3)
+    assert (r.scores(x) < 0.3).sum() == (~good).sum()
+
+
+def test_quality_learns_from_every_labelled_row(spark):
+    """More rows of a label than the 6,000 that were once the most."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(11_000):
+        bad = rng.random() < 0.1
+        words = ["".join(rng.choices("abcdefgh", k=rng.randint(1, 9))) for _ in range(rng.randint(3, 14))]
+        rows.append((i, " ".join(w.upper() if rng.random() < (0.5 if bad else 0.2) else w for w in words), int(not bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(3)
+    ranker = quality.learn(docs.select("doc_id", "text"), docs.select("doc_id", "quality"))
+    kept = [(quality.features(t.encode()), q == 1) for i, t, q in rows if not held(i)]
+    x, good = np.array([v for v, _ in kept]), np.array([q for _, q in kept])
+    assert good.sum() > 7000
+    same = quality.fit(x, good, (~good).mean(), 0.3)
+    assert np.allclose(ranker.w, same.w, rtol=1e-4, atol=1e-5) and abs(ranker.threshold - same.threshold) < 1e-3
+    low = ranker.scores(x)
+    assert (low < 0.3).sum() <= (~good).sum() <= (low <= 0.3 + 1e-9).sum()
+
+
+@pytest.mark.parametrize("bad,good,share,want", [([1, 2], [3, 4, 5], 0.4, 2.5), ([-2, -1], [-1, 0.5], 0.5, -1.0), ([0.0], [-0.0, 7], 1 / 3, 0.0),
+                                                 ([1, 5], [2, 3], 0.5, 2.5), ([3] * 4, [9], 0.8, 6.0)])
+def test_threshold_is_an_exact_quantile(bad, good, share, want):
+    x = np.array([*bad, *good], float)[:, None]
+    rows = quality._Held(x, [0] * len(bad) + [1] * len(good))
+    n = (len(bad), len(good))
+    assert quality._threshold(rows.ordered(np.ones(1)), n, quality.Fraction(share).limit_denominator(100)) == want
