@@ -52,8 +52,8 @@ SHARDS, BITS = 5, 26
 ID_BITS = 14
 #: occurrences that a task counts together before it hands the counts on
 HELD = 2_000_000
-#: bytes of text that are one array of words
-BLOCK = 1 << 22
+#: bytes of text that are one array of words, at most and when mining, where counts go on from one to the next
+BLOCK, MINED = 1 << 22, 1 << 20
 #: parts of a language that are ranked on their own before the best of all are
 PARTS = 64
 UNKNOWN = "und"
@@ -225,13 +225,9 @@ def mined(texts: DataFrame, first: int, longest: int, bitmaps: dict[int, bytes])
     schema = pa.schema([("grp", pa.int64()), ("hash", pa.int64()), ("a", pa.int64())])
 
     def rows(held):
-        group, h = (np.concatenate(x) for x in zip(*held))
-        names, code = np.unique(group, return_inverse=True)
-        order = np.argsort(code.astype(np.int16 if len(names) < 1 << 15 else np.int64), kind="stable")
-        bounds = np.concatenate([[0], np.cumsum(np.bincount(code))])
-        h = h[order]
-        for name, lo, hi in zip(names, bounds, bounds[1:]):
-            own = np.sort(h[lo:hi])
+        for name in sorted(held):
+            own = np.concatenate(held.pop(name))
+            own.sort()
             starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
             counts = np.diff(np.append(starts, len(own)))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(starts), name)), pa.array(own[starts].view(np.int64)),
@@ -239,19 +235,25 @@ def mined(texts: DataFrame, first: int, longest: int, bitmaps: dict[int, bytes])
 
     def run(batches):
         frequent = {k: np.frombuffer(b.value, np.uint8) for k, b in carried.items()}
-        held, size = [], 0
+        held, size = {}, 0  # by group, so that no more than one group's hashes are there twice
         for batch in batches:
-            for part in slices(batch):
-                groups = part.column(0).to_numpy(zero_copy_only=False)
+            for part in slices(batch, MINED):
                 seed = _seeds(part.column(0).to_pylist())
+                names, code = np.unique(part.column(0).to_numpy(zero_copy_only=False), return_inverse=True)
+                code = code.astype(np.int16 if len(names) < 1 << 15 else np.int64)
                 for block in _blocks(part.column(1).cast(pa.binary()).to_pylist(), longest):
                     for k, at, h in block.phrases(longest, frequent, seed):
                         if k >= first and len(at):
-                            held.append((groups[block.owner[at]], h))
+                            own = code[block.owner[at]]
+                            h = h[np.argsort(own, kind="stable")]
+                            ends = np.cumsum(np.bincount(own, minlength=len(names)))
+                            for name, lo, hi in zip(names.tolist(), [0, *ends], ends):
+                                if hi > lo:
+                                    held.setdefault(name, []).append(h[lo:hi])
                             size += len(at)
                     if size > HELD:
                         yield from rows(held)
-                        held, size = [], 0
+                        held, size = {}, 0
         if held:
             yield from rows(held)
 
@@ -284,11 +286,11 @@ def counted(texts: DataFrame, longest: int, places: bytes) -> DataFrame:
                             apart |= block.differ(at[1:] + j, at[:-1] + j)
                         starts = np.flatnonzero(np.concatenate([[True], apart]))
                         counts, some = np.diff(np.append(starts, len(at))), at[starts]
-                        for lo in range(0, len(some), 200_000):
-                            few = some[lo:lo + 200_000]
+                        for lo in range(0, len(some), 50_000):
+                            few = some[lo:lo + 50_000]
                             yield pa.RecordBatch.from_arrays(
                                 [names.take(pa.array(own[few])), pa.array(block.texts(few, k), pa.binary()).cast(pa.string()),
-                                 pa.array(counts[lo:lo + 200_000], pa.int64())], schema=schema)
+                                 pa.array(counts[lo:lo + 50_000], pa.int64())], schema=schema)
 
     return (texts.select("lang_hash", "lang", "text").mapInArrow(run, "lang string, phrase string, a long")
             .groupBy("lang", "phrase").agg(F.sum("a").alias("a")))
