@@ -44,6 +44,22 @@ def test_stages_take_effect(spark):
         map(tuple, left.select("doc_id", "piece", "length").collect()))
 
 
+def test_the_quality_stage_learns_from_every_labelled_row(spark, tmp, monkeypatch):
+    """More rows of a label than the 6,000 that were once the most."""
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.concat(F.lit("some text "), F.col("id")).alias("text"))
+    docs.select("doc_id", (F.col("doc_id") % 9 > 0).cast("int").alias("quality")).write.parquet(f"{tmp}/labels.parquet")
+    seen = []
+
+    def fitted(rows, columns, share, cut):
+        seen.append({r["good"]: r["count"] for r in rows.rows.groupBy("good").count().collect()})
+        return quality.Ranker(quality.np.zeros(columns), 0.0, cut)
+
+    monkeypatch.setattr(quality, "_fitted", fitted)
+    assert P.good(spark, docs, tmp).count() == 9000
+    want = docs.filter(~common.held_out("doc_id", 5)).groupBy((F.col("doc_id") % 9 > 0).cast("long").alias("good")).count().collect()
+    assert seen == [{r["good"]: r["count"] for r in want}] and seen[0][1] > 6000
+
+
 def test_stages_on_odd_and_empty_tables(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     odd = docs.limit(5).unionByName(docs.limit(2)).unionByName(
